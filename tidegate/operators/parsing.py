@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from tidegate.functions import event_time
 from tidegate.model import CORRUPT_FIELD, EVENT_FIELDS, PARSE_SCHEMA
@@ -31,33 +31,25 @@ def parse_events(raw: DataFrame) -> DataFrame:
         PARSED, F.explode(F.array(F.from_json("raw_payload", PARSE_SCHEMA, JSON_OPTIONS)))
     )
     times = F.struct(
-        event_time(F.col(PARSED)["event_timestamp"]).alias("event"),
-        event_time(F.col(PARSED)["ingestion_timestamp"]).alias("ingestion"),
+        event_time(f"{PARSED}.event_timestamp").alias("event"),
+        event_time(f"{PARSED}.ingestion_timestamp").alias("ingestion"),
     )
     timed = parsed.withColumn(TIMES, F.explode(F.array(times)))
-    return timed.select("*", *[F.col(PARSED)[name].alias(name) for name in EVENT_FIELDS])
+    return timed.selectExpr("*", *[f"{PARSED}.{name}" for name in EVENT_FIELDS])
 
 
-def is_malformed() -> Column:
-    """True if the payload is not JSON.
+# True if the payload is not JSON. A clean parse settles it. Only rows the parser flagged pay
+# for a second look, which tells broken text (no field was read) from sound JSON with a value
+# of the wrong type.
+IS_MALFORMED = f"""{PARSED} IS NULL OR (
+  {PARSED}.{CORRUPT_FIELD} IS NOT NULL AND {PARSED}.event_id IS NULL
+  AND try_parse_json(raw_payload) IS NULL)"""
 
-    A clean parse settles it. Only rows the parser flagged pay for a second look, which tells
-    broken text (no field was read) from sound JSON with a value of the wrong type.
-    """
-    flagged = F.col(PARSED)[CORRUPT_FIELD].isNotNull()
-    nothing_read = F.col(PARSED)["event_id"].isNull()
-    not_json = F.try_parse_json(F.col("raw_payload")).isNull()
-    return F.col(PARSED).isNull() | (flagged & nothing_read & not_json)
-
-
-def is_wrong_number() -> Column:
-    """True if ``event_value`` is present but is not a finite JSON number."""
-    flagged = F.col(PARSED)[CORRUPT_FIELD].isNotNull()
-    present = F.get_json_object("raw_payload", "$.event_value").isNotNull()
-    unread = flagged & F.col("event_value").isNull() & present
-    # NaN sorts above infinity, so one comparison covers both.
-    endless = F.abs(F.col("event_value")) >= F.lit(float("inf"))
-    return unread | F.coalesce(endless, F.lit(False))
+# True if event_value is present but is not a finite JSON number. NaN sorts above infinity, so
+# one comparison covers both.
+IS_WRONG_NUMBER = f"""({PARSED}.{CORRUPT_FIELD} IS NOT NULL AND event_value IS NULL
+  AND get_json_object(raw_payload, '$.event_value') IS NOT NULL)
+  OR coalesce(abs(event_value) >= double('infinity'), false)"""
 
 
 def drop_helpers(df: DataFrame) -> DataFrame:

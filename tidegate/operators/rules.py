@@ -7,13 +7,13 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidegate.functions import as_now, is_blank
+from tidegate.functions import as_now
 from tidegate.model import RuleConfig
 from tidegate.operators.parsing import (
+    IS_MALFORMED,
+    IS_WRONG_NUMBER,
     PARSED,
     TIMES,
-    is_malformed,
-    is_wrong_number,
     parse_events,
 )
 
@@ -30,62 +30,65 @@ UNKNOWN_FIELD = "unknown field"
 ERROR_COLUMNS = ("error_type", "failed_field", "error_message", "is_valid")
 
 
+CLOCK = "_clock"
+LISTED = "_listed"
+
+
 @dataclass(frozen=True)
 class Rule:
+    """A row fails if the SQL condition holds. Conditions may use ``_parsed``, ``_times`` and ``_clock``."""
+
     error_type: str
     failed_field: str | None
-    fails: Column
+    fails: str
 
 
-def _outside(column: str, allowed: tuple[str, ...]) -> Column:
-    return ~F.col(column).isin(*allowed) if allowed else F.col(column).isNotNull()
+def _quoted(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def event_rules(
-    config: RuleConfig = RuleConfig(),
-    now: Column | datetime | str | None = None,
-    *,
-    type_listed: Column | None = None,
-) -> list[Rule]:
+def _outside(column: str, allowed: tuple[str, ...]) -> str:
+    if not allowed:
+        return f"{column} IS NOT NULL"
+    return f"{column} NOT IN ({', '.join(_quoted(value) for value in allowed)})"
+
+
+def event_rules(config: RuleConfig = RuleConfig(), *, listed_types: bool = False) -> list[Rule]:
     """The rules in the order they are tried.
 
-    ``type_listed`` replaces the configured event types by a condition of its own.
+    With ``listed_types`` a column ``_listed`` says whether the event type is allowed.
     """
-    clock = as_now(now)
-    event_ts = F.col(TIMES)["event"]
-    ingestion_ts = F.col(TIMES)["ingestion"]
-    latest = clock + F.make_interval(mins=F.lit(config.future_tolerance_minutes))
-
-    rules = [Rule(MALFORMED_JSON, None, is_malformed())]
+    rules = [Rule(MALFORMED_JSON, None, IS_MALFORMED)]
 
-    def require(name: str, error_type: str, fails: Column) -> None:
+    def require(name: str, error_type: str, fails: str) -> None:
         if name in config.required_fields:
             rules.append(Rule(error_type, name, fails))
 
-    require("event_id", SCHEMA_VALIDATION, is_blank("event_id"))
-    require("event_timestamp", MALFORMED_TIMESTAMP, event_ts.isNull())
-    require("event_type", SCHEMA_VALIDATION, is_blank("event_type"))
-    unlisted = _outside("event_type", config.event_types) if type_listed is None else ~type_listed
+    def blank(name: str) -> str:
+        return f"{name} IS NULL OR trim({name}) = ''"
+
+    require("event_id", SCHEMA_VALIDATION, blank("event_id"))
+    require("event_timestamp", MALFORMED_TIMESTAMP, f"{TIMES}.event IS NULL")
+    require("event_type", SCHEMA_VALIDATION, blank("event_type"))
+    unlisted = f"NOT {LISTED}" if listed_types else _outside("event_type", config.event_types)
     rules.append(Rule(QUALITY_RULE, "event_type", unlisted))
     if config.require_user_or_device:
-        nobody = F.col("user_id").isNull() & F.col("device_id").isNull()
-        rules.append(Rule(QUALITY_RULE, "user_id|device_id", nobody))
-    require("source_system", SCHEMA_VALIDATION, is_blank("source_system"))
-    require("region", SCHEMA_VALIDATION, F.col("region").isNull())
+        rules.append(Rule(QUALITY_RULE, "user_id|device_id", "user_id IS NULL AND device_id IS NULL"))
+    require("source_system", SCHEMA_VALIDATION, blank("source_system"))
+    require("region", SCHEMA_VALIDATION, "region IS NULL")
     rules.append(Rule(QUALITY_RULE, "region", _outside("region", config.regions)))
-    require("payload_version", SCHEMA_VALIDATION, F.col("payload_version").isNull())
-    rules.append(
-        Rule(QUALITY_RULE, "payload_version", _outside("payload_version", config.payload_versions))
-    )
+    require("payload_version", SCHEMA_VALIDATION, "payload_version IS NULL")
+    versions = _outside("payload_version", config.payload_versions)
+    rules.append(Rule(QUALITY_RULE, "payload_version", versions))
     if config.require_metadata:
-        no_entry = F.col("metadata").isNull() | (F.size("metadata") == 0)
-        rules.append(Rule(QUALITY_RULE, "metadata", no_entry))
+        rules.append(Rule(QUALITY_RULE, "metadata", "metadata IS NULL OR size(metadata) = 0"))
     if config.numeric_event_value:
-        rules.append(Rule(QUALITY_RULE, "event_value", is_wrong_number()))
-    negative = (F.col("event_value") < 0) & _outside("event_type", config.signed_event_types)
-    rules.append(Rule(QUALITY_RULE, "event_value", negative))
-    rules.append(Rule(QUALITY_RULE, "event_timestamp", event_ts > latest))
-    rules.append(Rule(MALFORMED_TIMESTAMP, "ingestion_timestamp", ingestion_ts.isNull()))
+        rules.append(Rule(QUALITY_RULE, "event_value", IS_WRONG_NUMBER))
+    unsigned = _outside("event_type", config.signed_event_types)
+    rules.append(Rule(QUALITY_RULE, "event_value", f"event_value < 0 AND {unsigned}"))
+    latest = f"{CLOCK} + INTERVAL {int(config.future_tolerance_minutes)} MINUTES"
+    rules.append(Rule(QUALITY_RULE, "event_timestamp", f"{TIMES}.event > {latest}"))
+    rules.append(Rule(MALFORMED_TIMESTAMP, "ingestion_timestamp", f"{TIMES}.ingestion IS NULL"))
     return rules
 
 
@@ -94,35 +97,35 @@ def first_failure(rules: list[Rule]) -> Column:
 
     Error type and failed field come out of the same branch, so they cannot disagree.
     """
-    chain = None
-    for rule in rules:
-        error = F.struct(
-            F.lit(rule.error_type).alias("error_type"),
-            F.lit(rule.failed_field).cast("string").alias("failed_field"),
-        )
-        chain = F.when(rule.fails, error) if chain is None else chain.when(rule.fails, error)
-    return chain
 
+    def error(rule: Rule) -> str:
+        field = "CAST(NULL AS STRING)" if rule.failed_field is None else _quoted(rule.failed_field)
+        return f"struct({_quoted(rule.error_type)} AS error_type, {field} AS failed_field)"
 
-def error_message(error_type: Column, failed_field: Column) -> Column:
-    named = F.concat(F.lit(FAILED_FIELD_MESSAGE), F.coalesce(failed_field, F.lit(UNKNOWN_FIELD)))
-    return F.when(error_type == MALFORMED_JSON, F.lit(MALFORMED_JSON_MESSAGE)).when(
-        error_type.isNotNull(), named
-    )
+    branches = " ".join(f"WHEN {rule.fails} THEN {error(rule)}" for rule in rules)
+    return F.expr(f"CASE {branches} END")
 
 
-def apply_rules(parsed: DataFrame, rules: list[Rule]) -> DataFrame:
+# What a row's error says, from the struct of ``first_failure``.
+ERROR_MESSAGE = f"""CASE
+  WHEN _failure.error_type = {_quoted(MALFORMED_JSON)} THEN {_quoted(MALFORMED_JSON_MESSAGE)}
+  WHEN _failure IS NOT NULL
+    THEN concat({_quoted(FAILED_FIELD_MESSAGE)}, coalesce(_failure.failed_field, {_quoted(UNKNOWN_FIELD)}))
+END"""
+
+
+def apply_rules(
+    parsed: DataFrame, rules: list[Rule], now: Column | datetime | str | None = None
+) -> DataFrame:
     """Adds ``error_type``, ``failed_field``, ``error_message`` and ``is_valid``."""
-    judged = parsed.withColumn("_failure", first_failure(rules))
-    error_type, failed_field = F.col("_failure")["error_type"], F.col("_failure")["failed_field"]
-    return judged.withColumns(
-        {
-            "error_type": error_type,
-            "failed_field": failed_field,
-            "error_message": error_message(error_type, failed_field),
-            "is_valid": F.col("_failure").isNull(),
-        }
-    ).drop("_failure")
+    judged = parsed.withColumn(CLOCK, as_now(now)).withColumn("_failure", first_failure(rules))
+    return judged.selectExpr(
+        "*",
+        "_failure.error_type AS error_type",
+        "_failure.failed_field AS failed_field",
+        f"{ERROR_MESSAGE} AS error_message",
+        "_failure IS NULL AS is_valid",
+    ).drop(CLOCK, "_failure")
 
 
 def check_events(
@@ -132,7 +135,7 @@ def check_events(
     now: Column | datetime | str | None = None,
 ) -> DataFrame:
     """Parse raw envelopes and judge every row."""
-    return apply_rules(parse_events(raw), event_rules(config, now))
+    return apply_rules(parse_events(raw), event_rules(config), now)
 
 
 def valid_events(checked: DataFrame) -> DataFrame:
@@ -141,7 +144,7 @@ def valid_events(checked: DataFrame) -> DataFrame:
 
 
 def invalid_events(checked: DataFrame) -> DataFrame:
-    return checked.where(~F.col("is_valid"))
+    return checked.where("NOT is_valid")
 
 
 def check_against_table(
@@ -158,5 +161,5 @@ def check_against_table(
     names = allowed.select(F.col("event_type").alias("_name")).where("_name IS NOT NULL").distinct()
     parsed = parse_events(raw)
     listed = parsed.join(names, parsed["event_type"] == names["_name"], "left")
-    found = F.col("_name").isNotNull()
-    return apply_rules(listed, event_rules(config, now, type_listed=found)).drop("_name")
+    marked = listed.withColumn(LISTED, F.col("_name").isNotNull()).drop("_name")
+    return apply_rules(marked, event_rules(config, listed_types=True), now).drop(LISTED)

@@ -13,97 +13,80 @@ NOW = "2024-02-01T00:00:00Z"
 EARLIER_NOW = "2024-01-15T00:00:00Z"
 
 
+def spread(table: DataFrame) -> DataFrame:
+    """Deal the rows of an under-split scan to all cores before costly work on them.
+
+    A table of many splits, as any large one is, stays as it is: no shuffle.
+    """
+    cores = table.sparkSession.sparkContext.defaultParallelism
+    return table if table.rdd.getNumPartitions() >= cores else table.repartition(cores)
+
+
 def events_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The table with its zone-free time read as UTC."""
     table = spark.read.parquet(f"{sf_dir}/events.parquet")
     return table.withColumn("ts", F.col("ts").cast("timestamp"))
 
 
-def _defect(number: int) -> Column:
-    return F.col("event_id") % 50 == number
-
-
-def _iso(ts: Column) -> Column:
-    return F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
-
-
-def _text_member(name: str, text: Column) -> Column:
-    return F.concat(F.lit(f'"{name}":"'), text, F.lit('"'))
-
-
 def _one_of(choices: tuple[str, ...], index: Column) -> Column:
     return F.element_at(F.array(*[F.lit(choice) for choice in choices]), index.cast("int") + 1)
 
 
-def payload() -> Column:
-    """The JSON text of a row of ``events`` that also has a ``copy`` number."""
-    event_id, user_id = F.col("event_id"), F.col("user_id")
-    event_type = (
-        F.when(_defect(4), F.lit("video_autoplayed"))
-        .when(_defect(13), F.lit("purchase"))
-        .when(_defect(17), F.lit("error_event"))
-        .when(F.col("event_type") == "view", F.lit("page_view"))
-        .when(F.col("event_type") == "error", F.lit("error_event"))
-        .otherwise(F.col("event_type"))
-    )
-    event_ts = (
-        F.when(_defect(3), F.lit("tomorrow-ish"))
-        .when(_defect(14), F.lit("2099-01-01T00:00:00Z"))
-        .when(~_defect(16), _iso(F.col("ts")))
-    )
-    arrival = F.col("ts") + F.make_interval(secs=F.lit(2) + F.lit(60) * F.col("copy"))
-    ingestion_ts = F.when(_defect(15), F.lit("not-a-timestamp")).otherwise(_iso(arrival))
-    source = F.when(_defect(6), F.lit("  ")).otherwise(
-        _one_of(("web", "mobile", "iot-gateway", "partner-api"), user_id % 4)
-    )
-    region = F.when(_defect(8), F.lit("mars-north")).when(
-        ~_defect(7), _one_of(("us-east", "us-west", "eu-west", "ap-south"), event_id % 4)
-    )
-    value = (
-        F.when(_defect(12), F.lit('"abc"'))
-        .when(_defect(13) | _defect(17), F.lit("-99.0"))
-        .otherwise(F.col("value").cast("string"))
-    )
-    version = F.when(_defect(10), F.lit("99.0")).when(
-        ~_defect(9), F.when(event_id % 2 == 0, F.lit("1.0")).otherwise(F.lit("1.1"))
-    )
-    metadata = F.when(_defect(11), F.lit("{}")).otherwise(
-        F.concat(F.lit('{"k":"'), F.get_json_object("props", "$.k"), F.lit('"}'))
-    )
-    has_user = ~_defect(5) & (event_id % 7 != 0)
-    members = F.concat_ws(
-        ",",
-        F.when(~_defect(2), _text_member("event_id", F.concat(F.lit("evt-"), event_id))),
-        F.when(has_user, _text_member("user_id", F.concat(F.lit("usr-"), user_id))),
-        F.when(~_defect(5), _text_member("device_id", F.concat(F.lit("dev-"), user_id % 40))),
-        _text_member("event_type", event_type),
-        _text_member("event_timestamp", event_ts),
-        _text_member("ingestion_timestamp", ingestion_ts),
-        _text_member("source_system", source),
-        _text_member("region", region),
-        _text_member("session_id", F.concat(F.lit("ses-"), user_id)),
-        F.concat(F.lit('"event_value":'), value),
-        _text_member("event_status", F.lit("accepted")),
-        _text_member("payload_version", version),
-        F.concat(F.lit('"metadata":'), metadata),
-    )
-    whole = F.concat(F.lit("{"), members, F.lit("}"))
-    return F.when(_defect(1), F.substring(whole, 1, 20)).otherwise(whole)
+# The JSON text of a row of ``events`` with a ``copy`` number. One SQL text is one call into the
+# JVM; as a tree of Columns it would be some hundred.
+PAYLOAD = """
+concat('{', concat_ws(',',
+  CASE WHEN event_id % 50 <> 2 THEN concat('"event_id":"evt-', event_id, '"') END,
+  CASE WHEN event_id % 50 <> 5 AND event_id % 7 <> 0 THEN concat('"user_id":"usr-', user_id, '"') END,
+  CASE WHEN event_id % 50 <> 5 THEN concat('"device_id":"dev-', user_id % 40, '"') END,
+  concat('"event_type":"', CASE
+    WHEN event_id % 50 = 4 THEN 'video_autoplayed'
+    WHEN event_id % 50 = 13 THEN 'purchase'
+    WHEN event_id % 50 = 17 THEN 'error_event'
+    WHEN event_type = 'view' THEN 'page_view'
+    WHEN event_type = 'error' THEN 'error_event'
+    ELSE event_type END, '"'),
+  concat('"event_timestamp":"', CASE
+    WHEN event_id % 50 = 3 THEN 'tomorrow-ish'
+    WHEN event_id % 50 = 14 THEN '2099-01-01T00:00:00Z'
+    WHEN event_id % 50 <> 16 THEN date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'") END, '"'),
+  concat('"ingestion_timestamp":"', CASE
+    WHEN event_id % 50 = 15 THEN 'not-a-timestamp'
+    ELSE date_format(timestampadd(SECOND, 2 + 60 * copy, ts), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'") END, '"'),
+  concat('"source_system":"', CASE WHEN event_id % 50 = 6 THEN '  '
+    ELSE elt(CAST(user_id % 4 AS INT) + 1, 'web', 'mobile', 'iot-gateway', 'partner-api') END, '"'),
+  concat('"region":"', CASE
+    WHEN event_id % 50 = 8 THEN 'mars-north'
+    WHEN event_id % 50 <> 7 THEN elt(CAST(event_id % 4 AS INT) + 1, 'us-east', 'us-west', 'eu-west', 'ap-south')
+    END, '"'),
+  concat('"session_id":"ses-', user_id, '"'),
+  concat('"event_value":', CASE
+    WHEN event_id % 50 = 12 THEN '"abc"'
+    WHEN event_id % 50 IN (13, 17) THEN '-99.0'
+    ELSE CAST(value AS STRING) END),
+  '"event_status":"accepted"',
+  concat('"payload_version":"', CASE
+    WHEN event_id % 50 = 10 THEN '99.0'
+    WHEN event_id % 50 <> 9 THEN IF(event_id % 2 = 0, '1.0', '1.1') END, '"'),
+  CASE WHEN event_id % 50 = 11 THEN '"metadata":{}'
+    ELSE concat('"metadata":{"k":"', get_json_object(props, '$.k'), '"}') END
+), '}')
+"""
+CUT_LENGTH = 20
 
 
 def wire_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records with the columns of a Kafka source; ids divisible by 40 arrive twice."""
-    copies = F.when(F.col("event_id") % 40 == 0, F.array(F.lit(0), F.lit(1))).otherwise(
-        F.array(F.lit(0))
-    )
-    rows = events_table(spark, sf_dir).withColumn("copy", F.explode(copies))
-    return rows.select(
-        F.lit(None).cast("binary").alias("key"),
-        payload().cast("binary").alias("value"),
-        F.lit(RAW_TOPIC).alias("topic"),
-        (F.col("event_id") % 3).cast("int").alias("partition"),
-        (F.floor(F.col("event_id") / 3) * 2 + F.col("copy")).cast("long").alias("offset"),
-        (F.col("ts") + F.make_interval(secs=F.lit(3) + F.lit(60) * F.col("copy"))).alias("timestamp"),
+    copies = "explode(CASE WHEN event_id % 40 = 0 THEN array(0, 1) ELSE array(0) END) AS copy"
+    rows = spread(events_table(spark, sf_dir)).selectExpr("*", copies)
+    cut = f"substring({PAYLOAD}, 1, CASE WHEN event_id % 50 = 1 THEN {CUT_LENGTH} ELSE 1000000 END)"
+    return rows.selectExpr(
+        "CAST(NULL AS BINARY) AS key",
+        f"CAST({cut} AS BINARY) AS value",
+        f"'{RAW_TOPIC}' AS topic",
+        "CAST(event_id % 3 AS INT) AS partition",
+        "event_id DIV 3 * 2 + copy AS offset",
+        "timestampadd(SECOND, 3 + 60 * copy, ts) AS timestamp",
     )
 
 

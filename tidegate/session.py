@@ -21,6 +21,7 @@ def local_session(app: str = "tidegate", cores: int | str = "*", memory: str = "
         .config("spark.ui.enabled", "false")
         .config("spark.sql.shuffle.partitions", partitions)
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.sql.streaming.forceDeleteTempCheckpointLocation", "true")
         .getOrCreate()
     )
