@@ -40,6 +40,11 @@ def quarantine_envelope(
     )
 
 
+def batch_sample(batch: DataFrame, limit: int = 1_000) -> DataFrame:
+    """A bounded look at one batch; the quarantine table itself keeps every row."""
+    return batch.limit(limit)
+
+
 def newest_records(quarantine: DataFrame, limit: int = 100) -> DataFrame:
     """The newest records, 1 to 10,000 of them."""
     if not 1 <= limit <= INDEX_SIZE:

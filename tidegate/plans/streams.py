@@ -47,7 +47,7 @@ def run_in_two_parts(spark: SparkSession, sf_dir: str, name: str) -> BatchTables
         wire.where(F.col("timestamp") < split),
         wire.where(F.col("timestamp") >= split).unionByName(closing_record(spark)),
     ]
-    tables = BatchTables(spark, f"{root}/tables", now=NOW)
+    tables = BatchTables(spark, f"{root}/tables")
     for part in parts:
         part.write.mode("append").parquet(f"{root}/wire")
         flows = build_flows(file_stream(spark, f"{root}/wire"), now=NOW)

@@ -1,8 +1,16 @@
-"""Partitioned tables whose batches can be written again without harm."""
+"""Partitioned tables whose batches can be written again without harm.
+
+Layout: ``<root>/day=<d>/query_id=<q>/batch_id=<n>/<partition columns>/``. The query id is part
+of the path because a new checkpoint counts batches from 0 again. The day is that of the batch's
+own clock, which the checkpoint keeps, so a repeated batch finds its folder again. Readers that
+look back a limited time open the folders of those days and list no others.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import date, datetime, timedelta, timezone
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -11,18 +19,30 @@ CLEAN_PARTITIONS = ("event_date", "region")
 AGGREGATE_PARTITIONS = ("window_date", "event_type")
 
 BATCH_COLUMNS = [
+    T.StructField("day", T.DateType()),
     T.StructField("query_id", T.StringType()),
     T.StructField("batch_id", T.LongType()),
 ]
 
 
-def batch_folder(root: str, query_id: str, batch_id: int) -> str:
-    return f"{root.rstrip('/')}/query_id={query_id}/batch_id={batch_id}"
+def utc_day(epoch_seconds: int) -> date:
+    return datetime.fromtimestamp(epoch_seconds, timezone.utc).date()
+
+
+def days_back(epoch_seconds: int, seconds: int) -> list[date]:
+    """The days touched by the given length of time before an instant."""
+    first, last = utc_day(epoch_seconds - seconds), utc_day(epoch_seconds)
+    return [first + timedelta(days=n) for n in range((last - first).days + 1)]
+
+
+def batch_folder(root: str, day: date, query_id: str, batch_id: int) -> str:
+    return f"{root.rstrip('/')}/day={day.isoformat()}/query_id={query_id}/batch_id={batch_id}"
 
 
 def write_batch(
     rows: DataFrame,
     root: str,
+    day: date,
     query_id: str,
     batch_id: int,
     *,
@@ -31,27 +51,42 @@ def write_batch(
 ) -> None:
     """Write one batch to its own folder, replacing what an earlier try left there.
 
-    The query id is part of the path because a new checkpoint counts batches from 0 again.
+    Rows of one partition are brought together so that it gets few files; adaptive execution
+    splits those that are too large for one task.
     """
+    if partition_by:
+        rows = rows.hint("rebalance", *partition_by)
     writer = rows.write.format(format).mode("overwrite").option("partitionOverwriteMode", "static")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.save(batch_folder(root, query_id, batch_id))
+    writer.save(batch_folder(root, day, query_id, batch_id))
 
 
-def read_table(spark: SparkSession, root: str, schema: T.StructType, format: str = "parquet") -> DataFrame:
-    """A batch-keyed table with its batch columns; empty before the first write."""
+def read_table(
+    spark: SparkSession,
+    root: str,
+    schema: T.StructType,
+    *,
+    days: Sequence[date] | None = None,
+    format: str = "parquet",
+) -> DataFrame:
+    """A batch-keyed table with its batch columns, whole or of some days; empty if not there."""
     whole = T.StructType(schema.fields + BATCH_COLUMNS)
-    try:
-        return spark.read.format(format).schema(whole).option("basePath", root).load(root)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], whole)
+    root = root.rstrip("/")
+    folders = [root] if days is None else [f"{root}/day={day.isoformat()}" for day in days]
+    found = []
+    for folder in folders:
+        try:
+            reader = spark.read.format(format).schema(whole).option("basePath", root)
+            found.append(reader.load(folder))
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+    return reduce(DataFrame.unionByName, found) if found else spark.createDataFrame([], whole)
 
 
 def not_from(rows: DataFrame, query_id: str, batch_id: int) -> DataFrame:
-    """All batches but one; a filter on partition columns, so the others are not listed."""
+    """All batches but one; a filter on partition columns, so the batch's files are not opened."""
     return rows.where(~((F.col("query_id") == query_id) & (F.col("batch_id") == batch_id)))
 
 

@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from contextlib import contextmanager
 from dataclasses import dataclass, field
-from datetime import datetime
+from datetime import date
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from tidegate.functions import as_now
 from tidegate.model import (
     AGGREGATED_TOPIC,
     EVENT_SCHEMA,
@@ -21,12 +21,15 @@ from tidegate.model import (
     TRANSFORMED_TOPIC,
 )
 from tidegate.operators.ledger import ledger_entries, mark_quarantined
+from tidegate.session import overridden
 from tidegate.sinks.messages import encode_aggregates, encode_clean, encode_quarantine, publish_kafka
 from tidegate.sinks.tables import (
     AGGREGATE_PARTITIONS,
     CLEAN_PARTITIONS,
+    days_back,
     not_from,
     read_table,
+    utc_day,
     write_batch,
 )
 
@@ -74,6 +77,26 @@ MESSAGE_SCHEMA = T.StructType(
 
 BatchWriter = Callable[[DataFrame, int], None]
 
+# Streams run without adaptive execution because their state is tied to its partitions. What a
+# writer does with a finished batch is ordinary batch work and may adapt to sizes and skew.
+ADAPTIVE = {"spark.sql.adaptive.enabled": "true"}
+
+
+@dataclass(frozen=True)
+class BatchStamp:
+    """Which batch this is, and its clock; the checkpoint keeps all three for a repeat."""
+
+    query_id: str
+    batch_id: int
+    epoch_seconds: int
+
+    @property
+    def day(self) -> date:
+        return utc_day(self.epoch_seconds)
+
+    def back(self, seconds: int) -> list[date]:
+        return days_back(self.epoch_seconds, seconds)
+
 
 @dataclass
 class BatchTables:
@@ -84,7 +107,6 @@ class BatchTables:
 
     spark: SparkSession
     root: str
-    now: Column | datetime | str | None = None
     kafka_servers: str | None = None
     ttl_seconds: int = LEDGER_TTL_SECONDS
     topics: dict[str, str] = field(
@@ -100,21 +122,20 @@ class BatchTables:
 
     # -- reads ---------------------------------------------------------------------------
 
-    def clean(self, spark: SparkSession | None = None) -> DataFrame:
-        return read_table(spark or self.spark, self.path("clean_events"), CLEAN_SCHEMA)
+    def clean(self) -> DataFrame:
+        return read_table(self.spark, self.path("clean_events"), CLEAN_SCHEMA)
 
-    def aggregates(self, spark: SparkSession | None = None) -> DataFrame:
-        return read_table(spark or self.spark, self.path("aggregates"), AGGREGATE_SCHEMA)
+    def aggregates(self) -> DataFrame:
+        return read_table(self.spark, self.path("aggregates"), AGGREGATE_SCHEMA)
 
-    def quarantine(self, spark: SparkSession | None = None) -> DataFrame:
-        return read_table(spark or self.spark, self.path("quarantine"), QUARANTINE_SCHEMA)
+    def quarantine(self) -> DataFrame:
+        return read_table(self.spark, self.path("quarantine"), QUARANTINE_SCHEMA)
 
-    def ledger(self, spark: SparkSession | None = None) -> DataFrame:
-        dated = T.StructType([*LEDGER_SCHEMA.fields, T.StructField("updated_date", T.DateType())])
-        return read_table(spark or self.spark, self.path("ledger"), dated)
+    def ledger(self) -> DataFrame:
+        return read_table(self.spark, self.path("ledger"), LEDGER_SCHEMA)
 
-    def metrics(self, spark: SparkSession | None = None) -> DataFrame:
-        return read_table(spark or self.spark, self.path("metrics"), METRIC_SCHEMA)
+    def metrics(self) -> DataFrame:
+        return read_table(self.spark, self.path("metrics"), METRIC_SCHEMA)
 
     def messages(self, topic: str) -> DataFrame:
         return read_table(self.spark, self.path(f"topics/{topic}"), MESSAGE_SCHEMA)
@@ -123,108 +144,120 @@ class BatchTables:
 
     def write_clean(self, batch: DataFrame, batch_id: int) -> None:
         """Admit unseen ids, then write rows, messages, ledger and counters."""
-        query_id = self._query_id()
-        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            if batch.isEmpty():
-                self._count(query_id, batch_id, self._no_rows(batch), valid=F.count("valid"))
+        with self._batch(batch, batch_id, F.col("processed_at")) as stamp:
+            if stamp is None:
                 return
-            gated = self._gate(batch, query_id, batch_id).persist(StorageLevel.MEMORY_AND_DISK)
+            gated = self._gate(batch, stamp).persist(StorageLevel.MEMORY_AND_DISK)
             try:
                 admitted = gated.where("NOT _seen").drop("_seen")
-                write_batch(
-                    admitted, self.path("clean_events"), query_id, batch_id, partition_by=CLEAN_PARTITIONS
-                )
-                self._publish("clean", encode_clean(admitted), query_id, batch_id)
-                self._note(ledger_entries(admitted, "written", now=self.now, ttl_seconds=self.ttl_seconds),
-                           query_id, batch_id)
-                self._count(
-                    query_id, batch_id, gated,
-                    valid=F.count_if(~F.col("_seen")), duplicates=F.count_if(F.col("_seen")),
+                folder = self.path("clean_events")
+                write_batch(admitted, folder, stamp.day, stamp.query_id, stamp.batch_id,
+                            partition_by=CLEAN_PARTITIONS)
+                self._publish("clean", encode_clean(admitted), stamp)
+                entries = ledger_entries(
+                    admitted, "written", now=_clock(stamp), ttl_seconds=self.ttl_seconds
                 )
+                self._note(entries, stamp)
+                self._count(gated, stamp, valid=F.count_if(~F.col("_seen")),
+                            duplicates=F.count_if(F.col("_seen")))
             finally:
                 gated.unpersist()
-        finally:
-            batch.unpersist()
 
     def write_quarantine(self, batch: DataFrame, batch_id: int) -> None:
         """Write envelopes, messages, first quarantine marks and the counter."""
-        query_id = self._query_id()
-        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            if batch.isEmpty():
+        clock = F.col("processing_timestamp").cast("timestamp")
+        with self._batch(batch, batch_id, clock) as stamp:
+            if stamp is None:
                 return
-            write_batch(batch, self.path("quarantine"), query_id, batch_id)
-            self._publish("quarantine", encode_quarantine(batch), query_id, batch_id)
-            known = self._among(not_from(self.ledger(batch.sparkSession), query_id, batch_id), batch)
-            self._note(mark_quarantined(batch, known, now=self.now, ttl_seconds=self.ttl_seconds),
-                       query_id, batch_id)
-            self._count(query_id, batch_id, batch, quarantined=F.count("*"))
-        finally:
-            batch.unpersist()
+            write_batch(batch, self.path("quarantine"), stamp.day, stamp.query_id, stamp.batch_id)
+            self._publish("quarantine", encode_quarantine(batch), stamp)
+            days = stamp.back(self.ttl_seconds)
+            ledger = read_table(batch.sparkSession, self.path("ledger"), LEDGER_SCHEMA, days=days)
+            known = _among(not_from(ledger, stamp.query_id, stamp.batch_id), batch)
+            marks = mark_quarantined(batch, known, now=_clock(stamp), ttl_seconds=self.ttl_seconds)
+            self._note(marks, stamp)
+            self._count(batch, stamp, quarantined=F.count("*"))
 
     def write_aggregates(self, batch: DataFrame, batch_id: int) -> None:
-        """Write closed windows, their messages and the counter."""
-        query_id = self._query_id()
-        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            if batch.isEmpty():
+        """Write closed windows, their messages and the counter.
+
+        Windows carry no processing time; their folder is dated by the newest window instead,
+        which is the same when the batch is repeated.
+        """
+        with self._batch(batch, batch_id, F.max("window_end")) as stamp:
+            if stamp is None:
                 return
-            write_batch(
-                batch, self.path("aggregates"), query_id, batch_id, partition_by=AGGREGATE_PARTITIONS
-            )
-            self._publish("aggregates", encode_aggregates(batch), query_id, batch_id)
-            self._count(query_id, batch_id, batch, aggregate_rows=F.count("*"))
-        finally:
-            batch.unpersist()
+            write_batch(batch, self.path("aggregates"), stamp.day, stamp.query_id, stamp.batch_id,
+                        partition_by=AGGREGATE_PARTITIONS)
+            self._publish("aggregates", encode_aggregates(batch), stamp)
+            self._count(batch, stamp, aggregate_rows=F.count("*"))
 
     # -- parts ---------------------------------------------------------------------------
 
+    @contextmanager
+    def _batch(self, batch: DataFrame, batch_id: int, clock: Column):
+        """Keep the batch for the length of a writer; gives its stamp, or None if it is empty."""
+        with overridden(batch.sparkSession, ADAPTIVE):
+            batch.persist(StorageLevel.MEMORY_AND_DISK)
+            try:
+                first = batch.select(F.unix_seconds(clock).alias("clock")).first()
+                if first is None or first.clock is None:
+                    yield None
+                else:
+                    yield BatchStamp(self._query_id(), batch_id, first.clock)
+            finally:
+                batch.unpersist()
+
     def _query_id(self) -> str:
         """The id kept in the checkpoint, the same after every restart."""
         return self.spark.sparkContext.getLocalProperty("sql.streaming.queryId")
 
-    def _among(self, table: DataFrame, batch: DataFrame) -> DataFrame:
-        """Rows of a large table whose id occurs in the batch.
-
-        The batch's ids are the small side, so Spark may broadcast them and need not shuffle
-        the table; where they are too many it shuffles both.
-        """
-        ids = batch.where("event_id IS NOT NULL").select("event_id").distinct()
-        return table.join(ids, "event_id", "left_semi")
-
-    def _gate(self, batch: DataFrame, query_id: str, batch_id: int) -> DataFrame:
+    def _gate(self, batch: DataFrame, stamp: BatchStamp) -> DataFrame:
         """The batch with ``_seen``: was the id written by another batch within the TTL?
 
         The clean table itself is asked, not the ledger, so a crash between the two writes
         cannot let a duplicate through. The batch's own folder is left out: a repeated batch
         must admit the same rows again.
         """
-        oldest = as_now(self.now) - F.make_interval(secs=F.lit(self.ttl_seconds))
-        written = not_from(self.clean(batch.sparkSession), query_id, batch_id).where(F.col("processed_at") > oldest)
-        hits = self._among(written.select("event_id"), batch).distinct().withColumn("_hit", F.lit(True))
+        days = stamp.back(self.ttl_seconds)
+        clean = read_table(batch.sparkSession, self.path("clean_events"), CLEAN_SCHEMA, days=days)
+        oldest = F.timestamp_seconds(F.lit(stamp.epoch_seconds - self.ttl_seconds))
+        written = not_from(clean, stamp.query_id, stamp.batch_id).where(F.col("processed_at") > oldest)
+        hits = _among(written.select("event_id"), batch).distinct().withColumn("_hit", F.lit(True))
         return batch.join(hits, "event_id", "left").select(
             *batch.columns, F.col("_hit").isNotNull().alias("_seen")
         )
 
-    def _publish(self, flow: str, messages: DataFrame, query_id: str, batch_id: int) -> None:
+    def _publish(self, flow: str, messages: DataFrame, stamp: BatchStamp) -> None:
         topic = self.topics[flow]
         if self.kafka_servers:
             publish_kafka(messages, self.kafka_servers, topic)
         else:
-            write_batch(messages, self.path(f"topics/{topic}"), query_id, batch_id)
+            folder = self.path(f"topics/{topic}")
+            write_batch(messages, folder, stamp.day, stamp.query_id, stamp.batch_id)
 
-    def _note(self, entries: DataFrame, query_id: str, batch_id: int) -> None:
-        dated = entries.withColumn("updated_date", F.to_date("updated_at"))
-        write_batch(dated, self.path("ledger"), query_id, batch_id, partition_by=["updated_date"])
+    def _note(self, entries: DataFrame, stamp: BatchStamp) -> None:
+        write_batch(entries, self.path("ledger"), stamp.day, stamp.query_id, stamp.batch_id)
 
-    def _no_rows(self, batch: DataFrame) -> DataFrame:
-        return batch.sparkSession.createDataFrame([], METRIC_SCHEMA)
-
-    def _count(self, query_id: str, batch_id: int, rows: DataFrame, **counters: Column) -> None:
+    def _count(self, rows: DataFrame, stamp: BatchStamp, **counters: Column) -> None:
         """One row of counters, computed where the cached batch lies and written from there."""
-        values = [
-            counters.get(name, F.max(F.lit(0))).cast("long").alias(name) for name in METRIC_COUNTERS
-        ]
-        counted = rows.agg(*values).withColumn("recorded_at", as_now(self.now)).fillna(0)
-        write_batch(counted, self.path("metrics"), query_id, batch_id)
+        values = [counters[name].alias(name) for name in METRIC_COUNTERS if name in counters]
+        counted = rows.agg(*values).select(
+            *[F.col(name) if name in counters else F.lit(0).cast("long").alias(name) for name in METRIC_COUNTERS],
+            _clock(stamp).alias("recorded_at"),
+        )
+        write_batch(counted, self.path("metrics"), stamp.day, stamp.query_id, stamp.batch_id)
+
+
+def _clock(stamp: BatchStamp) -> Column:
+    return F.timestamp_seconds(F.lit(stamp.epoch_seconds))
+
+
+def _among(table: DataFrame, batch: DataFrame) -> DataFrame:
+    """Rows of a large table whose id occurs in the batch.
+
+    The batch's ids are the small side, so Spark may broadcast them and need not shuffle the
+    table; where they are too many it shuffles both.
+    """
+    ids = batch.where("event_id IS NOT NULL").select("event_id").distinct()
+    return table.join(ids, "event_id", "left_semi")
