@@ -189,3 +189,10 @@ def test_audit_keeps_the_newest(spark):
     audit = retries.audit_rows(frame, now=F.timestamp_seconds(F.col("details")["n"].cast("int")))
     kept = retries.latest_audit(audit).collect()
     assert len(kept) == 500 and kept[0].action == "a599"
+
+
+def test_only_new_incidents_are_added(spark):
+    reports = incidents.incident_reports(contexts(spark, {"failed_batch_id": 1}, {"failed_batch_id": 1}, {"failed_batch_id": 2}))
+    assert reports.count() == 3
+    stored = reports.where(F.col("evidence")["failed_batch_id"] == 2)
+    assert incidents.new_incidents(reports, stored).count() == 1

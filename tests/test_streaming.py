@@ -3,10 +3,12 @@
 import pytest
 from pyspark.sql import functions as F
 
+from tidegate.operators import metrics
 from tidegate.operators.aggregate import aggregate_events
 from tidegate.operators.dedup import dedup_first
 from tidegate.operators.quarantine import quarantine_envelope
 from tidegate.operators.rules import check_events, invalid_events, valid_events
+from tidegate.operators.triage import classify_failures
 from tidegate.operators.transform import transform_events
 from tidegate.plans.fixture import NOW, wire_records
 from tidegate.plans.streams import SENTINEL_ID, closing_record
@@ -15,7 +17,7 @@ from tidegate.sources.checkpoints import latest_commit, state_operators, state_r
 from tidegate.sources.wire import file_stream, raw_envelope
 from tidegate.streaming.batches import BatchTables
 from tidegate.streaming.flows import build_flows
-from tidegate.streaming.run import drain, start_flows
+from tidegate.streaming.run import drain, failures_of, start_flows
 
 PARTS = ("2024-01-01", "2024-01-04", "2024-01-07")
 
@@ -71,6 +73,10 @@ def test_three_queries_over_two_runs_equal_the_batch(spark, wire):
 
     totals = tables.metrics().agg(F.sum("valid"), F.sum("quarantined"), F.sum("aggregate_rows"), F.sum("duplicates")).first()
     assert tuple(totals) == (clean.count(), expected.count(), windows.count(), 0)
+    history = metrics.rate_history(metrics.timeline(tables.metrics()), chunk=metrics.SECONDS_PER_DAY)
+    last = history.orderBy(F.desc("total_valid"), F.desc("total_quarantined")).first()
+    assert (last.total_valid, last.total_quarantined, last.breached) == (clean.count(), expected.count(), True)
+    assert history.where("alert").count() == 1
     assert tables.messages("events.transformed").count() == clean.count()
     assert tables.messages("events.quarantine").where("key IS NULL").count() == expected.count()
     assert tables.messages("events.aggregated").count() == windows.count()
@@ -103,8 +109,13 @@ def test_batch_that_failed_after_its_write_is_repeated_once(spark, wire):
     wire[0].write.mode("append").parquet(f"{root}/wire")
     run(spark, root, tables, ("clean",))
     wire[1].write.mode("append").parquet(f"{root}/wire")
+    flows = build_flows(file_stream(spark, f"{root}/wire"), now=NOW)
+    queries = start_flows(flows, tables, f"{root}/checkpoints", trigger="availableNow", names=("clean",),
+                          state_partitions=2)
     with pytest.raises(Exception, match="lost between two writes"):
-        run(spark, root, tables, ("clean",))
+        drain(queries)
+    (failure,) = classify_failures(failures_of(spark, queries)).collect()
+    assert "lost between two writes" in failure.message and failure.metadata == {"checkpoint": "clean"}
     run(spark, root, tables, ("clean",))
     expected = ids(dedup_first(transform_events(valid_events(batch_twin(wire)), now=NOW)))
     assert ids(tables.clean()) == expected

@@ -231,6 +231,12 @@ def incident_table(reports: DataFrame) -> DataFrame:
     return reports.withColumns(nested)
 
 
+def new_incidents(reports: DataFrame, stored: DataFrame) -> DataFrame:
+    """Reports the incident table does not hold yet; ids follow from the evidence."""
+    known = stored.select("incident_id").distinct()
+    return reports.dropDuplicates(["incident_id"]).join(known, "incident_id", "left_anti")
+
+
 def newest(rows: DataFrame, limit: int, *order: str) -> DataFrame:
     """The newest rows by the given columns; Spark keeps ``limit`` rows per task, not a sort."""
     return rows.orderBy(*[F.col(name).desc_nulls_last() for name in order]).limit(limit)

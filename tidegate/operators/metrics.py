@@ -17,6 +17,7 @@ NOT_STARTED = "not_started"
 # End of fixed values.
 
 BATCH_KEYS = ("query_id", "batch_id")
+SECONDS_PER_DAY = 86_400
 
 
 def quarantine_rate(invalid: Column, valid: Column) -> Column:
@@ -46,18 +47,34 @@ def batch_metrics(checked: DataFrame, keys: Sequence[str] = BATCH_KEYS) -> DataF
     )
 
 
-def metric_totals(metrics: DataFrame) -> DataFrame:
-    """One row: every counter summed, the last batch, and the quarantine rate so far."""
+def metric_totals(metrics: DataFrame, threshold: float = QUARANTINE_RATE_THRESHOLD) -> DataFrame:
+    """One row: every counter summed, the last batch, the rate so far and whether it is too high."""
     counters = [name for name in METRIC_COUNTERS if name in metrics.columns]
+    updated = [F.max("recorded_at").alias("last_updated")] if "recorded_at" in metrics.columns else []
     totals = metrics.agg(
         *[F.coalesce(F.sum(name), F.lit(0)).cast("long").alias(name) for name in counters],
         F.max("batch_id").alias("last_batch_id"),
+        *updated,
     )
-    return totals.withColumn(
-        "quarantine_rate", quarantine_rate(F.col("quarantined"), F.col("valid"))
+    rate = quarantine_rate(F.col("quarantined"), F.col("valid"))
+    return totals.withColumn("quarantine_rate", rate).withColumn(
+        "quarantine_rate_alerted", F.col("quarantine_rate") > threshold
     )
 
 
+def timeline(metrics: DataFrame) -> DataFrame:
+    """The stored counters of all queries in order of time, one step per second.
+
+    Valid and quarantined rows are counted by different queries, whose batch numbers have
+    nothing to do with each other; their common clock does. The result has the columns of
+    batch metrics and fits ``rate_history`` with ``chunk=SECONDS_PER_DAY``.
+    """
+    counters = [F.sum(name).cast("long").alias(name) for name in METRIC_COUNTERS]
+    return metrics.groupBy(
+        F.lit("all").alias("query_id"), F.unix_seconds("recorded_at").alias("batch_id")
+    ).agg(*counters)
+
+
 def rate_history(
     metrics: DataFrame, threshold: float = QUARANTINE_RATE_THRESHOLD, *, chunk: int = CHUNK
 ) -> DataFrame:

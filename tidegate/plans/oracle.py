@@ -362,7 +362,8 @@ SQL: dict[str, str] = {
     "batch_metrics": "SELECT * FROM metrics",
     "quarantine_rate": """SELECT CAST(sum(valid) AS BIGINT) AS valid, CAST(sum(quarantined) AS BIGINT) AS quarantined,
       CAST(sum(duplicates) AS BIGINT) AS duplicates, max(batch_id) AS last_batch_id,
-      round(sum(quarantined) / CAST(sum(valid) + sum(quarantined) AS DOUBLE), 6) AS quarantine_rate FROM metrics""",
+      round(sum(quarantined) / CAST(sum(valid) + sum(quarantined) AS DOUBLE), 6) AS quarantine_rate,
+      sum(quarantined) > 0.1 * (sum(valid) + sum(quarantined)) AS quarantine_rate_alerted FROM metrics""",
     "rate_history": """SELECT query_id, batch_id, total_valid, total_quarantined, round(rate, 6) AS quarantine_rate,
       rate > 0.1 AS breached, rate > 0.1 AND rate_before <= 0.1 AS alert FROM history""",
     **{
@@ -373,6 +374,13 @@ SQL: dict[str, str] = {
           FROM history WHERE rate > {limit} AND rate_before <= {limit}"""
         for name, limit in (("rate_alerts", 0.10), ("rate_alerts_rearmed", 0.45))
     },
+    "rate_incidents": """SELECT 'Quarantine rate ' || printf('%.2f', rate * 100) || '% exceeds 45.00%' AS exception_message,
+      'excessive_quarantine_rate' AS failure_type, 'Validation' AS component,
+      CASE WHEN rate >= 0.5 THEN 'critical' ELSE 'high' END AS severity,
+      'The streaming pipeline reported: Quarantine rate ' || printf('%.2f', rate * 100)
+        || '% exceeds 45.00%. Retry attempts: 0; quarantine rate: ' || printf('%.2f', rate * 100) || '%.' AS summary,
+      make_timestamp(batch_id * 3600 * 1000000) AS collected_at
+      FROM history WHERE rate > 0.45 AND rate_before <= 0.45""",
     "run_status": """SELECT CASE WHEN event_type = 'error' THEN 'stopped' ELSE 'running' END AS status, ts AS at
       FROM events ORDER BY ts DESC LIMIT 1""",
     "ledger_current": "SELECT * FROM ledger_current",

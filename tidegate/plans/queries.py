@@ -404,6 +404,16 @@ def rate_alerts_rearmed(spark, sf_dir):
     return _alerts(spark, sf_dir, 0.45)
 
 
+@query
+def rate_incidents(spark, sf_dir):
+    """Each alert as a triaged incident."""
+    fired = metrics.rate_alerts(hourly_metrics(spark, sf_dir), 0.45, chunk=100)
+    evidence = triage.incident_contexts(fired, now=F.timestamp_seconds(F.col("batch_id") * 3600))
+    return incidents.triage_incidents(evidence).select(
+        "exception_message", "failure_type", "component", "severity", "summary", "collected_at"
+    )
+
+
 @query
 def run_status(spark, sf_dir):
     return metrics.run_status(fixture.status_log(spark, sf_dir))

@@ -36,3 +36,11 @@ def kafka_sink_options(servers: str, topic: str | None = None) -> dict[str, str]
 
 def publish_kafka(messages: DataFrame, servers: str, topic: str | None = None) -> None:
     messages.write.format("kafka").options(**kafka_sink_options(servers, topic)).save()
+
+
+def publish_table(messages: DataFrame, folder: str) -> None:
+    """Messages that name their own topic, as a table with one folder per topic.
+
+    Writing the same folder again replaces it, so a job may publish once more after a crash.
+    """
+    messages.write.mode("overwrite").partitionBy("topic").parquet(folder)

@@ -147,7 +147,7 @@ class BatchTables:
         with self._batch(batch, batch_id, F.col("processed_at")) as stamp:
             if stamp is None:
                 return
-            gated = self._gate(batch, stamp).persist(StorageLevel.MEMORY_AND_DISK)
+            gated = self.gate(batch, stamp).persist(StorageLevel.MEMORY_AND_DISK)
             try:
                 admitted = gated.where("NOT _seen").drop("_seen")
                 folder = self.path("clean_events")
@@ -158,7 +158,7 @@ class BatchTables:
                     admitted, "written", now=_clock(stamp), ttl_seconds=self.ttl_seconds
                 )
                 self._note(entries, stamp)
-                self._count(gated, stamp, valid=F.count_if(~F.col("_seen")),
+                self.count(gated, stamp, valid=F.count_if(~F.col("_seen")),
                             duplicates=F.count_if(F.col("_seen")))
             finally:
                 gated.unpersist()
@@ -176,7 +176,7 @@ class BatchTables:
             known = _among(not_from(ledger, stamp.query_id, stamp.batch_id), batch)
             marks = mark_quarantined(batch, known, now=_clock(stamp), ttl_seconds=self.ttl_seconds)
             self._note(marks, stamp)
-            self._count(batch, stamp, quarantined=F.count("*"))
+            self.count(batch, stamp, quarantined=F.count("*"))
 
     def write_aggregates(self, batch: DataFrame, batch_id: int) -> None:
         """Write closed windows, their messages and the counter.
@@ -190,7 +190,7 @@ class BatchTables:
             write_batch(batch, self.path("aggregates"), stamp.day, stamp.query_id, stamp.batch_id,
                         partition_by=AGGREGATE_PARTITIONS)
             self._publish("aggregates", encode_aggregates(batch), stamp)
-            self._count(batch, stamp, aggregate_rows=F.count("*"))
+            self.count(batch, stamp, recorded_at=F.current_timestamp(), aggregate_rows=F.count("*"))
 
     # -- parts ---------------------------------------------------------------------------
 
@@ -212,7 +212,7 @@ class BatchTables:
         """The id kept in the checkpoint, the same after every restart."""
         return self.spark.sparkContext.getLocalProperty("sql.streaming.queryId")
 
-    def _gate(self, batch: DataFrame, stamp: BatchStamp) -> DataFrame:
+    def gate(self, batch: DataFrame, stamp: BatchStamp) -> DataFrame:
         """The batch with ``_seen``: was the id written by another batch within the TTL?
 
         The clean table itself is asked, not the ledger, so a crash between the two writes
@@ -239,12 +239,14 @@ class BatchTables:
     def _note(self, entries: DataFrame, stamp: BatchStamp) -> None:
         write_batch(entries, self.path("ledger"), stamp.day, stamp.query_id, stamp.batch_id)
 
-    def _count(self, rows: DataFrame, stamp: BatchStamp, **counters: Column) -> None:
+    def count(
+        self, rows: DataFrame, stamp: BatchStamp, recorded_at: Column | None = None, **counters: Column
+    ) -> None:
         """One row of counters, computed where the cached batch lies and written from there."""
         values = [counters[name].alias(name) for name in METRIC_COUNTERS if name in counters]
         counted = rows.agg(*values).select(
             *[F.col(name) if name in counters else F.lit(0).cast("long").alias(name) for name in METRIC_COUNTERS],
-            _clock(stamp).alias("recorded_at"),
+            (_clock(stamp) if recorded_at is None else recorded_at).alias("recorded_at"),
         )
         write_batch(counted, self.path("metrics"), stamp.day, stamp.query_id, stamp.batch_id)
 

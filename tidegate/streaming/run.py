@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidegate.model import QUERY_NAMES, TRIGGER_INTERVAL
@@ -61,3 +61,15 @@ def drain(queries: dict[str, StreamingQuery]) -> None:
     """Wait for queries that run ``availableNow``; a failed one raises its error here."""
     for query in queries.values():
         query.awaitTermination()
+
+
+def failures_of(spark: SparkSession, queries: dict[str, StreamingQuery]) -> DataFrame:
+    """Rows for the failure log, one per query that ended with an error."""
+    errors = [(name, query.exception()) for name, query in queries.items()]
+    rows = [
+        (type(error).__name__, str(error), {"checkpoint": name})
+        for name, error in errors
+        if error is not None
+    ]
+    log = spark.createDataFrame(rows, "exception_class string, message string, metadata map<string,string>")
+    return log.withColumn("detected_at", F.current_timestamp())
