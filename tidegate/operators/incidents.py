@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidegate.functions import contains_any, incident_id, percent
@@ -63,44 +61,42 @@ MAX_AUDIT_ROWS = 500
 # End of fixed values.
 
 
-@dataclass(frozen=True)
-class Evidence:
-    """The context columns as the rules read them: nulls and blanks already replaced."""
+EVIDENCE = ("_exception", "_message", "_everything", "_rate", "_attempts", "_redis_down", "_kafka_down")
 
-    exception: Column
-    message: Column
-    everything: Column
-    rate: Column
-    attempts: Column
-    redis_down: Column
-    kafka_down: Column
 
+def with_evidence(contexts: DataFrame) -> DataFrame:
+    """Adds the context as the rules read it, nulls and blanks replaced.
 
-def evidence() -> Evidence:
+    As columns of their own the texts are put together once per row, not once per rule.
+    """
     exception = F.coalesce(F.nullif(F.col("exception_message"), F.lit("")), F.lit(DEFAULT_MESSAGE))
-    return Evidence(
-        exception=exception,
-        message=F.lower(exception),
-        everything=F.lower(F.concat_ws(" ", *[F.col(name).cast("string") for name in CONTEXT_FIELDS])),
-        rate=F.coalesce(F.col("quarantine_rate"), F.lit(0.0)),
-        attempts=F.coalesce(F.col("retry_attempts"), F.lit(0)),
-        redis_down=F.coalesce(F.col("redis_status").isin(*REDIS_DOWN), F.lit(False)),
-        kafka_down=F.coalesce(F.col("kafka_status").isin(*KAFKA_DOWN), F.lit(False)),
+    everything = F.concat_ws(" ", *[F.col(name).cast("string") for name in CONTEXT_FIELDS])
+    read = contexts.withColumns(
+        {
+            "_exception": exception,
+            "_everything": F.lower(everything),
+            "_rate": F.coalesce(F.col("quarantine_rate"), F.lit(0.0)),
+            "_attempts": F.coalesce(F.col("retry_attempts"), F.lit(0)),
+            "_redis_down": F.coalesce(F.col("redis_status").isin(*REDIS_DOWN), F.lit(False)),
+            "_kafka_down": F.coalesce(F.col("kafka_status").isin(*KAFKA_DOWN), F.lit(False)),
+        }
     )
+    return read.withColumn("_message", F.lower("_exception"))
 
 
 def _finding(finding: tuple[str, str]) -> Column:
     return F.struct(F.lit(finding[0]).alias("component"), F.lit(finding[1]).alias("cause"))
 
 
-def probable_cause(seen: Evidence) -> Column:
+def probable_cause() -> Column:
     """Component and cause: the first finding the evidence supports."""
+    message = F.col("_message")
     findings = [
-        (seen.redis_down | seen.message.contains("redis"), REDIS),
-        (seen.kafka_down | contains_any(seen.message, ("kafka", "broker", "topic")), KAFKA),
-        (seen.message.contains("checkpoint"), CHECKPOINT),
-        (seen.rate > RATE_LIMIT, VALIDATION),
-        (contains_any(seen.message, ("parquet", "write", "filesystem")), PARQUET_SINK),
+        (F.col("_redis_down") | message.contains("redis"), REDIS),
+        (F.col("_kafka_down") | contains_any(message, ("kafka", "broker", "topic")), KAFKA),
+        (message.contains("checkpoint"), CHECKPOINT),
+        (F.col("_rate") > RATE_LIMIT, VALIDATION),
+        (contains_any(message, ("parquet", "write", "filesystem")), PARQUET_SINK),
     ]
     chain = _finding(STREAMING)
     for holds, finding in reversed(findings):
@@ -108,53 +104,56 @@ def probable_cause(seen: Evidence) -> Column:
     return chain
 
 
-def severity(seen: Evidence) -> Column:
-    critical = (seen.attempts >= CRITICAL_ATTEMPTS) | (seen.rate >= CRITICAL_RATE)
-    high = (seen.attempts >= HIGH_ATTEMPTS) | (seen.rate > RATE_LIMIT)
+def severity() -> Column:
+    critical = (F.col("_attempts") >= CRITICAL_ATTEMPTS) | (F.col("_rate") >= CRITICAL_RATE)
+    high = (F.col("_attempts") >= HIGH_ATTEMPTS) | (F.col("_rate") > RATE_LIMIT)
     return F.when(critical, F.lit("critical")).when(high, F.lit("high")).otherwise(F.lit("medium"))
 
 
-def recovery_steps(seen: Evidence) -> Column:
-    """All advice that applies, looked for in every value of the context."""
+def found_steps() -> Column:
+    """All advice that applies, looked for in every value of the context; empty if none does."""
+    everything = F.col("_everything")
     advice = [
-        (seen.redis_down | seen.everything.contains("redis"), REDIS_STEPS),
-        (seen.kafka_down | seen.everything.contains("kafka"), KAFKA_STEPS),
-        (seen.everything.contains("checkpoint"), CHECKPOINT_STEPS),
-        (seen.rate > RATE_LIMIT, RATE_STEPS),
-        (contains_any(seen.everything, ("parquet", "write")), WRITE_STEPS),
+        (F.col("_redis_down") | everything.contains("redis"), REDIS_STEPS),
+        (F.col("_kafka_down") | everything.contains("kafka"), KAFKA_STEPS),
+        (everything.contains("checkpoint"), CHECKPOINT_STEPS),
+        (F.col("_rate") > RATE_LIMIT, RATE_STEPS),
+        (contains_any(everything, ("parquet", "write")), WRITE_STEPS),
     ]
-    none = F.array().cast("array<string>")
-    found = F.concat(*[F.when(holds, _texts(steps)).otherwise(none) for holds, steps in advice])
-    return F.when(F.size(found) > 0, found).otherwise(_texts(DEFAULT_STEPS))
+    return F.array_compact(
+        F.array(*[F.when(holds, F.lit(step)) for holds, steps in advice for step in steps])
+    )
 
 
 def _texts(texts: tuple[str, ...]) -> Column:
     return F.array(*[F.lit(text) for text in texts])
 
 
-def triage_incidents(contexts: DataFrame) -> DataFrame:
-    """Adds component, cause, severity, title and summary to incident contexts."""
-    seen = evidence()
-    found = contexts.withColumn("_finding", probable_cause(seen))
-    component, cause = F.col("_finding")["component"], F.col("_finding")["cause"]
+def _triaged(contexts: DataFrame) -> DataFrame:
+    found = with_evidence(contexts).withColumn("_finding", probable_cause())
     summary = F.concat(
         F.lit("The streaming pipeline reported: "),
-        seen.exception,
+        F.col("_exception"),
         F.lit(". Retry attempts: "),
-        seen.attempts.cast("string"),
+        F.col("_attempts").cast("string"),
         F.lit("; quarantine rate: "),
-        percent(seen.rate),
+        percent(F.col("_rate")),
         F.lit("."),
     )
     return found.withColumns(
         {
-            "component": component,
-            "likely_root_cause": cause,
-            "severity": severity(seen),
-            "incident_title": F.concat(component, F.lit(" pipeline incident")),
+            "component": F.col("_finding")["component"],
+            "likely_root_cause": F.col("_finding")["cause"],
+            "severity": severity(),
+            "incident_title": F.concat(F.col("_finding")["component"], F.lit(" pipeline incident")),
             "summary": summary,
         }
-    ).drop("_finding")
+    )
+
+
+def triage_incidents(contexts: DataFrame) -> DataFrame:
+    """Adds component, cause, severity, title and summary to incident contexts."""
+    return _triaged(contexts).drop("_finding", *EVIDENCE)
 
 
 def incident_reports(contexts: DataFrame) -> DataFrame:
@@ -165,15 +164,16 @@ def incident_reports(contexts: DataFrame) -> DataFrame:
             for name in ("failure_type", "exception_message", "failed_topic", "failed_batch_id", "collected_at")
         ]
     )
-    triaged = triage_incidents(contexts)
-    return triaged.select(
+    advised = _triaged(contexts).withColumn("_steps", found_steps())
+    steps = F.when(F.size("_steps") > 0, F.col("_steps")).otherwise(_texts(DEFAULT_STEPS))
+    return advised.select(
         key.alias("incident_id"),
         "incident_title",
         "severity",
         "summary",
         "likely_root_cause",
         F.array(F.col("component"), F.lit(ENGINE)).alias("affected_components"),
-        recovery_steps(evidence()).alias("recommended_recovery_steps"),
+        steps.alias("recommended_recovery_steps"),
         _texts(PREVENTION_NOTES).alias("prevention_notes"),
         F.lit(PROVIDER).alias("provider"),
         F.col("collected_at").alias("created_at"),
@@ -181,6 +181,17 @@ def incident_reports(contexts: DataFrame) -> DataFrame:
     )
 
 
+def report_steps(reports: DataFrame) -> DataFrame:
+    """One row per recommended step.
+
+    No report is without a step. The outer form says so: the inner one would make Spark filter
+    on the number of steps first, and work them out twice.
+    """
+    return reports.select(
+        "incident_id", F.posexplode_outer("recommended_recovery_steps").alias("position", "step")
+    )
+
+
 def with_missing_fields(reports: DataFrame) -> DataFrame:
     """Adds ``missing_fields``: the required fields a report lacks, sorted; empty if complete."""
     missing = [

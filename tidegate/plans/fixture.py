@@ -10,6 +10,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from tidegate.model import RAW_TOPIC
 
 NOW = "2024-02-01T00:00:00Z"
+EVENTS_SCHEMA = (
+    "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
+)
 EARLIER_NOW = "2024-01-15T00:00:00Z"
 
 
@@ -24,7 +27,7 @@ def spread(table: DataFrame) -> DataFrame:
 
 def events_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The table with its zone-free time read as UTC."""
-    table = spark.read.parquet(f"{sf_dir}/events.parquet")
+    table = spark.read.schema(EVENTS_SCHEMA).parquet(f"{sf_dir}/events.parquet")
     return table.withColumn("ts", F.col("ts").cast("timestamp"))
 
 

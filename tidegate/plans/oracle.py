@@ -290,7 +290,7 @@ def _listed_verdict() -> str:
 
 
 SQL: dict[str, str] = {
-    "raw_envelope_rows": "SELECT raw_payload, source_topic, source_partition, source_offset, kafka_timestamp FROM wire",
+    "raw_envelope": "SELECT raw_payload, source_topic, source_partition, source_offset, kafka_timestamp FROM wire",
     "parsed_events": """SELECT source_topic, source_partition, source_offset, kafka_timestamp, event_id, user_id,
       device_id, event_type, event_timestamp, ingestion_timestamp, source_system, region, session_id, event_value,
       event_status, payload_version, k AS metadata FROM parsed""",

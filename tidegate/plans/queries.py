@@ -25,7 +25,7 @@ from tidegate.plans import fixture, streams
 from tidegate.plans.fixture import EARLIER_NOW, NOW
 from tidegate.session import pin_utc
 from tidegate.sinks import messages
-from tidegate.sources.wire import raw_envelope
+from tidegate.sources import wire
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -45,7 +45,7 @@ def query(build: Query) -> Query:
 
 
 def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return raw_envelope(fixture.wire_records(spark, sf_dir))
+    return wire.raw_envelope(fixture.wire_records(spark, sf_dir))
 
 
 def checked(spark: SparkSession, sf_dir: str, now: str = NOW, config: RuleConfig = RuleConfig()) -> DataFrame:
@@ -133,7 +133,7 @@ def rounded(windows: DataFrame, *more: str) -> DataFrame:
 
 
 @query
-def raw_envelope_rows(spark, sf_dir):
+def raw_envelope(spark, sf_dir):
     return raw(spark, sf_dir)
 
 
@@ -557,8 +557,7 @@ def incident_triage(spark, sf_dir):
 
 @query
 def incident_steps(spark, sf_dir):
-    rows = reports(spark, sf_dir)
-    return rows.select("incident_id", F.posexplode("recommended_recovery_steps").alias("position", "step"))
+    return incidents.report_steps(reports(spark, sf_dir))
 
 
 @query
