@@ -133,8 +133,12 @@ def test_rules_follow_the_configuration(spark):
     ]
 
 
-def test_default_configuration_equals_an_empty_rule_file():
+def test_rule_files(tmp_path):
     assert RuleConfig.from_mapping({}) == RuleConfig()
+    path = tmp_path / "rules.json"
+    path.write_text('{"allowed_regions": ["mars-north"], "metadata": {"required": false}}')
+    config = RuleConfig.from_file(str(path))
+    assert config.regions == ("mars-north",) and not config.require_metadata
 
 
 def test_types_from_a_table_keep_the_rule_order(spark):

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping
 from dataclasses import dataclass
 
@@ -129,6 +130,16 @@ class RuleConfig:
     numeric_event_value: bool = True
     future_tolerance_minutes: int = FUTURE_TOLERANCE_MINUTES
 
+    @classmethod
+    def from_file(cls, path: str) -> "RuleConfig":
+        """Read a rule file: JSON, or YAML where a YAML parser is installed."""
+        with open(path, encoding="utf-8") as handle:
+            if path.endswith((".yaml", ".yml")):
+                import yaml
+
+                return cls.from_mapping(yaml.safe_load(handle) or {})
+            return cls.from_mapping(json.load(handle))
+
     @classmethod
     def from_mapping(cls, settings: Mapping) -> "RuleConfig":
         """Build the configuration from a parsed rule file (YAML or JSON); gaps keep defaults."""
