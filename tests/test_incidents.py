@@ -196,3 +196,12 @@ def test_only_new_incidents_are_added(spark):
     assert reports.count() == 3
     stored = reports.where(F.col("evidence")["failed_batch_id"] == 2)
     assert incidents.new_incidents(reports, stored).count() == 1
+
+
+def test_percent_rounds_halves_to_even(spark):
+    from tidegate.functions import percent
+
+    frame = spark.createDataFrame([(0.40625,), (0.46875,), (0.0,), (1.0,), (0.02,)], "r double")
+    assert [row.p for row in frame.select(percent(F.col("r")).alias("p")).collect()] == [
+        f"{rate:.2%}" for rate in (0.40625, 0.46875, 0.0, 1.0, 0.02)
+    ]

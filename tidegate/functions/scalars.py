@@ -49,7 +49,8 @@ def contains_any(text: Column, words: Iterable[str]) -> Column:
 
 
 def percent(rate: Column) -> Column:
-    return F.format_string("%.2f%%", rate * 100)
+    """Two decimals, halves to even."""
+    return F.format_string("%.2f%%", F.bround(rate * 100, 2))
 
 
 def processing_key(event_id: Column | str, version: Column | str) -> Column:

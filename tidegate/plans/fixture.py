@@ -154,7 +154,7 @@ def failure_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One failure per error event, with metadata that is present or absent by row."""
     event_id = F.col("event_id")
     errors = events_table(spark, sf_dir).where("event_type = 'error'")
-    rate = F.round(F.col("value") / 1000, 3) + F.when(event_id % 10 == 4, 0.3).otherwise(0.0)
+    rate = F.floor("value") / 1000 + F.when(event_id % 10 == 4, 0.3).otherwise(0.0)
     metadata = _present(
         {
             "topic": F.when(event_id % 3 != 0, F.lit(RAW_TOPIC)),

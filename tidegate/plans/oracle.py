@@ -212,7 +212,7 @@ contexts AS (
     CASE WHEN id % 3 <> 0 THEN 'events.raw' END AS failed_topic,
     id % 100 AS failed_batch_id,
     CASE WHEN id % 6 <> 0 THEN id % 17 ELSE 0 END AS failed_records,
-    CASE WHEN id % 2 = 0 THEN round(round(value / 1000, 3) + CASE WHEN id % 10 = 4 THEN 0.3 ELSE 0 END, 3) ELSE 0 END AS quarantine_rate,
+    CASE WHEN id % 2 = 0 THEN round(floor(value) / 1000 + CASE WHEN id % 10 = 4 THEN 0.3 ELSE 0 END, 3) ELSE 0 END AS quarantine_rate,
     CASE WHEN id % 5 <> 0 THEN id % 7 ELSE 0 END AS retry_attempts,
     CASE WHEN id % 11 = 0 THEN '/checkpoints/clean' END AS latest_checkpoint,
     CASE id % 9 WHEN 0 THEN 'down' WHEN 1 THEN 'fallback' WHEN 2 THEN 'healthy' ELSE 'unknown' END AS redis_status,
@@ -259,7 +259,7 @@ def _windows(rows: str, size: str, more: str = "") -> str:
     return f"""SELECT time_bucket(INTERVAL '{size}', event_timestamp) AS window_start,
     time_bucket(INTERVAL '{size}', event_timestamp) + INTERVAL '{size}' AS window_end,
     event_type, region, source_system, count(*) AS event_count,
-    round(avg(event_value), 6) AS average_event_value,
+    round(avg(event_value) * count(*), 2) / count(*) AS average_event_value,
     count(*) FILTER (event_type = 'error_event') AS error_event_count,
     CAST(time_bucket(INTERVAL '{size}', event_timestamp) AS DATE) AS window_date{more}
   FROM {rows} GROUP BY ALL"""
@@ -357,14 +357,14 @@ SQL: dict[str, str] = {
       count(*) FILTER (error_type = 'malformed_timestamp') AS malformed_timestamp,
       count(*) FILTER (error_type = 'quality_rule') AS quality_rule,
       count(*) FILTER (error_type = 'schema_validation') AS schema_validation,
-      (SELECT round(sum(quarantined) / CAST(sum(valid) + sum(quarantined) AS DOUBLE), 6) FROM metrics) AS quarantine_rate
+      (SELECT sum(quarantined) / CAST(sum(valid) + sum(quarantined) AS DOUBLE) FROM metrics) AS quarantine_rate
       FROM envelopes""",
     "batch_metrics": "SELECT * FROM metrics",
     "quarantine_rate": """SELECT CAST(sum(valid) AS BIGINT) AS valid, CAST(sum(quarantined) AS BIGINT) AS quarantined,
       CAST(sum(duplicates) AS BIGINT) AS duplicates, max(batch_id) AS last_batch_id,
-      round(sum(quarantined) / CAST(sum(valid) + sum(quarantined) AS DOUBLE), 6) AS quarantine_rate,
+      sum(quarantined) / CAST(sum(valid) + sum(quarantined) AS DOUBLE) AS quarantine_rate,
       sum(quarantined) > 0.1 * (sum(valid) + sum(quarantined)) AS quarantine_rate_alerted FROM metrics""",
-    "rate_history": """SELECT query_id, batch_id, total_valid, total_quarantined, round(rate, 6) AS quarantine_rate,
+    "rate_history": """SELECT query_id, batch_id, total_valid, total_quarantined, rate AS quarantine_rate,
       rate > 0.1 AS breached, rate > 0.1 AND rate_before <= 0.1 AS alert FROM history""",
     **{
         name: f"""SELECT query_id, batch_id, 'excessive_quarantine_rate' AS failure_type,

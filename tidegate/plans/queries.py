@@ -122,9 +122,14 @@ def external_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def rounded(windows: DataFrame, *more: str) -> DataFrame:
+    """Windows with the mean taken from the sum in whole cents.
+
+    Values have two decimals, so the sum has no rounding ties and every engine gives the same.
+    """
+    cents = F.round(F.col("average_event_value") * F.col("event_count"), 2)
     return windows.select(
         "window_start", "window_end", "event_type", "region", "source_system", "event_count",
-        F.round("average_event_value", 6).alias("average_event_value"),
+        (cents / F.col("event_count")).alias("average_event_value"),
         "error_event_count", "window_date", *more,
     )
 
@@ -357,7 +362,7 @@ def quarantine_summary(spark, sf_dir):
     return whole.select(
         "indexed_records", "replay_eligible",
         *[F.coalesce(F.try_element_at("by_error_type", F.lit(name)), F.lit(0)).alias(name) for name in names],
-        F.round("pipeline_quarantine_rate", 6).alias("quarantine_rate"),
+        F.col("pipeline_quarantine_rate").alias("quarantine_rate"),
     )
 
 
@@ -371,8 +376,7 @@ def batch_metrics(spark, sf_dir):
 
 @query
 def quarantine_rate(spark, sf_dir):
-    totals = metrics.metric_totals(hourly_metrics(spark, sf_dir))
-    return totals.withColumn("quarantine_rate", F.round("quarantine_rate", 6))
+    return metrics.metric_totals(hourly_metrics(spark, sf_dir))
 
 
 @query
@@ -380,7 +384,7 @@ def rate_history(spark, sf_dir):
     history = metrics.rate_history(hourly_metrics(spark, sf_dir), chunk=100)
     return history.select(
         "query_id", "batch_id", "total_valid", "total_quarantined",
-        F.round("quarantine_rate", 6).alias("quarantine_rate"), "breached", "alert",
+        "quarantine_rate", "breached", "alert",
     )
 
 
