@@ -16,7 +16,7 @@ SMALL = "/root/testdata/sf0.001"
 def spark(tmp_path_factory):
     session = local_session("tidegate-tests", cores=8, memory="4g")
     if not session.conf.get("spark.checkpoint.dir", None):
-        session.conf.set("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
+        session.sparkContext.setCheckpointDir(str(tmp_path_factory.mktemp("shared")))
     yield session
     session.stop()
 

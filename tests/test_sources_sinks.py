@@ -9,7 +9,7 @@ from tidegate.operators import rules
 from tidegate.operators.aggregate import aggregate_events
 from tidegate.operators.dedup import dedup_first
 from tidegate.operators.transform import transform_events
-from tidegate.session import scratch_dir
+from tidegate.session import scratch_dir, shared_root
 from tidegate.sinks import messages, streams, tables
 from tidegate.sources import checkpoints, wire
 
@@ -104,6 +104,7 @@ def test_generic_stream_sinks(spark, tmp_path):
 
 
 def test_scratch_is_the_shared_folder(spark):
-    shared = spark.conf.get("spark.checkpoint.dir")
+    shared = shared_root(spark)
+    assert spark.conf.get("spark.checkpoint.dir", shared).rstrip("/") == shared
     first, second = scratch_dir(spark, "x"), scratch_dir(spark, "x")
     assert first.startswith(shared) and first != second

@@ -35,18 +35,24 @@ def pin_utc(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def scratch_dir(spark: SparkSession, purpose: str) -> str:
-    """A new folder below the cluster's shared ``spark.checkpoint.dir``.
+def shared_root(spark: SparkSession) -> str:
+    """The folder the cluster names in ``spark.checkpoint.dir``.
 
     Only a local master may fall back to a temporary folder of the machine.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    context = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-        root = tempfile.mkdtemp(prefix="tidegate-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex[:12]}"
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="tidegate-"))
+        root = context.getCheckpointDir()
+    return root.rstrip("/")
+
+
+def scratch_dir(spark: SparkSession, purpose: str) -> str:
+    """A new folder below the shared root."""
+    return f"{shared_root(spark)}/{purpose}-{uuid.uuid4().hex[:12]}"
 
 
 @contextmanager
