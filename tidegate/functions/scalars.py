@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 from datetime import datetime, timezone
+from functools import reduce
 
 from pyspark.sql import Column, functions as F
 
@@ -42,10 +43,7 @@ def is_blank(text: Column | str) -> Column:
 
 def contains_any(text: Column, words: Iterable[str]) -> Column:
     """True if any word is a substring of an already lower-cased text."""
-    result = F.lit(False)
-    for word in words:
-        result = result | text.contains(word)
-    return result
+    return reduce(Column.__or__, [text.contains(word) for word in words])
 
 
 def percent(rate: Column) -> Column:

@@ -17,6 +17,14 @@ STREAMING = ("Streaming pipeline", "The available evidence is insufficient for a
 
 REDIS_DOWN = ("down", "fallback")
 KAFKA_DOWN = ("down",)
+REDIS_WORDS = ("redis",)
+KAFKA_WORDS = ("kafka", "broker", "topic")
+CHECKPOINT_WORDS = ("checkpoint",)
+PARQUET_SINK_WORDS = ("parquet", "write", "filesystem")
+KAFKA_ADVICE_WORDS = ("kafka",)
+WRITE_ADVICE_WORDS = ("parquet", "write")
+TITLE_END = " pipeline incident"
+SUMMARY_PARTS = ("The streaming pipeline reported: ", ". Retry attempts: ", "; quarantine rate: ", ".")
 RATE_LIMIT = 0.10
 CRITICAL_RATE = 0.5
 CRITICAL_ATTEMPTS = 5
@@ -92,11 +100,11 @@ def probable_cause() -> Column:
     """Component and cause: the first finding the evidence supports."""
     message = F.col("_message")
     findings = [
-        (F.col("_redis_down") | message.contains("redis"), REDIS),
-        (F.col("_kafka_down") | contains_any(message, ("kafka", "broker", "topic")), KAFKA),
-        (message.contains("checkpoint"), CHECKPOINT),
+        (F.col("_redis_down") | contains_any(message, REDIS_WORDS), REDIS),
+        (F.col("_kafka_down") | contains_any(message, KAFKA_WORDS), KAFKA),
+        (contains_any(message, CHECKPOINT_WORDS), CHECKPOINT),
         (F.col("_rate") > RATE_LIMIT, VALIDATION),
-        (contains_any(message, ("parquet", "write", "filesystem")), PARQUET_SINK),
+        (contains_any(message, PARQUET_SINK_WORDS), PARQUET_SINK),
     ]
     chain = _finding(STREAMING)
     for holds, finding in reversed(findings):
@@ -114,11 +122,11 @@ def found_steps() -> Column:
     """All advice that applies, looked for in every value of the context; empty if none does."""
     everything = F.col("_everything")
     advice = [
-        (F.col("_redis_down") | everything.contains("redis"), REDIS_STEPS),
-        (F.col("_kafka_down") | everything.contains("kafka"), KAFKA_STEPS),
-        (everything.contains("checkpoint"), CHECKPOINT_STEPS),
+        (F.col("_redis_down") | contains_any(everything, REDIS_WORDS), REDIS_STEPS),
+        (F.col("_kafka_down") | contains_any(everything, KAFKA_ADVICE_WORDS), KAFKA_STEPS),
+        (contains_any(everything, CHECKPOINT_WORDS), CHECKPOINT_STEPS),
         (F.col("_rate") > RATE_LIMIT, RATE_STEPS),
-        (contains_any(everything, ("parquet", "write")), WRITE_STEPS),
+        (contains_any(everything, WRITE_ADVICE_WORDS), WRITE_STEPS),
     ]
     return F.array_compact(
         F.array(*[F.when(holds, F.lit(step)) for holds, steps in advice for step in steps])
@@ -131,21 +139,16 @@ def _texts(texts: tuple[str, ...]) -> Column:
 
 def _triaged(contexts: DataFrame) -> DataFrame:
     found = with_evidence(contexts).withColumn("_finding", probable_cause())
+    said, tries, rate, end = (F.lit(part) for part in SUMMARY_PARTS)
     summary = F.concat(
-        F.lit("The streaming pipeline reported: "),
-        F.col("_exception"),
-        F.lit(". Retry attempts: "),
-        F.col("_attempts").cast("string"),
-        F.lit("; quarantine rate: "),
-        percent(F.col("_rate")),
-        F.lit("."),
+        said, F.col("_exception"), tries, F.col("_attempts").cast("string"), rate, percent(F.col("_rate")), end
     )
     return found.withColumns(
         {
             "component": F.col("_finding")["component"],
             "likely_root_cause": F.col("_finding")["cause"],
             "severity": severity(),
-            "incident_title": F.concat(F.col("_finding")["component"], F.lit(" pipeline incident")),
+            "incident_title": F.concat(F.col("_finding")["component"], F.lit(TITLE_END)),
             "summary": summary,
         }
     )

@@ -13,6 +13,7 @@ from tidegate.operators.running import CHUNK, running_over_batches
 # The failure a breached quarantine rate raises, and the status before any run.
 RATE_FAILURE_TYPE = "excessive_quarantine_rate"
 RATE_FAILURE_COMPONENT = "validation"
+RATE_MESSAGE_PARTS = ("Quarantine rate ", " exceeds ")
 NOT_STARTED = "not_started"
 # End of fixed values.
 
@@ -112,9 +113,9 @@ def rate_alerts(
         *BATCH_KEYS,
         F.lit(RATE_FAILURE_TYPE).alias("failure_type"),
         F.concat(
-            F.lit("Quarantine rate "),
+            F.lit(RATE_MESSAGE_PARTS[0]),
             percent(F.col("quarantine_rate")),
-            F.lit(f" exceeds {threshold:.2%}"),
+            F.lit(f"{RATE_MESSAGE_PARTS[1]}{threshold:.2%}"),
         ).alias("message"),
         F.lit(RATE_FAILURE_COMPONENT).alias("component"),
         F.lit(True).alias("recoverable"),
