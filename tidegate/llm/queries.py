@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+from tidegate.llm import repeated_windows
+from tidegate.llm.repeated_windows import op5_repeated_windows
 from tidegate.llm.simhash_groups import op4_simhash_groups
 
 QUERIES = {
     "op4_simhash_groups": op4_simhash_groups,
+    "op5_repeated_windows": op5_repeated_windows,
+}
+ORACLE_SQL = {
+    "op5_repeated_windows": repeated_windows.ORACLE_SQL,
 }
-ORACLE_SQL: dict[str, str] = {}
