@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-from tidegate.llm import repeated_windows
+from tidegate.llm import contamination, repeated_windows
+from tidegate.llm.contamination import op8_contamination
 from tidegate.llm.repeated_windows import op5_repeated_windows
 from tidegate.llm.simhash_groups import op4_simhash_groups
 
 QUERIES = {
     "op4_simhash_groups": op4_simhash_groups,
     "op5_repeated_windows": op5_repeated_windows,
+    "op8_contamination": op8_contamination,
 }
 ORACLE_SQL = {
     "op5_repeated_windows": repeated_windows.ORACLE_SQL,
+    "op8_contamination": contamination.ORACLE_SQL,
 }

@@ -70,8 +70,9 @@ def repeated(again: np.ndarray, bits: int, hashes: np.ndarray) -> np.ndarray:
     return out
 
 
-def merged_planes(df: DataFrame, hashes_of: Callable[[pa.RecordBatch], Iterator[np.ndarray]], bits: int) -> np.ndarray:
+def merged_planes(df: DataFrame, hashes_of: Callable[[pa.RecordBatch], Iterator[np.ndarray]], bits: int, met: bool = False) -> np.ndarray:
     """The planes `again` of the sketch over all rows of `df`; hashes_of gives the hashes of a batch.
+    With `met`, the planes `once`: what `repeated` then reports is whether a hash may occur at all.
 
     Every task fills a sketch of its own, and blocks of equal number merge in a second stage. What
     the driver gets, and may broadcast, has ROWS * 2**bits / 8 bytes, whatever the input.
@@ -93,7 +94,7 @@ def merged_planes(df: DataFrame, hashes_of: Callable[[pa.RecordBatch], Iterator[
         number, once, again = None, None, None
 
         def done() -> pa.RecordBatch:
-            return pa.RecordBatch.from_pydict({"block": pa.array([number], pa.int32()), "again": pa.array([again.tobytes()], pa.binary())})
+            return pa.RecordBatch.from_pydict({"block": pa.array([number], pa.int32()), "again": pa.array([(once if met else again).tobytes()], pa.binary())})
 
         opener = zstandard.ZstdDecompressor()
         for batch in batches:
