@@ -130,14 +130,6 @@ def _children(nodes: np.ndarray, level: int, tree: GrayTree) -> np.ndarray:
 Search = Callable[[np.ndarray], tuple[np.ndarray, np.ndarray]]
 
 
-def tree_search(radius: int) -> Search:
-    def search(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        tree = GrayTree(values)
-        return star_edges(values, forest(len(values), near_pairs(tree, tree, radius)))
-
-    return search
-
-
 class RunScan:
     """Reads rows sorted by key, and finds links among the values of each key.
 

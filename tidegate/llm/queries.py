@@ -6,11 +6,13 @@ from tidegate.llm import contamination, repeated_windows
 from tidegate.llm.contamination import op8_contamination
 from tidegate.llm.repeated_windows import op5_repeated_windows
 from tidegate.llm.simhash_groups import op4_simhash_groups
+from tidegate.llm.weighted_simhash import op10_fingerprints
 
 QUERIES = {
     "op4_simhash_groups": op4_simhash_groups,
     "op5_repeated_windows": op5_repeated_windows,
     "op8_contamination": op8_contamination,
+    "op10_fingerprints": op10_fingerprints,
 }
 ORACLE_SQL = {
     "op5_repeated_windows": repeated_windows.ORACLE_SQL,

@@ -15,7 +15,7 @@ key is cut into pieces by the range partitioning.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidegate.llm import words as W
 from tidegate.llm.components import components
-from tidegate.llm.fingerprints import GrayTree, RunScan, bit_votes, forest, gray_rank, near_pairs, pack_bits, tree_search
+from tidegate.llm.fingerprints import GrayTree, RunScan, bit_votes, forest, gray_rank, near_pairs, pack_bits, star_edges
 from tidegate.llm.scratch import shipped, written
 
 RADIUS = 3
@@ -105,21 +105,38 @@ def _links(edges: list, nodes: list) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), *columns, members], schema=schema)
 
 
-def near_links(distinct: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """(a, b): links that connect whatever distinct fingerprints `fp` lie within `radius` (3 at most) of each other."""
-    if not 0 <= radius <= RADIUS:
-        raise ValueError(f"the tables hold for a radius of 0 to {RADIUS}")
+def gray_pairs(one: np.ndarray, two: np.ndarray | None, radius: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Index pairs within `radius` in one Gray-sorted array, or between two."""
+    left = GrayTree(one)
+    return near_pairs(left, left if two is None else GrayTree(two), radius)
+
+
+Tables = Callable[[np.ndarray], tuple[np.ndarray, np.ndarray, np.ndarray]]
+Pairs = Callable[[np.ndarray, np.ndarray | None, int], Iterator[tuple[np.ndarray, np.ndarray]]]
+
+
+def near_links(distinct: DataFrame, radius: int = RADIUS, tables: Tables = table_rows, pairs: Pairs = gray_pairs) -> DataFrame:
+    """(a, b): links that connect whatever distinct fingerprints `fp` lie within `radius` of each other.
+
+    `tables` deals values to keys such that any two within `radius` share one, and orders those of a
+    key; `table_rows` does so up to a radius of 3. `pairs` finds the pairs of a run.
+    """
+    if tables is table_rows and not 0 <= radius <= RADIUS:
+        raise ValueError(f"these tables hold for a radius of 0 to {RADIUS}")
+
+    def search(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        return star_edges(values, forest(len(values), pairs(values, None, radius)))
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             values = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
-            columns = [_signed(x) for x in table_rows(values)]
-            # A Gray rank orders unsigned; flipping the top bit makes the signed order the same.
+            columns = [_signed(x) for x in tables(values)]
+            # Ranks order unsigned; flipping the top bit makes the signed order the same.
             columns[1] = _signed(columns[1].to_numpy().view(np.uint64) ^ U64(1 << 63))
             yield pa.RecordBatch.from_arrays(columns, ["key", "rank", "fp"])
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        runs = RunScan(tree_search(radius), radius)
+        runs = RunScan(search, radius)
         for batch in batches:
             yield from _links(*runs.feed(batch.column(0).to_numpy(), batch.column(1).to_numpy().view(np.uint64)))
         yield from _links(*runs.feed(np.zeros(0, np.int64), np.zeros(0, np.uint64), last=True))
@@ -128,7 +145,7 @@ def near_links(distinct: DataFrame, radius: int = RADIUS) -> DataFrame:
         for batch in batches:
             for left, right in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 one, two = np.frombuffer(left, np.uint64), np.frombuffer(right, np.uint64)
-                found = ((i, j + len(one)) for i, j in near_pairs(GrayTree(one), GrayTree(two), radius))
+                found = ((i, j + len(one)) for i, j in pairs(one, two, radius))
                 both = np.concatenate([one, two])
                 label = forest(len(both), found)
                 member = np.flatnonzero(label != np.arange(len(label)))
