@@ -6,7 +6,8 @@ hash of their words. The sketch overestimates, so no repeated window is lost; it
 so that past a few hundred million windows it lets more unique ones through, which costs shuffle and
 changes no result.
 
-A task passes on only the first of equal windows in a batch; the others are known there to repeat.
+Candidates are shuffled as compressed blobs, by the leading bits of their hash; a reducer holds one
+such bucket, a few hundred thousand windows, at a time. A task passes on only the first of equal windows in a batch; the others are known there to repeat.
 So a passage that stands in a third of all documents comes to a shuffle once per batch.
 """
 
@@ -16,15 +17,20 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute  # noqa: F401
+import pyarrow.compute
+import zstandard
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidegate.llm import sketch, words as W
 from tidegate.llm.scratch import shipped
 
 WINDOW_WORDS = 20
+U64 = np.uint64
 NO_ID = -(1 << 63)
-MARKS = "a long, b int, id long, start int, tag int, gone binary"
+#: Candidates travel in blobs: those of one batch whose hashes share their leading bits.
+BLOBS = "bucket int, blob binary, id long, tag int, gone binary"
+BUCKET_WINDOWS = 1 << 18
+FIELDS = (("a", np.uint64), ("b", np.uint32), ("id", np.int64), ("start", np.int32), ("tag", np.int32))
 
 
 def _windows(texts: W.Texts, size: int, lane: int) -> tuple[W.Words, np.ndarray, np.ndarray]:
@@ -42,11 +48,40 @@ def _packed(ids: np.ndarray, tags: np.ndarray, starts: np.ndarray) -> tuple[np.n
     return ids[cut], tags[cut], [starts[a:b].tobytes() for a, b in zip(cut, stop)]
 
 
+def _blob(columns: list[np.ndarray], packer: zstandard.ZstdCompressor) -> bytes:
+    """Columns of one length, byte plane by byte plane: planes of small numbers are zeros."""
+    planes = [np.ascontiguousarray(c).view(np.uint8).reshape(len(c), -1).T.tobytes() for c in columns]
+    return packer.compress(b"".join(planes))
+
+
+def _unblob(blob: bytes, opener: zstandard.ZstdDecompressor) -> list[np.ndarray]:
+    raw = np.frombuffer(opener.decompress(blob), np.uint8)
+    n = len(raw) // sum(np.dtype(t).itemsize for _, t in FIELDS)
+    out, at = [], 0
+    for _, kind in FIELDS:
+        size = np.dtype(kind).itemsize
+        out.append(np.ascontiguousarray(raw[at : at + n * size].reshape(size, n).T).view(kind).reshape(-1))
+        at += n * size
+    return out
+
+
+def _firsts(a, b, id_, start, tag) -> tuple[list[np.ndarray], np.ndarray]:
+    """The columns sorted by hash and place, and which rows come later than the first of their hash."""
+    order = np.lexsort((start, id_, b, a))
+    columns = [x[order] for x in (a, b, id_, start, tag)]
+    a, b, id_, start, _ = columns
+    head = np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])])
+    of = np.flatnonzero(head)[np.cumsum(head) - 1]
+    return columns, (id_ != id_[of]) | (start != start[of])
+
+
 def window_marks(docs: DataFrame, size: int, max_bits: int = sketch.MAX_BITS) -> DataFrame:
     """(id, tag, starts): starts, packed int32, of windows that also start earlier. `docs` has id, tag, text."""
     spark = docs.sparkSession
     length = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     bits = sketch.bits_for(length // 6, max_bits)
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    bucket_bits = min(max(4 * parts, length // 6 // BUCKET_WINDOWS).bit_length(), 30)
 
     def hashes_of(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
         for texts in W.text_groups(batch.column(0)):
@@ -65,53 +100,54 @@ def window_marks(docs: DataFrame, size: int, max_bits: int = sketch.MAX_BITS) ->
                 if len(twice):
                     at, row = at[twice], words.text[at[twice]]
                     second = _windows(texts, size, 1)[2][twice]
-                    found.append((value[twice].view(np.int64), second.astype(np.uint32).view(np.int32), texts.first + row, at - words.first[row]))
+                    found.append((value[twice], second.astype(np.uint32), texts.first + row, at - words.first[row]))
             if not found:
                 continue
             a, b, row, start = (np.concatenate(x) for x in zip(*found))
-            id_, tag = ids[row], tags[row]
-            order = np.lexsort((start, id_, b, a))
-            a, b, id_, tag, start = a[order], b[order], id_[order], tag[order], start[order]
-            head = np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])])
-            of = np.flatnonzero(head)[np.cumsum(head) - 1]
-            later = (id_ != id_[of]) | (start != start[of])
-            pass_on = ~later
-            n = int(pass_on.sum())
-            columns = [a[pass_on], b[pass_on], id_[pass_on], start[pass_on].astype(np.int32), tag[pass_on].astype(np.int32)]
-            yield pa.RecordBatch.from_arrays([*map(pa.array, columns), pa.nulls(n, pa.binary())], schema=schema)
+            columns, later = _firsts(a, b, ids[row], start.astype(np.int32), tags[row].astype(np.int32))
+            kept = [x[~later] for x in columns]
+            bucket = (kept[0] >> U64(64 - bucket_bits)).astype(np.int32)
+            cut = np.flatnonzero(np.diff(bucket, prepend=-1))
+            packer = zstandard.ZstdCompressor(level=1)
+            blobs = [_blob([x[lo:hi] for x in kept], packer) for lo, hi in zip(cut, np.append(cut[1:], len(bucket)))]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(bucket[cut]), pa.array(blobs, pa.binary()), *(pa.nulls(len(cut), f.type) for f in list(schema)[2:])], schema=schema
+            )
             if later.any():
-                id_, tag, gone = _packed(id_[later], tag[later], start[later])
-                spread = W.mix(id_.astype(np.int64).view(np.uint64)).view(np.int64)
-                none = pa.nulls(len(id_), pa.int32())
+                id_, tag, gone = _packed(*(columns[k][later] for k in (2, 4, 3)))
+                spread = (W.mix(id_.view(np.uint64)) >> U64(64 - bucket_bits)).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(spread), none, pa.array(id_), none, pa.array(tag.astype(np.int32)), pa.array(gone, pa.binary())], schema=schema
+                    [pa.array(spread), pa.nulls(len(id_), pa.binary()), pa.array(id_), pa.array(tag), pa.array(gone, pa.binary())], schema=schema
                 )
 
-    schema = pa.schema([("a", pa.int64()), ("b", pa.int32()), ("id", pa.int64()), ("start", pa.int32()), ("tag", pa.int32()), ("gone", pa.binary())])
+    schema = pa.schema([("bucket", pa.int32()), ("blob", pa.binary()), ("id", pa.int64()), ("tag", pa.int32()), ("gone", pa.binary())])
 
     def later_ones(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last = None
+        opener = zstandard.ZstdDecompressor()
+        number, held = None, []
+
+        def settle() -> Iterator[pa.RecordBatch]:
+            if held:
+                columns, later = _firsts(*(np.concatenate(x) for x in zip(*held)))
+                if later.any():
+                    id_, tag, gone = _packed(*(columns[k][later] for k in (2, 4, 3)))
+                    yield pa.RecordBatch.from_arrays([pa.array(id_), pa.array(tag), pa.array(gone, pa.binary())], ["id", "tag", "starts"])
+                held.clear()
+
         for batch in batches:
             done = batch.filter(pa.compute.is_null(batch.column(1)))
             if done.num_rows:
-                yield pa.RecordBatch.from_arrays([done.column(2), done.column(4), done.column(5)], ["id", "tag", "starts"])
+                yield pa.RecordBatch.from_arrays([done.column(2), done.column(3), done.column(4)], ["id", "tag", "starts"])
             batch = batch.filter(pa.compute.is_valid(batch.column(1)))
-            if not batch.num_rows:
-                continue
-            a, b, id_, start, tag = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(5))
-            if last is not None:
-                a, b, id_, start, tag = (np.concatenate([[x], y]) for x, y in zip(last, (a, b, id_, start, tag)))
-            head = np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])])
-            of = np.flatnonzero(head)[np.cumsum(head) - 1]
-            later = (id_ != id_[of]) | (start != start[of])
-            k = of[-1]
-            last = a[k], b[k], id_[k], start[k], tag[k]
-            if later.any():
-                id_, tag, gone = _packed(id_[later], tag[later], start[later])
-                yield pa.RecordBatch.from_arrays([pa.array(id_.astype(np.int64)), pa.array(tag.astype(np.int32)), pa.array(gone, pa.binary())], ["id", "tag", "starts"])
-
-    rows = docs.select("id", "tag", "text").mapInArrow(candidates, MARKS)
-    return rows.repartition("a").sortWithinPartitions("a", "b", "id", "start").mapInArrow(later_ones, "id long, tag int, starts binary")
+            for k, blob in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                if k != number:
+                    yield from settle()
+                    number = k
+                held.append(_unblob(blob, opener))
+        yield from settle()
+
+    rows = docs.select("id", "tag", "text").mapInArrow(candidates, BLOBS)
+    return rows.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(later_ones, "id long, tag int, starts binary")
 
 
 def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:

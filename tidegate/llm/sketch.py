@@ -110,7 +110,8 @@ def merged_planes(df: DataFrame, hashes_of: Callable[[pa.RecordBatch], Iterator[
         if number is not None:
             yield done()
 
-    parts = df.mapInArrow(build, "block int, once binary, again binary")
+    slots = df.sparkSession.sparkContext.defaultParallelism  # one sketch for each task that can run at a time is enough
+    parts = df.coalesce(slots).mapInArrow(build, "block int, once binary, again binary")
     blocks = parts.repartition("block").sortWithinPartitions("block").mapInArrow(merge, "block int, again binary")
     planes = np.zeros((ROWS, 1 << bits - 3), np.uint8)
     flat = planes.reshape(-1, min(BLOCK_BYTES, planes.shape[1]))
