@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from tidegate.llm import contamination, repeated_windows
 from tidegate.llm.contamination import op8_contamination
+from tidegate.llm.language import op3_language
 from tidegate.llm.repeated_bytes import op2_repeated_bytes
 from tidegate.llm.repeated_windows import op5_repeated_windows
 from tidegate.llm.simhash_groups import op4_simhash_groups
@@ -11,6 +12,7 @@ from tidegate.llm.weighted_simhash import op10_fingerprints
 
 QUERIES = {
     "op2_repeated_bytes": op2_repeated_bytes,
+    "op3_language": op3_language,
     "op4_simhash_groups": op4_simhash_groups,
     "op5_repeated_windows": op5_repeated_windows,
     "op8_contamination": op8_contamination,
