@@ -5,12 +5,14 @@ from __future__ import annotations
 from tidegate.llm import contamination, repeated_windows
 from tidegate.llm.contamination import op8_contamination
 from tidegate.llm.language import op3_language
+from tidegate.llm.quality import op1_quality
 from tidegate.llm.repeated_bytes import op2_repeated_bytes
 from tidegate.llm.repeated_windows import op5_repeated_windows
 from tidegate.llm.simhash_groups import op4_simhash_groups
 from tidegate.llm.weighted_simhash import op10_fingerprints
 
 QUERIES = {
+    "op1_quality": op1_quality,
     "op2_repeated_bytes": op2_repeated_bytes,
     "op3_language": op3_language,
     "op4_simhash_groups": op4_simhash_groups,
