@@ -228,7 +228,7 @@ def repeat_marks(docs: DataFrame, max_bits: int = sketch.MAX_BITS) -> DataFrame:
 
     def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packer = zstandard.ZstdCompressor(level=1)
-        for batch in batches:
+        for batch in W.parts(batches):
             ids, tags = (batch.column(k).to_numpy(zero_copy_only=False) for k in (0, 1))
             found, phrases = [], []
             for data, begin, end, row, base in stretches(batch.column(2)):

@@ -90,7 +90,7 @@ def window_marks(docs: DataFrame, size: int, max_bits: int = sketch.MAX_BITS) ->
     planes = spark.sparkContext.broadcast(sketch.merged_planes(docs.select("text"), hashes_of, bits))
 
     def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in W.parts(batches):
             ids = batch.column(0).to_numpy(zero_copy_only=False)
             tags = batch.column(1).to_numpy(zero_copy_only=False)
             found = []

@@ -14,12 +14,12 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 
-ROWS = 3
-#: 2**28 cells: three rows are 192 MB in a building task and 96 MB where they are looked up.
+ROWS = 2
+#: 2**28 cells: two rows are 128 MB in a building task and 64 MB where they are looked up.
 MAX_BITS = 28
 MIN_BITS = 16
 BLOCK_BYTES = 1 << 17
-_FACTORS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)
+_FACTORS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 U64 = np.uint64
 
 
@@ -85,6 +85,7 @@ def merged_planes(df: DataFrame, hashes_of: Callable[[pa.RecordBatch], Iterator[
                 sketch = sketch or RepeatSketch(bits)
                 sketch.add(hashes)
         if sketch:
+            pa.default_memory_pool().release_unused()
             for number, once, again in sketch.blocks():
                 yield pa.RecordBatch.from_pydict(
                     {"block": pa.array([number], pa.int32()), "once": pa.array([once], pa.binary()), "again": pa.array([again], pa.binary())}

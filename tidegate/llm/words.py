@@ -59,6 +59,14 @@ def text_groups(column: pa.Array, group_bytes: int = GROUP_BYTES) -> Iterator[Te
         row = last
 
 
+def parts(batches: Iterator[pa.RecordBatch], rows: int = 2500) -> Iterator[pa.RecordBatch]:
+    """Batches of at most `rows` rows, for work whose memory grows with the batch."""
+    for batch in batches:
+        for lo in range(0, batch.num_rows, rows):
+            yield batch.slice(lo, rows)
+        pa.default_memory_pool().release_unused()
+
+
 @dataclass
 class Words:
     """Words of a group in order: byte bounds, the text they are in, and the first word of each text."""
