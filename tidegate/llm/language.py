@@ -203,21 +203,27 @@ def held_out(id_col: str, folds: int, fold: int) -> Column:
 def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang") -> Network | None:
     """A network for the languages of `labelled`, from at most `SAMPLE_ROWS` rows of each.
 
-    Rows are picked by a hash of their text, so the sample is the same whatever the partitions. None
-    if no row has a language and a text.
+    Rows are picked by a hash of their text, equal texts once, so the sample is the same whatever the
+    partitions. A share of each language that holds about twice the bound is drawn first. None if no row has a language and a text.
     """
     rows = labelled.select(F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"))
     rows = rows.where("lang is not null and text rlike '\\\\p{L}'").withColumn("pick", F.xxhash64("text"))
-    place = F.row_number().over(Window.partitionBy("lang").orderBy("pick"))
+    counts = {r.lang: r["count"] for r in rows.groupBy("lang").count().limit(MAX_LANGUAGES + 1).collect()}
+    if not counts:
+        return None
+    if len(counts) > MAX_LANGUAGES:
+        raise ValueError(f"the sample is bounded for {MAX_LANGUAGES} languages")
+    shares = F.create_map(*(F.lit(x) for lang, n in counts.items() for x in (lang, min(1.0, 2 * SAMPLE_ROWS / n))))
+    drawn = F.pmod("pick", F.lit(1 << 30)) / float(1 << 30) < shares[F.col("lang")]
     size = F.length("text")
     spots = [F.pmod(F.xxhash64("pick", F.lit(k)), F.greatest(size - STRETCH, F.lit(1))) + 1 for k in range(SAMPLE_STRETCHES)]
     parts = [F.substring("text", spot.cast("int"), F.lit(STRETCH)).alias(f"part{k}") for k, spot in enumerate(spots)]
-    sample = rows.withColumn("place", place).where(F.col("place") <= SAMPLE_ROWS).select("lang", "pick", *parts).orderBy("lang", "pick").collect()
+    few = rows.where(drawn).select("lang", "pick", *parts).distinct()
+    place = F.row_number().over(Window.partitionBy("lang").orderBy("pick"))
+    sample = few.withColumn("place", place).where(F.col("place") <= SAMPLE_ROWS).orderBy("lang", "pick").collect()
     languages = sorted({r.lang for r in sample})
     if not languages:
         return None
-    if len(languages) > MAX_LANGUAGES:
-        raise ValueError(f"{len(languages)} languages; the sample is bounded for {MAX_LANGUAGES}")
     texts = [(r[f"part{k}"].encode()[:STRETCH], languages.index(r.lang)) for r in sample for k in range(SAMPLE_STRETCHES)]
     symbols = np.full((len(texts), STRETCH), PAD, np.int16)
     for k, (raw, _) in enumerate(texts):
