@@ -5,6 +5,7 @@ from __future__ import annotations
 from tidegate.llm import contamination, repeated_windows
 from tidegate.llm.contamination import op8_contamination
 from tidegate.llm.language import op3_language
+from tidegate.llm.licenses import op7_licenses
 from tidegate.llm.mixing import op9_mixing
 from tidegate.llm.quality import op1_quality
 from tidegate.llm.repeated_bytes import op2_repeated_bytes
@@ -18,11 +19,13 @@ QUERIES = {
     "op3_language": op3_language,
     "op4_simhash_groups": op4_simhash_groups,
     "op5_repeated_windows": op5_repeated_windows,
+    "op7_licenses": op7_licenses,
     "op8_contamination": op8_contamination,
     "op9_mixing": op9_mixing,
     "op10_fingerprints": op10_fingerprints,
 }
 ORACLE_SQL = {
     "op5_repeated_windows": repeated_windows.ORACLE_SQL,
+    "op7_licenses": op7_licenses,
     "op8_contamination": contamination.ORACLE_SQL,
 }
