@@ -10,6 +10,7 @@ from tidegate.llm.mixing import op9_mixing
 from tidegate.llm.quality import op1_quality
 from tidegate.llm.repeated_bytes import op2_repeated_bytes
 from tidegate.llm.repeated_windows import op5_repeated_windows
+from tidegate.llm.secrets import op6_secrets
 from tidegate.llm.simhash_groups import op4_simhash_groups
 from tidegate.llm.weighted_simhash import op10_fingerprints
 
@@ -19,6 +20,7 @@ QUERIES = {
     "op3_language": op3_language,
     "op4_simhash_groups": op4_simhash_groups,
     "op5_repeated_windows": op5_repeated_windows,
+    "op6_secrets": op6_secrets,
     "op7_licenses": op7_licenses,
     "op8_contamination": op8_contamination,
     "op9_mixing": op9_mixing,
@@ -26,6 +28,7 @@ QUERIES = {
 }
 ORACLE_SQL = {
     "op5_repeated_windows": repeated_windows.ORACLE_SQL,
+    "op6_secrets": op6_secrets,
     "op7_licenses": op7_licenses,
     "op8_contamination": contamination.ORACLE_SQL,
 }

@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute
 import zstandard
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidegate.llm import sketch, words as W
 from tidegate.llm.scratch import shipped
@@ -150,15 +150,17 @@ def window_marks(docs: DataFrame, size: int, max_bits: int = sketch.MAX_BITS) ->
     return rows.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(later_ones, "id long, tag int, starts binary")
 
 
-def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """id (null first of all), tag (tells apart texts under one id), doc_id and text."""
+def key_columns(id_col: str, text_col: str) -> dict[str, Column]:
+    """id (null first of all), and tag, which tells apart texts under one id."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    return docs.select(
-        F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("id"),
-        F.crc32(text).bitwiseAND(0xFFFF).cast("int").alias("tag"),
-        F.col(id_col).cast("long").alias("doc_id"),
-        text.alias("text"),
-    )
+    return {"id": F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)), "tag": F.crc32(text).bitwiseAND(0xFFFF).cast("int")}
+
+
+def keyed(docs: DataFrame, id_col: str, text_col: str, *more: str) -> DataFrame:
+    """id and tag of `key_columns`, doc_id and text, and the columns named."""
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    keys = (c.alias(name) for name, c in key_columns(id_col, text_col).items())
+    return docs.select(*keys, F.col(id_col).cast("long").alias("doc_id"), text.alias("text"), *more)
 
 
 def drop_repeated_windows(
