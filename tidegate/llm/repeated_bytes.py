@@ -314,6 +314,7 @@ def drop_repeated_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str =
                     [part.column(0), *(pa.array(x, pa.int64()) for x in (size, removed, spans)), pa.array(left, pa.binary())],
                     ["doc_id", "n_bytes", "n_removed", "n_spans", "kept"],
                 )
+        W.release()
 
     joined = keys.join(marks, ["id", "tag"], "left").select("doc_id", "text", "gone")
     return joined.mapInArrow(kept, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")

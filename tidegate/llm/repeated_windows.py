@@ -196,6 +196,7 @@ def drop_repeated_windows(
                     [part.column(0), pa.array(count, pa.int64()), pa.array(removed, pa.int64()), pa.array(left, pa.binary()).cast(pa.string())],
                     ["doc_id", "n_words", "n_removed", "kept"],
                 )
+        W.release()
 
     joined = keys.join(marks, ["id", "tag"], "left").select("doc_id", "text", "starts")
     return joined.mapInArrow(kept, "doc_id long, n_words long, n_removed long, kept string")

@@ -14,11 +14,15 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 
+from tidegate.llm.words import release
+from tidegate.session import overridden
+
 ROWS = 2
 #: 2**28 cells: two rows are 128 MB in a building task and 64 MB where they are looked up.
 MAX_BITS = 28
 MIN_BITS = 16
 BLOCK_BYTES = 1 << 17
+BATCH_ROWS = "1000"
 _FACTORS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 U64 = np.uint64
 
@@ -85,11 +89,12 @@ def merged_planes(df: DataFrame, hashes_of: Callable[[pa.RecordBatch], Iterator[
                 sketch = sketch or RepeatSketch(bits)
                 sketch.add(hashes)
         if sketch:
-            pa.default_memory_pool().release_unused()
             for number, once, again in sketch.blocks():
                 yield pa.RecordBatch.from_pydict(
                     {"block": pa.array([number], pa.int32()), "once": pa.array([once], pa.binary()), "again": pa.array([again], pa.binary())}
                 )
+        del sketch
+        release()
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number, once, again = None, None, None
@@ -116,6 +121,7 @@ def merged_planes(df: DataFrame, hashes_of: Callable[[pa.RecordBatch], Iterator[
     blocks = parts.repartition("block").sortWithinPartitions("block").mapInArrow(merge, "block int, again binary")
     planes = np.zeros((ROWS, 1 << bits - 3), np.uint8)
     flat = planes.reshape(-1, min(BLOCK_BYTES, planes.shape[1]))
-    for row in blocks.toLocalIterator(prefetchPartitions=True):
-        flat[row.block] = np.frombuffer(row.again, np.uint8)
+    with overridden(df.sparkSession, {"spark.sql.execution.arrow.maxRecordsPerBatch": BATCH_ROWS}):
+        for row in blocks.toLocalIterator(prefetchPartitions=True):
+            flat[row.block] = np.frombuffer(row.again, np.uint8)
     return planes

@@ -7,6 +7,7 @@ itself.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -15,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 
 GROUP_BYTES = 1 << 20
-HASH_SPAN = 1 << 20
+HASH_SPAN = 1 << 17
 
 #: Word bytes of `[^\x20\x09-\x0D]+`.
 NON_SPACE = np.ones(256, bool)
@@ -64,7 +65,15 @@ def parts(batches: Iterator[pa.RecordBatch], rows: int = 2500) -> Iterator[pa.Re
     for batch in batches:
         for lo in range(0, batch.num_rows, rows):
             yield batch.slice(lo, rows)
-        pa.default_memory_pool().release_unused()
+    release()
+
+
+def release() -> None:
+    """Gives memory that a task no longer uses back to the system: a Python worker outlives its tasks."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
 
 
 @dataclass
