@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidegate.llm import sketch, words as W
-from tidegate.llm.repeated_windows import keyed
+from tidegate.llm.repeated_windows import key_columns, keyed
 from tidegate.llm.scratch import shipped, written
 
 WINDOW_WORDS = 10
@@ -75,16 +75,10 @@ def _token_hashes(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
     yield batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
 
 
-def mark_contaminated(
-    docs: DataFrame, items: DataFrame, size: int = WINDOW_WORDS, id_col: str = "doc_id", text_col: str = "text",
-    item_id_col: str = "item_id", item_text_col: str = "text",
-) -> DataFrame:
-    """(doc_id, n_words, n_hit, items) of each row of `docs`: words within a window, ids of items found.
-
-    Null and empty texts have no words, and an item without words no window. Rows repeated under one
-    id get the same answer; texts that differ under one id are told apart. Items that share an id
-    count once; an item without an id marks words and is not listed. Extra columns are ignored.
-    """
+def find_windows(
+    docs: DataFrame, items: DataFrame, size: int, id_col: str, text_col: str, item_id_col: str, item_text_col: str
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Rows (id, tag, doc_id, n_words) of `docs`; hits (id, tag, begin, n, content) of windows in them; the windows."""
     spark = docs.sparkSession
     windows = written(item_windows(items, size, item_id_col, item_text_col))
     parts = windows.select("content", "n", F.explode("tokens").alias("t")).select("content", "n", "t.*").distinct()
@@ -147,6 +141,20 @@ def mark_contaminated(
         .where(F.array_join(F.slice(F.split("near", " "), begin - F.col("base") + 1, F.col("n")), " ") == F.col("content"))
         .select("id", "tag", begin.alias("begin"), "n", "content")
     )
+    return scanned.drop("met"), hits, windows
+
+
+def mark_contaminated(
+    docs: DataFrame, items: DataFrame, size: int = WINDOW_WORDS, id_col: str = "doc_id", text_col: str = "text",
+    item_id_col: str = "item_id", item_text_col: str = "text",
+) -> DataFrame:
+    """(doc_id, n_words, n_hit, items) of each row of `docs`: words within a window, ids of items found.
+
+    Null and empty texts have no words, and an item without words no window. Rows repeated under one
+    id get the same answer; texts that differ under one id are told apart. Items that share an id
+    count once; an item without an id marks words and is not listed. Extra columns are ignored.
+    """
+    scanned, hits, windows = find_windows(docs, items, size, id_col, text_col, item_id_col, item_text_col)
     covered = hits.select("id", "tag", F.explode(F.sequence("begin", F.col("begin") + F.col("n") - 1)).alias("word")).distinct()
     n_hit = covered.groupBy("id", "tag").agg(F.count("*").alias("n_hit"))
     owners = windows.select("content", "item_id").distinct()
@@ -158,6 +166,17 @@ def mark_contaminated(
     )
 
 
+def drop_contaminated(
+    docs: DataFrame, items: DataFrame, size: int = WINDOW_WORDS, id_col: str = "doc_id", text_col: str = "text",
+    item_id_col: str = "item_id", item_text_col: str = "text",
+) -> DataFrame:
+    """`docs` without the rows in which a window of an item occurs; all columns as they are."""
+    hits = find_windows(docs, items, size, id_col, text_col, item_id_col, item_text_col)[1]
+    gone = hits.select(F.col("id").alias("_id"), F.col("tag").alias("_tag")).distinct()
+    keys = (c.alias(f"_{name}") for name, c in key_columns(id_col, text_col).items())
+    return docs.select("*", *keys).join(gone, ["_id", "_tag"], "left_anti").select(*(F.col(f"`{c}`") for c in docs.columns))
+
+
 def op8_contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     read = shipped(spark).read
     marked = mark_contaminated(read.parquet(f"{sf_dir}/documents.parquet"), read.parquet(f"{sf_dir}/benchmark.parquet"))

@@ -231,30 +231,33 @@ def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang") ->
     return train(symbols, np.array([label for _, label in texts]), languages)
 
 
-def identify(docs: DataFrame, net: Network | None, text_col: str = "text") -> DataFrame:
-    """`docs` with lang_pred and score (0 to 1), the likeliest language and its pooled probability.
+def identify(docs: DataFrame, net: Network | None, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
+    """`docs`, or its columns `keep`, with lang_pred and score (0 to 1), the likeliest language and its pooled probability.
 
     A text that is null or has no letter is `und` with score 0; so is every text where there is no
-    network to ask. The texts are read whole.
+    network to ask. The texts are read whole. Columns named lang_pred and score are replaced.
     """
     letters = F.coalesce(F.col(text_col).cast("string").rlike("\\p{L}"), F.lit(False))
-    taken = {"lang_pred", "score"}
-    kept = docs.select(*(c for c in docs.columns if c not in taken), letters.alias("_letters"), F.col(text_col).cast("string").alias("_read"))
-    names = [f.name for f in kept.schema.fields if f.name not in ("_letters", "_read")]
-    fields = [f for f in kept.schema.fields if f.name in names]
+    fields = [f for f in docs.schema.fields if f.name not in ("lang_pred", "score")]
+    kept = docs.select(*(F.col(f"`{f.name}`") for f in fields), letters.alias("_letters"))
+    names = [f.name for f in fields]
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            known = batch.column("_letters").to_numpy(zero_copy_only=False).astype(bool) & (net is not None)
+            known = batch.column(len(names)).to_numpy(zero_copy_only=False).astype(bool) & (net is not None)
             label, score = np.full(batch.num_rows, "und", object), np.zeros(batch.num_rows)
             if known.any():
-                p = document_probabilities(net, batch.column("_read"))
+                p = document_probabilities(net, batch.column(names.index(text_col)))
                 best = p.argmax(axis=1)
                 label[known] = np.array(net.languages, object)[best[known]]
                 score[known] = np.clip(p[np.arange(len(p)), best], 0, 1)[known]
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array(label, pa.string()), pa.array(score)], [*names, "lang_pred", "score"])
+            back = [k for k, name in enumerate(names) if name in keep]
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(k) for k in back), pa.array(label, pa.string()), pa.array(score)], [*(names[k] for k in back), "lang_pred", "score"]
+            )
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields) + ", lang_pred string, score double"
+    keep = set(names if keep is None else keep)
+    schema = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in fields if f.name in keep) + "lang_pred string, score double"
     return kept.mapInArrow(rows, schema)
 
 
@@ -262,4 +265,4 @@ def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = shipped(spark).read.parquet(f"{sf_dir}/documents.parquet")
     held = held_out("doc_id", 4, 2)
     net = fit(docs.where(~held))
-    return identify(docs.select("doc_id", "text", held.alias("held_out")), net).select("doc_id", "held_out", "lang_pred", "score")
+    return identify(docs.select("doc_id", "text", held.alias("held_out")), net, keep=["doc_id", "held_out"]).select("doc_id", "held_out", "lang_pred", "score")

@@ -15,6 +15,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -74,14 +75,12 @@ def _softmax(logits: np.ndarray) -> np.ndarray:
     return logits / logits.sum(axis=1, keepdims=True)
 
 
-def fit_domains(texts: pa.Array, label: np.ndarray, domains: list[str]) -> DomainModel:
-    """Full-batch Adam on cross-entropy. Words are chosen by how far their share of documents differs between domains."""
-    n, k = len(texts), len(domains)
-    pairs = [np.zeros(0, np.int64)]
-    for first, _, row, bucket, _ in word_buckets(texts):
-        pairs.append(np.unique((row + first) * WORD_BUCKETS + bucket))
-    pairs = np.concatenate(pairs)
-    row, bucket = pairs // WORD_BUCKETS, pairs % WORD_BUCKETS
+def fit_domains(shape: np.ndarray, row: np.ndarray, bucket: np.ndarray, label: np.ndarray, domains: list[str]) -> DomainModel:
+    """Full-batch Adam on cross-entropy, from shape features and the (row, bucket) pairs of words met.
+
+    Words are chosen by how far their share of documents differs between domains.
+    """
+    n, k = len(shape), len(domains)
     met = np.bincount(bucket * k + label[row], minlength=WORD_BUCKETS * k).reshape(-1, k)
     size = np.bincount(label, minlength=k)
     expected = met.sum(axis=1, keepdims=True) * size / n
@@ -89,7 +88,6 @@ def fit_domains(texts: pa.Array, label: np.ndarray, domains: list[str]) -> Domai
     chosen = np.sort(np.argsort(-worth, kind="stable")[:WORD_FEATURES])
     place = np.full(WORD_BUCKETS, -1)
     place[chosen] = np.arange(len(chosen))
-    shape = features(texts).astype(np.float64)
     centre, scale = shape.mean(axis=0), shape.std(axis=0) + 0.05
     x = np.zeros((n, N_FEATURES + len(chosen)), np.float32)
     x[:, :N_FEATURES] = (shape - centre) / scale
@@ -116,21 +114,40 @@ def fit_on(docs: DataFrame, labelled: DataFrame, domains: list[str], id_col: str
         part = ids.where(F.col("domain") == domain).orderBy(F.xxhash64("id"), "id").limit(SAMPLE_ROWS)
         chosen = part if chosen is None else chosen.union(part)
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).where("text is not null")
-    sample = texts.join(F.broadcast(chosen), "id").orderBy("id", "domain").select("text", "domain").toArrow()
-    if not sample.num_rows:
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            shape = features(batch.column(2))
+            buckets = []
+            for _, n, row, bucket, _ in word_buckets(batch.column(2)):
+                pairs = np.unique(row * WORD_BUCKETS + bucket)
+                ends = np.searchsorted(pairs, np.arange(1, n) * WORD_BUCKETS)
+                buckets += [x.astype(np.uint16).tobytes() for x in np.split(pairs % WORD_BUCKETS, ends)]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array([x.tobytes() for x in shape], pa.binary()), pa.array(buckets, pa.binary())],
+                ["id", "domain", "shape", "buckets"],
+            )
+
+    met = texts.join(F.broadcast(chosen), "id").select("id", "domain", "text").mapInArrow(rows, "id long, domain string, shape binary, buckets binary")
+    sample = sorted((r.id, r.domain, r.shape, r.buckets) for r in met.collect())
+    if not sample:
         return None
-    label = np.array([domains.index(d) for d in sample["domain"].to_pylist()])
-    return fit_domains(sample["text"].combine_chunks(), label, domains)
+    label = np.array([domains.index(domain) for _, domain, _, _ in sample])
+    shape = np.array([np.frombuffer(x, np.float32) for _, _, x, _ in sample]).astype(np.float64)
+    words = [np.frombuffer(x, np.uint16).astype(np.int64) for _, _, _, x in sample]
+    row = np.repeat(np.arange(len(words)), [len(x) for x in words])
+    return fit_domains(shape, row, np.concatenate(words), label, domains)
 
 
-def memberships(docs: DataFrame, model: DomainModel | None, domains: list[str], text_col: str = "text") -> DataFrame:
-    """`docs` with n_tokens and posterior (array, in the order of `domains`); equal posteriors without a model. The text column is left out."""
+def memberships(docs: DataFrame, model: DomainModel | None, domains: list[str], text_col: str = "text", keep_text: bool = False) -> DataFrame:
+    """`docs` with n_tokens and posterior (array, in the order of `domains`); equal posteriors without a model. The text column is left out unless asked for."""
     fields = [f for f in docs.schema.fields if f.name not in (text_col, "n_tokens", "posterior")]
-    kept = docs.select(*(F.col(f"`{f.name}`") for f in fields), F.col(text_col).cast("string").alias("_read"))
+    kept = docs.select(*(F.col(f"`{f.name}`") for f in fields), F.col(text_col).cast("string").alias(text_col))
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             read = batch.column(len(fields))
+            text = [read] if keep_text else []
             if model:
                 p, tokens = model.posteriors(read)
             else:
@@ -138,10 +155,12 @@ def memberships(docs: DataFrame, model: DomainModel | None, domains: list[str],
                 tokens = np.concatenate([np.zeros(0, np.int64), *(c[4] for c in word_buckets(read))])
             posterior = pa.ListArray.from_arrays(pa.array(np.arange(len(p) + 1) * len(domains), pa.int32()), pa.array(p.reshape(-1)))
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(k) for k in range(len(fields))), pa.array(tokens), posterior], [*(f.name for f in fields), "n_tokens", "posterior"]
+                [*(batch.column(k) for k in range(len(fields))), *text, pa.array(tokens), posterior], names
             )
 
-    schema = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in fields) + "n_tokens long, posterior array<double>"
+    names = [*(f.name for f in fields), *([text_col] if keep_text else []), "n_tokens", "posterior"]
+    text_field = f"`{text_col}` string, " if keep_text else ""
+    schema = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in fields) + text_field + "n_tokens long, posterior array<double>"
     return kept.mapInArrow(rows, schema)
 
 
@@ -229,23 +248,19 @@ def _totals(members: DataFrame, steps: Steps) -> tuple[np.ndarray, np.ndarray]:
 
 
 def with_rates(members: DataFrame, steps: Steps) -> DataFrame:
-    fields = [f for f in members.schema.fields if f.name not in ("rate", "posterior", "n_tokens")]
-    kept = members.select("n_tokens", "posterior", *(F.col(f"`{f.name}`") for f in fields))
-    names = [*kept.columns, "rate"]
+    """`members` with rate."""
 
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rate = steps.rates(_batch(batch)[1])[0] if batch.num_rows else np.zeros(0)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(rate)], names)
+    @F.pandas_udf("double")
+    def rate(posterior: pd.Series) -> pd.Series:
+        return pd.Series(steps.rates(np.stack(posterior.to_numpy()))[0] if len(posterior) else np.zeros(0))
 
-    schema = "n_tokens long, posterior array<double>, " + "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in fields) + "rate double"
-    return kept.mapInArrow(rows, schema)
+    return members.withColumn("rate", rate("posterior"))
 
 
 def mix(
-    docs: DataFrame, labelled: DataFrame, targets: dict[str, float], id_col: str = "doc_id", text_col: str = "text", tokens: float | None = None
+    docs: DataFrame, labelled: DataFrame, targets: dict[str, float], id_col: str = "doc_id", text_col: str = "text", tokens: float | None = None, keep_text: bool = False
 ) -> DataFrame:
-    """`docs` without its text, with n_tokens, posterior, domain (the likeliest), rate and copies.
+    """`docs`, without its text unless `keep_text`, with n_tokens, posterior, domain (the likeliest), rate and copies.
 
     copies is the rate rounded up or down by a hash of the id, so that its expectation is the rate; a
     row without an id rounds to the nearest. `labelled` is (id, domain); rows of domains without a
@@ -256,7 +271,7 @@ def mix(
     if not domains or min(targets.values()) < 0 or not sum(targets.values()):
         raise ValueError("targets are shares of at least one domain")
     model = fit_on(docs, labelled, domains, id_col, text_col)
-    members = written(memberships(docs, model, domains, text_col))
+    members = written(memberships(docs, model, domains, text_col, keep_text))
     rated = with_rates(members, fit_rates(members, [targets[d] for d in domains], tokens))
     best = F.array_position("posterior", F.array_max("posterior"))
     toss = F.coalesce(F.pmod(F.xxhash64(F.col(id_col), F.lit("copies")), F.lit(1 << 30)) / float(1 << 30), F.lit(0.5))

@@ -20,11 +20,12 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from tidegate.llm import words as W
 from tidegate.llm.components import components
 from tidegate.llm.fingerprints import GrayTree, RunScan, bit_votes, forest, gray_rank, near_pairs, pack_bits, star_edges
+from tidegate.llm.repeated_windows import key_columns, keyed
 from tidegate.llm.scratch import shipped, written
 
 RADIUS = 3
@@ -57,16 +58,15 @@ def shingle_fingerprints(texts: W.Texts) -> np.ndarray:
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, fp): one row per row of `docs`, fp as a signed long. A null text has fingerprint 0."""
+    """(id, tag, doc_id, fp): one row per row of `docs`, fp as a signed long. A null text has fingerprint 0."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                fp = np.concatenate([shingle_fingerprints(t) for t in W.text_groups(batch.column(1))])
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fp.view(np.int64))], ["doc_id", "fp"])
+                fp = np.concatenate([shingle_fingerprints(t) for t in W.text_groups(batch.column(3))])
+                yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(fp.view(np.int64))], ["id", "tag", "doc_id", "fp"])
 
-    kept = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return kept.mapInArrow(rows, "doc_id long, fp long")
+    return keyed(docs, id_col, text_col).mapInArrow(rows, "id long, tag int, doc_id long, fp long")
 
 
 def table_rows(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -168,6 +168,14 @@ def near_links(distinct: DataFrame, radius: int = RADIUS, tables: Tables = table
     return found.where("key is null").select("a", "b").union(across)
 
 
+def fingerprint_groups(marked: DataFrame, radius: int = RADIUS) -> DataFrame:
+    """(fp, component) of each fingerprint in `marked`; component is the smallest fingerprint reachable."""
+    distinct = written(marked.select("fp").distinct())
+    label = components(near_links(distinct, radius))
+    placed = distinct.join(label.select(F.col("node").alias("fp"), "component"), "fp", "left")
+    return placed.select("fp", F.coalesce("component", "fp").alias("component"))
+
+
 def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = RADIUS) -> DataFrame:
     """(doc_id, fingerprint, component_id) of each row of `docs`.
 
@@ -177,15 +185,31 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     table gives an empty table; extra columns are ignored.
     """
     marked = written(fingerprints(docs, id_col, text_col))
-    distinct = written(marked.groupBy("fp").agg(F.min("doc_id").alias("least")))
-    label = components(near_links(distinct, radius)).select(F.col("node").alias("fp"), "component")
-    placed = distinct.join(label, "fp", "left").withColumn("component", F.coalesce("component", "fp"))
-    head = placed.groupBy("component").agg(F.min("least").alias("component_id"))
-    group = placed.select("fp", "component").join(head, "component").select("fp", "component_id")
-    return marked.join(group, "fp").select(
+    group = fingerprint_groups(marked, radius)
+    least = marked.groupBy("fp").agg(F.min("doc_id").alias("least")).join(group, "fp")
+    head = least.groupBy("component").agg(F.min("least").alias("component_id"))
+    named = group.join(head, "component").select("fp", "component_id")
+    return marked.join(named, "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
 
 
+def keep_one_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = RADIUS) -> DataFrame:
+    """`docs` with one row of each group: that of the smallest id, rows without an id only where a group has no other.
+
+    Of rows repeated under that id, the first by text checksum and the other columns stays.
+    """
+    marked = written(fingerprints(docs, id_col, text_col))
+    group = fingerprint_groups(marked, radius)
+    key = F.struct(F.col("doc_id").isNull().alias("last"), "id", "tag")
+    least = marked.groupBy("fp").agg(F.min(key).alias("least")).join(group, "fp")
+    heads = least.groupBy("component").agg(F.min("least").alias("head")).select(F.col("head.id").alias("_id"), F.col("head.tag").alias("_tag"))
+    keys = (c.alias(f"_{name}") for name, c in key_columns(id_col, text_col).items())
+    rows = docs.select("*", *keys).join(heads, ["_id", "_tag"])
+    others = [F.col(f"`{f.name}`") for f in docs.schema.fields if f.dataType.typeName() not in ("map", "variant") and f.name not in (id_col, text_col)]
+    place = F.row_number().over(Window.partitionBy("_id", "_tag").orderBy(F.col(text_col).isNull(), *others, text_col))
+    return rows.withColumn("_place", place).where("_place = 1").select(*(F.col(f"`{c}`") for c in docs.columns))
+
+
 def op4_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_groups(shipped(spark).read.parquet(f"{sf_dir}/documents.parquet"))
