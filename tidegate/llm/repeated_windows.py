@@ -28,9 +28,13 @@ WINDOW_WORDS = 20
 U64 = np.uint64
 NO_ID = -(1 << 63)
 #: Candidates travel in blobs: those of one batch whose hashes share their leading bits.
-BLOBS = "bucket int, blob binary, id long, tag int, gone binary"
+BLOBS = "bucket int, owners int, blob binary"
 BUCKET_WINDOWS = 1 << 18
+OWNER_BYTES = 1 << 25
 FIELDS = (("a", np.uint64), ("b", np.uint32), ("id", np.int64), ("start", np.int32), ("tag", np.int32))
+#: Marks travel in blobs as well, by the leading bits of a hash of their id (`owners`).
+MARK_FIELDS = FIELDS[2:]
+MARKS_AT_ONCE = 1 << 20
 
 
 def _windows(texts: W.Texts, size: int, lane: int) -> tuple[W.Words, np.ndarray, np.ndarray]:
@@ -54,11 +58,11 @@ def _blob(columns: list[np.ndarray], packer: zstandard.ZstdCompressor) -> bytes:
     return packer.compress(b"".join(planes))
 
 
-def _unblob(blob: bytes, opener: zstandard.ZstdDecompressor) -> list[np.ndarray]:
+def _unblob(blob: bytes, opener: zstandard.ZstdDecompressor, fields: tuple = FIELDS) -> list[np.ndarray]:
     raw = np.frombuffer(opener.decompress(blob), np.uint8)
-    n = len(raw) // sum(np.dtype(t).itemsize for _, t in FIELDS)
+    n = len(raw) // sum(np.dtype(t).itemsize for _, t in fields)
     out, at = [], 0
-    for _, kind in FIELDS:
+    for _, kind in fields:
         size = np.dtype(kind).itemsize
         out.append(np.ascontiguousarray(raw[at : at + n * size].reshape(size, n).T).view(kind).reshape(-1))
         at += n * size
@@ -75,13 +79,23 @@ def _firsts(a, b, id_, start, tag) -> tuple[list[np.ndarray], np.ndarray]:
     return columns, (id_ != id_[of]) | (start != start[of])
 
 
+def _blobs(bucket: np.ndarray, columns: list[np.ndarray], packer: zstandard.ZstdCompressor) -> tuple[np.ndarray, list[bytes]]:
+    """A blob for each bucket that has rows."""
+    if (np.diff(bucket) < 0).any():
+        order = np.argsort(bucket, kind="stable")
+        bucket, columns = bucket[order], [x[order] for x in columns]
+    cut = np.flatnonzero(np.diff(bucket, prepend=-1))
+    return bucket[cut], [_blob([x[lo:hi] for x in columns], packer) for lo, hi in zip(cut, np.append(cut[1:], len(bucket)))]
+
+
 def window_marks(docs: DataFrame, size: int, max_bits: int = sketch.MAX_BITS) -> DataFrame:
-    """(id, tag, starts): starts, packed int32, of windows that also start earlier. `docs` has id, tag, text."""
+    """(id, tag, starts): starts, packed int32, of windows that also start earlier, a row for each text that has any. `docs` has id, tag, text."""
     spark = docs.sparkSession
     length = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     bits = sketch.bits_for(length // 6, max_bits)
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     bucket_bits = min(max(4 * parts, length // 6 // BUCKET_WINDOWS).bit_length(), 30)
+    owner_bits = min(max(4 * parts, length // OWNER_BYTES).bit_length(), 30)
 
     def hashes_of(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
         for texts in W.text_groups(batch.column(0)):
@@ -106,48 +120,69 @@ def window_marks(docs: DataFrame, size: int, max_bits: int = sketch.MAX_BITS) ->
             a, b, row, start = (np.concatenate(x) for x in zip(*found))
             columns, later = _firsts(a, b, ids[row], start.astype(np.int32), tags[row].astype(np.int32))
             kept = [x[~later] for x in columns]
-            bucket = (kept[0] >> U64(64 - bucket_bits)).astype(np.int32)
-            cut = np.flatnonzero(np.diff(bucket, prepend=-1))
-            packer = zstandard.ZstdCompressor(level=1)
-            blobs = [_blob([x[lo:hi] for x in kept], packer) for lo, hi in zip(cut, np.append(cut[1:], len(bucket)))]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(bucket[cut]), pa.array(blobs, pa.binary()), *(pa.nulls(len(cut), f.type) for f in list(schema)[2:])], schema=schema
-            )
-            if later.any():
-                id_, tag, gone = _packed(*(columns[k][later] for k in (2, 4, 3)))
-                spread = (W.mix(id_.view(np.uint64)) >> U64(64 - bucket_bits)).astype(np.int32)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(spread), pa.nulls(len(id_), pa.binary()), pa.array(id_), pa.array(tag), pa.array(gone, pa.binary())], schema=schema
-                )
+            bucket, blobs = _blobs((kept[0] >> U64(64 - bucket_bits)).astype(np.int32), kept, zstandard.ZstdCompressor(level=1))
+            yield pa.RecordBatch.from_arrays([pa.array(bucket), pa.nulls(len(bucket), pa.int32()), pa.array(blobs, pa.binary())], schema=schema)
+            yield from marks_of([x[later] for x in columns[2:]])
+
+    schema = pa.schema([("bucket", pa.int32()), ("owners", pa.int32()), ("blob", pa.binary())])
 
-    schema = pa.schema([("bucket", pa.int32()), ("blob", pa.binary()), ("id", pa.int64()), ("tag", pa.int32()), ("gone", pa.binary())])
+    def marks_of(columns: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        if len(columns[0]):
+            owners = (W.mix(columns[0].view(np.uint64)) >> U64(64 - owner_bits)).astype(np.int32)
+            owners, blobs = _blobs(owners, columns, zstandard.ZstdCompressor(level=1))
+            yield pa.RecordBatch.from_arrays([pa.array(owners), pa.array(owners), pa.array(blobs, pa.binary())], schema=schema)
 
     def later_ones(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         opener = zstandard.ZstdDecompressor()
-        number, held = None, []
+        number, held, marks = None, [], []
 
-        def settle() -> Iterator[pa.RecordBatch]:
+        def settle() -> None:
             if held:
                 columns, later = _firsts(*(np.concatenate(x) for x in zip(*held)))
-                if later.any():
-                    id_, tag, gone = _packed(*(columns[k][later] for k in (2, 4, 3)))
-                    yield pa.RecordBatch.from_arrays([pa.array(id_), pa.array(tag), pa.array(gone, pa.binary())], ["id", "tag", "starts"])
+                marks.append([x[later] for x in columns[2:]])
                 held.clear()
 
+        def out() -> Iterator[pa.RecordBatch]:
+            if marks:
+                yield from marks_of([np.concatenate(x) for x in zip(*marks)])
+                marks.clear()
+
         for batch in batches:
-            done = batch.filter(pa.compute.is_null(batch.column(1)))
-            if done.num_rows:
-                yield pa.RecordBatch.from_arrays([done.column(2), done.column(3), done.column(4)], ["id", "tag", "starts"])
-            batch = batch.filter(pa.compute.is_valid(batch.column(1)))
-            for k, blob in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            yield batch.filter(pa.compute.is_valid(batch.column(1)))
+            batch = batch.filter(pa.compute.is_null(batch.column(1)))
+            for k, blob in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist()):
                 if k != number:
-                    yield from settle()
+                    settle()
                     number = k
+                    if sum(len(m[0]) for m in marks) >= MARKS_AT_ONCE:
+                        yield from out()
                 held.append(_unblob(blob, opener))
-        yield from settle()
+        settle()
+        yield from out()
+
+    def by_owner(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        opener = zstandard.ZstdDecompressor()
+        number, held = None, []
+
+        def out() -> Iterator[pa.RecordBatch]:
+            if held:
+                id_, start, tag = (np.concatenate(x) for x in zip(*held))
+                id_, tag, starts = _packed(id_, tag, start)
+                held.clear()
+                yield pa.RecordBatch.from_arrays([pa.array(id_), pa.array(tag), pa.array(starts, pa.binary())], ["id", "tag", "starts"])
+
+        for batch in batches:
+            for k, blob in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                if k != number:
+                    yield from out()
+                    number = k
+                held.append(_unblob(blob, opener, MARK_FIELDS))
+        yield from out()
 
     rows = docs.select("id", "tag", "text").mapInArrow(candidates, BLOBS)
-    return rows.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(later_ones, "id long, tag int, starts binary")
+    marks = rows.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(later_ones, BLOBS)
+    owned = marks.select("owners", "blob").repartition("owners").sortWithinPartitions("owners")
+    return owned.mapInArrow(by_owner, "id long, tag int, starts binary")
 
 
 def key_columns(id_col: str, text_col: str) -> dict[str, Column]:
@@ -156,6 +191,16 @@ def key_columns(id_col: str, text_col: str) -> dict[str, Column]:
     return {"id": F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)), "tag": F.crc32(text).bitwiseAND(0xFFFF).cast("int")}
 
 
+def tagged(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, list[str]]:
+    """`docs` and its keys, under names that no column of it has."""
+    taken, names = {c.lower() for c in docs.columns}, []
+    for name in ("_id", "_tag"):
+        while name in taken:
+            name = f"_{name}"
+        names.append(name)
+    return docs.select("*", *(c.alias(n) for n, c in zip(names, key_columns(id_col, text_col).values()))), names
+
+
 def keyed(docs: DataFrame, id_col: str, text_col: str, *more: str) -> DataFrame:
     """id and tag of `key_columns`, doc_id and text, and the columns named."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
@@ -174,7 +219,7 @@ def drop_repeated_windows(
     no window. kept is the remaining words joined by one space. Extra columns are ignored.
     """
     keys = keyed(docs, id_col, text_col)
-    marks = window_marks(keys, size, max_bits).groupBy("id", "tag").agg(F.collect_list("starts").alias("starts"))
+    marks = window_marks(keys, size, max_bits)
 
     def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -186,7 +231,7 @@ def drop_repeated_windows(
                     count.append(len(words))
                     if starts:
                         cover = np.zeros(len(words) + 1, np.int64)
-                        at = np.unique(np.frombuffer(b"".join(starts), np.int32))
+                        at = np.unique(np.frombuffer(starts, np.int32))
                         cover[at] += 1
                         np.subtract.at(cover, at + size, 1)
                         words = [w for w, gone in zip(words, (np.cumsum(cover) > 0).tolist()) if not gone]
