@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidegate.llm import sketch, words as W
-from tidegate.llm.repeated_windows import key_columns, keyed
+from tidegate.llm.repeated_windows import keyed, tagged
 from tidegate.llm.scratch import shipped, written
 
 WINDOW_WORDS = 10
@@ -172,9 +172,9 @@ def drop_contaminated(
 ) -> DataFrame:
     """`docs` without the rows in which a window of an item occurs; all columns as they are."""
     hits = find_windows(docs, items, size, id_col, text_col, item_id_col, item_text_col)[1]
-    gone = hits.select(F.col("id").alias("_id"), F.col("tag").alias("_tag")).distinct()
-    keys = (c.alias(f"_{name}") for name, c in key_columns(id_col, text_col).items())
-    return docs.select("*", *keys).join(gone, ["_id", "_tag"], "left_anti").select(*(F.col(f"`{c}`") for c in docs.columns))
+    rows, (id_, tag) = tagged(docs, id_col, text_col)
+    gone = hits.select(F.col("id").alias(id_), F.col("tag").alias(tag)).distinct()
+    return rows.join(gone, [id_, tag], "left_anti").select(*(F.col(f"`{c}`") for c in docs.columns))
 
 
 def op8_contamination(spark: SparkSession, sf_dir: str) -> DataFrame:

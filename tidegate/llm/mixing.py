@@ -27,6 +27,8 @@ from tidegate.llm.scratch import shipped, written
 SAMPLE_ROWS = 4000
 WORD_BUCKETS = 1 << 16
 WORD_FEATURES = 1500
+#: Chi-square under which a word's shares differ by chance.
+LEAST_WORTH = 12.0
 FIT_STEPS = 250
 STEPS = 80
 TOLERANCE = 1e-4
@@ -85,7 +87,8 @@ def fit_domains(shape: np.ndarray, row: np.ndarray, bucket: np.ndarray, label: n
     size = np.bincount(label, minlength=k)
     expected = met.sum(axis=1, keepdims=True) * size / n
     worth = ((met - expected) ** 2 / (expected + 1)).sum(axis=1)
-    chosen = np.sort(np.argsort(-worth, kind="stable")[:WORD_FEATURES])
+    chosen = np.argsort(-worth, kind="stable")[:WORD_FEATURES]
+    chosen = np.sort(chosen[worth[chosen] >= LEAST_WORTH])
     place = np.full(WORD_BUCKETS, -1)
     place[chosen] = np.arange(len(chosen))
     centre, scale = shape.mean(axis=0), shape.std(axis=0) + 0.05
@@ -264,12 +267,13 @@ def mix(
 
     copies is the rate rounded up or down by a hash of the id, so that its expectation is the rate; a
     row without an id rounds to the nearest. `labelled` is (id, domain); rows of domains without a
-    target teach nothing. A null text has no tokens. Without labelled texts all memberships are
+    target teach nothing. Columns of `docs` with the names of new ones are replaced. A null text has no tokens. Without labelled texts all memberships are
     equal; without tokens all rates are one. An empty table gives an empty table.
     """
     domains = sorted(targets)
     if not domains or min(targets.values()) < 0 or not sum(targets.values()):
         raise ValueError("targets are shares of at least one domain")
+    docs = docs.drop("n_tokens", "posterior", "rate", "domain", "copies")
     model = fit_on(docs, labelled, domains, id_col, text_col)
     members = written(memberships(docs, model, domains, text_col, keep_text))
     rated = with_rates(members, fit_rates(members, [targets[d] for d in domains], tokens))

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from tidegate.llm import words as W
 from tidegate.llm.components import components
 from tidegate.llm.fingerprints import GrayTree, RunScan, bit_votes, forest, gray_rank, near_pairs, pack_bits, star_edges
-from tidegate.llm.repeated_windows import key_columns, keyed
+from tidegate.llm.repeated_windows import keyed, tagged
 from tidegate.llm.scratch import shipped, written
 
 RADIUS = 3
@@ -203,12 +203,12 @@ def keep_one_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     group = fingerprint_groups(marked, radius)
     key = F.struct(F.col("doc_id").isNull().alias("last"), "id", "tag")
     least = marked.groupBy("fp").agg(F.min(key).alias("least")).join(group, "fp")
-    heads = least.groupBy("component").agg(F.min("least").alias("head")).select(F.col("head.id").alias("_id"), F.col("head.tag").alias("_tag"))
-    keys = (c.alias(f"_{name}") for name, c in key_columns(id_col, text_col).items())
-    rows = docs.select("*", *keys).join(heads, ["_id", "_tag"])
+    rows, (id_, tag) = tagged(docs, id_col, text_col)
+    heads = least.groupBy("component").agg(F.min("least").alias("head")).select(F.col("head.id").alias(id_), F.col("head.tag").alias(tag))
     others = [F.col(f"`{f.name}`") for f in docs.schema.fields if f.dataType.typeName() not in ("map", "variant") and f.name not in (id_col, text_col)]
-    place = F.row_number().over(Window.partitionBy("_id", "_tag").orderBy(F.col(text_col).isNull(), *others, text_col))
-    return rows.withColumn("_place", place).where("_place = 1").select(*(F.col(f"`{c}`") for c in docs.columns))
+    place = F.row_number().over(Window.partitionBy(id_, tag).orderBy(F.col(text_col).isNull(), *others, text_col))
+    kept = rows.join(heads, [id_, tag]).withColumn(f"{tag}_place", place)
+    return kept.where(F.col(f"{tag}_place") == 1).select(*(F.col(f"`{c}`") for c in docs.columns))
 
 
 def op4_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
