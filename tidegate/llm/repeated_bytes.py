@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidegate.llm import sketch, words as W
 from tidegate.llm.repeated_windows import keyed
-from tidegate.llm.scratch import shipped
+from tidegate.llm.scratch import shipped, written_in_small_batches
 
 LENGTH = 200
 ROLLING_BYTES = 8
@@ -333,4 +333,4 @@ def _spans(gone: list[bytes] | None) -> list[tuple[int, int]]:
 
 def op2_repeated_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = drop_repeated_bytes(shipped(spark).read.parquet(f"{sf_dir}/documents.parquet"))
-    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+    return written_in_small_batches(out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")))

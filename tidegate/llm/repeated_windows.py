@@ -22,7 +22,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidegate.llm import sketch, words as W
-from tidegate.llm.scratch import shipped
+from tidegate.llm.scratch import shipped, written_in_small_batches
 
 WINDOW_WORDS = 20
 U64 = np.uint64
@@ -249,7 +249,8 @@ def drop_repeated_windows(
 
 def op5_repeated_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = drop_repeated_windows(shipped(spark).read.parquet(f"{sf_dir}/documents.parquet"))
-    return out.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+    digest = F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256")
+    return written_in_small_batches(out.select("doc_id", "n_words", "n_removed", digest))
 
 
 ORACLE_SQL = r"""

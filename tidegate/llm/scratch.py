@@ -8,7 +8,7 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidegate.session import scratch_dir
+from tidegate.session import overridden, scratch_dir
 
 _SHIPPED: set[str] = set()
 
@@ -20,6 +20,12 @@ def written(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def written_in_small_batches(df: DataFrame, rows: int = 2000) -> DataFrame:
+    """`written`, with at most `rows` rows at a time between Spark and Python: whole texts take memory on both sides."""
+    with overridden(df.sparkSession, {"spark.sql.execution.arrow.maxRecordsPerBatch": str(rows)}):
+        return written(df)
+
+
 def shipped(spark: SparkSession) -> SparkSession:
     """Sends this package's sources to the executors, once per session, as `--py-files` would."""
     context = spark.sparkContext
