@@ -34,6 +34,11 @@ def test_first_arrival_wins_also_for_a_hot_id(spark):
     assert next(row for row in kept if row.event_id == "hot").source_offset == 999
 
 
+def test_rows_without_an_id_are_events_of_their_own(spark):
+    rows = [event(None, "2024-01-01 00:00:00", n) for n in range(5)] + [event("a", "2024-01-01 00:00:00", n) for n in (5, 6)]
+    assert sorted(str(row.event_id) for row in dedup.dedup_first(events(spark, rows)).collect()) == ["None"] * 5 + ["a"]
+
+
 def test_copies_are_dropped_before_the_shuffle(spark):
     frame = events(spark, [event("a", "2024-01-01 00:00:00", 1)])
     plan = dedup.dedup_first(frame)._jdf.queryExecution().executedPlan().toString()

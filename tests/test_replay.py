@@ -7,10 +7,10 @@ from conftest import NOW, payload, raw_frame
 from tidegate.model import LEDGER_SCHEMA, QUARANTINE_SCHEMA
 from tidegate.operators import quarantine, replay, rules
 
-BAD = payload(region="mars-north")
+BAD = payload(region="north-pole")
 
 
-def record(text, *, eligible=True, tries=0, event_id="evt-demo-001"):
+def record(text, *, eligible=True, tries=0, event_id="evt-ferry-3"):
     return (event_id, text, "quality_rule", "validation failed: region", "region", "2026-01-15 12:00:00", eligible, tries)
 
 
@@ -52,12 +52,29 @@ def test_payloads(decided):
     rows = {list(CASES)[row.n]: json.loads(row.payload) for row in decided.collect()}
     sent = rows["valid"]
     assert sent["_replay"]["source"] == "quarantine" and sent["_replay"]["retry_count"] == 1
-    assert sent["event_id"] == "evt-demo-001" and sent["metadata"] == {"currency": "USD"}
+    assert sent["event_id"] == "evt-ferry-3" and sent["metadata"] == {"pier": "north"}
     back = rows["still invalid"]
     assert back["retry_count"] == 1 and back["original_payload"] == BAD and "_replay" not in back
     assert rows["exhausted"]["retry_count"] == 3
 
 
+def test_a_replayed_payload_keeps_all_its_members(spark):
+    text = payload(extra={"keep": [1, {"a": None}]}, metadata={"a": {"b": 1}, "c": 2}) + " \n"
+    names = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in QUARANTINE_SCHEMA.fields)
+
+    def sent(original, tries):
+        row = replay.decide_replay(spark.createDataFrame([record(original, tries=tries)], names), now=NOW).first()
+        assert row.outcome == "replayed"
+        return row.payload
+
+    once = sent(text, 0)
+    twice = sent(once, 1)
+    for found, tries in ((once, 1), (twice, 2)):
+        body = json.loads(found)
+        assert body.pop("_replay")["retry_count"] == tries and found.count("_replay") == 1
+        assert body == json.loads(text)
+
+
 def test_valid_replay_goes_to_two_topics(decided):
     one = decided.where("n = 0")
     assert sorted(row.topic for row in replay.replay_messages(one).collect()) == ["events.raw", "events.replay"]
@@ -81,7 +98,7 @@ def test_deferred_records_wait_longer_each_time(decided):
 
 def test_replayed_event_that_fails_again_keeps_its_count(spark, decided):
     sent = decided.where("n = 0").first().payload
-    broken = sent.replace("us-east", "mars-north")
+    broken = sent.replace("us-east", "north-pole")
     checked = rules.check_events(raw_frame(spark, [broken, BAD]), now=NOW)
     rows = quarantine.quarantine_envelope(rules.invalid_events(checked), now=NOW).collect()
     assert sorted(row.retry_count for row in rows) == [0, 1]
@@ -90,9 +107,9 @@ def test_replayed_event_that_fails_again_keeps_its_count(spark, decided):
 def test_replayed_rows_are_deduplicated_and_gated(spark, decided):
     empty = spark.createDataFrame([], LEDGER_SCHEMA)
     rows = replay.replayed_clean(decided, empty, now=NOW).collect()
-    assert [row.event_id for row in rows] == ["evt-demo-001"]
+    assert [row.event_id for row in rows] == ["evt-ferry-3"]
     assert rows[0].event_type == "purchase" and len(rows[0].processing_key) == 64
-    written = spark.createDataFrame([("evt-demo-001", "written")], "event_id string, status string").select(
+    written = spark.createDataFrame([("evt-ferry-3", "written")], "event_id string, status string").select(
         "*", F.lit(NOW).cast("timestamp").alias("updated_at"),
         (F.lit(NOW).cast("timestamp") + F.expr("interval 1 day")).alias("expires_at"),
     )

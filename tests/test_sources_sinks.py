@@ -41,7 +41,7 @@ def test_messages(spark):
     rows = dedup_first(clean(spark, payload(session_id=None)))
     message = messages.encode_clean(rows).first()
     body = json.loads(message.value)
-    assert message.key == "evt-demo-001" and body["region"] == "us-east" and "session_id" not in body
+    assert message.key == "evt-ferry-3" and body["region"] == "us-east" and "session_id" not in body
     window = messages.encode_aggregates(aggregate_events(rows)).first()
     assert window.key == "2026-01-15 12:00:00|purchase|us-east"
     assert json.loads(window.value)["event_count"] == 1
@@ -70,7 +70,7 @@ def test_batch_is_replaced_and_partitions_are_pruned(spark, tmp_path):
         tables.write_batch(rows, root, day, "q", 0, partition_by=tables.CLEAN_PARTITIONS)
     tables.write_batch(clean(spark, payload(event_id="c")), root, day, "q", 1, partition_by=tables.CLEAN_PARTITIONS)
     table = tables.read_table(spark, root, CLEAN_SCHEMA)
-    assert sorted(row.event_id for row in table.collect()) == ["b", "c", "evt-demo-001"]
+    assert sorted(row.event_id for row in table.collect()) == ["b", "c", "evt-ferry-3"]
     assert [row.event_id for row in tables.not_from(table, "q", 0).collect()] == ["c"]
     pruned = table.where("event_date = date'2026-01-15' AND region = 'eu-west'").select("event_id")
     plan = pruned._jdf.queryExecution().executedPlan().toString()

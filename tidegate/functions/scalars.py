@@ -56,8 +56,8 @@ def processing_key(event_id: Column | str, version: Column | str) -> Column:
 
 
 def incident_id(*parts: Column) -> Column:
-    """``inc-`` and 12 hex digits of the incident's own key, so a rerun gives the same id."""
-    return F.concat(F.lit("inc-"), F.substring(F.sha2(F.concat_ws("|", *parts), 256), 1, 12))
+    """``inc-`` and the whole hash of the incident's evidence, so a rerun gives the same id."""
+    return F.concat(F.lit("inc-"), F.sha2(F.concat_ws("|", *parts), 256))
 
 
 def backoff_seconds(

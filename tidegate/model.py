@@ -68,13 +68,20 @@ def _event_field_type(name: str) -> T.DataType:
 
 EVENT_SCHEMA = T.StructType([T.StructField(name, _event_field_type(name)) for name in EVENT_FIELDS])
 
-# What from_json reads: the event, the retry counter a replay leaves in the payload, and the
-# text of rows that did not parse cleanly.
+# What from_json reads, of a payload set into an outer object: the event with the retry counter a
+# replay leaves in it, a closing member, and the text of rows that did not parse cleanly.
 CORRUPT_FIELD = "_unreadable"
+END_FIELD = "_end_of_payload"
 PARSE_SCHEMA = T.StructType(
-    EVENT_SCHEMA.fields
-    + [
-        T.StructField("_replay", T.StructType([T.StructField("retry_count", T.IntegerType())])),
+    [
+        T.StructField(
+            "event",
+            T.StructType(
+                EVENT_SCHEMA.fields
+                + [T.StructField("_replay", T.StructType([T.StructField("retry_count", T.IntegerType())]))]
+            ),
+        ),
+        T.StructField(END_FIELD, T.IntegerType()),
         T.StructField(CORRUPT_FIELD, T.StringType()),
     ]
 )
@@ -113,6 +120,21 @@ QUARANTINE_SCHEMA = T.StructType(
     ]
 )
 
+AGGREGATE_SCHEMA = T.StructType(
+    [
+        T.StructField("window_start", T.TimestampType()),
+        T.StructField("window_end", T.TimestampType()),
+        T.StructField("event_type", T.StringType()),
+        T.StructField("region", T.StringType()),
+        T.StructField("source_system", T.StringType()),
+        T.StructField("event_count", T.LongType()),
+        T.StructField("average_event_value", T.DoubleType()),
+        T.StructField("error_event_count", T.LongType()),
+        T.StructField("unique_device_count", T.LongType()),
+        T.StructField("window_date", T.DateType()),
+    ]
+)
+
 METRIC_COUNTERS = ("valid", "quarantined", "duplicates", "aggregate_rows")
 
 

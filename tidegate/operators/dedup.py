@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tidegate.model import WATERMARK
+from tidegate.model import COORDINATES, WATERMARK
 from tidegate.operators.running import running_over_batches
 
 ARRIVAL_ORDER = ("ingestion_timestamp", "source_partition", "source_offset")
@@ -15,13 +15,23 @@ ARRIVAL_ORDER = ("ingestion_timestamp", "source_partition", "source_offset")
 def dedup_stream(events: DataFrame, watermark: str = WATERMARK, *, bounded: bool = True) -> DataFrame:
     """First arrival per ``event_id``.
 
-    ``bounded`` forgets an id once the watermark has passed it, so state stays proportional to
+    Rows without an id are kept. ``bounded`` forgets an id once the watermark has passed it, so state stays proportional to
     the delay. The unbounded form remembers every id for ever.
     """
-    marked = events.withWatermark("event_timestamp", watermark)
+    named = events.withColumn("_copy_of", copy_key(events)).withWatermark("event_timestamp", watermark)
     if bounded:
-        return marked.dropDuplicatesWithinWatermark(["event_id"])
-    return marked.dropDuplicates(["event_id"])
+        return named.dropDuplicatesWithinWatermark(["_copy_of"]).drop("_copy_of")
+    return named.dropDuplicates(["_copy_of"]).drop("_copy_of")
+
+
+def copy_key(events: DataFrame) -> Column:
+    """What copies of one event share: its id, or for a row without one where it came from.
+
+    A configuration may do without the id; rows that lack it are then events of their own.
+    """
+    source = [F.col(name).cast("string") for name in COORDINATES if name in events.columns]
+    place = F.concat_ws("|", F.lit("no id"), *source) if source else F.uuid()
+    return F.coalesce("event_id", place)
 
 
 def dedup_first(events: DataFrame, order: Sequence[str] = ARRIVAL_ORDER) -> DataFrame:
@@ -30,7 +40,7 @@ def dedup_first(events: DataFrame, order: Sequence[str] = ARRIVAL_ORDER) -> Data
     Spark turns ``row_number() = 1`` into a group limit that also runs before the shuffle, so
     the copies of a hot id shrink to one row per map task.
     """
-    first = Window.partitionBy("event_id").orderBy(*order)
+    first = Window.partitionBy(copy_key(events)).orderBy(*order)
     return events.withColumn("_nth", F.row_number().over(first)).where("_nth = 1").drop("_nth")
 
 

@@ -24,7 +24,7 @@ PARQUET_SINK_WORDS = ("parquet", "write", "filesystem")
 KAFKA_ADVICE_WORDS = ("kafka",)
 WRITE_ADVICE_WORDS = ("parquet", "write")
 TITLE_END = " pipeline incident"
-SUMMARY_PARTS = ("The streaming pipeline reported: ", ". Retry attempts: ", "; quarantine rate: ", ".")
+SUMMARY = "The streaming pipeline reported: %s. Retry attempts: %d; quarantine rate: %s."
 RATE_LIMIT = 0.10
 CRITICAL_RATE = 0.5
 CRITICAL_ATTEMPTS = 5
@@ -64,8 +64,6 @@ REQUIRED_REPORT_FIELDS = (
     "summary",
 )
 OMITTED_FIELDS = "Incident provider omitted fields: "
-MAX_INCIDENTS = 1_000
-MAX_AUDIT_ROWS = 500
 # End of fixed values.
 
 
@@ -139,10 +137,7 @@ def _texts(texts: tuple[str, ...]) -> Column:
 
 def _triaged(contexts: DataFrame) -> DataFrame:
     found = with_evidence(contexts).withColumn("_finding", probable_cause())
-    said, tries, rate, end = (F.lit(part) for part in SUMMARY_PARTS)
-    summary = F.concat(
-        said, F.col("_exception"), tries, F.col("_attempts").cast("string"), rate, percent(F.col("_rate")), end
-    )
+    summary = F.format_string(SUMMARY, F.col("_exception"), F.col("_attempts"), percent(F.col("_rate")))
     return found.withColumns(
         {
             "component": F.col("_finding")["component"],
@@ -160,13 +155,8 @@ def triage_incidents(contexts: DataFrame) -> DataFrame:
 
 
 def incident_reports(contexts: DataFrame) -> DataFrame:
-    """Full rule-based reports with their evidence; the id is a function of the evidence."""
-    key = incident_id(
-        *[
-            F.coalesce(F.col(name).cast("string"), F.lit(""))
-            for name in ("failure_type", "exception_message", "failed_topic", "failed_batch_id", "collected_at")
-        ]
-    )
+    """Full rule-based reports with their evidence; the id is a function of all of it."""
+    key = incident_id(*[F.coalesce(F.col(name).cast("string"), F.lit("")) for name in CONTEXT_FIELDS])
     advised = _triaged(contexts).withColumn("_steps", found_steps())
     steps = F.when(F.size("_steps") > 0, F.col("_steps")).otherwise(_texts(DEFAULT_STEPS))
     return advised.select(
@@ -266,5 +256,5 @@ def latest_incident(reports: DataFrame) -> DataFrame:
     return newest(reports, 1, "created_at", "incident_id")
 
 
-def recent_incidents(reports: DataFrame, limit: int = MAX_INCIDENTS) -> DataFrame:
+def recent_incidents(reports: DataFrame, limit: int) -> DataFrame:
     return newest(reports, limit, "created_at", "incident_id")

@@ -62,12 +62,18 @@ def live_entries(ledger: DataFrame, now: Column | datetime | str | None = None)
     return ledger.where(F.col("expires_at") > as_now(now))
 
 
-def current_status(ledger: DataFrame, now: Column | datetime | str | None = None) -> DataFrame:
+def current_status(
+    ledger: DataFrame, now: Column | datetime | str | None = None, *, ttl_seconds: int | None = None
+) -> DataFrame:
     """The last status written per id, if it has not expired.
 
     Each write renews the expiry, so the last write decides before the expiry is looked at.
-    The group limit behind ``row_number() = 1`` runs on both sides of the shuffle.
+    The group limit behind ``row_number() = 1`` runs on both sides of the shuffle. Where every
+    entry lives ``ttl_seconds``, older writes cannot be live, and a filter on their time drops
+    them before the shuffle; by day it prunes the scan.
     """
+    if ttl_seconds is not None:
+        ledger = ledger.where(F.col("updated_at") > as_now(now) - F.make_interval(secs=F.lit(ttl_seconds)))
     newest = Window.partitionBy("event_id").orderBy(F.desc("updated_at"), F.desc(stage("status")))
     last = ledger.withColumn("_nth", F.row_number().over(newest)).where("_nth = 1").drop("_nth")
     return live_entries(last, now)
@@ -107,8 +113,15 @@ def claim_outcomes(
     )
 
 
-def written_ids(ledger: DataFrame, now: Column | datetime | str | None = None) -> DataFrame:
-    return current_status(ledger, now).where("status = 'written'").select("event_id")
+def written_ids(
+    ledger: DataFrame, now: Column | datetime | str | None = None, *, ttl_seconds: int | None = None
+) -> DataFrame:
+    return current_status(ledger, now, ttl_seconds=ttl_seconds).where("status = 'written'").select("event_id")
+
+
+def purged(ledger: DataFrame, now: Column | datetime | str | None = None) -> DataFrame:
+    """What is left of a ledger without expired entries, one per id: the table to replace it with."""
+    return current_status(ledger, now)
 
 
 def admit(batch: DataFrame, written: DataFrame) -> DataFrame:
@@ -121,17 +134,25 @@ def admit(batch: DataFrame, written: DataFrame) -> DataFrame:
 
 
 def idempotent_gate(
-    batch: DataFrame, ledger: DataFrame, now: Column | datetime | str | None = None
+    batch: DataFrame,
+    ledger: DataFrame,
+    now: Column | datetime | str | None = None,
+    *,
+    ttl_seconds: int | None = None,
 ) -> DataFrame:
     """Skip ids already written; unseen, expired and unfinished ids go through."""
-    return admit(batch, written_ids(ledger, now))
+    return admit(batch, written_ids(ledger, now, ttl_seconds=ttl_seconds))
 
 
 def gate_duplicates(
-    batch: DataFrame, ledger: DataFrame, now: Column | datetime | str | None = None
+    batch: DataFrame,
+    ledger: DataFrame,
+    now: Column | datetime | str | None = None,
+    *,
+    ttl_seconds: int | None = None,
 ) -> DataFrame:
     """One row: distinct ids of the batch, those admitted, and the duplicates among them."""
-    written = written_ids(ledger, now).distinct().withColumn("_written", F.lit(True))
+    written = written_ids(ledger, now, ttl_seconds=ttl_seconds).distinct().withColumn("_written", F.lit(True))
     seen = distinct_ids(batch).join(written, "event_id", "left")
     return seen.agg(
         F.count("*").alias("distinct_ids"),
@@ -148,6 +169,6 @@ def mark_quarantined(
     ttl_seconds: int = LEDGER_TTL_SECONDS,
 ) -> DataFrame:
     """Ledger rows ``quarantined`` for ids of invalid rows that have no live status."""
-    known = current_status(ledger, now).select("event_id")
+    known = current_status(ledger, now, ttl_seconds=ttl_seconds).select("event_id")
     new = distinct_ids(invalid).join(known, "event_id", "left_anti")
     return ledger_entries(new, "quarantined", now=now, ttl_seconds=ttl_seconds)

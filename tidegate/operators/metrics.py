@@ -13,7 +13,7 @@ from tidegate.operators.running import CHUNK, running_over_batches
 # The failure a breached quarantine rate raises, and the status before any run.
 RATE_FAILURE_TYPE = "excessive_quarantine_rate"
 RATE_FAILURE_COMPONENT = "validation"
-RATE_MESSAGE_PARTS = ("Quarantine rate ", " exceeds ")
+RATE_MESSAGE = "Quarantine rate %s exceeds %s"
 NOT_STARTED = "not_started"
 # End of fixed values.
 
@@ -36,7 +36,8 @@ def batch_metrics(checked: DataFrame, keys: Sequence[str] = BATCH_KEYS) -> DataF
     per_id = checked.groupBy(
         *keys, "is_valid", F.when(F.col("is_valid"), F.col("event_id")).alias("_id")
     ).agg(F.count("*").alias("_rows"))
-    brought_first = Window.partitionBy("is_valid", "_id").orderBy(*keys)
+    apart = F.when(~F.col("is_valid"), F.struct(*keys))  # invalid rows have no id to be ranked by
+    brought_first = Window.partitionBy("is_valid", "_id", apart).orderBy(*keys)
     ranked = per_id.withColumn("_first", F.row_number().over(brought_first) == 1)
     valid = F.when(F.col("is_valid") & F.col("_first"), 1).otherwise(0)
     return ranked.groupBy(*keys).agg(
@@ -112,11 +113,7 @@ def rate_alerts(
     return fired.select(
         *BATCH_KEYS,
         F.lit(RATE_FAILURE_TYPE).alias("failure_type"),
-        F.concat(
-            F.lit(RATE_MESSAGE_PARTS[0]),
-            percent(F.col("quarantine_rate")),
-            F.lit(f"{RATE_MESSAGE_PARTS[1]}{threshold:.2%}"),
-        ).alias("message"),
+        F.format_string(RATE_MESSAGE, percent(F.col("quarantine_rate")), F.lit(f"{threshold:.2%}")).alias("message"),
         F.lit(RATE_FAILURE_COMPONENT).alias("component"),
         F.lit(True).alias("recoverable"),
         F.create_map(

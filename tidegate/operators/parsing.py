@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from tidegate.functions import event_time
-from tidegate.model import CORRUPT_FIELD, EVENT_FIELDS, PARSE_SCHEMA
+from tidegate.model import CORRUPT_FIELD, END_FIELD, EVENT_FIELDS, PARSE_SCHEMA
 
 # Quoted keys and finite numbers only; what breaks these rules lands in the unreadable field.
 JSON_OPTIONS = {
@@ -18,6 +18,10 @@ PARSED = "_parsed"
 TIMES = "_times"
 HELPERS = (PARSED, TIMES)
 
+# The parser stops behind the first complete value and would not see what follows it. Inside an
+# outer object the payload must be one whole value for the closing member to be reached.
+WRAPPED = f"""concat('{{"event":', raw_payload, ',"{END_FIELD}":1}}')"""
+
 
 def parse_events(raw: DataFrame) -> DataFrame:
     """Adds the event fields, ``_parsed`` and ``_times`` to rows holding ``raw_payload``.
@@ -28,22 +32,21 @@ def parse_events(raw: DataFrame) -> DataFrame:
     transformation both need.
     """
     parsed = raw.withColumn(
-        PARSED, F.explode(F.array(F.from_json("raw_payload", PARSE_SCHEMA, JSON_OPTIONS)))
+        PARSED, F.explode(F.array(F.from_json(F.expr(WRAPPED), PARSE_SCHEMA, JSON_OPTIONS)))
     )
     times = F.struct(
-        event_time(f"{PARSED}.event_timestamp").alias("event"),
-        event_time(f"{PARSED}.ingestion_timestamp").alias("ingestion"),
+        event_time(f"{PARSED}.event.event_timestamp").alias("event"),
+        event_time(f"{PARSED}.event.ingestion_timestamp").alias("ingestion"),
     )
     timed = parsed.withColumn(TIMES, F.explode(F.array(times)))
-    return timed.selectExpr("*", *[f"{PARSED}.{name}" for name in EVENT_FIELDS])
+    return timed.selectExpr("*", *[f"{PARSED}.event.{name}" for name in EVENT_FIELDS])
 
 
-# True if the payload is not JSON. A clean parse settles it. Only rows the parser flagged pay
-# for a second look, which tells broken text (no field was read) from sound JSON with a value
-# of the wrong type.
-IS_MALFORMED = f"""{PARSED} IS NULL OR (
-  {PARSED}.{CORRUPT_FIELD} IS NOT NULL AND {PARSED}.event_id IS NULL
-  AND try_parse_json(raw_payload) IS NULL)"""
+# True if the payload is not one JSON value: broken text, several values, text behind the first. Only
+# rows the parser flagged pay for a second look, which tells text broken within a member from sound
+# JSON with a value of the wrong type. A payload that names the closing member itself is refused.
+IS_MALFORMED = f"""{PARSED}.{END_FIELD} IS NULL OR contains(raw_payload, '{END_FIELD}')
+  OR ({PARSED}.{CORRUPT_FIELD} IS NOT NULL AND try_parse_json(raw_payload) IS NULL)"""
 
 # True if event_value is present but is not a finite JSON number. NaN sorts above infinity, so
 # one comparison covers both.

@@ -11,7 +11,6 @@ from tidegate.functions import as_now
 from tidegate.operators.parsing import PARSED
 from tidegate.operators.rules import MALFORMED_JSON
 
-INDEX_SIZE = 10_000
 NEWEST_FIRST = ("processing_timestamp", "event_id", "original_payload")
 
 
@@ -26,7 +25,7 @@ def quarantine_envelope(
     A replayed event that fails again carries its attempts inside the payload; they go on
     counting instead of starting at 0. ``keep`` names further columns to carry along.
     """
-    attempts = F.col(PARSED)["_replay"]["retry_count"] if PARSED in invalid.columns else F.lit(None)
+    attempts = F.col(PARSED)["event"]["_replay"]["retry_count"] if PARSED in invalid.columns else F.lit(None)
     return invalid.select(
         "event_id",
         F.col("raw_payload").alias("original_payload"),
@@ -40,15 +39,10 @@ def quarantine_envelope(
     )
 
 
-def batch_sample(batch: DataFrame, limit: int = 1_000) -> DataFrame:
-    """A bounded look at one batch; the quarantine table itself keeps every row."""
-    return batch.limit(limit)
-
-
-def newest_records(quarantine: DataFrame, limit: int = 100) -> DataFrame:
-    """The newest records, 1 to 10,000 of them."""
-    if not 1 <= limit <= INDEX_SIZE:
-        raise ValueError(f"limit must lie between 1 and {INDEX_SIZE}")
+def newest_records(quarantine: DataFrame, limit: int) -> DataFrame:
+    """The newest records, as many as the caller asks for."""
+    if limit < 1:
+        raise ValueError("limit must be positive")
     return quarantine.orderBy(*[F.col(name).desc_nulls_last() for name in NEWEST_FIRST]).limit(limit)
 
 

@@ -36,6 +36,8 @@ REPLAY_SOURCE = "quarantine"
 # End of fixed values.
 
 RECORD_FIELDS = tuple(QUARANTINE_SCHEMA.fieldNames())
+# White space behind the object, and the audit an earlier replay left as its last member.
+EARLIER_AUDIT = r'\s+$|,"_replay":\{[^{}]*\}(?=\}\s*$)'
 
 
 def decide_replay(
@@ -102,13 +104,17 @@ def decide_replay(
 
 
 def _payload(clock: Column) -> Column:
-    """The event with its audit struct if it is replayed, else the record as it now stands."""
+    """The original payload with an audit member if it is replayed, else the record as it now stands."""
     audit = F.struct(
         clock.alias("replayed_at"), F.col("retry_count"), F.lit(REPLAY_SOURCE).alias("source")
     )
-    replayed = F.struct(*[F.col("_event")[name].alias(name) for name in EVENT_FIELDS], audit.alias("_replay"))
+    # A replayed payload is known to be one JSON object: everything in it stays as it was, and the
+    # audit becomes its last member, in place of that of an earlier replay.
+    whole = F.regexp_replace("original_payload", EARLIER_AUDIT, "")
+    body = F.substring(whole, F.lit(1), F.length(whole) - 1)
+    replayed = F.concat(body, F.lit(',"_replay":'), F.to_json(audit), F.lit("}"))
     record = F.struct(*RECORD_FIELDS, "last_replay_error", "last_replay_at")
-    return F.when(F.col("outcome") == REPLAYED, F.to_json(replayed)).otherwise(F.to_json(record))
+    return F.when(F.col("outcome") == REPLAYED, replayed).otherwise(F.to_json(record))
 
 
 def replay_messages(decisions: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidegate.functions import as_now, backoff_seconds
-from tidegate.operators.incidents import MAX_AUDIT_ROWS, newest
+from tidegate.operators.incidents import newest
 
 
 def backoff_schedule(
@@ -36,5 +36,5 @@ def audit_rows(
     return actions.select("action", "success", as_now(now).alias("timestamp"), "details")
 
 
-def latest_audit(audit: DataFrame, limit: int = MAX_AUDIT_ROWS) -> DataFrame:
+def latest_audit(audit: DataFrame, limit: int) -> DataFrame:
     return newest(audit, limit, "timestamp", "action")

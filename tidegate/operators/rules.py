@@ -32,7 +32,6 @@ ERROR_COLUMNS = ("error_type", "failed_field", "error_message", "is_valid")
 
 CLOCK = "_clock"
 LISTED = "_listed"
-MAX_BROADCAST_NAMES = 10_000
 
 
 @dataclass(frozen=True)
@@ -157,14 +156,10 @@ def check_against_table(
 ) -> DataFrame:
     """Like ``check_events``, with the event types kept in a table ``allowed(event_type)``.
 
-    The distinct list is counted up to a bound: within it, it is broadcast and the events stay
-    where they are; beyond it, Spark joins the two as it sees fit.
+    The distinct list joins the events as Spark sees fit by its size.
     """
     names = allowed.select(F.col("event_type").alias("_name")).where("_name IS NOT NULL").distinct()
-    small = names.limit(MAX_BROADCAST_NAMES + 1).count() <= MAX_BROADCAST_NAMES
     parsed = parse_events(raw)
-    listed = parsed.join(
-        F.broadcast(names) if small else names, parsed["event_type"] == names["_name"], "left"
-    )
+    listed = parsed.join(names, parsed["event_type"] == names["_name"], "left")
     marked = listed.withColumn(LISTED, F.col("_name").isNotNull()).drop("_name")
     return apply_rules(marked, event_rules(config, listed_types=True), now).drop(LISTED)

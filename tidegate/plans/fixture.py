@@ -43,49 +43,52 @@ concat('{', concat_ws(',',
   CASE WHEN event_id % 50 <> 5 AND event_id % 7 <> 0 THEN concat('"user_id":"usr-', user_id, '"') END,
   CASE WHEN event_id % 50 <> 5 THEN concat('"device_id":"dev-', user_id % 40, '"') END,
   concat('"event_type":"', CASE
-    WHEN event_id % 50 = 4 THEN 'video_autoplayed'
+    WHEN event_id % 50 = 4 THEN 'banner_hover'
     WHEN event_id % 50 = 13 THEN 'purchase'
     WHEN event_id % 50 = 17 THEN 'error_event'
     WHEN event_type = 'view' THEN 'page_view'
     WHEN event_type = 'error' THEN 'error_event'
     ELSE event_type END, '"'),
   concat('"event_timestamp":"', CASE
-    WHEN event_id % 50 = 3 THEN 'tomorrow-ish'
-    WHEN event_id % 50 = 14 THEN '2099-01-01T00:00:00Z'
+    WHEN event_id % 50 = 3 THEN 'sometime soon'
+    WHEN event_id % 50 = 14 THEN '2071-05-06T00:00:00Z'
     WHEN event_id % 50 <> 16 THEN date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'") END, '"'),
   concat('"ingestion_timestamp":"', CASE
-    WHEN event_id % 50 = 15 THEN 'not-a-timestamp'
+    WHEN event_id % 50 = 15 THEN 'half past nine'
     ELSE date_format(timestampadd(SECOND, 2 + 60 * copy, ts), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'") END, '"'),
   concat('"source_system":"', CASE WHEN event_id % 50 = 6 THEN '  '
     ELSE elt(CAST(user_id % 4 AS INT) + 1, 'web', 'mobile', 'iot-gateway', 'partner-api') END, '"'),
   concat('"region":"', CASE
-    WHEN event_id % 50 = 8 THEN 'mars-north'
+    WHEN event_id % 50 = 8 THEN 'north-pole'
     WHEN event_id % 50 <> 7 THEN elt(CAST(event_id % 4 AS INT) + 1, 'us-east', 'us-west', 'eu-west', 'ap-south')
     END, '"'),
   concat('"session_id":"ses-', user_id, '"'),
   concat('"event_value":', CASE
     WHEN event_id % 50 = 12 THEN '"abc"'
-    WHEN event_id % 50 IN (13, 17) THEN '-99.0'
+    WHEN event_id % 50 IN (13, 17) THEN '-12.5'
     ELSE CAST(value AS STRING) END),
   '"event_status":"accepted"',
   concat('"payload_version":"', CASE
-    WHEN event_id % 50 = 10 THEN '99.0'
+    WHEN event_id % 50 = 10 THEN '7.3'
     WHEN event_id % 50 <> 9 THEN IF(event_id % 2 = 0, '1.0', '1.1') END, '"'),
   CASE WHEN event_id % 50 = 11 THEN '"metadata":{}'
-    ELSE concat('"metadata":{"k":"', get_json_object(props, '$.k'), '"}') END
+    ELSE concat('"metadata":{"k":"', get_json_object(props, '$.k'), '"}') END,
+  CASE WHEN event_id % 3 = 0 THEN concat('"note":{"at":{"id":', event_id, '}}') END
 ), '}')
 """
-CUT_LENGTH = 20
+# Payloads that are not one JSON object: cut off, two objects with and without a comma, text behind.
+BROKEN = """CASE event_id % 50 WHEN 1 THEN substring(whole, 1, 20) WHEN 18 THEN concat(whole, whole)
+  WHEN 19 THEN concat(whole, ',', whole) WHEN 20 THEN concat(whole, ' and more') ELSE whole END"""
 
 
 def wire_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records with the columns of a Kafka source; ids divisible by 40 arrive twice."""
     copies = "explode(CASE WHEN event_id % 40 = 0 THEN array(0, 1) ELSE array(0) END) AS copy"
     rows = spread(events_table(spark, sf_dir)).selectExpr("*", copies)
-    cut = f"substring({PAYLOAD}, 1, CASE WHEN event_id % 50 = 1 THEN {CUT_LENGTH} ELSE 1000000 END)"
-    return rows.selectExpr(
+    whole = rows.selectExpr("*", f"{PAYLOAD} AS whole")
+    return whole.selectExpr(
         "CAST(NULL AS BINARY) AS key",
-        f"CAST({cut} AS BINARY) AS value",
+        f"CAST({BROKEN} AS BINARY) AS value",
         f"'{RAW_TOPIC}' AS topic",
         "CAST(event_id % 3 AS INT) AS partition",
         "event_id DIV 3 * 2 + copy AS offset",

@@ -23,7 +23,7 @@ def _quoted(text: str) -> str:
 def _verdict(now: str) -> str:
     """First failing rule as 'type/field'; null for a valid row."""
     return f"""CASE
-      WHEN d = 1 THEN 'malformed_json/'
+      WHEN d IN (1, 18, 19, 20) THEN 'malformed_json/'
       WHEN event_id IS NULL THEN 'schema_validation/event_id'
       WHEN event_time IS NULL THEN 'malformed_timestamp/event_timestamp'
       WHEN event_type NOT IN ('page_view','click','purchase','sensor_reading','error_event','heartbeat')
@@ -69,26 +69,27 @@ fields AS (
     CASE WHEN d <> 2 THEN 'evt-' || id END AS event_id,
     CASE WHEN d <> 5 AND id % 7 <> 0 THEN 'usr-' || uid END AS user_id,
     CASE WHEN d <> 5 THEN 'dev-' || (uid % 40) END AS device_id,
-    CASE WHEN d = 4 THEN 'video_autoplayed' WHEN d = 13 THEN 'purchase' WHEN d = 17 THEN 'error_event'
+    CASE WHEN d = 4 THEN 'banner_hover' WHEN d = 13 THEN 'purchase' WHEN d = 17 THEN 'error_event'
          WHEN etype = 'view' THEN 'page_view' WHEN etype = 'error' THEN 'error_event' ELSE etype END AS event_type,
-    CASE WHEN d = 3 THEN 'tomorrow-ish' WHEN d = 14 THEN '2099-01-01T00:00:00Z'
+    CASE WHEN d = 3 THEN 'sometime soon' WHEN d = 14 THEN '2071-05-06T00:00:00Z'
          WHEN d <> 16 THEN strftime(ts, '%Y-%m-%dT%H:%M:%S.%fZ') END AS event_timestamp,
-    CASE WHEN d = 14 THEN TIMESTAMP '2099-01-01 00:00:00' WHEN d NOT IN (3, 16) THEN ts END AS event_time,
-    CASE WHEN d = 15 THEN 'not-a-timestamp'
+    CASE WHEN d = 14 THEN TIMESTAMP '2071-05-06 00:00:00' WHEN d NOT IN (3, 16) THEN ts END AS event_time,
+    CASE WHEN d = 15 THEN 'half past nine'
          ELSE strftime(ts + to_seconds(2 + 60 * copy), '%Y-%m-%dT%H:%M:%S.%fZ') END AS ingestion_timestamp,
     CASE WHEN d <> 15 THEN ts + to_seconds(2 + 60 * copy) END AS ingestion_time,
     CASE WHEN d = 6 THEN '  ' ELSE {_cases("uid % 4", ["'web'", "'mobile'", "'iot-gateway'", "'partner-api'"])} END AS source_system,
-    CASE WHEN d = 8 THEN 'mars-north' WHEN d <> 7
+    CASE WHEN d = 8 THEN 'north-pole' WHEN d <> 7
          THEN {_cases("id % 4", ["'us-east'", "'us-west'", "'eu-west'", "'ap-south'"])} END AS region,
     'ses-' || uid AS session_id,
-    CASE WHEN d = 12 THEN '"abc"' WHEN d IN (13, 17) THEN '-99.0' ELSE CAST(value AS VARCHAR) END AS value_text,
-    CASE WHEN d IN (13, 17) THEN -99.0 WHEN d <> 12 THEN value END AS event_value,
+    CASE WHEN d = 12 THEN '"abc"' WHEN d IN (13, 17) THEN '-12.5' ELSE CAST(value AS VARCHAR) END AS value_text,
+    CASE WHEN d IN (13, 17) THEN -12.5 WHEN d <> 12 THEN value END AS event_value,
     'accepted' AS event_status,
-    CASE WHEN d = 10 THEN '99.0' WHEN d <> 9 THEN CASE WHEN id % 2 = 0 THEN '1.0' ELSE '1.1' END END AS payload_version,
+    CASE WHEN d = 10 THEN '7.3' WHEN d <> 9 THEN CASE WHEN id % 2 = 0 THEN '1.0' ELSE '1.1' END END AS payload_version,
     CASE WHEN d <> 11 THEN json_extract_string(props, '$.k') END AS k
   FROM src),
 wire AS (
-  SELECT *, CASE WHEN d = 1 THEN substr(whole, 1, 20) ELSE whole END AS raw_payload
+  SELECT *, CASE d WHEN 1 THEN substr(whole, 1, 20) WHEN 18 THEN whole || whole WHEN 19 THEN whole || ',' || whole
+    WHEN 20 THEN whole || ' and more' ELSE whole END AS raw_payload
   FROM (SELECT *, '{{' || concat_ws(',',
       '"event_id":"' || event_id || '"',
       '"user_id":"' || user_id || '"',
@@ -102,11 +103,12 @@ wire AS (
       '"event_value":' || value_text,
       '"event_status":"accepted"',
       '"payload_version":"' || payload_version || '"',
-      CASE WHEN k IS NULL THEN '"metadata":{{}}' ELSE '"metadata":{{"k":"' || k || '"}}' END) || '}}' AS whole
+      CASE WHEN k IS NULL THEN '"metadata":{{}}' ELSE '"metadata":{{"k":"' || k || '"}}' END,
+      CASE WHEN id % 3 = 0 THEN '"note":{{"at":{{"id":' || id || '}}}}' END) || '}}' AS whole
     FROM fields)),
 parsed AS (
   SELECT id, d, copy, source_topic, source_partition, source_offset, kafka_timestamp, raw_payload,
-    {", ".join(f"CASE WHEN d <> 1 THEN {c} END AS {c}" for c in (
+    {", ".join(f"CASE WHEN d NOT IN (1, 18, 19, 20) THEN {c} END AS {c}" for c in (
         "event_id", "user_id", "device_id", "event_type", "event_timestamp", "event_time",
         "ingestion_timestamp", "ingestion_time", "source_system", "region", "session_id",
         "event_value", "event_status", "payload_version", "k"))}
@@ -223,8 +225,10 @@ triaged AS (
   SELECT *,
     component || ' pipeline incident' AS incident_title,
     {_cases("n", [_quoted(t[1]) for t in (texts.REDIS, texts.KAFKA, texts.CHECKPOINT, texts.VALIDATION, texts.PARQUET_SINK, texts.STREAMING)])} AS likely_root_cause,
-    'inc-' || substr(sha256(concat_ws('|', failure_type, exception_message, coalesce(failed_topic, ''),
-      CAST(failed_batch_id AS VARCHAR), CAST(collected_at AS VARCHAR))), 1, 12) AS incident_id,
+    'inc-' || sha256(concat_ws('|', exception_message, failure_type, coalesce(failed_topic, ''),
+      CAST(failed_batch_id AS VARCHAR), CAST(failed_records AS VARCHAR), CAST(quarantine_rate AS VARCHAR),
+      CAST(retry_attempts AS VARCHAR), coalesce(latest_checkpoint, ''), redis_status, kafka_status,
+      CAST(collected_at AS VARCHAR))) AS incident_id,
     'The streaming pipeline reported: ' || exception_message || '. Retry attempts: ' || retry_attempts
       || '; quarantine rate: ' || printf('%.2f', quarantine_rate * 100) || '%.' AS summary
   FROM (SELECT *, {_cases("n", [_quoted(t[0]) for t in (texts.REDIS, texts.KAFKA, texts.CHECKPOINT, texts.VALIDATION, texts.PARQUET_SINK, texts.STREAMING)])} AS component,
@@ -268,14 +272,14 @@ def _windows(rows: str, size: str, more: str = "") -> str:
 _RELAXED = f"""SELECT error_type, failed_field, count(*) AS records
   FROM (SELECT split_part(verdict, '/', 1) AS error_type, nullif(split_part(verdict, '/', 2), '') AS failed_field
     FROM (SELECT CASE
-      WHEN d = 1 THEN 'malformed_json/'
+      WHEN d IN (1, 18, 19, 20) THEN 'malformed_json/'
       WHEN event_id IS NULL THEN 'schema_validation/event_id'
       WHEN event_time IS NULL THEN 'malformed_timestamp/event_timestamp'
-      WHEN event_type NOT IN ('page_view','click','purchase','sensor_reading','error_event','heartbeat','signup','video_autoplayed')
+      WHEN event_type NOT IN ('page_view','click','purchase','sensor_reading','error_event','heartbeat','signup','banner_hover')
         THEN 'quality_rule/event_type'
       WHEN region IS NULL THEN 'schema_validation/region'
       WHEN region NOT IN ('us-east','us-west','eu-west') THEN 'quality_rule/region'
-      WHEN payload_version NOT IN ('1.0','99.0') THEN 'quality_rule/payload_version'
+      WHEN payload_version NOT IN ('1.0','7.3') THEN 'quality_rule/payload_version'
       WHEN event_value IS NULL THEN 'quality_rule/event_value'
       WHEN event_value < 0 AND event_type IN ('page_view','click','sensor_reading','heartbeat') THEN 'quality_rule/event_value'
       WHEN event_time > {EARLIER} + INTERVAL 60 MINUTE THEN 'quality_rule/event_timestamp'
@@ -313,6 +317,8 @@ SQL: dict[str, str] = {
     "window_agg_1h": _windows("deduped", "1 hour"),
     "window_agg_1d": _windows("deduped", "1 day"),
     "exact_unique_devices": _windows("deduped", "1 day", ", count(DISTINCT device_id) AS unique_device_count"),
+    "approx_unique_devices": f"""SELECT window_start, event_type, region, source_system, unique_device_count AS exact_count,
+      TRUE AS estimate_is_near FROM ({_windows("deduped", "1 day", ", count(DISTINCT device_id) AS unique_device_count")})""",
     "replay_window_refresh": """, before AS (
         SELECT event_time AS event_timestamp, event_type, region, source_system, event_value
         FROM checked_earlier WHERE is_valid
@@ -344,13 +350,13 @@ SQL: dict[str, str] = {
     "quarantine_latest": """SELECT event_id, original_payload, error_type, failed_field FROM envelopes
       ORDER BY kafka_timestamp DESC, event_id DESC NULLS LAST, original_payload DESC LIMIT 100""",
     "quarantine_index": """SELECT event_id, original_payload, error_type, failed_field FROM envelopes
-      ORDER BY kafka_timestamp DESC, event_id DESC NULLS LAST, original_payload DESC LIMIT 10000""",
+      ORDER BY kafka_timestamp DESC, event_id DESC NULLS LAST, original_payload DESC LIMIT 2000""",
     "quarantine_ids": "SELECT DISTINCT event_id FROM envelopes WHERE event_id IS NOT NULL",
     "quarantine_stats": """SELECT error_type, CAST(grouping(error_type) AS INTEGER) AS is_total, count(*) AS records,
       count(*) FILTER (replay_eligible) AS replay_eligible FROM envelopes GROUP BY ROLLUP (error_type)""",
     "quarantine_index_stats": """SELECT error_type, CAST(grouping(error_type) AS INTEGER) AS is_total, count(*) AS records,
       count(*) FILTER (replay_eligible) AS replay_eligible FROM (SELECT * FROM envelopes
-        ORDER BY kafka_timestamp DESC, event_id DESC NULLS LAST, original_payload DESC LIMIT 10000)
+        ORDER BY kafka_timestamp DESC, event_id DESC NULLS LAST, original_payload DESC LIMIT 2000)
       GROUP BY ROLLUP (error_type)""",
     "quarantine_summary": """SELECT count(*) AS indexed_records, count(*) FILTER (replay_eligible) AS replay_eligible,
       count(*) FILTER (error_type = 'malformed_json') AS malformed_json,
@@ -410,7 +416,8 @@ SQL: dict[str, str] = {
       CASE WHEN outcome <> 'replayed' THEN first_error END AS error_type,
       CASE WHEN outcome <> 'replayed' THEN retry_count END AS record_retry_count,
       CASE WHEN outcome = 'replayed' THEN retry_count END AS audit_retry_count,
-      CASE WHEN outcome = 'replayed' THEN 'quarantine' END AS audit_source
+      CASE WHEN outcome = 'replayed' THEN 'quarantine' END AS audit_source,
+      CASE WHEN outcome = 'replayed' AND CAST(substr(event_id, 5) AS BIGINT) % 3 = 0 THEN substr(event_id, 5) END AS note_id
       FROM (SELECT *, unnest(CASE WHEN outcome = 'replayed' THEN [destination, 'events.raw'] ELSE [destination] END) AS topic
         FROM replays)""",
     "replay_counts": """SELECT count(*) FILTER (outcome = 'replayed') AS replayed,

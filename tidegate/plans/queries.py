@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tidegate.model import COORDINATES, EVENT_TYPES, RuleConfig
+from tidegate.model import COORDINATES, EVENT_TYPES, LEDGER_TTL_SECONDS, RuleConfig
 from tidegate.operators import (
     aggregate,
     dedup,
@@ -29,6 +29,8 @@ from tidegate.sources import wire
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
+# How many rows the top-n reports ask for.
+INDEX_PAGE, INCIDENT_PAGE, AUDIT_PAGE = 2_000, 1_000, 500
 
 
 def query(build: Query) -> Query:
@@ -169,9 +171,9 @@ def error_breakdown(spark, sf_dir):
 RELAXED = RuleConfig.from_mapping(
     {
         "required_fields": ["event_id", "event_timestamp", "event_type", "region"],
-        "allowed_event_types": [*EVENT_TYPES, "signup", "video_autoplayed"],
+        "allowed_event_types": [*EVENT_TYPES, "signup", "banner_hover"],
         "allowed_regions": ["us-east", "us-west", "eu-west"],
-        "supported_payload_versions": ["1.0", "99.0"],
+        "supported_payload_versions": ["1.0", "7.3"],
         "identity": {"require_user_or_device": False},
         "metadata": {"required": False},
         "event_value": {
@@ -247,8 +249,14 @@ def exact_unique_devices(spark, sf_dir):
 
 @query
 def approx_unique_devices(spark, sf_dir):
-    windows = aggregate.aggregate_events(deduped(spark, sf_dir), "1 day")
-    return rounded(windows, "unique_device_count")
+    """Estimates beside exact counts: how many windows there are, and how many are within a fifth."""
+    keys = ["window_start", "event_type", "region", "source_system"]
+    rows = deduped(spark, sf_dir)
+    near = aggregate.aggregate_events(rows, "1 day").select(*keys, F.col("unique_device_count").alias("near"))
+    exact = aggregate.aggregate_events(rows, "1 day", exact_devices=True)
+    both = near.join(exact, keys)
+    close = F.abs(F.col("near") - F.col("unique_device_count")) <= F.greatest(F.col("unique_device_count") * 0.2, F.lit(1))
+    return both.select(*keys, F.col("unique_device_count").alias("exact_count"), close.alias("estimate_is_near"))
 
 
 @query
@@ -331,8 +339,8 @@ def quarantine_latest(spark, sf_dir):
 
 @query
 def quarantine_index(spark, sf_dir):
-    """The newest 10,000 records, the bound of the index."""
-    newest = quarantine.newest_records(envelopes(spark, sf_dir), quarantine.INDEX_SIZE)
+    """A page of the newest records."""
+    newest = quarantine.newest_records(envelopes(spark, sf_dir), INDEX_PAGE)
     return newest.select("event_id", "original_payload", "error_type", "failed_field")
 
 
@@ -348,8 +356,8 @@ def quarantine_stats(spark, sf_dir):
 
 @query
 def quarantine_index_stats(spark, sf_dir):
-    """The same over the newest 10,000 records."""
-    newest = quarantine.newest_records(envelopes(spark, sf_dir), quarantine.INDEX_SIZE)
+    """The same over a page of the newest records."""
+    newest = quarantine.newest_records(envelopes(spark, sf_dir), INDEX_PAGE)
     return quarantine.quarantine_stats(newest)
 
 
@@ -428,7 +436,7 @@ def run_status(spark, sf_dir):
 
 @query
 def ledger_current(spark, sf_dir):
-    return ledger.current_status(live_ledger(spark, sf_dir), NOW)
+    return ledger.current_status(live_ledger(spark, sf_dir), NOW, ttl_seconds=LEDGER_TTL_SECONDS)
 
 
 @query
@@ -454,13 +462,17 @@ def ledger_claimed_entries(spark, sf_dir):
 
 @query
 def idempotent_gate(spark, sf_dir):
-    admitted = ledger.idempotent_gate(deduped(spark, sf_dir), live_ledger(spark, sf_dir), NOW)
+    admitted = ledger.idempotent_gate(
+        deduped(spark, sf_dir), live_ledger(spark, sf_dir), NOW, ttl_seconds=LEDGER_TTL_SECONDS
+    )
     return admitted.select("event_id", "event_timestamp", "source_offset")
 
 
 @query
 def gate_duplicates(spark, sf_dir):
-    return ledger.gate_duplicates(clean(spark, sf_dir), live_ledger(spark, sf_dir), NOW)
+    return ledger.gate_duplicates(
+        clean(spark, sf_dir), live_ledger(spark, sf_dir), NOW, ttl_seconds=LEDGER_TTL_SECONDS
+    )
 
 
 @query
@@ -497,8 +509,10 @@ def replay_publish(spark, sf_dir):
     sent = replay.replay_messages(decisions(spark, sf_dir))
     value = "event_id string, error_type string, retry_count int, _replay struct<retry_count:int, source:string>"
     parsed = F.from_json("value", value)
-    return sent.select("topic", F.explode(F.array(parsed)).alias("v")).select(
+    note = F.get_json_object("value", "$.note.at.id").alias("note_id")
+    return sent.select("topic", note, F.explode(F.array(parsed)).alias("v")).select(
         "topic",
+        "note_id",
         F.col("v")["event_id"].alias("event_id"),
         F.col("v")["error_type"].alias("error_type"),
         F.col("v")["retry_count"].alias("record_retry_count"),
@@ -601,8 +615,8 @@ def incident_latest(spark, sf_dir):
 
 @query
 def incidents_recent(spark, sf_dir):
-    """The newest 1,000 incidents, the bound of the incident list."""
-    return incidents.recent_incidents(reports(spark, sf_dir)).select("incident_id", "severity", "created_at")
+    """A page of the newest incidents."""
+    return incidents.recent_incidents(reports(spark, sf_dir), INCIDENT_PAGE).select("incident_id", "severity", "created_at")
 
 
 @query
@@ -636,7 +650,7 @@ def retry_history(spark, sf_dir):
 
 @query
 def audit_latest(spark, sf_dir):
-    latest = retries.latest_audit(fixture.audit_log(spark, sf_dir))
+    latest = retries.latest_audit(fixture.audit_log(spark, sf_dir), AUDIT_PAGE)
     return latest.withColumn("details", F.col("details")["event"])
 
 

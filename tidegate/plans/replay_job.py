@@ -1,8 +1,9 @@
 """A replay run as one batch job over the stored tables.
 
 The decisions are written first and read back for everything that follows, so a run that died
-half way can be repeated under its run id and its ``now``: it finds the same pending records,
-replaces what it wrote, and sends nothing new.
+half way can be repeated under its run id and its ``now``: it finds the same pending records and
+replaces what it wrote. Messages kept as tables are replaced as well; to Kafka they go again, at
+least once.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from tidegate.model import EVENT_SCHEMA, QUARANTINE_SCHEMA, RuleConfig
+from tidegate.model import AGGREGATION_WINDOW, EVENT_SCHEMA, QUARANTINE_SCHEMA, RuleConfig
 from tidegate.operators import replay
 from tidegate.operators.aggregate import GROUP_KEYS, touched_windows
 from tidegate.operators.dedup import dedup_first
@@ -44,6 +45,7 @@ class ReplayJob:
     run_id: str
     now: datetime
     config: RuleConfig = RuleConfig()
+    window: str = AGGREGATION_WINDOW  # that of the flows whose windows are corrected
 
     @property
     def stamp(self) -> BatchStamp:
@@ -91,7 +93,7 @@ class ReplayJob:
         added = self._own("clean_events", CLEAN_SCHEMA)
         tables.count(added, stamp, valid=F.count("*"))
         self._write(ledger_entries(added, "replayed", now=self.now, ttl_seconds=tables.ttl_seconds), "ledger")
-        self._write(touched_windows(tables.clean(), added), "window_corrections")
+        self._write(touched_windows(tables.clean(), added, self.window), "window_corrections")
         self._write(replay.replay_run(decided, self.now), "replay_runs")
         return replay.replay_counts(decided)
 

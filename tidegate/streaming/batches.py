@@ -11,6 +11,7 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from tidegate.model import (
+    AGGREGATE_SCHEMA,
     AGGREGATED_TOPIC,
     EVENT_SCHEMA,
     LEDGER_SCHEMA,
@@ -53,20 +54,6 @@ def _clean_schema() -> T.StructType:
 
 
 CLEAN_SCHEMA = _clean_schema()
-AGGREGATE_SCHEMA = T.StructType(
-    [
-        T.StructField("window_start", T.TimestampType()),
-        T.StructField("window_end", T.TimestampType()),
-        T.StructField("event_type", T.StringType()),
-        T.StructField("region", T.StringType()),
-        T.StructField("source_system", T.StringType()),
-        T.StructField("event_count", T.LongType()),
-        T.StructField("average_event_value", T.DoubleType()),
-        T.StructField("error_event_count", T.LongType()),
-        T.StructField("unique_device_count", T.LongType()),
-        T.StructField("window_date", T.DateType()),
-    ]
-)
 METRIC_SCHEMA = T.StructType(
     [T.StructField(name, T.LongType()) for name in METRIC_COUNTERS]
     + [T.StructField("recorded_at", T.TimestampType())]
@@ -184,7 +171,7 @@ class BatchTables:
         Windows carry no processing time; their folder is dated by the newest window instead,
         which is the same when the batch is repeated.
         """
-        with self._batch(batch, batch_id, F.max("window_end")) as stamp:
+        with self._batch(batch, batch_id, F.col("window_end")) as stamp:
             if stamp is None:
                 return
             write_batch(batch, self.path("aggregates"), stamp.day, stamp.query_id, stamp.batch_id,
@@ -196,15 +183,15 @@ class BatchTables:
 
     @contextmanager
     def _batch(self, batch: DataFrame, batch_id: int, clock: Column):
-        """Keep the batch for the length of a writer; gives its stamp, or None if it is empty."""
+        """Keep the batch for the length of a writer; gives its stamp, or None if it is empty.
+
+        The newest time counts, which a repeat in another row order finds again.
+        """
         with overridden(batch.sparkSession, ADAPTIVE):
             batch.persist(StorageLevel.MEMORY_AND_DISK)
             try:
-                first = batch.select(F.unix_seconds(clock).alias("clock")).first()
-                if first is None or first.clock is None:
-                    yield None
-                else:
-                    yield BatchStamp(self._query_id(), batch_id, first.clock)
+                newest = batch.agg(F.max(F.unix_seconds(clock))).first()[0]
+                yield None if newest is None else BatchStamp(self._query_id(), batch_id, newest)
             finally:
                 batch.unpersist()
 
