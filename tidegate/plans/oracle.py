@@ -495,6 +495,9 @@ SQL: dict[str, str] = {
     "stream_clean_equals_batch": """SELECT event_id, event_timestamp, event_type, region, event_value, processing_key,
       event_date FROM deduped""",
     "stream_agg_equals_batch": _windows("deduped", "5 minutes"),
+    "stream_lost_checkpoint_aggregates": _windows("deduped", "5 minutes"),
+    "stream_lost_checkpoint_quarantine": """SELECT event_id, original_payload, error_type, error_message, failed_field,
+      replay_eligible, retry_count FROM envelopes""",
     "stream_restart": """SELECT event_id, original_payload, error_type, error_message, failed_field, replay_eligible,
       retry_count FROM envelopes""",
 }

@@ -670,3 +670,13 @@ def stream_agg_equals_batch(spark, sf_dir):
 @query
 def stream_restart(spark, sf_dir):
     return streams.stream_quarantine(spark, sf_dir)
+
+
+@query
+def stream_lost_checkpoint_aggregates(spark, sf_dir):
+    return rounded(streams.lost_checkpoint_aggregates(spark, sf_dir))
+
+
+@query
+def stream_lost_checkpoint_quarantine(spark, sf_dir):
+    return streams.lost_checkpoint_quarantine(spark, sf_dir)

@@ -61,8 +61,8 @@ class ReplayJob:
             F.max("retry_count").alias("_tries"),
             F.bool_or(F.col("outcome") != replay.DEFERRED).alias("_done"),
         )
-        records = self.tables.quarantine().select(*QUARANTINE_SCHEMA.fieldNames())
-        keyed = records.withColumn("record_key", _record_key())
+        stored = self.tables.quarantine()
+        keyed = stored.select(*QUARANTINE_SCHEMA.fieldNames(), _record_key().alias("record_key"))
         joined = keyed.join(latest, "record_key", "left").where("NOT coalesce(_done, false)")
         return joined.withColumn("retry_count", F.coalesce("_tries", "retry_count")).drop("_tries", "_done")
 
@@ -122,10 +122,10 @@ class ReplayJob:
 
 
 def _record_key() -> Column:
-    """Names a quarantined record: the same payload set aside twice is two records."""
-    return F.sha2(
-        F.concat_ws("|", "processing_timestamp", "error_type", F.coalesce("original_payload", F.lit(""))), 256
-    )
+    """Names a quarantined record by where it came from; one of unknown source by time, type and text."""
+    source = F.concat_ws("|", "source_topic", F.col("source_partition").cast("string"), F.col("source_offset").cast("string"))
+    text = F.concat_ws("|", "processing_timestamp", "error_type", F.coalesce("original_payload", F.lit("")))
+    return F.sha2(F.when(F.col("source_offset").isNotNull(), source).otherwise(text), 256)
 
 
 def corrected_windows(tables: BatchTables) -> DataFrame:

@@ -63,6 +63,34 @@ def run_in_two_parts(spark: SparkSession, sf_dir: str, name: str) -> BatchTables
     return tables
 
 
+def run_with_lost_checkpoint(spark: SparkSession, sf_dir: str, name: str) -> BatchTables:
+    """As above, then the whole input once more under a new checkpoint, into the same tables."""
+    root = scratch_dir(spark, f"stream-lost-{name}")
+    wire_records(spark, sf_dir).unionByName(closing_record(spark)).write.parquet(f"{root}/wire")
+    tables = BatchTables(spark, f"{root}/tables")
+    for checkpoint in ("first", "second"):
+        flows = build_flows(file_stream(spark, f"{root}/wire"), now=NOW)
+        drain(
+            start_flows(
+                flows, tables, f"{root}/{checkpoint}", trigger=AVAILABLE_NOW, names=(name,),
+                state_partitions=spark.sparkContext.defaultParallelism,
+            )
+        )
+    return tables
+
+
+def lost_checkpoint_aggregates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return run_with_lost_checkpoint(spark, sf_dir, "aggregates").aggregates()
+
+
+def lost_checkpoint_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = run_with_lost_checkpoint(spark, sf_dir, "quarantine").quarantine()
+    return rows.select(
+        "event_id", "original_payload", "error_type", "error_message", "failed_field",
+        "replay_eligible", "retry_count",
+    )
+
+
 def stream_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = run_in_two_parts(spark, sf_dir, "clean").clean()
     return rows.where(F.col("event_id") != SENTINEL_ID).select(

@@ -6,6 +6,7 @@ from collections.abc import Callable
 from contextlib import contextmanager
 from dataclasses import dataclass, field
 from datetime import date
+from functools import reduce
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
@@ -13,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from tidegate.model import (
     AGGREGATE_SCHEMA,
     AGGREGATED_TOPIC,
+    COORDINATES,
     EVENT_SCHEMA,
     LEDGER_SCHEMA,
     LEDGER_TTL_SECONDS,
@@ -21,6 +23,7 @@ from tidegate.model import (
     QUARANTINE_TOPIC,
     TRANSFORMED_TOPIC,
 )
+from tidegate.operators.aggregate import GROUP_KEYS
 from tidegate.operators.ledger import ledger_entries, mark_quarantined
 from tidegate.session import overridden
 from tidegate.sinks.messages import encode_aggregates, encode_clean, encode_quarantine, publish_kafka
@@ -54,6 +57,10 @@ def _clean_schema() -> T.StructType:
 
 
 CLEAN_SCHEMA = _clean_schema()
+COORDINATE_FIELDS = [f for f in CLEAN_SCHEMA.fields if f.name in COORDINATES]
+STORED_QUARANTINE = T.StructType(QUARANTINE_SCHEMA.fields + COORDINATE_FIELDS)
+RECORD_KEY = ("source_topic", "source_partition", "source_offset")
+WINDOW_KEY = ("window_start", "window_end", *GROUP_KEYS)
 METRIC_SCHEMA = T.StructType(
     [T.StructField(name, T.LongType()) for name in METRIC_COUNTERS]
     + [T.StructField("recorded_at", T.TimestampType())]
@@ -116,7 +123,7 @@ class BatchTables:
         return read_table(self.spark, self.path("aggregates"), AGGREGATE_SCHEMA)
 
     def quarantine(self) -> DataFrame:
-        return read_table(self.spark, self.path("quarantine"), QUARANTINE_SCHEMA)
+        return read_table(self.spark, self.path("quarantine"), STORED_QUARANTINE)
 
     def ledger(self) -> DataFrame:
         return read_table(self.spark, self.path("ledger"), LEDGER_SCHEMA)
@@ -156,8 +163,9 @@ class BatchTables:
         with self._batch(batch, batch_id, clock) as stamp:
             if stamp is None:
                 return
+            batch = self._unknown(batch, self.quarantine(), RECORD_KEY, stamp)
             write_batch(batch, self.path("quarantine"), stamp.day, stamp.query_id, stamp.batch_id)
-            self._publish("quarantine", encode_quarantine(batch), stamp)
+            self._publish("quarantine", encode_quarantine(batch.drop(*COORDINATES)), stamp)
             days = stamp.back(self.ttl_seconds)
             ledger = read_table(batch.sparkSession, self.path("ledger"), LEDGER_SCHEMA, days=days)
             known = _among(not_from(ledger, stamp.query_id, stamp.batch_id), batch)
@@ -174,6 +182,7 @@ class BatchTables:
         with self._batch(batch, batch_id, F.col("window_end")) as stamp:
             if stamp is None:
                 return
+            batch = self._unknown(batch, self.aggregates(), WINDOW_KEY, stamp)
             write_batch(batch, self.path("aggregates"), stamp.day, stamp.query_id, stamp.batch_id,
                         partition_by=AGGREGATE_PARTITIONS)
             self._publish("aggregates", encode_aggregates(batch), stamp)
@@ -195,6 +204,18 @@ class BatchTables:
             finally:
                 batch.unpersist()
 
+    def _unknown(self, batch: DataFrame, table: DataFrame, key: tuple[str, ...], stamp: BatchStamp) -> DataFrame:
+        """Rows that no other query has written: a new checkpoint reads the same input again.
+
+        Batches of the query itself never overlap, so the filter leaves out its folders, and while
+        there is one query no file is opened.
+        """
+        if not set(key) <= set(batch.columns):
+            return batch
+        others = table.where(F.col("query_id") != stamp.query_id).select(*key).distinct()
+        same = [batch[name].eqNullSafe(others[name]) for name in key]
+        return batch.join(others, reduce(Column.__and__, same), "left_anti")
+
     def _query_id(self) -> str:
         """The id kept in the checkpoint, the same after every restart."""
         return self.spark.sparkContext.getLocalProperty("sql.streaming.queryId")

@@ -7,7 +7,7 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
 
-from tidegate.model import AGGREGATION_WINDOW, WATERMARK, RuleConfig
+from tidegate.model import AGGREGATION_WINDOW, COORDINATES, WATERMARK, RuleConfig
 from tidegate.operators.aggregate import aggregate_events
 from tidegate.operators.dedup import dedup_stream
 from tidegate.operators.quarantine import quarantine_envelope
@@ -41,6 +41,6 @@ def build_flows(
     )
     return Flows(
         clean=clean,
-        quarantine=quarantine_envelope(invalid_events(checked), now=now),
+        quarantine=quarantine_envelope(invalid_events(checked), now=now, keep=COORDINATES),
         aggregates=aggregate_events(clean, window),
     )
