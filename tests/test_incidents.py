@@ -138,15 +138,28 @@ def test_incomplete_external_reports_are_replaced(spark):
     assert rows[0].provider_fallback_reason is None and rows[2].provider_fallback_reason is None
 
 
-def test_incident_table_is_flat_and_appendable(spark, tmp_path):
-    from tidegate.sinks.tables import append_table
+def test_incident_job_adds_nothing_twice(spark, tmp_path):
+    import datetime as dt
 
+    from tidegate.plans.incident_job import IncidentJob
+
+    at = dt.datetime(2026, 1, 1, tzinfo=dt.timezone.utc)
+    counts = [("q", 1, 90, 1, 0, at), ("q", 2, 0, 60, 0, at)]
+    metrics = spark.createDataFrame(counts, "query_id string, batch_id long, valid long, quarantined long, duplicates long, detected_at timestamp")
+    log = [("OSError", "Parquet footer lost", {"batch_id": "7"}, at), ("OSError", "Parquet footer lost", {"batch_id": "8"}, at)]
+    failures = spark.createDataFrame(log, "exception_class string, message string, metadata map<string,string>, detected_at timestamp")
+    for run_id in ("a", "a", "b"):
+        job = IncidentJob(spark, str(tmp_path), run_id, at)
+        job.run(metrics, failures)
+    assert job.incidents().count() == 3 and job.audit().count() == 3
+    assert {row.query_id for row in job.incidents().collect()} == {"incidents-a"}
+
+
+def test_incident_table_is_flat(spark, tmp_path):
     own = incidents.incident_reports(contexts(spark, {"failed_topic": "events.raw"}))
     flat = incidents.incident_table(own)
-    append_table(flat, str(tmp_path / "incidents"))
-    append_table(flat, str(tmp_path / "incidents"))
+    flat.write.parquet(str(tmp_path / "incidents"))
     back = spark.read.parquet(str(tmp_path / "incidents"))
-    assert back.count() == 2
     row = back.first()
     assert json.loads(row.affected_components)[1] == "PySpark Structured Streaming"
     assert json.loads(row.evidence)["failed_topic"] == "events.raw"

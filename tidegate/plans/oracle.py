@@ -387,6 +387,18 @@ SQL: dict[str, str] = {
         || '% exceeds 45.00%. Retry attempts: 0; quarantine rate: ' || printf('%.2f', rate * 100) || '%.' AS summary,
       make_timestamp(batch_id * 3600 * 1000000) AS collected_at
       FROM history WHERE rate > 0.45 AND rate_before <= 0.45""",
+    "incident_job": """, alerted AS (SELECT DISTINCT rate, batch_id FROM history WHERE rate > 0.45 AND rate_before <= 0.45)
+      SELECT exception_message, failure_type, severity, summary, collected_at AS created_at, true AS success
+      FROM (SELECT DISTINCT ON (incident_id) * FROM triaged)
+      UNION ALL SELECT 'Quarantine rate ' || printf('%.2f', rate * 100) || '% exceeds 45.00%', 'excessive_quarantine_rate',
+      CASE WHEN rate >= 0.5 THEN 'critical' ELSE 'high' END,
+      'The streaming pipeline reported: Quarantine rate ' || printf('%.2f', rate * 100)
+        || '% exceeds 45.00%. Retry attempts: 0; quarantine rate: ' || printf('%.2f', rate * 100) || '%.',
+      make_timestamp(batch_id * 3600 * 1000000), true FROM alerted""",
+    "processed_at": f"SELECT event_id, source_offset, {NOW} AS processed_at FROM clean",
+    "stream_generic_sinks": "SELECT event_id, event_date, event_value, event_value AS said_value FROM deduped",
+    "stream_checkpoint_reads": """SELECT 'clean' AS query_name, count(*) > 0 AS committed_twice,
+      'dedupeWithinWatermark' AS operator_name, true AS holds_state, '/x/clean' AS folder FROM deduped""",
     "run_status": """SELECT CASE WHEN event_type = 'error' THEN 'stopped' ELSE 'running' END AS status, ts AS at
       FROM events ORDER BY ts DESC LIMIT 1""",
     "ledger_current": "SELECT * FROM ledger_current",

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -22,8 +23,9 @@ from tidegate.operators import (
 )
 from tidegate.operators.parsing import drop_helpers, parse_events
 from tidegate.plans import fixture, streams
+from tidegate.plans.incident_job import IncidentJob
 from tidegate.plans.fixture import EARLIER_NOW, NOW
-from tidegate.session import pin_utc
+from tidegate.session import pin_utc, scratch_dir
 from tidegate.sinks import messages
 from tidegate.sources import wire
 
@@ -283,6 +285,11 @@ def late_rows(spark, sf_dir):
     )
 
 
+@query
+def processed_at(spark, sf_dir):
+    return clean(spark, sf_dir).select("event_id", "source_offset", "processed_at")
+
+
 # -- messages ------------------------------------------------------------------------------
 
 
@@ -654,6 +661,24 @@ def audit_latest(spark, sf_dir):
     return latest.withColumn("details", F.col("details")["event"])
 
 
+@query
+def incident_job(spark, sf_dir):
+    """The job over the given logs, run three times: once, again, and under another run id."""
+    measured = hourly_metrics(spark, sf_dir)
+    measured = measured.withColumn("detected_at", F.timestamp_seconds(F.col("batch_id") * 3600))
+    root, now = scratch_dir(spark, "incidents"), datetime(2024, 2, 1, tzinfo=timezone.utc)
+    for run_id in ("one", "one", "two"):
+        job = IncidentJob(spark, root, run_id, now, threshold=0.45, chunk=100)
+        job.run(measured, fixture.failure_log(spark, sf_dir))
+    noted = job.audit().select(F.col("details")["incident_id"].alias("incident_id"), "success")
+    stored = job.incidents().join(noted, "incident_id")
+    return stored.select(
+        F.get_json_object("evidence", "$.exception_message").alias("exception_message"),
+        F.get_json_object("evidence", "$.failure_type").alias("failure_type"),
+        "severity", "summary", "created_at", "success",
+    )
+
+
 # -- streams -------------------------------------------------------------------------------
 
 
@@ -680,3 +705,13 @@ def stream_lost_checkpoint_aggregates(spark, sf_dir):
 @query
 def stream_lost_checkpoint_quarantine(spark, sf_dir):
     return streams.lost_checkpoint_quarantine(spark, sf_dir)
+
+
+@query
+def stream_generic_sinks(spark, sf_dir):
+    return streams.generic_sinks(spark, sf_dir)
+
+
+@query
+def stream_checkpoint_reads(spark, sf_dir):
+    return streams.checkpoint_reads(spark, sf_dir)

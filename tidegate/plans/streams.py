@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidegate.model import RAW_TOPIC
 from tidegate.plans.fixture import NOW, wire_records
-from tidegate.session import scratch_dir
-from tidegate.sinks.streams import AVAILABLE_NOW
+from tidegate.session import overridden, scratch_dir
+from tidegate.sinks.streams import AVAILABLE_NOW, write_json_stream, write_parquet_stream
+from tidegate.sources.checkpoints import checkpoint_path, latest_commit, state_operators, state_rows
 from tidegate.sources.wire import file_stream
 from tidegate.streaming.batches import BatchTables
 from tidegate.streaming.flows import build_flows
@@ -79,6 +80,49 @@ def run_with_lost_checkpoint(spark: SparkSession, sf_dir: str, name: str) -> Bat
     return tables
 
 
+def generic_sinks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clean rows of the stream through the generic Parquet and JSON sinks, read back side by side.
+
+    The Parquet sink drains what there is; the JSON sink runs on a processing-time trigger until
+    the source is used up.
+    """
+    root = scratch_dir(spark, "stream-sinks")
+    wire_records(spark, sf_dir).write.parquet(f"{root}/wire")
+    rows = build_flows(file_stream(spark, f"{root}/wire"), now=NOW).clean
+    rows = rows.select("event_id", "event_date", "source_offset", "event_timestamp", "event_value")
+    with overridden(spark, {"spark.sql.shuffle.partitions": str(spark.sparkContext.defaultParallelism)}):
+        write_parquet_stream(
+            rows, path=f"{root}/table", checkpoint=f"{root}/check-table", query_name="generic-table",
+            partition_by=["event_date"], trigger=AVAILABLE_NOW,
+        ).awaitTermination()
+        said = write_json_stream(
+            rows, checkpoint=f"{root}/check-said", query_name="generic-messages", format="json",
+            path=f"{root}/said", trigger="1 second",
+        )
+        try:
+            said.processAllAvailable()
+        finally:
+            said.stop()
+    value = F.from_json("value", "event_id string, event_value double")
+    messages = spark.read.schema("key string, value string").json(f"{root}/said")
+    messages = messages.select("key", F.explode(F.array(value)).alias("v")).select(
+        F.col("key").alias("event_id"), F.col("v.event_value").alias("said_value")
+    )
+    table = spark.read.parquet(f"{root}/table").select("event_id", "event_date", "event_value")
+    return table.join(messages, "event_id")
+
+
+def checkpoint_reads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the checkpoint of the clean query says after two runs: commits, operator, checkpoint folder."""
+    root = run_in_two_parts(spark, sf_dir, "clean").root.removesuffix("/tables")
+    commits = latest_commit(spark, f"{root}/checkpoints", "clean")
+    operator = state_operators(spark, f"{root}/checkpoints", "clean").select("operatorName")
+    held = state_rows(spark, f"{root}/checkpoints", "clean").agg((F.count("*") >= 1).alias("holds_state"))
+    path = F.lit(checkpoint_path("/x/", "clean")).alias("folder")
+    both = commits.withColumn("one", F.lit(1)).join(operator.withColumn("one", F.lit(1)), "one").join(held.withColumn("one", F.lit(1)), "one")
+    return both.select("query_name", (F.col("latest_commit") >= 1).alias("committed_twice"), F.col("operatorName").alias("operator_name"), "holds_state", path)
+
+
 def lost_checkpoint_aggregates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_with_lost_checkpoint(spark, sf_dir, "aggregates").aggregates()
 

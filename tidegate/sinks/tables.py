@@ -88,11 +88,3 @@ def read_table(
 def not_from(rows: DataFrame, query_id: str, batch_id: int) -> DataFrame:
     """All batches but one; a filter on partition columns, so the batch's files are not opened."""
     return rows.where(~((F.col("query_id") == query_id) & (F.col("batch_id") == batch_id)))
-
-
-def append_table(rows: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
-    """Plain append, for tables fed by batch jobs such as incidents, audits and replay runs."""
-    writer = rows.write.mode("append")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
