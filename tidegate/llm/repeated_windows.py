@@ -219,32 +219,54 @@ def drop_repeated_windows(
     no window. kept is the remaining words joined by one space. Extra columns are ignored.
     """
     keys = keyed(docs, id_col, text_col)
-    marks = window_marks(keys, size, max_bits)
-
-    def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    marks = written_in_small_batches(window_marks(keys, size, max_bits))
+    bits, planes = _id_sketch(marks)
+
+    def kept(ids: pa.Array, texts: pa.Array, starts: list) -> pa.RecordBatch:
+        count, removed, left = [], [], []
+        for text, gone in zip(texts.cast(pa.large_binary()).to_pylist(), starts):
+            words = text.split()
+            count.append(len(words))
+            if gone:
+                cover = np.zeros(len(words) + 1, np.int64)
+                at = np.unique(np.frombuffer(gone, np.int32))
+                cover[at] += 1
+                np.subtract.at(cover, at + size, 1)
+                words = [w for w, out in zip(words, (np.cumsum(cover) > 0).tolist()) if not out]
+            removed.append(count[-1] - len(words))
+            left.append(b" ".join(words))
+        columns = [ids, pa.array(count, pa.int64()), pa.array(removed, pa.int64()), pa.array(left, pa.binary()).cast(pa.string())]
+        return pa.RecordBatch.from_arrays(columns, ["doc_id", "n_words", "n_removed", "kept"])
+
+    def split(batches: Iterator[pa.RecordBatch], marked: bool) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lo in range(0, batch.num_rows, 256):
-                part = batch.slice(lo, 256)
-                count, removed, left = [], [], []
-                for text, starts in zip(part.column(1).cast(pa.large_binary()).to_pylist(), part.column(2).to_pylist()):
-                    words = text.split()
-                    count.append(len(words))
-                    if starts:
-                        cover = np.zeros(len(words) + 1, np.int64)
-                        at = np.unique(np.frombuffer(starts, np.int32))
-                        cover[at] += 1
-                        np.subtract.at(cover, at + size, 1)
-                        words = [w for w, gone in zip(words, (np.cumsum(cover) > 0).tolist()) if not gone]
-                    removed.append(count[-1] - len(words))
-                    left.append(b" ".join(words))
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(count, pa.int64()), pa.array(removed, pa.int64()), pa.array(left, pa.binary()).cast(pa.string())],
-                    ["doc_id", "n_words", "n_removed", "kept"],
-                )
-        W.release()
-
-    joined = keys.join(marks, ["id", "tag"], "left").select("doc_id", "text", "starts")
-    return joined.mapInArrow(kept, "doc_id long, n_words long, n_removed long, kept string")
+            hashes = W.mix(batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64))
+            yield batch.filter(pa.array(sketch.repeated(planes.value, bits, hashes) == marked))
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in W.parts(split(batches, False), 256):
+            yield kept(batch.column(2), batch.column(3), [None] * batch.num_rows)
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in W.parts(batches, 256):
+            yield kept(batch.column(0), batch.column(1), batch.column(2).to_pylist())
+
+    keys = keys.select("id", "tag", "doc_id", "text")
+    schema = "doc_id long, n_words long, n_removed long, kept string"
+    touched = keys.mapInArrow(lambda batches: split(batches, True), keys.schema)
+    joined = touched.join(marks, ["id", "tag"], "left").select("doc_id", "text", "starts")
+    return keys.mapInArrow(whole, schema).union(joined.mapInArrow(cut, schema))
+
+
+def _id_sketch(marks: DataFrame):
+    """A bounded sketch of the ids that have marks, on all executors: texts without any need no shuffle."""
+
+    def hashes_of(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
+        yield W.mix(batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64))
+
+    bits = sketch.bits_for(4 * marks.count())
+    planes = sketch.merged_planes(marks.select("id"), hashes_of, bits, met=True)
+    return bits, marks.sparkSession.sparkContext.broadcast(planes)
 
 
 def op5_repeated_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
