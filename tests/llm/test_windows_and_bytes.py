@@ -69,13 +69,15 @@ def test_a_sketch_that_is_too_small_changes_no_result(spark):
     assert full == ordered(drop_repeated_windows(docs, size=2, max_bits=10).collect())
 
 
-def test_bytes(spark):
+@pytest.mark.parametrize("hot_rows", [50_000, 1, 3])
+def test_bytes(spark, hot_rows):
     docs = documents(shipped(spark))
-    got = [(r.doc_id, r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in drop_repeated_bytes(docs).collect()]
+    got = [(r.doc_id, r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in drop_repeated_bytes(docs, hot_rows=hot_rows).collect()]
     assert ordered(got) == ordered(brute_bytes(rows_of(docs)))
 
 
-def test_bytes_of_edited_copies(spark):
+@pytest.mark.parametrize("hot_rows", [50_000, 2])
+def test_bytes_of_edited_copies(spark, hot_rows):
     rng = np.random.default_rng(4)
     base = bytes(rng.integers(97, 123, 6000, np.uint8)).decode()
     texts = [base]
@@ -85,7 +87,7 @@ def test_bytes_of_edited_copies(spark):
             edited[at] = "#"
         texts.append("".join(edited)[k * 11 :])
     docs = frame(shipped(spark), [(i, t, "en") for i, t in enumerate(texts)])
-    got = [(r.doc_id, r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in drop_repeated_bytes(docs).collect()]
+    got = [(r.doc_id, r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in drop_repeated_bytes(docs, hot_rows=hot_rows).collect()]
     assert ordered(got) == ordered(brute_bytes(rows_of(docs)))
 
 

@@ -14,6 +14,10 @@ trigger on. Strings that start x bytes before their triggers are equal if their
 run of the first order with common prefixes of x or more, and in one run of the second with common
 prefixes of 200 - x or more. So the two sorted orders decide corpus order without sorting each start.
 
+Families too large for one task, such as the edges of a passage that stands in a third of all texts,
+are counted first and dealt out by the hash of each 200-byte string instead; equal strings of a
+batch come once, and unequal ones spread evenly.
+
 A phrase whose 73 bytes are met once in the corpus cannot repeat; a merged bit sketch of bounded size
 keeps nearly all of these from the shuffle. Equal phrases of one batch are shuffled once.
 """
@@ -43,7 +47,13 @@ ORDER_ROWS = 1 << 14
 BUCKET_BYTES = 1 << 22
 U64 = np.uint64
 FIELDS = (("shared", np.uint64), ("whole", np.uint64), ("id", np.int64), ("start", np.int64), ("tag", np.int32), ("count", np.uint8), ("before", np.uint8), ("known", np.uint8))
-BLOBS = "bucket int, blob binary, id long, tag int, gone binary"
+STRING_FIELDS = (("a", np.uint64), ("b", np.uint32), ("id", np.int64), ("start", np.int64), ("tag", np.int32), ("known", np.uint8))
+BLOBS = "bucket int, kind int, blob binary, id long, tag int, gone binary"
+#: Kinds of blobs: phrases, or single strings of hot families.
+PHRASES, STRINGS = 0, 1
+#: A family of phrases (those that share the bytes behind their trigger) with more rows than this is
+#: dealt out string by string. The list of such families has at most candidates / HOT_ROWS entries.
+HOT_ROWS = 50_000
 
 
 @dataclass
@@ -185,6 +195,17 @@ def settle(columns: list[np.ndarray], phrases: list[np.ndarray]) -> tuple[np.nda
     return tuple(np.concatenate(x) for x in zip(*found))
 
 
+def settle_strings(columns: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(id, tag, start, count) of strings met twice, or known to be."""
+    a, b, id_, start, tag, known = columns
+    order = np.lexsort((b, a))
+    new = np.concatenate([[True], (a[order][1:] != a[order][:-1]) | (b[order][1:] != b[order][:-1])])
+    head = np.flatnonzero(new)
+    twice = (np.diff(head, append=len(order)) > 1) | np.maximum.reduceat(known[order], head).astype(bool)
+    k = order[twice[np.cumsum(new) - 1] & (known[order] == 0)]
+    return id_[k], tag[k], start[k], np.ones(len(k), np.int64)
+
+
 def _packed(id_: np.ndarray, tag: np.ndarray, start: np.ndarray, count: np.ndarray) -> list[pa.Array]:
     """Columns id, tag, and the (start, count) pairs of each as packed int64."""
     order = np.lexsort((tag, id_))
@@ -200,18 +221,20 @@ def _blob(columns: list[np.ndarray], phrases: list[np.ndarray], packer: zstandar
     return packer.compress(len(columns[0]).to_bytes(8, "little") + b"".join(planes) + b"".join(p.tobytes() for p in phrases))
 
 
-def _unblob(blob: bytes, opener: zstandard.ZstdDecompressor) -> tuple[list[np.ndarray], list[np.ndarray]]:
+def _unblob(blob: bytes, opener: zstandard.ZstdDecompressor, fields: tuple = FIELDS) -> tuple[list[np.ndarray], list[np.ndarray]]:
     raw = np.frombuffer(opener.decompress(blob), np.uint8)
     n, at, columns = int.from_bytes(raw[:8].tobytes(), "little"), 8, []
-    for _, kind in FIELDS:
+    for _, kind in fields:
         size = np.dtype(kind).itemsize
         columns.append(np.ascontiguousarray(raw[at : at + n * size].reshape(size, n).T).view(kind).reshape(-1))
         at += n * size
+    if fields != FIELDS:
+        return columns, []
     length = columns[5].astype(np.int64) - 1 + LENGTH
     return columns, np.split(raw[at:], np.cumsum(length)[:-1])
 
 
-def repeat_marks(docs: DataFrame, max_bits: int = sketch.MAX_BITS) -> DataFrame:
+def repeat_marks(docs: DataFrame, max_bits: int = sketch.MAX_BITS, hot_rows: int = HOT_ROWS) -> DataFrame:
     """(id, tag, gone): runs of starts, packed (start, count), of strings that start elsewhere too. `docs` has id, tag, text."""
     spark = docs.sparkSession
     length = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
@@ -224,41 +247,67 @@ def repeat_marks(docs: DataFrame, max_bits: int = sketch.MAX_BITS) -> DataFrame:
             yield parse(data, begin, end).shared
 
     planes = spark.sparkContext.broadcast(sketch.merged_planes(docs.select("text"), hashes_of, bits))
-    schema = pa.schema([("bucket", pa.int32()), ("blob", pa.binary()), ("id", pa.int64()), ("tag", pa.int32()), ("gone", pa.binary())])
+    hot = spark.sparkContext.broadcast(_hot_families(docs, planes, bits, hot_rows))
+    schema = pa.schema([("bucket", pa.int32()), ("kind", pa.int32()), ("blob", pa.binary()), ("id", pa.int64()), ("tag", pa.int32()), ("gone", pa.binary())])
 
     def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packer = zstandard.ZstdCompressor(level=1)
         for batch in W.parts(batches):
             ids, tags = (batch.column(k).to_numpy(zero_copy_only=False) for k in (0, 1))
-            found, phrases = [], []
+            found, phrases, strings = [], [], []
             for data, begin, end, row, base in stretches(batch.column(2)):
                 p = parse(data, begin, end)
                 k = np.flatnonzero(sketch.repeated(planes.value, bits, p.shared))
+                is_hot = np.isin(p.shared[k], hot.value)
+                if is_hot.any():
+                    strings.append(_strings(p, k[is_hot], ids[row:], tags[row:], begin - base))
+                k = k[~is_hot]
                 if len(k):
                     text, first, count = p.text[k], p.first[k], p.count[k]
                     found.append((p.shared[k], p.whole(k), ids[row + text], first - begin[text] + base, tags[row + text].astype(np.int32), count, p.trigger[k] - first))
                     phrases += [data[a:b] for a, b in zip(first.tolist(), (first + count - 1 + LENGTH).tolist())]
-            if not found:
-                continue
-            columns = [np.concatenate(x) for x in zip(*found)]
-            shared, whole, id_, start, tag, count, before = columns
-            order = np.lexsort((start, id_, count, whole, shared))
-            new = np.concatenate([[True], np.any([x[order][1:] != x[order][:-1] for x in (shared, whole, count)], axis=0)])
-            head = np.flatnonzero(new)
-            times = np.diff(head, append=len(order))
-            kept = order[head]
-            twice = order[(times > 1)[np.cumsum(new) - 1]]
-            out = [x[kept] for x in (shared, whole, id_, start, tag)] + [x[kept].astype(np.uint8) for x in (count, before)] + [(times > 1).astype(np.uint8)]
-            bucket = (out[0] >> U64(64 - bucket_bits)).astype(np.int32)
-            cut = np.flatnonzero(np.diff(bucket, prepend=-1))
-            for lo, hi in zip(cut, np.append(cut[1:], len(bucket))):
-                blob = _blob([x[lo:hi] for x in out], [phrases[k] for k in kept[lo:hi]], packer)
-                nothing = [pa.nulls(1, f.type) for f in list(schema)[2:]]
-                yield pa.RecordBatch.from_arrays([pa.array(bucket[lo : lo + 1]), pa.array([blob], pa.binary()), *nothing], schema=schema)
-            if len(twice):
-                packed = _packed(id_[twice], tag[twice], start[twice], count[twice])
-                spread = (W.mix(packed[0].to_numpy().view(np.uint64)) >> U64(64 - bucket_bits)).astype(np.int32)
-                yield pa.RecordBatch.from_arrays([pa.array(spread), pa.nulls(len(spread), pa.binary()), *packed], schema=schema)
+            if found:
+                yield from phrases_out([np.concatenate(x) for x in zip(*found)], phrases, packer)
+            if strings:
+                yield from strings_out([np.concatenate(x) for x in zip(*strings)], packer)
+
+    def blobs_out(kind: int, columns: list[np.ndarray], phrases: list[np.ndarray], packer: zstandard.ZstdCompressor) -> Iterator[pa.RecordBatch]:
+        """A blob for each bucket; rows are sorted by their first column, whose leading bits name it."""
+        bucket = (columns[0] >> U64(64 - bucket_bits)).astype(np.int32)
+        cut = np.flatnonzero(np.diff(bucket, prepend=-1))
+        for lo, hi in zip(cut, np.append(cut[1:], len(bucket))):
+            blob = _blob([x[lo:hi] for x in columns], phrases[lo:hi], packer)
+            nothing = [pa.nulls(1, f.type) for f in list(schema)[3:]]
+            yield pa.RecordBatch.from_arrays([pa.array(bucket[lo : lo + 1]), pa.array([kind], pa.int32()), pa.array([blob], pa.binary()), *nothing], schema=schema)
+
+    def marks_out(id_: np.ndarray, tag: np.ndarray, start: np.ndarray, count: np.ndarray) -> Iterator[pa.RecordBatch]:
+        if len(id_):
+            packed = _packed(id_, tag, start, count)
+            spread = (W.mix(packed[0].to_numpy().view(np.uint64)) >> U64(64 - bucket_bits)).astype(np.int32)
+            nothing = [pa.nulls(len(spread), f.type) for f in list(schema)[1:3]]
+            yield pa.RecordBatch.from_arrays([pa.array(spread), *nothing, *packed], schema=schema)
+
+    def phrases_out(columns: list[np.ndarray], phrases: list[np.ndarray], packer: zstandard.ZstdCompressor) -> Iterator[pa.RecordBatch]:
+        shared, whole, id_, start, tag, count, before = columns
+        order = np.lexsort((start, id_, count, whole, shared))
+        new = np.concatenate([[True], np.any([x[order][1:] != x[order][:-1] for x in (shared, whole, count)], axis=0)])
+        head = np.flatnonzero(new)
+        times = np.diff(head, append=len(order))
+        kept = order[head]
+        out = [x[kept] for x in (shared, whole, id_, start, tag)] + [x[kept].astype(np.uint8) for x in (count, before)] + [(times > 1).astype(np.uint8)]
+        yield from blobs_out(PHRASES, out, [phrases[k] for k in kept], packer)
+        twice = order[(times > 1)[np.cumsum(new) - 1]]
+        yield from marks_out(id_[twice], tag[twice], start[twice], count[twice])
+
+    def strings_out(columns: list[np.ndarray], packer: zstandard.ZstdCompressor) -> Iterator[pa.RecordBatch]:
+        a, b, id_, start, tag = columns
+        order = np.lexsort((b, a))
+        new = np.concatenate([[True], (a[order][1:] != a[order][:-1]) | (b[order][1:] != b[order][:-1])])
+        head = np.flatnonzero(new)
+        times = np.diff(head, append=len(order))
+        yield from blobs_out(STRINGS, [x[order[head]] for x in columns] + [(times > 1).astype(np.uint8)], [], packer)
+        twice = order[(times > 1)[np.cumsum(new) - 1]]
+        yield from marks_out(id_[twice], tag[twice], start[twice], np.ones(len(twice), np.int64))
 
     def decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         opener = zstandard.ZstdDecompressor()
@@ -267,7 +316,7 @@ def repeat_marks(docs: DataFrame, max_bits: int = sketch.MAX_BITS) -> DataFrame:
         def done() -> Iterator[pa.RecordBatch]:
             if held:
                 columns = [np.concatenate(x) for x in zip(*(h[0] for h in held))]
-                marks = settle(columns, [p for h in held for p in h[1]])
+                marks = settle(columns, [p for h in held for p in h[1]]) if number[1] == PHRASES else settle_strings(columns)
                 held.clear()
                 if len(marks[0]):
                     yield pa.RecordBatch.from_arrays(_packed(*marks), ["id", "tag", "gone"])
@@ -275,20 +324,48 @@ def repeat_marks(docs: DataFrame, max_bits: int = sketch.MAX_BITS) -> DataFrame:
         for batch in batches:
             local = batch.filter(pa.compute.is_null(batch.column(1)))
             if local.num_rows:
-                yield pa.RecordBatch.from_arrays([local.column(k) for k in (2, 3, 4)], ["id", "tag", "gone"])
+                yield pa.RecordBatch.from_arrays([local.column(k) for k in (3, 4, 5)], ["id", "tag", "gone"])
             batch = batch.filter(pa.compute.is_valid(batch.column(1)))
-            for k, blob in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                if k != number:
+            for k, kind, blob in zip(*(batch.column(i).to_pylist() for i in range(3))):
+                if (k, kind) != number:
                     yield from done()
-                    number = k
-                held.append(_unblob(blob, opener))
+                    number = k, kind
+                held.append(_unblob(blob, opener, FIELDS if kind == PHRASES else STRING_FIELDS))
         yield from done()
 
     rows = docs.select("id", "tag", "text").mapInArrow(candidates, BLOBS)
-    return rows.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(decide, "id long, tag int, gone binary")
+    return rows.repartition("bucket", "kind").sortWithinPartitions("bucket", "kind").mapInArrow(decide, "id long, tag int, gone binary")
+
+
+def _strings(p: Phrases, k: np.ndarray, ids: np.ndarray, tags: np.ndarray, origin: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(a, b, id, start, tag) of each string of the phrases `k`; ids, tags and origins by text."""
+    count = p.count[k]
+    start = np.repeat(p.first[k] - np.cumsum(count) + count, count) + np.arange(count.sum())
+    text = np.repeat(p.text[k], count)
+    one, two = (W.span_hashes(p.data, start, start + LENGTH, lane) for lane in (0, 1))
+    return one, two.astype(np.uint32), ids[text], start - origin[text], tags[text].astype(np.int32)
+
+
+def _hot_families(docs: DataFrame, planes, bits: int, hot_rows: int) -> np.ndarray:
+    """Hashes behind the triggers that more than `hot_rows` phrases share, sorted."""
+
+    def counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in W.parts(batches):
+            met = [np.zeros(0, np.uint64)]
+            for data, begin, end, _, _ in stretches(batch.column(0)):
+                shared = parse(data, begin, end).shared
+                met.append(shared[sketch.repeated(planes.value, bits, shared)])
+            shared, n = np.unique(np.concatenate(met), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(shared.view(np.int64)), pa.array(n)], ["shared", "n"])
+
+    met = docs.select("text").mapInArrow(counts, "shared long, n long").groupBy("shared").agg(F.sum("n").alias("n"))
+    rows = met.where(F.col("n") > hot_rows).select("shared").collect()
+    return np.sort(np.array([r.shared for r in rows], np.int64).view(np.uint64))
 
 
-def drop_repeated_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_bits: int = sketch.MAX_BITS) -> DataFrame:
+def drop_repeated_bytes(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_bits: int = sketch.MAX_BITS, hot_rows: int = HOT_ROWS
+) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept): each text's bytes without those of strings that start elsewhere too.
 
     Strings are 200 bytes of one text. A null text is empty; a shorter text has none and stays.
@@ -296,7 +373,7 @@ def drop_repeated_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     told apart. kept is binary, since cutting bytes may split a character. Extra columns are ignored.
     """
     keys = keyed(docs, id_col, text_col)
-    marks = repeat_marks(keys, max_bits).groupBy("id", "tag").agg(F.collect_list("gone").alias("gone"))
+    marks = repeat_marks(keys, max_bits, hot_rows).groupBy("id", "tag").agg(F.collect_list("gone").alias("gone"))
 
     def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
