@@ -68,12 +68,14 @@ def read_table(
     schema: T.StructType,
     *,
     days: Sequence[date] | None = None,
+    folders: Sequence[str] | None = None,
     format: str = "parquet",
 ) -> DataFrame:
-    """A batch-keyed table with its batch columns, whole or of some days; empty if not there."""
+    """A batch-keyed table with its batch columns, whole, of some days or of some folders; empty if not there."""
     whole = T.StructType(schema.fields + BATCH_COLUMNS)
     root = root.rstrip("/")
-    folders = [root] if days is None else [f"{root}/day={day.isoformat()}" for day in days]
+    if folders is None:
+        folders = [root] if days is None else [f"{root}/day={day.isoformat()}" for day in days]
     found = []
     for folder in folders:
         try:
@@ -85,6 +87,15 @@ def read_table(
     return reduce(DataFrame.unionByName, found) if found else spark.createDataFrame([], whole)
 
 
+def folders_of_others(spark: SparkSession, root: str, query_id: str) -> list[str]:
+    """Day folders that other queries have in a table. Lists days and queries, never batches."""
+    jvm, session = spark._jvm, spark._jsparkSession
+    pattern = jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/day=*/query_id=*")
+    found = pattern.getFileSystem(session.sessionState().newHadoopConf()).globStatus(pattern)
+    paths = [status.getPath().toString() for status in found or []]
+    return [path for path in paths if not path.endswith(f"/query_id={query_id}")]
+
+
 def not_from(rows: DataFrame, query_id: str, batch_id: int) -> DataFrame:
     """All batches but one; a filter on partition columns, so the batch's files are not opened."""
     return rows.where(~((F.col("query_id") == query_id) & (F.col("batch_id") == batch_id)))

@@ -31,6 +31,7 @@ from tidegate.sinks.tables import (
     AGGREGATE_PARTITIONS,
     CLEAN_PARTITIONS,
     days_back,
+    folders_of_others,
     not_from,
     read_table,
     utc_day,
@@ -163,7 +164,7 @@ class BatchTables:
         with self._batch(batch, batch_id, clock) as stamp:
             if stamp is None:
                 return
-            batch = self._unknown(batch, self.quarantine(), RECORD_KEY, stamp)
+            batch = self._unknown(batch, "quarantine", STORED_QUARANTINE, RECORD_KEY, stamp)
             write_batch(batch, self.path("quarantine"), stamp.day, stamp.query_id, stamp.batch_id)
             self._publish("quarantine", encode_quarantine(batch.drop(*COORDINATES)), stamp)
             days = stamp.back(self.ttl_seconds)
@@ -182,7 +183,7 @@ class BatchTables:
         with self._batch(batch, batch_id, F.col("window_end")) as stamp:
             if stamp is None:
                 return
-            batch = self._unknown(batch, self.aggregates(), WINDOW_KEY, stamp)
+            batch = self._unknown(batch, "aggregates", AGGREGATE_SCHEMA, WINDOW_KEY, stamp)
             write_batch(batch, self.path("aggregates"), stamp.day, stamp.query_id, stamp.batch_id,
                         partition_by=AGGREGATE_PARTITIONS)
             self._publish("aggregates", encode_aggregates(batch), stamp)
@@ -204,15 +205,19 @@ class BatchTables:
             finally:
                 batch.unpersist()
 
-    def _unknown(self, batch: DataFrame, table: DataFrame, key: tuple[str, ...], stamp: BatchStamp) -> DataFrame:
+    def _unknown(
+        self, batch: DataFrame, table: str, schema: T.StructType, key: tuple[str, ...], stamp: BatchStamp
+    ) -> DataFrame:
         """Rows that no other query has written: a new checkpoint reads the same input again.
 
-        Batches of the query itself never overlap, so the filter leaves out its folders, and while
-        there is one query no file is opened.
+        Batches of the query itself never overlap, so its folders are left out, and while there is
+        one query nothing is read.
         """
-        if not set(key) <= set(batch.columns):
+        folders = folders_of_others(batch.sparkSession, self.path(table), stamp.query_id)
+        if not folders or not set(key) <= set(batch.columns):
             return batch
-        others = table.where(F.col("query_id") != stamp.query_id).select(*key).distinct()
+        stored = read_table(batch.sparkSession, self.path(table), schema, folders=folders)
+        others = stored.select(*key).distinct()
         same = [batch[name].eqNullSafe(others[name]) for name in key]
         return batch.join(others, reduce(Column.__and__, same), "left_anti")
 
