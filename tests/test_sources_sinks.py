@@ -108,3 +108,18 @@ def test_scratch_is_the_shared_folder(spark):
     assert spark.conf.get("spark.checkpoint.dir", shared).rstrip("/") == shared
     first, second = scratch_dir(spark, "x"), scratch_dir(spark, "x")
     assert first.startswith(shared) and first != second
+
+
+def test_other_queries_are_found_by_folder(spark, tmp_path):
+    import datetime as dt
+
+    from tidegate.sinks.tables import folders_of_others, write_batch
+
+    root, rows = str(tmp_path / "t"), spark.range(3)
+    assert folders_of_others(spark, root, "own") == []
+    for query_id, day in (("own", 1), ("own", 2), ("old", 1), ("replay-1", 2)):
+        write_batch(rows, root, dt.date(2024, 1, day), query_id, 0)
+    found = folders_of_others(spark, root, "own")
+    assert sorted(path.split("/t/")[1] for path in found) == ["day=2024-01-01/query_id=old", "day=2024-01-02/query_id=replay-1"]
+    (late,) = folders_of_others(spark, root, "own", [dt.date(2024, 1, 2)])
+    assert late.endswith("day=2024-01-02/query_id=replay-1")

@@ -87,13 +87,19 @@ def read_table(
     return reduce(DataFrame.unionByName, found) if found else spark.createDataFrame([], whole)
 
 
-def folders_of_others(spark: SparkSession, root: str, query_id: str) -> list[str]:
+def folders_of_others(
+    spark: SparkSession, root: str, query_id: str, days: Sequence[date] | None = None
+) -> list[str]:
     """Day folders that other queries have in a table. Lists days and queries, never batches."""
     jvm, session = spark._jvm, spark._jsparkSession
     pattern = jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/day=*/query_id=*")
     found = pattern.getFileSystem(session.sessionState().newHadoopConf()).globStatus(pattern)
     paths = [status.getPath().toString() for status in found or []]
-    return [path for path in paths if not path.endswith(f"/query_id={query_id}")]
+    wanted = None if days is None else {f"day={day.isoformat()}" for day in days}
+    return [
+        path for path in paths
+        if not path.endswith(f"/query_id={query_id}") and (wanted is None or path.split("/")[-2] in wanted)
+    ]
 
 
 def not_from(rows: DataFrame, query_id: str, batch_id: int) -> DataFrame:

@@ -228,15 +228,22 @@ class BatchTables:
     def gate(self, batch: DataFrame, stamp: BatchStamp) -> DataFrame:
         """The batch with ``_seen``: was the id written by another batch within the TTL?
 
-        The clean table itself is asked, not the ledger, so a crash between the two writes
-        cannot let a duplicate through. The batch's own folder is left out: a repeated batch
-        must admit the same rows again.
+        For its own batches the query asks its ledger entries: one narrow folder for each batch,
+        complete before the next batch begins, however a batch was interrupted. For what other
+        queries wrote, before a checkpoint was lost or by a replay, it asks their clean rows. The
+        batch's own folder is left out: a repeated batch must admit the same rows again.
         """
-        days = stamp.back(self.ttl_seconds)
-        clean = read_table(batch.sparkSession, self.path("clean_events"), CLEAN_SCHEMA, days=days)
+        spark, days = batch.sparkSession, stamp.back(self.ttl_seconds)
         oldest = F.timestamp_seconds(F.lit(stamp.epoch_seconds - self.ttl_seconds))
-        written = not_from(clean, stamp.query_id, stamp.batch_id).where(F.col("processed_at") > oldest)
-        hits = _among(written.select("event_id"), batch).distinct().withColumn("_hit", F.lit(True))
+        own = [f"{self.path('ledger')}/day={day.isoformat()}/query_id={stamp.query_id}" for day in days]
+        ledger = read_table(spark, self.path("ledger"), LEDGER_SCHEMA, folders=own)
+        noted = not_from(ledger, stamp.query_id, stamp.batch_id).where("status = 'written'")
+        written = noted.where(F.col("updated_at") > oldest).select("event_id")
+        others = folders_of_others(spark, self.path("clean_events"), stamp.query_id, days)
+        if others:
+            clean = read_table(spark, self.path("clean_events"), CLEAN_SCHEMA, folders=others)
+            written = written.union(clean.where(F.col("processed_at") > oldest).select("event_id"))
+        hits = _among(written, batch).distinct().withColumn("_hit", F.lit(True))
         return batch.join(hits, "event_id", "left").select(
             *batch.columns, F.col("_hit").isNotNull().alias("_seen")
         )
