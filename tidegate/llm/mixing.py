@@ -32,6 +32,8 @@ LEAST_WORTH = 12.0
 FIT_STEPS = 250
 STEPS = 80
 TOLERANCE = 1e-4
+#: Targets may be out of reach, such as tokens of a domain no document has a share of: give up then.
+STALE_STEPS = 5
 #: Shares of tokens asked for by the registered query and the pipeline.
 TARGETS = {"clean": 0.94, "junk": 0.04, "toxic": 0.02}
 U64 = np.uint64
@@ -218,6 +220,7 @@ def fit_rates(members: DataFrame, shares: list[float], tokens: float | None = No
     scaled = gram * np.sqrt(weight[:, None] * weight[None, :])
     rate = 1 / np.linalg.eigvalsh(scaled)[-1]
     speed, error = 1.0, None
+    best, stale = np.inf, 0
     point = now
     for _ in range(steps):
         gap = point - target
@@ -234,7 +237,10 @@ def fit_rates(members: DataFrame, shares: list[float], tokens: float | None = No
         out.momentum.append((speed - 1) / faster)
         speed = faster
         reached, point = _totals(members, out)
-        if np.abs(reached - target).max() <= tolerance * target.sum():
+        left = float((reached - target) @ (weight * (reached - target)))
+        stale = stale + 1 if left > best * (1 - 1e-6) else 0
+        best = min(best, left)
+        if np.abs(reached - target).max() <= tolerance * target.sum() or stale == STALE_STEPS:
             break
     return out
 
