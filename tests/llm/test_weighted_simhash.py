@@ -13,7 +13,7 @@ from test_simhash_groups import brute_pairs, clusters, reach
 from tidegate.llm.components import components
 from tidegate.llm.scratch import shipped
 from tidegate.llm.simhash_groups import near_links
-from tidegate.llm.weighted_simhash import block_tables, direct_pairs, edited_fingerprints, near_classes, text_fingerprints
+from tidegate.llm.weighted_simhash import block_tables, bounds_reached, direct_pairs, edited_fingerprints, near_classes, text_fingerprints
 
 
 @pytest.mark.parametrize("radius", [1, 3, 5])
@@ -72,3 +72,12 @@ def test_odd_rows(spark):
     one = edited_fingerprints(docs.where("doc_id = 7").limit(1)).collect()
     assert len(one) == 1 and one[0].fp == one[0].next_fp
     assert near_classes(marked.limit(0)).count() == 0
+
+
+def test_bounds_reached(spark):
+    rng = np.random.default_rng(3)
+    for n in (0, 1, 2, 7, 100):
+        bounds = sorted({int(b) for b in rng.integers(-50, 50, n)})
+        values = spark.range(-60, 60)
+        got = {r.id: r.n for r in values.select("id", bounds_reached(values["id"], bounds).alias("n")).collect()}
+        assert got == {v: sum(b <= v for b in bounds) for v in range(-60, 60)}

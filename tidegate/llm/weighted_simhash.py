@@ -12,18 +12,19 @@ permuted to the front. Runs of one key are compared within, and linked as a fore
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidegate.llm import words as W
 from tidegate.llm.components import components
 from tidegate.llm.fingerprints import bit_votes, pack_bits
 from tidegate.llm.repeated_windows import keyed
-from tidegate.llm.scratch import shipped, written
+from tidegate.llm.scratch import shipped, written, written_in_small_batches
 from tidegate.llm.simhash_groups import near_links
 
 RADIUS = 3
@@ -86,6 +87,22 @@ def near_classes(marked: DataFrame, radius: int = RADIUS) -> DataFrame:
     return placed.select("fp", "component").join(head, "component").select("fp", "near_class")
 
 
+def bounds_reached(value: Column, bounds: list[int]) -> Column:
+    """How many of the sorted bounds are at most `value`: first by groups of them, then within one."""
+    if not bounds:
+        return F.lit(0)
+    size = math.isqrt(len(bounds) - 1) + 1
+    groups = [bounds[k : k + size] for k in range(0, len(bounds), size)]
+
+    def reached(among: Column) -> Column:
+        return F.size(F.filter(among, lambda b: b <= value))
+
+    heads = F.array(*(F.lit(g[0]) for g in groups)).cast("array<long>")
+    inside = F.array(*(F.array(*map(F.lit, g)).cast("array<long>") for g in groups))
+    group = reached(heads)
+    return F.when(group == 0, 0).otherwise((group - 1) * size + reached(F.get(inside, group - 1)))
+
+
 def in_order(keys: DataFrame, buckets: int) -> DataFrame:
     """`keys` dealt to buckets of consecutive ids; the first row of each also stands, marked `ahead`, at the end of the bucket before.
 
@@ -94,8 +111,7 @@ def in_order(keys: DataFrame, buckets: int) -> DataFrame:
     shares = [k / buckets for k in range(1, buckets)]
     bounds = keys.agg(F.percentile_approx("id", shares, 10_000)).first()[0] if shares else []
     bounds = sorted(set(bounds or []))
-    bucket = F.size(F.filter(F.array(*map(F.lit, bounds)).cast("array<long>"), lambda b: b <= F.col("id"))) if bounds else F.lit(0)
-    keys = keys.withColumn("bucket", bucket)
+    keys = keys.withColumn("bucket", bounds_reached(F.col("id"), bounds))
     firsts = [(r.bucket, r.first.id, r.first.tag) for r in keys.groupBy("bucket").agg(F.min(F.struct("id", "tag")).alias("first")).collect()]
     firsts.sort()
     spark = keys.sparkSession
@@ -130,6 +146,7 @@ def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str =
                 part = part if held is None else pa.concat_tables([held, part])
                 yield from edited(part)
                 held = part.slice(part.num_rows - 1)
+        W.release()
 
     def edited(part: pa.Table) -> Iterator[pa.RecordBatch]:
         """Rows that have their next one in the same bucket behind them."""
@@ -153,7 +170,7 @@ def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
 
 def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    marked = written(edited_fingerprints(shipped(spark).read.parquet(f"{sf_dir}/documents.parquet")))
+    marked = written_in_small_batches(edited_fingerprints(shipped(spark).read.parquet(f"{sf_dir}/documents.parquet")))
     near = near_classes(marked)
 
     def text_of(name: str):
