@@ -24,7 +24,6 @@ keeps nearly all of these from the shuffle. Equal phrases of one batch are shuff
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
