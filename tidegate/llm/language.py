@@ -231,14 +231,15 @@ def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang") ->
     return train(symbols, np.array([label for _, label in texts]), languages)
 
 
-def identify(docs: DataFrame, net: Network | None, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
+def identify(docs: DataFrame, net: Network | None, text_col: str = "text", keep: list[str] | None = None, names_as: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
     """`docs`, or its columns `keep`, with lang_pred and score (0 to 1), the likeliest language and its pooled probability.
 
     A text that is null or has no letter is `und` with score 0; so is every text where there is no
-    network to ask. The texts are read whole. Columns named lang_pred and score are replaced.
+    network to ask. The texts are read whole. `names_as` names the two new columns; columns of the
+    same names are replaced.
     """
     letters = F.coalesce(F.col(text_col).cast("string").rlike("\\p{L}"), F.lit(False))
-    fields = [f for f in docs.schema.fields if f.name not in ("lang_pred", "score")]
+    fields = [f for f in docs.schema.fields if f.name not in names_as]
     kept = docs.select(*(F.col(f"`{f.name}`") for f in fields), letters.alias("_letters"))
     names = [f.name for f in fields]
 
@@ -253,11 +254,11 @@ def identify(docs: DataFrame, net: Network | None, text_col: str = "text", keep:
                 score[known] = np.clip(p[np.arange(len(p)), best], 0, 1)[known]
             back = [k for k, name in enumerate(names) if name in keep]
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(k) for k in back), pa.array(label, pa.string()), pa.array(score)], [*(names[k] for k in back), "lang_pred", "score"]
+                [*(batch.column(k) for k in back), pa.array(label, pa.string()), pa.array(score)], [*(names[k] for k in back), *names_as]
             )
 
     keep = set(names if keep is None else keep)
-    schema = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in fields if f.name in keep) + "lang_pred string, score double"
+    schema = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in fields if f.name in keep) + f"`{names_as[0]}` string, `{names_as[1]}` double"
     return kept.mapInArrow(rows, schema)
 
 
