@@ -106,10 +106,18 @@ def test_links_reach_what_brute_force_reaches(spark, each, flips):
     assert sorted(map(sorted, groups.values())) == sorted(map(sorted, mine.values()))
 
 
-def test_components_of_a_chain(spark):
+@pytest.mark.parametrize("local_edges", [0, 1 << 20])
+def test_components(spark, local_edges):
+    shipped(spark)
     chain = spark.range(50).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b"))
-    assert {r.component for r in components(chain).collect()} == {0}
-    assert components(chain.limit(0)).count() == 0
+    assert {r.component for r in components(chain, local_edges).collect()} == {0}
+    assert components(chain.limit(0), local_edges).count() == 0
+    rng = np.random.default_rng(11)
+    pairs = [tuple(map(int, x)) for x in rng.integers(0, 90, (60, 2))]
+    top = reach(90, pairs)
+    frame = spark.createDataFrame([(a - 40, b - 40) for a, b in pairs], "a long, b long")
+    got = {r.node: r.component for r in components(frame, local_edges).collect()}
+    assert got == {n - 40: top[n] - 40 for a, b in pairs if a != b for n in (a, b)}
 
 
 def test_odd_rows(spark):

@@ -2,17 +2,26 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from tidegate.llm.fingerprints import forest
 from tidegate.llm.scratch import written
 
+#: So many edges, 16 MB of them, are settled in one task instead of a dozen shuffles.
+LOCAL_EDGES = 1 << 20
+
 
-def components(edges: DataFrame) -> DataFrame:
+def components(edges: DataFrame, local_edges: int = LOCAL_EDGES) -> DataFrame:
     """(node, component) of every node of `edges` (a, b): component is the smallest node reachable.
 
     Alternates large-star and small-star steps until no edge changes; every step is two shuffles by
     node with a partial minimum, and its edges go to the shared folder. Nothing reaches the driver
-    but a checksum. An empty table gives an empty table.
+    but a checksum. A table of at most `local_edges` distinct edges is settled in one task, with the
+    same result. An empty table gives an empty table.
     """
     now = written(
         edges.where("a is not null and b is not null and a != b")
@@ -24,6 +33,8 @@ def components(edges: DataFrame) -> DataFrame:
         check = _checksum(now)
         if check == before or check[0] == 0:
             break
+        if check[0] <= local_edges:
+            return now.coalesce(1).mapInArrow(_settled, "node long, component long")
         before = check
         now = written(_small_star(_large_star(now)))
     return now.select(F.col("b").alias("node"), F.col("a").alias("component")).union(
@@ -31,6 +42,15 @@ def components(edges: DataFrame) -> DataFrame:
     )
 
 
+def _settled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    pairs = [np.stack([batch.column(k).to_numpy() for k in (0, 1)]) for batch in batches]
+    if pairs:
+        nodes, place = np.unique(np.concatenate(pairs, axis=1), return_inverse=True)
+        a, b = place.reshape(2, -1)
+        label = forest(len(nodes), iter([(a, b)]))
+        yield pa.RecordBatch.from_arrays([pa.array(nodes), pa.array(nodes[label])], ["node", "component"])
+
+
 def _checksum(edges: DataFrame) -> tuple:
     row = edges.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b"))).first()
     return tuple(row)
