@@ -200,7 +200,11 @@ def keep_one_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     Of rows repeated under that id, the first by text checksum and the other columns stays.
     """
     marked = written(fingerprints(docs, id_col, text_col))
-    group = fingerprint_groups(marked, radius)
+    return kept_heads(docs, marked, fingerprint_groups(marked, radius), id_col, text_col)
+
+
+def kept_heads(docs: DataFrame, marked: DataFrame, group: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """The rows of `docs` that `keep_one_each` keeps: `marked` has id, tag, doc_id and fp of each row, `group` the component of each fp."""
     key = F.struct(F.col("doc_id").isNull().alias("last"), "id", "tag")
     least = marked.groupBy("fp").agg(F.min(key).alias("least")).join(group, "fp")
     rows, (id_, tag) = tagged(docs, id_col, text_col)
