@@ -102,3 +102,18 @@ def test_secrets_odd_rows(spark):
     one = frame(spark, [(1, "password=abc123def456", "en"), (1, "password=abc123def456", "en"), (None, "token=abc123def456", "en")])
     assert redact(one, scan_secrets(one)).where("contains(text, '[secret]')").count() == 3
     assert scan_secrets(one.drop("source")).count() == 3
+
+
+def test_all_secrets_of_one_word(spark):
+    aws, other, github = "AKIA" + "Q7X2" * 4, "ASIA" + "Z9K4" * 4, "ghp_" + "a1B2c3" * 6
+    words = [f'{{"a":"{aws}","b":"{github}"}}', f"k1={aws},k2={other}", f"http://x.y/?token=hunter22x&key=1&password=s3cr3t99&b={github}", f"{aws}=f00dbabe12345678c"]
+    docs = frame(shipped(spark), [*secret_rows(), *((1000 + k, f"see {w} there", "en") for k, w in enumerate(words))])
+    found = scan_secrets(docs).cache()
+    got = {}
+    for r in found.where("doc_id >= 1000").collect():
+        assert words[r.doc_id - 1000][r["at"] :].startswith(r.secret)
+        got.setdefault(r.doc_id - 1000, set()).add(r.secret)
+    assert {aws, github} <= got[0] and {aws, other} <= got[1] and {"hunter22x", "s3cr3t99", github} <= got[2]
+    assert aws in got[3] and any("f00dbabe12345678c" in s for s in got[3])
+    left = {r.doc_id: r.text for r in redact(docs, found).where("doc_id >= 1000").collect()}
+    assert not any(s in t for s in (aws, other, github) for t in left.values())
