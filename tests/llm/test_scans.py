@@ -117,3 +117,10 @@ def test_all_secrets_of_one_word(spark):
     assert aws in got[3] and any("f00dbabe12345678c" in s for s in got[3])
     left = {r.doc_id: r.text for r in redact(docs, found).where("doc_id >= 1000").collect()}
     assert not any(s in t for s in (aws, other, github) for t in left.values())
+
+
+def test_values_behind_a_name_and_a_space(spark):
+    texts = ["my password: Xy7k2Lm9 ok", "set password = s3cr3t99 now", 'use secret: "hunterxyz" then', "passwd correcthorse", "password: abc"]
+    docs = frame(shipped(spark), [*secret_rows(), *((1000 + k, t, "en") for k, t in enumerate(texts))])
+    got = {(r.doc_id - 1000, r.secret) for r in scan_secrets(docs).where("doc_id >= 1000").collect()}
+    assert got == {(0, "Xy7k2Lm9"), (1, "s3cr3t99"), (2, "hunterxyz"), (3, "correcthorse")}
