@@ -124,3 +124,16 @@ def test_values_behind_a_name_and_a_space(spark):
     docs = frame(shipped(spark), [*secret_rows(), *((1000 + k, t, "en") for k, t in enumerate(texts))])
     got = {(r.doc_id - 1000, r.secret) for r in scan_secrets(docs).where("doc_id >= 1000").collect()}
     assert got == {(0, "Xy7k2Lm9"), (1, "s3cr3t99"), (2, "hunterxyz"), (3, "correcthorse")}
+
+
+def test_every_mention_of_a_license_in_a_window(spark):
+    texts = [
+        "GNU Lesser General Public License version 3 or the GNU General Public License version 3",
+        "GNU General Public License version 2 or later and the GNU General Public License version 2 here",
+        "Apache License 2.0 MIT License Apache License 2.0",
+    ]
+    docs = frame(shipped(spark), [(k, t, "en") for k, t in enumerate(texts)])
+    got = {r.doc_id: r for r in scan_licenses(docs).collect()}
+    assert {"lgpl-3.0", "gpl-3.0"} <= set(got[0].labels.split(","))
+    assert [f.start for f in got[1].found if f.label.startswith("gpl-2.0")] == [0, 10]
+    assert [(f.start, f.label) for f in got[2].found] == [(0, "apache-2.0"), (4, "mit"), (6, "apache-2.0")]

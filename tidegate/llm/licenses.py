@@ -77,11 +77,14 @@ def detections(keys: DataFrame, chosen: list[Rule]) -> DataFrame:
     distinct = spots.select("keyword", "window").distinct()
     met = (
         distinct.join(table, "keyword")
-        .withColumn("at", F.expr("regexp_instr(window, pattern)"))
-        .where("at > 0")
-        .withColumn("before", F.expr("trim(substring(window, 1, at))"))
-        .withColumn("offset", F.expr("if(substring(window, at, 1) = ' ', size(split(before, ' ')), 0)"))
-        .withColumn("length", F.expr("size(split(regexp_extract(window, pattern, 1), ' '))"))
+        .withColumn("hits", F.expr("regexp_extract_all(window, pattern, 0)"))
+        .where("size(hits) > 0")
+        .withColumn("parts", F.expr("split(window, pattern, -1)"))
+        .select("*", F.posexplode("hits").alias("k", "hit"))
+        .withColumn("ahead", F.expr("concat(array_join(slice(parts, 1, k + 1), ''), array_join(slice(hits, 1, k), ''))"))
+        .withColumn("before", F.expr("substring(window, 1, length(ahead))"))
+        .withColumn("offset", F.expr("if(startswith(hit, ' '), size(split(before, ' ')), 0)"))
+        .withColumn("length", F.expr("size(split(trim(hit), ' '))"))
         .select("keyword", "window", "rule", "label", "rank", "weight", "offset", "length")
     )
     start = F.col("base") + F.col("offset")
