@@ -155,3 +155,16 @@ def test_mixing_documents(spark):
     even = mixing.mix(docs, labelled.limit(0), {"a": 0.5, "b": 0.5}).collect()
     assert {tuple(r.posterior) for r in even} == {(0.5, 0.5)}
     assert mixing.mix(docs.limit(0), labelled, {"clean": 1.0}).count() == 0
+
+
+def test_language_sample_among_copies_and_many_languages(spark, monkeypatch):
+    seen = {}
+    monkeypatch.setattr(language, "SAMPLE_ROWS", 40)
+    monkeypatch.setattr(language, "train", lambda symbols, label, languages: seen.update(n=np.bincount(label) // language.SAMPLE_STRETCHES, names=languages))
+    rows = shipped(spark).range(1000).selectExpr("concat('some text no ', id) as text", "'aa' as lang")
+    copies = spark.range(30000).selectExpr("'one text' as text", "'aa' as lang")
+    few = spark.range(8000).selectExpr("concat('few ', id % 50) as text", "'bb' as lang")
+    many = spark.range(70).selectExpr("'a word' as text", "concat('l', id) as lang")
+    language.fit(rows.union(copies).union(few).union(many))
+    n = dict(zip(seen["names"], seen["n"].tolist()))
+    assert len(n) == 72 and n["aa"] == 40 and n["bb"] == 40

@@ -9,6 +9,7 @@ of labelled rows, and applied in Spark tasks to every byte of every text.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -23,10 +24,9 @@ STRETCH = 64
 UNITS = 8
 PAD = 256
 GROUP_BYTES = 1 << 18
-#: Bounds of the training sample: rows of each language, stretches of each row, and languages.
+#: Bounds of the training sample: rows of each language, and stretches of each row.
 SAMPLE_ROWS = 400
 SAMPLE_STRETCHES = 3
-MAX_LANGUAGES = 64
 UPDATES = 600
 BATCH = 128
 RATE = 0.01
@@ -182,8 +182,9 @@ def document_probabilities(net: Network, column: pa.Array) -> np.ndarray:
         n = len(texts.begin)
         total = np.zeros((n, len(net.languages)))
         symbols, text = cut(texts.data, texts.begin, texts.end)
-        for lo in range(0, symbols.shape[1], 2 * GROUP_BYTES // STRETCH):  # one long text comes in parts
-            part, own = symbols[:, lo : lo + 2 * GROUP_BYTES // STRETCH], text[lo : lo + 2 * GROUP_BYTES // STRETCH]
+        step = max(2 * GROUP_BYTES // STRETCH * 8 // max(8, len(net.languages)), 1)
+        for lo in range(0, symbols.shape[1], step):  # one long text comes in parts, and so do many languages
+            part, own = symbols[:, lo : lo + step], text[lo : lo + step]
             p = position_probabilities(net, np.ascontiguousarray(part))
             if (part[-1] == PAD).any():
                 p *= part != PAD
@@ -204,23 +205,35 @@ def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang") ->
     """A network for the languages of `labelled`, from at most `SAMPLE_ROWS` rows of each.
 
     Rows are picked by a hash of their text, equal texts once, so the sample is the same whatever the
-    partitions. A share of each language that holds about twice the bound is drawn first. None if no row has a language and a text.
+    partitions. A share of each language's distinct texts that holds about twice the bound is drawn
+    first; a language that comes out below the bound is drawn again from all its rows. None if no row
+    has a language and a text.
     """
     rows = labelled.select(F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"))
     rows = rows.where("lang is not null and text rlike '\\\\p{L}'").withColumn("pick", F.xxhash64("text"))
-    counts = {r.lang: r["count"] for r in rows.groupBy("lang").count().limit(MAX_LANGUAGES + 1).collect()}
-    if not counts:
-        return None
-    if len(counts) > MAX_LANGUAGES:
-        raise ValueError(f"the sample is bounded for {MAX_LANGUAGES} languages")
-    shares = F.create_map(*(F.lit(x) for lang, n in counts.items() for x in (lang, min(1.0, 2 * SAMPLE_ROWS / n))))
-    drawn = F.pmod("pick", F.lit(1 << 30)) / float(1 << 30) < shares[F.col("lang")]
     size = F.length("text")
     spots = [F.pmod(F.xxhash64("pick", F.lit(k)), F.greatest(size - STRETCH, F.lit(1))) + 1 for k in range(SAMPLE_STRETCHES)]
     parts = [F.substring("text", spot.cast("int"), F.lit(STRETCH)).alias(f"part{k}") for k, spot in enumerate(spots)]
-    few = rows.where(drawn).select("lang", "pick", *parts).distinct()
     place = F.row_number().over(Window.partitionBy("lang").orderBy("pick"))
-    sample = few.withColumn("place", place).where(F.col("place") <= SAMPLE_ROWS).orderBy("lang", "pick").collect()
+
+    def draw(some: DataFrame) -> list:
+        few = some.select("lang", "pick", *parts).distinct()
+        return few.withColumn("place", place).where(F.col("place") <= SAMPLE_ROWS).drop("place").collect()
+
+    # Shares go by distinct texts: copies would make them too small.
+    texts = {r.lang: r.texts for r in rows.groupBy("lang").agg(F.approx_count_distinct("pick").alias("texts")).collect()}
+    shared = {lang: 2 * SAMPLE_ROWS / n for lang, n in texts.items() if n > 2 * SAMPLE_ROWS}
+    if shared:
+        pairs = rows.sparkSession.createDataFrame(list(shared.items()), "lang string, share double")
+        share = F.coalesce("share", F.lit(1.0))
+        sample = draw(rows.join(F.broadcast(pairs), "lang", "left").where(F.pmod("pick", F.lit(1 << 30)) / float(1 << 30) < share))
+        drawn = Counter(r.lang for r in sample)
+        short = [lang for lang in shared if drawn[lang] < SAMPLE_ROWS]
+        if short:
+            sample = [r for r in sample if r.lang not in short] + draw(rows.where(F.col("lang").isin(short)))
+    else:
+        sample = draw(rows)
+    sample.sort(key=lambda r: (r.lang, r.pick))
     languages = sorted({r.lang for r in sample})
     if not languages:
         return None
