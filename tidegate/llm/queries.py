@@ -28,7 +28,5 @@ QUERIES = {
 }
 ORACLE_SQL = {
     "op5_repeated_windows": repeated_windows.ORACLE_SQL,
-    "op6_secrets": op6_secrets,
-    "op7_licenses": op7_licenses,
     "op8_contamination": contamination.ORACLE_SQL,
 }
