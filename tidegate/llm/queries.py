@@ -12,6 +12,7 @@ from tidegate.llm.repeated_bytes import op2_repeated_bytes
 from tidegate.llm.repeated_windows import op5_repeated_windows
 from tidegate.llm.secrets import op6_secrets
 from tidegate.llm.simhash_groups import op4_simhash_groups
+from tidegate.llm.token_counts import op11_token_counts
 from tidegate.llm.weighted_simhash import op10_fingerprints
 
 QUERIES = {
@@ -25,6 +26,7 @@ QUERIES = {
     "op8_contamination": op8_contamination,
     "op9_mixing": op9_mixing,
     "op10_fingerprints": op10_fingerprints,
+    "op11_token_counts": op11_token_counts,
 }
 ORACLE_SQL = {
     "op5_repeated_windows": repeated_windows.ORACLE_SQL,
