@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from tidegate.llm import contamination, repeated_windows
+from tidegate.llm import collocations, contamination, conversation_trie, repeated_windows
+from tidegate.llm.collocations import op13_collocations
 from tidegate.llm.contamination import op8_contamination
+from tidegate.llm.conversation_trie import op12_conversation_trie
 from tidegate.llm.language import op3_language
 from tidegate.llm.licenses import op7_licenses
 from tidegate.llm.mixing import op9_mixing
@@ -27,8 +29,12 @@ QUERIES = {
     "op9_mixing": op9_mixing,
     "op10_fingerprints": op10_fingerprints,
     "op11_token_counts": op11_token_counts,
+    "op12_conversation_trie": op12_conversation_trie,
+    "op13_collocations": op13_collocations,
 }
 ORACLE_SQL = {
     "op5_repeated_windows": repeated_windows.ORACLE_SQL,
     "op8_contamination": contamination.ORACLE_SQL,
+    "op12_conversation_trie": conversation_trie.ORACLE_SQL,
+    "op13_collocations": collocations.ORACLE_SQL,
 }

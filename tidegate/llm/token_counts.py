@@ -256,7 +256,7 @@ def frequent_lengths(docs: DataFrame, definition: str, text_col: str = "text") -
                     yield pa.RecordBatch.from_arrays([pa.array([x.tobytes()], pa.binary()) for x in fields], ["key", "check", "tokens", "times"])
 
     columns: list[list[np.ndarray]] = [[], [], [], []]
-    for row in sample.mapInArrow(seen, "key binary, check binary, tokens binary, times binary").toLocalIterator():
+    for row in sample.mapInArrow(seen, "key binary, check binary, tokens binary, times binary").collect():
         for held, raw, kind in zip(columns, row, (np.uint64, np.uint32, np.uint32, np.uint32)):
             held.append(np.frombuffer(raw, kind))
     key, check, tokens, times = (np.concatenate(x) if x else np.zeros(0, np.uint64) for x in columns)
