@@ -1,8 +1,8 @@
 """A training corpus from `documents`: five stages, each written as Parquet and read again.
 
 1. language: documents without a letter, or in no language the network knows, go.
-2. near_duplicates: one document of each group stays, that of the smallest id; texts whose sets of
-   5-word shingles have a Jaccard similarity of 0.8 or more are in one group.
+2. near_duplicates: one document of each group stays, that of the smallest id; texts whose SimHash
+   fingerprints of 3-word shingles differ in at most three bits are in one group.
 3. contamination: documents that hold a window of a benchmark item go.
 4. secrets: findings that the forest keeps are replaced in the text; all documents stay.
 5. mixing: every document gets a rate and copies, so that domains reach their target shares of
@@ -17,7 +17,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidegate.llm import contamination, language, mixing, near_copies, secrets
+from tidegate.llm import contamination, language, mixing, secrets, simhash_groups
 from tidegate.llm.scratch import shipped, written
 
 #: Pooled probability under which a text counts as no known language.
@@ -47,7 +47,7 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     shipped(spark)
-    return near_copies.keep_one_each(docs)
+    return simhash_groups.keep_one_each(docs)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
