@@ -6,6 +6,7 @@ import re
 
 from fixtures_llm import documents, frame
 from tidegate.llm.license_rules import rules
+from tidegate.llm.repeated_windows import keyed
 from tidegate.llm.licenses import scan_licenses
 from tidegate.llm.scratch import shipped
 from tidegate.llm.secrets import redact, scan_secrets
@@ -94,6 +95,23 @@ def test_secrets_are_found_and_others_left(spark):
         assert not re.search(r"AKIA[0-9A-Z]{16}", r.text)
 
 
+def test_redaction_keeps_to_the_place(spark):
+    texts = [
+        "passwd planter says the planters plant", " \n x = exchange12  exchange12\ty", "a secret b [secret] c", "", None, "one  two\tthree ",
+        "ключ=значение123 ключ", "tail token=abc", "quote's \\ back",
+    ]
+    cuts = [(0, 1, 0, "planter"), (1, 2, 0, "exchange12"), (2, 1, 0, "secret"), (2, 3, 1, "secret"), (5, 0, 0, "one"), (5, 2, 3, "ee"), (6, 0, 5, "значение"), (6, 0, 9, "ение123"), (7, 1, 6, "abc"), (8, 0, 5, "'s")]
+    cuts = [(k, w, texts[k].split()[w].find(s) if k != 6 else at, s) for k, w, at, s in cuts]
+    docs = frame(shipped(spark), [(k, t, "en") for k, t in enumerate(texts)])
+    keys = {r.doc_id: r for r in keyed(docs, "doc_id", "text").collect()}
+    found = spark.createDataFrame([(keys[k].id, keys[k].tag, w, at, s, True) for k, w, at, s in cuts], "id long, tag long, word int, at int, secret string, kept boolean")
+    got = {r.doc_id: r.text for r in redact(docs, found).collect()}
+    assert got == {
+        0: "passwd [secret] says the planters plant", 1: " \n x = [secret]  exchange12\ty", 2: "a [secret] b [[secret]] c", 3: "", 4: None,
+        5: "[secret]  two\tthr[secret] ", 6: "ключ=[secret] ключ", 7: "tail token=[secret]", 8: "quote[secret] \\ back",
+    }
+
+
 def test_secrets_odd_rows(spark):
     docs = documents(shipped(spark))
     found = scan_secrets(docs)

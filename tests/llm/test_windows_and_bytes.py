@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import random
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -10,7 +12,7 @@ import pytest
 from fixtures_llm import documents, frame
 from tidegate.llm import sketch
 from tidegate.llm.repeated_bytes import drop_repeated_bytes
-from tidegate.llm.repeated_windows import drop_repeated_windows
+from tidegate.llm.repeated_windows import drop_repeated_windows, keyed
 from tidegate.llm.scratch import shipped
 
 LOW = -(1 << 63)
@@ -20,15 +22,22 @@ def rows_of(docs):
     return [(r.doc_id, r.text or "") for r in docs.select("doc_id", "text").collect()]
 
 
+def placed(docs):
+    """(id that orders rows, text, doc_id): rows without an id have one from their text, below all others."""
+    rows = [(r.doc_id, r.id, r.text) for r in keyed(docs, "doc_id", "text").select("doc_id", "id", "text").collect()]
+    assert all(k == i if i is not None else k < LOW + (1 << 40) for i, k, _ in rows)
+    return [(k, t, i) for i, k, t in rows]
+
+
 def brute_windows(rows, size):
-    words = [(LOW if i is None else i, t.encode().split()) for i, t in rows]
+    words = [(i, t.encode().split()) for i, t, _ in rows]
     first = {}
     for i, w in words:
         for k in range(len(w) - size + 1):
             key = tuple(w[k : k + size])
             first[key] = min(first.get(key, (i, k)), (i, k))
     out = []
-    for (i, _), (n, w) in zip(rows, words):
+    for (_, _, i), (n, w) in zip(rows, words):
         gone = {k + j for k in range(len(w) - size + 1) if first[tuple(w[k : k + size])] < (n, k) for j in range(size)}
         out.append((i, len(w), len(gone), b" ".join(x for k, x in enumerate(w) if k not in gone).decode()))
     return out
@@ -57,7 +66,7 @@ def ordered(rows):
 @pytest.mark.parametrize("size,max_bits", [(20, 28), (3, 16)])
 def test_windows(spark, size, max_bits):
     docs = documents(shipped(spark))
-    rows = [r for r in rows_of(docs)]
+    rows = placed(docs)
     got = drop_repeated_windows(docs, size=size, max_bits=max_bits)
     assert got.columns == ["doc_id", "n_words", "n_removed", "kept"]
     assert ordered(got.collect()) == ordered(brute_windows(rows, size))
@@ -100,6 +109,26 @@ def test_a_text_longer_than_a_stretch(spark):
     assert got == {1: (600, 1), 2: (600, 1), 3: (0, 0)}
 
 
+def shared_id_rows(seed=8):
+    """Many texts under null ids, some alike in 16 bits of their checksum, and 20 texts under one id."""
+    rng = random.Random(seed)
+    texts = [f"{rng.choice('abcd')} {' '.join(rng.choice(['oak', 'elm', 'ash']) for _ in range(rng.randint(0, 9)))} {k}" for k in range(700)]
+    check = lambda text: zlib.crc32(text.encode()) & 0xFFFF
+    short = {check(t): t for t in (f"short {k}" for k in range(3000))}
+    long_ = [t for t in (f"long {k} " + "word " * 40 + f"end {k}" for k in range(300)) if check(t) in short]
+    assert len(long_) > 3
+    rows = [(None, t, "en") for t in texts] + [(None, t, "en") for x in long_ for t in (x, short[check(x)])]
+    return rows + [(5, f"{t} once more", "en") for t in texts[:20]] + [(k, texts[k], "en") for k in range(300, 320)]
+
+
+def test_texts_that_share_an_id_are_not_mixed_up(spark):
+    docs = frame(shipped(spark), shared_id_rows()).repartition(4)
+    got = ordered(drop_repeated_windows(docs, size=3).collect())
+    assert got == ordered(brute_windows(placed(docs), 3))
+    keys = keyed(docs, "doc_id", "text").where("doc_id is null")
+    assert keys.select("id").distinct().count() == keys.select("text").distinct().count()
+
+
 def test_empty_tables(spark):
     docs = documents(shipped(spark)).limit(0)
     assert drop_repeated_windows(docs).count() == 0

@@ -131,7 +131,7 @@ def find_windows(
                     ["id", "tag", "doc_id", "n_words", "met"],
                 )
 
-    schema = "id long, tag int, doc_id long, n_words long, met array<struct<token: long, at: int, base: int, near: string>>"
+    schema = "id long, tag long, doc_id long, n_words long, met array<struct<token: long, at: int, base: int, near: string>>"
     scanned = written(keys.select("id", "tag", "doc_id", "text").mapInArrow(candidates, schema))
     met = scanned.where(F.size("met") > 0).select("id", "tag", "n_words", F.explode("met").alias("m")).select("id", "tag", "n_words", "m.*")
     begin: Column = F.col("at") - F.col("place")

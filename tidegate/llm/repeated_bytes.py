@@ -45,9 +45,9 @@ CHUNK_BYTES = 1 << 20
 ORDER_ROWS = 1 << 14
 BUCKET_BYTES = 1 << 22
 U64 = np.uint64
-FIELDS = (("shared", np.uint64), ("whole", np.uint64), ("id", np.int64), ("start", np.int64), ("tag", np.int32), ("count", np.uint8), ("before", np.uint8), ("known", np.uint8))
-STRING_FIELDS = (("a", np.uint64), ("b", np.uint32), ("id", np.int64), ("start", np.int64), ("tag", np.int32), ("known", np.uint8))
-BLOBS = "bucket int, kind int, blob binary, id long, tag int, gone binary"
+FIELDS = (("shared", np.uint64), ("whole", np.uint64), ("id", np.int64), ("start", np.int64), ("tag", np.int64), ("count", np.uint8), ("before", np.uint8), ("known", np.uint8))
+STRING_FIELDS = (("a", np.uint64), ("b", np.uint32), ("id", np.int64), ("start", np.int64), ("tag", np.int64), ("known", np.uint8))
+BLOBS = "bucket int, kind int, blob binary, id long, tag long, gone binary"
 #: Kinds of blobs: phrases, or single strings of hot families.
 PHRASES, STRINGS = 0, 1
 #: A family of phrases (those that share the bytes behind their trigger) with more rows than this is
@@ -212,7 +212,7 @@ def _packed(id_: np.ndarray, tag: np.ndarray, start: np.ndarray, count: np.ndarr
     pairs = np.stack([start[order], count[order]], axis=1).astype(np.int64)
     cut = np.flatnonzero(np.concatenate([[True], (id_[1:] != id_[:-1]) | (tag[1:] != tag[:-1])])) if len(id_) else np.zeros(0, np.int64)
     stop = np.append(cut[1:], len(id_))
-    return [pa.array(id_[cut].astype(np.int64)), pa.array(tag[cut].astype(np.int32)), pa.array([pairs[a:b].tobytes() for a, b in zip(cut, stop)], pa.binary())]
+    return [pa.array(id_[cut].astype(np.int64)), pa.array(tag[cut].astype(np.int64)), pa.array([pairs[a:b].tobytes() for a, b in zip(cut, stop)], pa.binary())]
 
 
 def _blob(columns: list[np.ndarray], phrases: list[np.ndarray], packer: zstandard.ZstdCompressor) -> bytes:
@@ -247,7 +247,7 @@ def repeat_marks(docs: DataFrame, max_bits: int = sketch.MAX_BITS, hot_rows: int
 
     planes = spark.sparkContext.broadcast(sketch.merged_planes(docs.select("text"), hashes_of, bits))
     hot = spark.sparkContext.broadcast(_hot_families(docs, planes, bits, hot_rows))
-    schema = pa.schema([("bucket", pa.int32()), ("kind", pa.int32()), ("blob", pa.binary()), ("id", pa.int64()), ("tag", pa.int32()), ("gone", pa.binary())])
+    schema = pa.schema([("bucket", pa.int32()), ("kind", pa.int32()), ("blob", pa.binary()), ("id", pa.int64()), ("tag", pa.int64()), ("gone", pa.binary())])
 
     def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packer = zstandard.ZstdCompressor(level=1)
@@ -263,7 +263,7 @@ def repeat_marks(docs: DataFrame, max_bits: int = sketch.MAX_BITS, hot_rows: int
                 k = k[~is_hot]
                 if len(k):
                     text, first, count = p.text[k], p.first[k], p.count[k]
-                    found.append((p.shared[k], p.whole(k), ids[row + text], first - begin[text] + base, tags[row + text].astype(np.int32), count, p.trigger[k] - first))
+                    found.append((p.shared[k], p.whole(k), ids[row + text], first - begin[text] + base, tags[row + text], count, p.trigger[k] - first))
                     phrases += [data[a:b] for a, b in zip(first.tolist(), (first + count - 1 + LENGTH).tolist())]
             if found:
                 yield from phrases_out([np.concatenate(x) for x in zip(*found)], phrases, packer)
@@ -282,7 +282,7 @@ def repeat_marks(docs: DataFrame, max_bits: int = sketch.MAX_BITS, hot_rows: int
     def marks_out(id_: np.ndarray, tag: np.ndarray, start: np.ndarray, count: np.ndarray) -> Iterator[pa.RecordBatch]:
         if len(id_):
             packed = _packed(id_, tag, start, count)
-            spread = (W.mix(packed[0].to_numpy().view(np.uint64)) >> U64(64 - bucket_bits)).astype(np.int32)
+            spread = (W.mix(packed[0].to_numpy().view(np.uint64) ^ W.mix(packed[1].to_numpy().view(np.uint64))) >> U64(64 - bucket_bits)).astype(np.int32)
             nothing = [pa.nulls(len(spread), f.type) for f in list(schema)[1:3]]
             yield pa.RecordBatch.from_arrays([pa.array(spread), *nothing, *packed], schema=schema)
 
@@ -333,7 +333,7 @@ def repeat_marks(docs: DataFrame, max_bits: int = sketch.MAX_BITS, hot_rows: int
         yield from done()
 
     rows = docs.select("id", "tag", "text").mapInArrow(candidates, BLOBS)
-    return rows.repartition("bucket", "kind").sortWithinPartitions("bucket", "kind").mapInArrow(decide, "id long, tag int, gone binary")
+    return rows.repartition("bucket", "kind").sortWithinPartitions("bucket", "kind").mapInArrow(decide, "id long, tag long, gone binary")
 
 
 def _strings(p: Phrases, k: np.ndarray, ids: np.ndarray, tags: np.ndarray, origin: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -342,7 +342,7 @@ def _strings(p: Phrases, k: np.ndarray, ids: np.ndarray, tags: np.ndarray, origi
     start = np.repeat(p.first[k] - np.cumsum(count) + count, count) + np.arange(count.sum())
     text = np.repeat(p.text[k], count)
     one, two = (W.span_hashes(p.data, start, start + LENGTH, lane) for lane in (0, 1))
-    return one, two.astype(np.uint32), ids[text], start - origin[text], tags[text].astype(np.int32)
+    return one, two.astype(np.uint32), ids[text], start - origin[text], tags[text]
 
 
 def _hot_families(docs: DataFrame, planes, bits: int, hot_rows: int) -> np.ndarray:

@@ -31,8 +31,8 @@ NO_ID = -(1 << 63)
 BLOBS = "bucket int, owners int, blob binary"
 BUCKET_WINDOWS = 1 << 18
 OWNER_BYTES = 1 << 25
-FIELDS = (("a", np.uint64), ("b", np.uint32), ("id", np.int64), ("start", np.int32), ("tag", np.int32))
-#: Marks travel in blobs as well, by the leading bits of a hash of their id (`owners`).
+FIELDS = (("a", np.uint64), ("b", np.uint32), ("id", np.int64), ("start", np.int32), ("tag", np.int64))
+#: Marks travel in blobs as well, by the leading bits of a hash of their id and tag (`owners`).
 MARK_FIELDS = FIELDS[2:]
 MARKS_AT_ONCE = 1 << 20
 
@@ -118,7 +118,7 @@ def window_marks(docs: DataFrame, size: int, max_bits: int = sketch.MAX_BITS) ->
             if not found:
                 continue
             a, b, row, start = (np.concatenate(x) for x in zip(*found))
-            columns, later = _firsts(a, b, ids[row], start.astype(np.int32), tags[row].astype(np.int32))
+            columns, later = _firsts(a, b, ids[row], start.astype(np.int32), tags[row])
             kept = [x[~later] for x in columns]
             bucket, blobs = _blobs((kept[0] >> U64(64 - bucket_bits)).astype(np.int32), kept, zstandard.ZstdCompressor(level=1))
             yield pa.RecordBatch.from_arrays([pa.array(bucket), pa.nulls(len(bucket), pa.int32()), pa.array(blobs, pa.binary())], schema=schema)
@@ -128,7 +128,7 @@ def window_marks(docs: DataFrame, size: int, max_bits: int = sketch.MAX_BITS) ->
 
     def marks_of(columns: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
         if len(columns[0]):
-            owners = (W.mix(columns[0].view(np.uint64)) >> U64(64 - owner_bits)).astype(np.int32)
+            owners = (W.mix(columns[0].view(np.uint64) ^ W.mix(columns[2].view(np.uint64))) >> U64(64 - owner_bits)).astype(np.int32)
             owners, blobs = _blobs(owners, columns, zstandard.ZstdCompressor(level=1))
             yield pa.RecordBatch.from_arrays([pa.array(owners), pa.array(owners), pa.array(blobs, pa.binary())], schema=schema)
 
@@ -182,13 +182,18 @@ def window_marks(docs: DataFrame, size: int, max_bits: int = sketch.MAX_BITS) ->
     rows = docs.select("id", "tag", "text").mapInArrow(candidates, BLOBS)
     marks = rows.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(later_ones, BLOBS)
     owned = marks.select("owners", "blob").repartition("owners").sortWithinPartitions("owners")
-    return owned.mapInArrow(by_owner, "id long, tag int, starts binary")
+    return owned.mapInArrow(by_owner, "id long, tag long, starts binary")
 
 
 def key_columns(id_col: str, text_col: str) -> dict[str, Column]:
-    """id (null first of all), and tag, which tells apart texts under one id."""
+    """id and tag, which name a row by its id and 64 bits of its text.
+
+    A row without an id gets one from 40 more bits of its text, below all others: ids of the 2**40
+    smallest longs are kept for these. So such rows come first, and differ as documents by their text.
+    """
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    return {"id": F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)), "tag": F.crc32(text).bitwiseAND(0xFFFF).cast("int")}
+    own = F.lit(NO_ID) + F.shiftrightunsigned(F.xxhash64(F.lit(1), text), 24)
+    return {"id": F.coalesce(F.col(id_col).cast("long"), own), "tag": F.xxhash64(text)}
 
 
 def tagged(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, list[str]]:
@@ -214,8 +219,8 @@ def drop_repeated_windows(
     """(doc_id, n_words, n_removed, kept): each row's words without those of windows that start earlier.
 
     Earlier means in a row of a smaller id, or of the same id at a smaller word; null ids come
-    before all others. Rows repeated under one id are one document and lose the same words; a text
-    of its own under a repeated id loses its own. A null text is empty; fewer words than `size` make
+    before all others, in order of a hash of their texts. Rows repeated under one id are one document
+    and lose the same words; a text of its own under a repeated id loses its own. A null text is empty; fewer words than `size` make
     no window. kept is the remaining words joined by one space. Extra columns are ignored.
     """
     keys = keyed(docs, id_col, text_col)

@@ -66,7 +66,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                 fp = np.concatenate([shingle_fingerprints(t) for t in W.text_groups(batch.column(3))])
                 yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(fp.view(np.int64))], ["id", "tag", "doc_id", "fp"])
 
-    return keyed(docs, id_col, text_col).mapInArrow(rows, "id long, tag int, doc_id long, fp long")
+    return keyed(docs, id_col, text_col).mapInArrow(rows, "id long, tag long, doc_id long, fp long")
 
 
 def table_rows(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -116,7 +116,7 @@ def in_order(keys: DataFrame, buckets: int) -> DataFrame:
     firsts.sort()
     spark = keys.sparkSession
     before = spark.createDataFrame(
-        [(b, i, t, firsts[k - 1][0]) for k, (b, i, t) in enumerate(firsts)], "bucket int, id long, tag int, before int"
+        [(b, i, t, firsts[k - 1][0]) for k, (b, i, t) in enumerate(firsts)], "bucket int, id long, tag long, before int"
     )
     return (
         keys.join(F.broadcast(before), ["bucket", "id", "tag"], "left")
