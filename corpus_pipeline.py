@@ -20,8 +20,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tidegate.llm import contamination, language, mixing, secrets, simhash_groups
 from tidegate.llm.scratch import shipped, written
 
-#: Pooled probability under which a text counts as no known language.
-LEAST_SCORE = 0.3
+#: A text counts as no known language where its pooled probability is below so many times that of chance.
+LEAST_ODDS = 1.2
 
 
 def _names(docs: DataFrame) -> list:
@@ -42,7 +42,8 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
         return docs.where(F.col("text").rlike("\\p{L}"))
     label, score = _free(docs, "lang_pred"), _free(docs, "score")
     found = language.identify(docs, net, names_as=(label, score))
-    return found.where((F.col(label) != "und") & (F.col(score) >= LEAST_SCORE)).select(*_names(docs))
+    least = min(LEAST_ODDS / len(net.languages), 0.5)
+    return found.where((F.col(label) != "und") & (F.col(score) >= least)).select(*_names(docs))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -134,3 +134,18 @@ def test_quarantine_stats_and_summary(spark):
     row = quarantine.quarantine_summary(table, totals).first()
     assert (row.indexed_records, row.replay_eligible, row.pipeline_quarantine_rate) == (3, 2, 0.25)
     assert row.by_error_type == {"malformed_json": 1, "quality_rule": 2}
+
+
+def test_a_bucketed_ledger_is_never_shuffled(spark):
+    from tidegate.session import overridden, scratch_dir
+
+    rows = [(f"e{n}", "written", "2024-01-01 00:00:00", "2024-01-03 00:00:00") for n in range(50)]
+    entries = spark.createDataFrame(rows, "event_id string, status string, updated_at string, expires_at string")
+    entries = entries.withColumns({c: F.col(c).cast("timestamp") for c in ("updated_at", "expires_at")})
+    batch = spark.createDataFrame([(f"e{n}",) for n in range(40, 60)], "event_id string").repartition(3)
+    with overridden(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}):
+        stored = ledger.store_bucketed(entries, "ledger_by_id", scratch_dir(spark, "bucketed"), 16)
+        admitted = ledger.idempotent_gate(batch, stored, "2024-01-02T00:00:00Z")
+        plan = admitted._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning(event_id") == 1 and "SortMergeJoin" in plan
+        assert sorted(row.event_id for row in admitted.collect()) == [f"e{n}" for n in range(50, 60)]

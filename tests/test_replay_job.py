@@ -52,9 +52,11 @@ def test_replay_runs(spark):
     counts = second.run().first()
     assert (counts.replayed, counts.dead_lettered, counts.deferred) == (1, 0, 1)
     assert ids(tables.clean()) == ["a", "b", "soon"]
-    third = ReplayJob(tables, "three", LATER).run().first()
+    early = ReplayJob(tables, "early", LATER + dt.timedelta(seconds=3))
+    assert early.pending().count() == 0  # the second failure waits four seconds
+    third = ReplayJob(tables, "three", LATER + dt.timedelta(seconds=4)).run().first()
     assert (third.replayed, third.dead_lettered, third.deferred) == (0, 1, 0)
-    assert ReplayJob(tables, "four", LATER).pending().count() == 0
+    assert ReplayJob(tables, "four", LATER + dt.timedelta(days=1)).pending().count() == 0
 
     want = aggregate_events(tables.clean())
     got = corrected_windows(tables).select(*want.columns)
@@ -72,3 +74,23 @@ def test_replay_does_not_pass_the_gate_twice(spark):
     write_batch(frame, tables.path("quarantine"), utc_day(int(NOW.timestamp())), "q", 1)
     assert ReplayJob(tables, "two", LATER).run().first().replayed == 2
     assert ids(tables.clean()) == ["a", "b", "soon"]
+
+
+def test_a_log_gets_each_message_once(spark):
+    root = scratch_dir(spark, "replay")
+    sent = []
+
+    def send(messages):
+        sent.append(sorted(map(tuple, messages.collect())))
+        if len(sent) == 1:
+            raise RuntimeError("lost before the mark")
+
+    tables = BatchTables(spark, root, send=send)
+    quarantined(spark, tables)
+    for _ in range(3):
+        try:
+            ReplayJob(tables, "one", NOW).run()
+        except RuntimeError:
+            pass
+    assert len(sent) == 2 and sent[0] == sent[1]  # the same ids again, and then no more
+    assert len({row[-1] for row in sent[0]}) == len(sent[0]) == 9

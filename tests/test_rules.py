@@ -21,7 +21,14 @@ CASES = {
     "brace behind": (payload() + "}", "malformed_json", None),
     "object in a list": ("[" + payload() + "]", "schema_validation", "event_id"),
     "white space around": ("  " + payload() + "\n", None, None),
-    "closing member": (payload()[:-1] + ',"_end_of_payload":1}', "malformed_json", None),
+    "closing member within": (payload()[:-1] + ',"_end_of_payload":1}', None, None),
+    "closing member named in text": (payload(session_id="_end_of_payload"), None, None),
+    "closing member behind": (payload() + ',"_end_of_payload":1', "malformed_json", None),
+    "member behind": (payload() + ',"x":1', "malformed_json", None),
+    "another event behind": (payload() + ',"event":' + payload(event_id="evt-2"), "malformed_json", None),
+    "another list behind": (payload() + "],[" + payload(), "malformed_json", None),
+    "two comma": (payload() + ",", "malformed_json", None),
+    "closed early": (payload() + '}{"a":1', "malformed_json", None),
     "empty payload": ("", "malformed_json", None),
     "blank payload": ("   ", "malformed_json", None),
     "truncated": ('{"event_id":', "malformed_json", None),

@@ -24,6 +24,18 @@ def dedup_stream(events: DataFrame, watermark: str = WATERMARK, *, bounded: bool
     return named.dropDuplicates(["_copy_of"]).drop("_copy_of")
 
 
+def dedup_beside_arrivals(events: DataFrame, watermark: str = WATERMARK, *, partitions: int) -> DataFrame:
+    """First arrivals, ``_kept``, and beside them every arrival of the batch once more, not ``_kept``.
+
+    What the stream drops, late rows and copies, is in the second part only. Both parts read one
+    exchange by id of ``partitions`` tasks, the number of the state's own, so rows are parsed once.
+    """
+    named = events.withColumn("_copy_of", copy_key(events)).withWatermark("event_timestamp", watermark)
+    placed = named.repartition(partitions, "_copy_of")
+    kept = placed.dropDuplicatesWithinWatermark(["_copy_of"]).withColumn("_kept", F.lit(True))
+    return kept.unionByName(placed.withColumn("_kept", F.lit(False))).drop("_copy_of")
+
+
 def copy_key(events: DataFrame) -> Column:
     """What copies of one event share: its id, or for a row without one where it came from.
 
@@ -59,6 +71,6 @@ def batch_watermarks(events: DataFrame, watermark: str = WATERMARK) -> DataFrame
 
 
 def late_rows(events: DataFrame, watermark: str = WATERMARK) -> DataFrame:
-    """Rows a stream reading these batches in order would have dropped as late."""
+    """Rows a stream reading these batches in order would have dropped as late: those at the watermark or before it."""
     marks = batch_watermarks(events, watermark)
-    return events.join(marks, "batch_id").where(F.col("event_timestamp") < F.col("watermark"))
+    return events.join(marks, "batch_id").where(F.col("event_timestamp") <= F.col("watermark"))

@@ -124,6 +124,18 @@ def purged(ledger: DataFrame, now: Column | datetime | str | None = None) -> Dat
     return current_status(ledger, now)
 
 
+def store_bucketed(ledger: DataFrame, table: str, path: str, buckets: int) -> DataFrame:
+    """The ledger as a table bucketed and sorted by id, read back.
+
+    A window over ids and a join on them find its rows where they need them: only the batch moves,
+    to the ledger's buckets, and the ledger is never shuffled. Take as many buckets as shuffle
+    partitions, or more.
+    """
+    writer = ledger.write.mode("overwrite").option("path", path).bucketBy(buckets, "event_id").sortBy("event_id")
+    writer.saveAsTable(table)
+    return ledger.sparkSession.table(table)
+
+
 def admit(batch: DataFrame, written: DataFrame) -> DataFrame:
     """Rows of a batch whose id is not among the written ids.
 

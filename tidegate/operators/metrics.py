@@ -108,7 +108,11 @@ def rate_alerts(
     metrics: DataFrame, threshold: float = QUARANTINE_RATE_THRESHOLD, *, chunk: int = CHUNK
 ) -> DataFrame:
     """The batches that raise a quarantine-rate failure, in the shape of a failure row."""
-    fired = rate_history(metrics, threshold, chunk=chunk).where("alert")
+    return alert_rows(rate_history(metrics, threshold, chunk=chunk).where("alert"), threshold)
+
+
+def alert_rows(fired: DataFrame, threshold: float = QUARANTINE_RATE_THRESHOLD) -> DataFrame:
+    """Failure rows of batches with their running totals and rate."""
     total = F.col("total_valid") + F.col("total_quarantined")
     return fired.select(
         *BATCH_KEYS,

@@ -20,6 +20,9 @@ HELPERS = (PARSED, TIMES)
 
 # The parser stops behind the first complete value and would not see what follows it. Inside an
 # outer object the payload must be one whole value for the closing member to be reached.
+# What could go on there, a comma and more members, breaks a list or makes it longer, and what could
+# close a list breaks the object: only one whole value fits both, and nothing else is read at all.
+IS_ONE_VALUE = "json_array_length(concat('[', raw_payload, ']')) = 1"
 WRAPPED = f"""concat('{{"event":', raw_payload, ',"{END_FIELD}":1}}')"""
 
 
@@ -31,9 +34,8 @@ def parse_events(raw: DataFrame) -> DataFrame:
     output stay above it. The same goes for the two timestamps, which the rules and the
     transformation both need.
     """
-    parsed = raw.withColumn(
-        PARSED, F.explode(F.array(F.from_json(F.expr(WRAPPED), PARSE_SCHEMA, JSON_OPTIONS)))
-    )
+    read = F.when(F.expr(IS_ONE_VALUE), F.from_json(F.expr(WRAPPED), PARSE_SCHEMA, JSON_OPTIONS))
+    parsed = raw.withColumn(PARSED, F.explode(F.array(read)))
     times = F.struct(
         event_time(f"{PARSED}.event.event_timestamp").alias("event"),
         event_time(f"{PARSED}.event.ingestion_timestamp").alias("ingestion"),
@@ -43,9 +45,9 @@ def parse_events(raw: DataFrame) -> DataFrame:
 
 
 # True if the payload is not one JSON value: broken text, several values, text behind the first. Only
-# rows the parser flagged pay for a second look, which tells text broken within a member from sound
-# JSON with a value of the wrong type. A payload that names the closing member itself is refused.
-IS_MALFORMED = f"""{PARSED}.{END_FIELD} IS NULL OR contains(raw_payload, '{END_FIELD}')
+# rows the parser flagged pay for a third look, which tells text broken within a member from sound
+# JSON with a value of the wrong type.
+IS_MALFORMED = f"""{PARSED}.{END_FIELD} IS NULL
   OR ({PARSED}.{CORRUPT_FIELD} IS NOT NULL AND try_parse_json(raw_payload) IS NULL)"""
 
 # True if event_value is present but is not a finite JSON number. NaN sorts above infinity, so

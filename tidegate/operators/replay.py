@@ -158,14 +158,25 @@ def deferred_records(
     decisions: DataFrame, *, base_seconds: float = 2.0, max_seconds: float = 30.0
 ) -> DataFrame:
     """Records that stay in quarantine, with their new count and the time of the next attempt."""
-    wait = F.make_interval(secs=backoff_seconds("retry_count", base_seconds, max_seconds))
     deferred = decisions.where(F.col("outcome") == DEFERRED)
-    return deferred.select(
-        *RECORD_FIELDS,
-        "last_replay_error",
-        "last_replay_at",
-        (F.col("last_replay_at") + wait).alias("next_attempt_at"),
-    )
+    due = next_attempt("retry_count", "last_replay_at", base_seconds, max_seconds)
+    return deferred.select(*RECORD_FIELDS, "last_replay_error", "last_replay_at", due.alias("next_attempt_at"))
+
+
+def next_attempt(count: str, at: str, base_seconds: float = 2.0, max_seconds: float = 30.0) -> Column:
+    """When a record that failed for the ``count``-th time ``at`` some time may be tried again."""
+    return F.col(at) + F.make_interval(secs=backoff_seconds(count, base_seconds, max_seconds))
+
+
+def due_minute(at: Column) -> Column:
+    """The bucket of the index of waiting records."""
+    return F.floor(F.unix_seconds(at) / 60).cast("long")
+
+
+def due_records(waiting: DataFrame, now: Column | datetime | str | None = None) -> DataFrame:
+    """Waiting records whose time has come. On an index partitioned by ``due_minute`` later buckets are not read."""
+    clock = as_now(now)
+    return waiting.where((F.col("due_minute") <= due_minute(clock)) & (F.col("next_attempt_at") <= clock))
 
 
 def replayed_clean(
@@ -173,8 +184,9 @@ def replayed_clean(
     ledger: DataFrame,
     *,
     now: Column | datetime | str | None = None,
+    ttl_seconds: int | None = None,
 ) -> DataFrame:
-    """Replayed events as clean rows.
+    """Replayed events as clean rows. Where ledger entries live ``ttl_seconds``, older ones are not read.
 
     The decision already holds the parsed event and the verdict of every rule at the same
     clock, so nothing is parsed twice. A replay is a batch: the stream's watermark would drop
@@ -186,4 +198,4 @@ def replayed_clean(
     )
     clean = transform_events(events, now=now)
     order = [name for name in ("ingestion_timestamp", "source_partition", "source_offset") if name in clean.columns]
-    return idempotent_gate(dedup_first(clean, [*order, "raw_payload"]), ledger, now)
+    return idempotent_gate(dedup_first(clean, [*order, "raw_payload"]), ledger, now, ttl_seconds=ttl_seconds)

@@ -67,7 +67,7 @@ concat('{', concat_ws(',',
     WHEN event_id % 50 = 12 THEN '"abc"'
     WHEN event_id % 50 IN (13, 17) THEN '-12.5'
     ELSE CAST(value AS STRING) END),
-  '"event_status":"accepted"',
+  concat('"event_status":"', IF(event_id % 50 = 25, '_end_of_payload', 'accepted'), '"'),
   concat('"payload_version":"', CASE
     WHEN event_id % 50 = 10 THEN '7.3'
     WHEN event_id % 50 <> 9 THEN IF(event_id % 2 = 0, '1.0', '1.1') END, '"'),
@@ -76,9 +76,12 @@ concat('{', concat_ws(',',
   CASE WHEN event_id % 3 = 0 THEN concat('"note":{"at":{"id":', event_id, '}}') END
 ), '}')
 """
-# Payloads that are not one JSON object: cut off, two objects with and without a comma, text behind.
+# Payloads that are not one JSON object: cut off, two objects with and without a comma, text behind, and
+# tails that go on where an object or a list around the payload would.
 BROKEN = """CASE event_id % 50 WHEN 1 THEN substring(whole, 1, 20) WHEN 18 THEN concat(whole, whole)
-  WHEN 19 THEN concat(whole, ',', whole) WHEN 20 THEN concat(whole, ' and more') ELSE whole END"""
+  WHEN 19 THEN concat(whole, ',', whole) WHEN 20 THEN concat(whole, ' and more') WHEN 21 THEN concat(whole, ',"x":1')
+  WHEN 22 THEN concat(whole, ',"event":', whole) WHEN 23 THEN concat(whole, ',"_end_of_payload":1')
+  WHEN 24 THEN concat(whole, '],[', whole) ELSE whole END"""
 
 
 def wire_records(spark: SparkSession, sf_dir: str) -> DataFrame:

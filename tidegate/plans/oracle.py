@@ -10,6 +10,8 @@ from tidegate.plans.fixture import FAILURES
 
 NOW = "TIMESTAMP '2024-02-01 00:00:00'"
 EARLIER = "TIMESTAMP '2024-01-15 00:00:00'"
+# Kinds of payload, by event_id mod 50, that are not one JSON value.
+MALFORMED = "(1, 18, 19, 20, 21, 22, 23, 24)"
 
 
 def _cases(column: str, values: list[str]) -> str:
@@ -23,7 +25,7 @@ def _quoted(text: str) -> str:
 def _verdict(now: str) -> str:
     """First failing rule as 'type/field'; null for a valid row."""
     return f"""CASE
-      WHEN d IN (1, 18, 19, 20) THEN 'malformed_json/'
+      WHEN d IN {MALFORMED} THEN 'malformed_json/'
       WHEN event_id IS NULL THEN 'schema_validation/event_id'
       WHEN event_time IS NULL THEN 'malformed_timestamp/event_timestamp'
       WHEN event_type NOT IN ('page_view','click','purchase','sensor_reading','error_event','heartbeat')
@@ -83,13 +85,15 @@ fields AS (
     'ses-' || uid AS session_id,
     CASE WHEN d = 12 THEN '"abc"' WHEN d IN (13, 17) THEN '-12.5' ELSE CAST(value AS VARCHAR) END AS value_text,
     CASE WHEN d IN (13, 17) THEN -12.5 WHEN d <> 12 THEN value END AS event_value,
-    'accepted' AS event_status,
+    CASE WHEN d = 25 THEN '_end_of_payload' ELSE 'accepted' END AS event_status,
     CASE WHEN d = 10 THEN '7.3' WHEN d <> 9 THEN CASE WHEN id % 2 = 0 THEN '1.0' ELSE '1.1' END END AS payload_version,
     CASE WHEN d <> 11 THEN json_extract_string(props, '$.k') END AS k
   FROM src),
 wire AS (
   SELECT *, CASE d WHEN 1 THEN substr(whole, 1, 20) WHEN 18 THEN whole || whole WHEN 19 THEN whole || ',' || whole
-    WHEN 20 THEN whole || ' and more' ELSE whole END AS raw_payload
+    WHEN 20 THEN whole || ' and more' WHEN 21 THEN whole || ',"x":1' WHEN 22 THEN whole || ',"event":' || whole
+    WHEN 23 THEN whole || ',"_end_of_payload":1' WHEN 24 THEN whole || '],[' || whole
+    ELSE whole END AS raw_payload
   FROM (SELECT *, '{{' || concat_ws(',',
       '"event_id":"' || event_id || '"',
       '"user_id":"' || user_id || '"',
@@ -101,14 +105,14 @@ wire AS (
       '"region":"' || region || '"',
       '"session_id":"' || session_id || '"',
       '"event_value":' || value_text,
-      '"event_status":"accepted"',
+      '"event_status":"' || event_status || '"',
       '"payload_version":"' || payload_version || '"',
       CASE WHEN k IS NULL THEN '"metadata":{{}}' ELSE '"metadata":{{"k":"' || k || '"}}' END,
       CASE WHEN id % 3 = 0 THEN '"note":{{"at":{{"id":' || id || '}}}}' END) || '}}' AS whole
     FROM fields)),
 parsed AS (
   SELECT id, d, copy, source_topic, source_partition, source_offset, kafka_timestamp, raw_payload,
-    {", ".join(f"CASE WHEN d NOT IN (1, 18, 19, 20) THEN {c} END AS {c}" for c in (
+    {", ".join(f"CASE WHEN d NOT IN {MALFORMED} THEN {c} END AS {c}" for c in (
         "event_id", "user_id", "device_id", "event_type", "event_timestamp", "event_time",
         "ingestion_timestamp", "ingestion_time", "source_system", "region", "session_id",
         "event_value", "event_status", "payload_version", "k"))}
@@ -272,7 +276,7 @@ def _windows(rows: str, size: str, more: str = "") -> str:
 _RELAXED = f"""SELECT error_type, failed_field, count(*) AS records
   FROM (SELECT split_part(verdict, '/', 1) AS error_type, nullif(split_part(verdict, '/', 2), '') AS failed_field
     FROM (SELECT CASE
-      WHEN d IN (1, 18, 19, 20) THEN 'malformed_json/'
+      WHEN d IN {MALFORMED} THEN 'malformed_json/'
       WHEN event_id IS NULL THEN 'schema_validation/event_id'
       WHEN event_time IS NULL THEN 'malformed_timestamp/event_timestamp'
       WHEN event_type NOT IN ('page_view','click','purchase','sensor_reading','error_event','heartbeat','signup','banner_hover')
@@ -319,6 +323,8 @@ SQL: dict[str, str] = {
     "exact_unique_devices": _windows("deduped", "1 day", ", count(DISTINCT device_id) AS unique_device_count"),
     "approx_unique_devices": f"""SELECT window_start, event_type, region, source_system, unique_device_count AS exact_count,
       TRUE AS estimate_is_near FROM ({_windows("deduped", "1 day", ", count(DISTINCT device_id) AS unique_device_count")})""",
+    "rollup_1h_from_5m": _windows("deduped", "1 hour"),
+    "rollup_1d_from_5m": _windows("deduped", "1 day", ", count(DISTINCT device_id) AS exact_count, TRUE AS estimate_is_near"),
     "replay_window_refresh": """, before AS (
         SELECT event_time AS event_timestamp, event_type, region, source_system, event_value
         FROM checked_earlier WHERE is_valid
@@ -336,7 +342,7 @@ SQL: dict[str, str] = {
       marks AS (SELECT batch_id, max(top) OVER (ORDER BY batch_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
         - INTERVAL 10 MINUTE AS watermark FROM newest)
       SELECT event_id, source_offset, event_timestamp, batch_id, watermark FROM arrived JOIN marks USING (batch_id)
-      WHERE event_timestamp < watermark""",
+      WHERE event_timestamp <= watermark""",
     "encode_clean": """SELECT event_id AS key, event_id, user_id, event_type, event_value,
       date_trunc('millisecond', event_timestamp) AS event_timestamp, event_date, processing_key, source_offset
       FROM deduped""",
@@ -378,7 +384,7 @@ SQL: dict[str, str] = {
           'validation' AS component, true AS recoverable, CAST(total_quarantined AS VARCHAR) AS invalid_records,
           CAST(total_valid + total_quarantined AS VARCHAR) AS total_records
           FROM history WHERE rate > {limit} AND rate_before <= {limit}"""
-        for name, limit in (("rate_alerts", 0.10), ("rate_alerts_rearmed", 0.45))
+        for name, limit in (("rate_alerts", 0.10), ("rate_alerts_rearmed", 0.45), ("stream_rate_alerts", 0.45))
     },
     "rate_incidents": """SELECT 'Quarantine rate ' || printf('%.2f', rate * 100) || '% exceeds 45.00%' AS exception_message,
       'excessive_quarantine_rate' AS failure_type, 'Validation' AS component,
@@ -411,6 +417,8 @@ SQL: dict[str, str] = {
       {NOW} + INTERVAL 1 DAY AS expires_at FROM clean WHERE event_id NOT IN (SELECT event_id FROM ledger_live)""",
     "idempotent_gate": """SELECT event_id, event_timestamp, source_offset FROM deduped
       WHERE event_id NOT IN (SELECT event_id FROM ledger_written)""",
+    "gate_bucketed": """SELECT event_id, event_timestamp, source_offset FROM deduped
+      WHERE event_id NOT IN (SELECT event_id FROM ledger_written)""",
     "gate_duplicates": """SELECT count(*) AS distinct_ids, count(*) FILTER (NOT seen) AS admitted,
       count(*) FILTER (seen) AS duplicates
       FROM (SELECT DISTINCT event_id, event_id IN (SELECT event_id FROM ledger_written) AS seen FROM clean)""",
@@ -424,6 +432,16 @@ SQL: dict[str, str] = {
     "replay_deferred": f"""SELECT event_id, original_payload, retry_count, new_error AS last_replay_error,
       {NOW} + to_seconds(CAST(least(30, 2 * pow(2, greatest(0, retry_count - 1))) AS BIGINT)) AS next_attempt_at
       FROM replays WHERE outcome = 'deferred'""",
+    "replay_due": """, first_try AS (
+        SELECT CASE WHEN replay_eligible AND NOT now_valid THEN 'deferred' WHEN replay_eligible THEN 'replayed' ELSE 'dead_lettered' END AS outcome,
+          CAST(CASE WHEN replay_eligible THEN 1 ELSE 0 END AS INTEGER) AS retry_count FROM quarantined_before),
+      runs AS (SELECT 'replay-0s' AS run, * FROM first_try
+        UNION ALL SELECT 'replay-2s', 'deferred', 2 FROM first_try WHERE outcome = 'deferred'
+        UNION ALL SELECT 'replay-6s', 'dead_lettered', 3 FROM first_try WHERE outcome = 'deferred')
+      SELECT run, outcome, retry_count, count(*) AS records FROM runs GROUP BY ALL""",
+    "replay_published_once": """, sent AS (SELECT unnest(CASE WHEN NOT replay_eligible THEN ['events.dead_letter']
+        WHEN now_valid THEN ['events.replay', 'events.raw'] ELSE ['events.replay'] END) AS topic FROM quarantined_before)
+      SELECT topic, count(*) AS messages, count(*) AS distinct_ids FROM sent GROUP BY topic""",
     "replay_publish": """SELECT topic, event_id,
       CASE WHEN outcome <> 'replayed' THEN first_error END AS error_type,
       CASE WHEN outcome <> 'replayed' THEN retry_count END AS record_retry_count,
@@ -506,6 +524,23 @@ SQL: dict[str, str] = {
       'evt-' || event_id AS details FROM events ORDER BY timestamp DESC, action DESC LIMIT 500""",
     "stream_clean_equals_batch": """SELECT event_id, event_timestamp, event_type, region, event_value, processing_key,
       event_date FROM deduped""",
+    "stream_three_queries": f"""SELECT 'clean_events' AS "table", count(*) AS records FROM deduped
+      UNION ALL SELECT 'quarantine', count(*) FROM envelopes
+      UNION ALL SELECT 'aggregates', count(*) FROM ({_windows("deduped", "5 minutes")})""",
+    "stream_resumed_batch": """SELECT event_id, event_timestamp, processing_key, CAST(1 AS BIGINT) AS entries FROM deduped""",
+    "stream_gate_ttl": """SELECT event_id, CAST(CASE WHEN CAST(substr(event_id, 5) AS BIGINT) % 3 = 0 THEN 2 ELSE 1 END AS BIGINT)
+      AS times_written FROM deduped""",
+    "stream_side_outputs": """, arrived AS (SELECT event_id, event_timestamp,
+        kafka_timestamp + to_hours(CASE WHEN source_offset % 11 = 0 THEN 40 ELSE 0 END) AS seen_at FROM clean),
+      parted AS (SELECT *, CASE WHEN seen_at < TIMESTAMP '2024-01-08 00:00:00' THEN 0 WHEN seen_at < TIMESTAMP '2024-01-16 00:00:00' THEN 1
+        WHEN seen_at < TIMESTAMP '2024-01-24 00:00:00' THEN 2 ELSE 3 END AS part FROM arrived),
+      tops AS (SELECT part, max(event_timestamp) AS top FROM parted GROUP BY part),
+      marks AS (SELECT p.part, max(t.top) - INTERVAL 10 MINUTE AS mark FROM tops p LEFT JOIN tops t ON t.part < p.part GROUP BY p.part),
+      judged AS (SELECT event_id, coalesce(event_timestamp <= mark, false) AS late FROM parted JOIN marks USING (part))
+      SELECT event_id, CAST(least(count(*) FILTER (NOT late), 1) AS BIGINT) AS kept, count(*) FILTER (late) AS late,
+        CAST(greatest(count(*) FILTER (NOT late) - 1, 0) AS BIGINT) AS duplicate FROM judged GROUP BY event_id""",
+    "ledger_purged": "SELECT * FROM ledger_current",
+    "compacted_clean": "SELECT event_id, source_offset, event_date, region, event_value FROM deduped",
     "stream_agg_equals_batch": _windows("deduped", "5 minutes"),
     "stream_lost_checkpoint_aggregates": _windows("deduped", "5 minutes"),
     "stream_lost_checkpoint_quarantine": """SELECT event_id, original_payload, error_type, error_message, failed_field,

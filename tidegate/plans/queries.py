@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
-from datetime import datetime, timezone
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -25,9 +26,12 @@ from tidegate.operators.parsing import drop_helpers, parse_events
 from tidegate.plans import fixture, streams
 from tidegate.plans.incident_job import IncidentJob
 from tidegate.plans.fixture import EARLIER_NOW, NOW
+from tidegate.plans.replay_job import ReplayJob
 from tidegate.session import pin_utc, scratch_dir
 from tidegate.sinks import messages
+from tidegate.sinks.tables import write_batch
 from tidegate.sources import wire
+from tidegate.streaming.batches import BatchTables
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -267,9 +271,30 @@ def replay_window_refresh(spark, sf_dir):
     before = dedup.dedup_first(
         transform.transform_events(rules.valid_events(checked(spark, sf_dir, EARLIER_NOW)), now=NOW)
     )
-    added = replay.replayed_clean(decisions(spark, sf_dir), live_ledger(spark, sf_dir), now=NOW)
-    everything = before.unionByName(added)
-    return rounded(aggregate.touched_windows(everything, added, "1 hour"))
+    added = replay.replayed_clean(
+        decisions(spark, sf_dir), live_ledger(spark, sf_dir), now=NOW, ttl_seconds=LEDGER_TTL_SECONDS
+    )
+    states = aggregate.window_states(before, "1 hour")
+    return rounded(aggregate.finished(aggregate.states_with(states, added, "1 hour")))
+
+
+@query
+def rollup_1h_from_5m(spark, sf_dir):
+    """Hours merged from the states of five-minute windows."""
+    states = aggregate.window_states(deduped(spark, sf_dir))
+    return rounded(aggregate.finished(aggregate.merged_states(states, "1 hour")))
+
+
+@query
+def rollup_1d_from_5m(spark, sf_dir):
+    """Days merged from five-minute windows, with exact device counts beside the merged sketches."""
+    rows = deduped(spark, sf_dir)
+    days = rounded(aggregate.finished(aggregate.merged_states(aggregate.window_states(rows), "1 day")), "unique_device_count")
+    keys = ["window_start", *aggregate.GROUP_KEYS]
+    exact = aggregate.aggregate_events(rows, "1 day", exact_devices=True).select(*keys, F.col("unique_device_count").alias("exact_count"))
+    off = F.abs(F.col("unique_device_count") - F.col("exact_count"))
+    near = off <= F.greatest(F.col("exact_count") * 0.05, F.lit(1))
+    return days.join(exact, keys).withColumn("estimate_is_near", near).drop("unique_device_count")
 
 
 @query
@@ -404,7 +429,10 @@ def rate_history(spark, sf_dir):
 
 
 def _alerts(spark: SparkSession, sf_dir: str, threshold: float) -> DataFrame:
-    fired = metrics.rate_alerts(hourly_metrics(spark, sf_dir), threshold, chunk=100)
+    return _alert_columns(metrics.rate_alerts(hourly_metrics(spark, sf_dir), threshold, chunk=100))
+
+
+def _alert_columns(fired: DataFrame) -> DataFrame:
     return fired.select(
         "query_id", "batch_id", "failure_type", "message", "component", "recoverable",
         F.col("metadata")["invalid_records"].alias("invalid_records"),
@@ -475,6 +503,26 @@ def idempotent_gate(spark, sf_dir):
     return admitted.select("event_id", "event_timestamp", "source_offset")
 
 
+@query
+def ledger_purged(spark, sf_dir):
+    return streams.purged_ledger(spark, live_ledger(spark, sf_dir))
+
+
+@query
+def compacted_clean(spark, sf_dir):
+    return streams.compacted_clean(spark, sf_dir, deduped(spark, sf_dir))
+
+
+@query
+def gate_bucketed(spark, sf_dir):
+    """The gate on a ledger stored by id."""
+    name = f"ledger_{uuid.uuid4().hex[:12]}"
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    stored = ledger.store_bucketed(live_ledger(spark, sf_dir), name, scratch_dir(spark, "bucketed"), buckets)
+    admitted = ledger.idempotent_gate(deduped(spark, sf_dir), stored, NOW, ttl_seconds=LEDGER_TTL_SECONDS)
+    return admitted.select("event_id", "event_timestamp", "source_offset")
+
+
 @query
 def gate_duplicates(spark, sf_dir):
     return ledger.gate_duplicates(
@@ -511,6 +559,20 @@ def replay_deferred(spark, sf_dir):
     return deferred.select("event_id", "original_payload", "retry_count", "last_replay_error", "next_attempt_at")
 
 
+@query
+def replay_due(spark, sf_dir):
+    """Runs at once, one, two and six seconds later: a failed record is tried again when its time has come."""
+    tables = BatchTables(spark, scratch_dir(spark, "replay-due"))
+    records = envelopes(spark, sf_dir, EARLIER_NOW)
+    start = datetime(2024, 2, 1, tzinfo=timezone.utc)
+    write_batch(records, tables.path("quarantine"), start.date(), "arrived", 0)
+    for seconds in (0, 1, 2, 6):
+        job = ReplayJob(tables, f"{seconds}s", start + timedelta(seconds=seconds))
+        job.record_decisions()
+    decided = job.decisions_so_far()
+    return decided.groupBy(F.col("query_id").alias("run"), "outcome", "retry_count").agg(F.count("*").alias("records"))
+
+
 @query
 def replay_publish(spark, sf_dir):
     sent = replay.replay_messages(decisions(spark, sf_dir))
@@ -552,7 +614,9 @@ def dead_letters(spark, sf_dir):
 
 @query
 def replayed_clean(spark, sf_dir):
-    rows = replay.replayed_clean(decisions(spark, sf_dir), live_ledger(spark, sf_dir), now=NOW)
+    rows = replay.replayed_clean(
+        decisions(spark, sf_dir), live_ledger(spark, sf_dir), now=NOW, ttl_seconds=LEDGER_TTL_SECONDS
+    )
     return rows.select(
         "event_id", "source_offset", "event_timestamp", "ingestion_timestamp", "event_type", "region",
         "event_value", "event_date", "processing_key",
@@ -707,6 +771,36 @@ def stream_lost_checkpoint_quarantine(spark, sf_dir):
     return streams.lost_checkpoint_quarantine(spark, sf_dir)
 
 
+@query
+def stream_gate_ttl(spark, sf_dir):
+    return streams.gate_ttl(spark, sf_dir, deduped(spark, sf_dir))
+
+
+@query
+def stream_side_outputs(spark, sf_dir):
+    return streams.side_outputs(spark, sf_dir)
+
+
+@query
+def stream_three_queries(spark, sf_dir):
+    return streams.three_queries(spark, sf_dir)
+
+
+@query
+def stream_resumed_batch(spark, sf_dir):
+    return streams.resumed_batch(spark, sf_dir)
+
+
+@query
+def stream_rate_alerts(spark, sf_dir):
+    return _alert_columns(streams.rate_alert_stream(spark, hourly_metrics(spark, sf_dir), 0.45))
+
+
+@query
+def replay_published_once(spark, sf_dir):
+    return streams.published_once(spark, envelopes(spark, sf_dir, EARLIER_NOW))
+
+
 @query
 def stream_generic_sinks(spark, sf_dir):
     return streams.generic_sinks(spark, sf_dir)

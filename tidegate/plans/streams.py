@@ -2,21 +2,30 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timedelta, timezone
+
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidegate.model import RAW_TOPIC
+from tidegate.model import LEDGER_TTL_SECONDS, RAW_TOPIC
 from tidegate.plans.fixture import NOW, wire_records
-from tidegate.session import overridden, scratch_dir
-from tidegate.sinks.streams import AVAILABLE_NOW, write_json_stream, write_parquet_stream
+from tidegate.plans.replay_job import ReplayJob
+from tidegate.session import ROCKSDB, overridden, scratch_dir
+from tidegate.sinks.streams import AVAILABLE_NOW, triggered, write_json_stream, write_parquet_stream
+from tidegate.sinks.tables import CLEAN_PARTITIONS, write_batch
 from tidegate.sources.checkpoints import checkpoint_path, latest_commit, state_operators, state_rows
 from tidegate.sources.wire import file_stream
-from tidegate.streaming.batches import BatchTables
-from tidegate.streaming.flows import build_flows
+from tidegate.streaming.alerts import alert_stream
+from tidegate.streaming.batches import CLEAN_SCHEMA, BatchStamp, BatchTables
+from tidegate.streaming.flows import Flows, build_flows
+from tidegate.streaming.gate import NO_DATA_BATCHES, gated_in_state, own_query_id, written_by_others
 from tidegate.streaming.run import drain, start_flows
 
 # The first run reads what arrived before this instant, the second run the rest.
 SPLIT = "2024-01-16T00:00:00Z"
 SENTINEL_ID = "evt-closing"
+LAST = datetime(2024, 2, 1, tzinfo=timezone.utc)
+SIDE_SPLITS = ("2024-01-08T00:00:00Z", "2024-01-16T00:00:00Z", "2024-01-24T00:00:00Z")
 
 
 def closing_record(spark: SparkSession) -> DataFrame:
@@ -36,12 +45,12 @@ def closing_record(spark: SparkSession) -> DataFrame:
     )
 
 
-def run_in_two_parts(spark: SparkSession, sf_dir: str, name: str) -> BatchTables:
+def run_in_two_parts(spark: SparkSession, sf_dir: str, *names: str) -> BatchTables:
     """Write the wire records to the shared folder in order of arrival and stream them.
 
-    The query drains the first part, ends, and starts again on its checkpoint for the second.
+    The queries drain the first part, end, and start again on their checkpoints for the second.
     """
-    root = scratch_dir(spark, f"stream-{name}")
+    root = scratch_dir(spark, f"stream-{'-'.join(names)}")
     wire = wire_records(spark, sf_dir)
     split = F.lit(SPLIT).cast("timestamp")
     parts = [
@@ -57,13 +66,56 @@ def run_in_two_parts(spark: SparkSession, sf_dir: str, name: str) -> BatchTables
             tables,
             f"{root}/checkpoints",
             trigger=AVAILABLE_NOW,
-            names=(name,),
+            names=names,
             state_partitions=spark.sparkContext.defaultParallelism,
         )
         drain(queries)
     return tables
 
 
+def three_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of the tables that all three queries fill at once from one source."""
+    tables = run_in_two_parts(spark, sf_dir, "clean", "quarantine", "aggregates")
+    clean = tables.clean().where(F.col("event_id") != SENTINEL_ID)
+    stored = {"clean_events": clean, "quarantine": tables.quarantine(), "aggregates": tables.aggregates()}
+    counted = [rows.agg(F.lit(name).alias("table"), F.count("*").alias("records")) for name, rows in stored.items()]
+    return counted[0].unionByName(counted[1]).unionByName(counted[2])
+
+
+class FailsOnce(BatchTables):
+    """Loses the second batch between its clean rows and its ledger entries, once."""
+
+    lost = False
+
+    def _note(self, entries: DataFrame, stamp: BatchStamp) -> None:
+        if stamp.batch_id > 0 and not self.lost:
+            self.lost = True
+            raise RuntimeError("lost between two writes")
+        super()._note(entries, stamp)
+
+
+def resumed_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clean rows and their ledger entries after a batch that failed half way and was resumed."""
+    root = scratch_dir(spark, "stream-resumed")
+    wire, split = wire_records(spark, sf_dir), F.lit(SPLIT).cast("timestamp")
+    tables = FailsOnce(spark, f"{root}/tables")
+    for part in (wire.where(F.col("timestamp") < split), wire.where(F.col("timestamp") >= split), None):
+        if part is not None:
+            part.write.mode("append").parquet(f"{root}/wire")
+        flows = build_flows(file_stream(spark, f"{root}/wire"), now=NOW)
+        queries = start_flows(
+            flows, tables, f"{root}/checkpoints", trigger=AVAILABLE_NOW, names=("clean",),
+            state_partitions=spark.sparkContext.defaultParallelism,
+        )
+        try:
+            drain(queries)
+        except StreamingQueryException:
+            if not tables.lost:
+                raise
+    noted = tables.ledger().groupBy("event_id").agg(F.count("*").alias("entries"))
+    return tables.clean().join(noted, "event_id").select("event_id", "event_timestamp", "processing_key", "entries")
+
+
 def run_with_lost_checkpoint(spark: SparkSession, sf_dir: str, name: str) -> BatchTables:
     """As above, then the whole input once more under a new checkpoint, into the same tables."""
     root = scratch_dir(spark, f"stream-lost-{name}")
@@ -80,6 +132,126 @@ def run_with_lost_checkpoint(spark: SparkSession, sf_dir: str, name: str) -> Bat
     return tables
 
 
+def run_gated(spark: SparkSession, tables: BatchTables, wire: str, checkpoints: str, clock: datetime) -> None:
+    """The clean flow with its gate in keyed state, over the records of a folder."""
+    flows = build_flows(file_stream(spark, wire), now=clock)
+    own = own_query_id(spark, checkpoints, "clean")
+    written = written_by_others(spark, tables.path("clean_events"), CLEAN_SCHEMA, LEDGER_TTL_SECONDS, clock, own)
+    clean = gated_in_state(flows.clean, LEDGER_TTL_SECONDS, written)
+    with overridden(spark, {NO_DATA_BATCHES: "false"}):
+        queries = start_flows(
+            Flows(clean, flows.quarantine, flows.aggregates), tables, checkpoints, trigger=AVAILABLE_NOW, names=("clean",),
+            state_partitions=2,
+        )
+        drain(queries)
+
+
+def gate_ttl(spark: SparkSession, sf_dir: str, rows: DataFrame) -> DataFrame:
+    """How often each id is written by a stream whose checkpoint was lost, gated in state.
+
+    Of the clean ``rows``, the lost stream wrote a third 25 hours before, which has expired, and a
+    third one hour before, which the new stream's state takes over.
+    """
+    root = scratch_dir(spark, "stream-gate-ttl")
+    wire_records(spark, sf_dir).write.parquet(f"{root}/wire")
+    tables = BatchTables(spark, f"{root}/tables")
+    number = F.substring("event_id", 5, 20).cast("long") % 3
+    for n, hours in enumerate((25, 1)):
+        at = LAST - timedelta(hours=hours)
+        part = rows.where(number == n).withColumn("processed_at", F.lit(at.isoformat()).cast("timestamp"))
+        write_batch(part, tables.path("clean_events"), at.date(), "lost", n, partition_by=CLEAN_PARTITIONS)
+    run_gated(spark, tables, f"{root}/wire", f"{root}/checkpoints", LAST)
+    return tables.clean().groupBy("event_id").agg(F.count("*").alias("times_written"))
+
+
+def side_outputs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For each id of the valid rows: how many were kept, late and copies, over four runs on one checkpoint.
+
+    Every eleventh offset arrives forty hours late.
+    """
+    root = scratch_dir(spark, "stream-side")
+    delay = F.make_interval(hours=F.when(F.col("offset") % 11 == 0, 40).otherwise(0))
+    wire = wire_records(spark, sf_dir).withColumn("timestamp", F.col("timestamp") + delay)
+    bounds = [F.lit(at).cast("timestamp") for at in SIDE_SPLITS]
+    tables = BatchTables(spark, f"{root}/tables", checkpoints=f"{root}/checkpoints")
+    partitions = spark.sparkContext.defaultParallelism
+    for n in range(len(bounds) + 1):
+        part = wire if n == 0 else wire.where(F.col("timestamp") >= bounds[n - 1])
+        part = part if n == len(bounds) else part.where(F.col("timestamp") < bounds[n])
+        part.write.mode("append").parquet(f"{root}/wire")
+        flows = build_flows(file_stream(spark, f"{root}/wire"), now=NOW, arrivals=partitions)
+        drain(start_flows(flows, tables, f"{root}/checkpoints", trigger=AVAILABLE_NOW, names=("clean",), state_partitions=partitions))
+    fates = tables.clean().select("event_id", F.lit("kept").alias("fate")).unionByName(tables.set_aside().select("event_id", "fate"))
+    counted = {name: F.count_if(F.col("fate") == name).alias(name) for name in ("kept", "late", "duplicate")}
+    return fates.groupBy("event_id").agg(*counted.values())
+
+
+def rate_alert_stream(spark: SparkSession, metrics: DataFrame, threshold: float) -> DataFrame:
+    """Alerts of a stream over batch counters, ended half way and started again on its checkpoint."""
+    root = scratch_dir(spark, "stream-alerts")
+    metrics = metrics.select("query_id", "batch_id", "valid", "quarantined")
+    metrics.write.parquet(f"{root}/counters")
+    stored = spark.read.schema(metrics.schema).parquet(f"{root}/counters")
+    middle = stored.agg(F.percentile_approx("batch_id", 0.5)).first()[0] or 0
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{root}/alerts/batch={batch_id}")
+
+    alerts = None
+    for part in (stored.where(F.col("batch_id") <= middle), stored.where(F.col("batch_id") > middle)):
+        part.write.mode("append").parquet(f"{root}/wire")
+        settings = {
+            "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
+            "spark.sql.shuffle.partitions": str(spark.sparkContext.defaultParallelism),
+        }
+        with overridden(spark, settings):
+            alerts = alert_stream(spark.readStream.schema(metrics.schema).parquet(f"{root}/wire"), threshold)
+            writer = alerts.writeStream.outputMode("append").foreachBatch(write).option("checkpointLocation", f"{root}/checkpoint")
+            triggered(writer, AVAILABLE_NOW).start().awaitTermination()
+    return spark.read.schema(alerts.schema).parquet(f"{root}/alerts/batch=*")
+
+
+def published_once(spark: SparkSession, records: DataFrame) -> DataFrame:
+    """What a replay run and its repeat append to a message log, by topic."""
+    root = scratch_dir(spark, "published")
+
+    def send(messages: DataFrame) -> None:
+        messages.write.mode("append").parquet(f"{root}/log")
+
+    tables = BatchTables(spark, f"{root}/tables", send=send)
+    write_batch(records, tables.path("quarantine"), LAST.date(), "arrived", 0)
+    for _ in range(2):
+        ReplayJob(tables, "one", LAST).run()
+    log = spark.read.parquet(f"{root}/log")
+    return log.groupBy("topic").agg(F.count("*").alias("messages"), F.count_distinct("message_id").alias("distinct_ids"))
+
+
+def compacted_clean(spark: SparkSession, sf_dir: str, rows: DataFrame) -> DataFrame:
+    """Clean rows in six batches of two queries, packed after the fourth and again at the end."""
+    root = scratch_dir(spark, "compacted")
+    tables = BatchTables(spark, root)
+    day = LAST.date()
+    for n in range(6):
+        part = rows.where(F.col("source_offset") % 6 == n)
+        write_batch(part, tables.path("clean_events"), day, f"query-{n % 2}", n // 2, partition_by=CLEAN_PARTITIONS)
+        if n == 3:
+            tables.compact("clean_events")
+    tables.compact("clean_events", closed=["query-0"])
+    return tables.clean().select("event_id", "source_offset", "event_date", "region", "event_value")
+
+
+def purged_ledger(spark: SparkSession, entries: DataFrame) -> DataFrame:
+    """The ledger log in three batches, purged twice: once before the last of them."""
+    root = scratch_dir(spark, "purged")
+    tables = BatchTables(spark, root)
+    for n in range(3):
+        write_batch(entries.where(F.pmod(F.xxhash64("event_id", "updated_at"), F.lit(3)) == n), tables.path("ledger"), LAST.date(), "log", n)
+        if n == 1:
+            tables.purge_ledger(NOW)
+    tables.purge_ledger(NOW, closed=["log"])
+    return tables.ledger().select("event_id", "status", "updated_at", "expires_at")
+
+
 def generic_sinks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Clean rows of the stream through the generic Parquet and JSON sinks, read back side by side.
 

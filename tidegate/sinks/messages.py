@@ -35,6 +35,10 @@ def kafka_sink_options(servers: str, topic: str | None = None) -> dict[str, str]
 
 
 def publish_kafka(messages: DataFrame, servers: str, topic: str | None = None) -> None:
+    """A ``message_id`` goes along as a header."""
+    if "message_id" in messages.columns:
+        said = F.struct(F.lit("message_id").alias("key"), F.col("message_id").cast("binary").alias("value"))
+        messages = messages.withColumn("headers", F.array(said)).drop("message_id")
     messages.write.format("kafka").options(**kafka_sink_options(servers, topic)).save()
 
 

@@ -15,15 +15,11 @@ from functools import reduce
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from tidegate.sinks.snapshots import BATCH_COLUMNS, Manifest, latest_manifest
+
 CLEAN_PARTITIONS = ("event_date", "region")
 AGGREGATE_PARTITIONS = ("window_date", "event_type")
 
-BATCH_COLUMNS = [
-    T.StructField("day", T.DateType()),
-    T.StructField("query_id", T.StringType()),
-    T.StructField("batch_id", T.LongType()),
-]
-
 
 def utc_day(epoch_seconds: int) -> date:
     return datetime.fromtimestamp(epoch_seconds, timezone.utc).date()
@@ -71,7 +67,10 @@ def read_table(
     folders: Sequence[str] | None = None,
     format: str = "parquet",
 ) -> DataFrame:
-    """A batch-keyed table with its batch columns, whole, of some days or of some folders; empty if not there."""
+    """A batch-keyed table with its batch columns, whole, of some days or of some folders; empty if not there.
+
+    Of a table that has been compacted, what its manifest names as live; a segment that none names is not.
+    """
     whole = T.StructType(schema.fields + BATCH_COLUMNS)
     root = root.rstrip("/")
     if folders is None:
@@ -84,21 +83,37 @@ def read_table(
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
-    return reduce(DataFrame.unionByName, found) if found else spark.createDataFrame([], whole)
+    if not found:
+        return spark.createDataFrame([], whole)
+    manifest = latest_manifest(spark, root) or Manifest()
+    return reduce(DataFrame.unionByName, found).where(manifest.is_live())
 
 
 def folders_of_others(
-    spark: SparkSession, root: str, query_id: str, days: Sequence[date] | None = None
+    spark: SparkSession,
+    root: str,
+    query_id: str,
+    days: Sequence[date] | None = None,
+    *,
+    since: date | None = None,
+    named: str = "",
 ) -> list[str]:
-    """Day folders that other queries have in a table. Lists days and queries, never batches."""
+    """Day folders that other queries have in a table. Lists days and queries, never batches.
+
+    ``since`` leaves out earlier days; ``named`` asks for queries whose id begins so.
+    """
     jvm, session = spark._jvm, spark._jsparkSession
     pattern = jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/day=*/query_id=*")
     found = pattern.getFileSystem(session.sessionState().newHadoopConf()).globStatus(pattern)
     paths = [status.getPath().toString() for status in found or []]
     wanted = None if days is None else {f"day={day.isoformat()}" for day in days}
+    first = "" if since is None else f"day={since.isoformat()}"
     return [
         path for path in paths
-        if not path.endswith(f"/query_id={query_id}") and (wanted is None or path.split("/")[-2] in wanted)
+        if not path.endswith(f"/query_id={query_id}")
+        and path.split("/")[-1].startswith(f"query_id={named}")
+        and (wanted is None or path.split("/")[-2] in wanted)
+        and path.split("/")[-2] >= first
     ]
 
 

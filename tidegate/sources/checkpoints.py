@@ -35,6 +35,19 @@ def latest_commit(spark: SparkSession, root: str, query_name: str) -> DataFrame:
     )
 
 
+def late_mark(spark: SparkSession, root: str, query_name: str, batch_id: int) -> int | None:
+    """The event time, in milliseconds, at or before which a batch drops rows as late; None if it drops none.
+
+    That is the watermark the batch before went by, which the offset log holds.
+    """
+    if batch_id == 0:
+        return None
+    log = spark.read.text(f"{checkpoint_path(root, query_name)}/offsets/{batch_id - 1}")
+    mark = F.get_json_object("value", "$.batchWatermarkMs").cast("long")
+    row = log.where(F.startswith("value", F.lit("{"))).select(mark.alias("mark")).where("mark IS NOT NULL").first()
+    return row.mark if row is not None and row.mark > 0 else None
+
+
 def state_operators(spark: SparkSession, root: str, query_name: str) -> DataFrame:
     """The stateful operators of a query and their state partitions."""
     return spark.read.format("state-metadata").load(checkpoint_path(root, query_name))

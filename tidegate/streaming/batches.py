@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Collection
 from contextlib import contextmanager
 from dataclasses import dataclass, field
-from datetime import date
+from datetime import date, datetime
 from functools import reduce
 
 from pyspark import StorageLevel
@@ -23,10 +23,12 @@ from tidegate.model import (
     QUARANTINE_TOPIC,
     TRANSFORMED_TOPIC,
 )
-from tidegate.operators.aggregate import GROUP_KEYS
-from tidegate.operators.ledger import ledger_entries, mark_quarantined
+from tidegate.operators.aggregate import STATE_SCHEMA, WINDOW_KEYS
+from tidegate.operators.ledger import ledger_entries, mark_quarantined, purged
 from tidegate.session import overridden
 from tidegate.sinks.messages import encode_aggregates, encode_clean, encode_quarantine, publish_kafka
+from tidegate.sinks.outbox import Send, send_once
+from tidegate.sinks.snapshots import Manifest, compact, latest_manifest
 from tidegate.sinks.tables import (
     AGGREGATE_PARTITIONS,
     CLEAN_PARTITIONS,
@@ -37,6 +39,7 @@ from tidegate.sinks.tables import (
     utc_day,
     write_batch,
 )
+from tidegate.sources.checkpoints import late_mark
 
 
 def _clean_schema() -> T.StructType:
@@ -60,8 +63,12 @@ def _clean_schema() -> T.StructType:
 CLEAN_SCHEMA = _clean_schema()
 COORDINATE_FIELDS = [f for f in CLEAN_SCHEMA.fields if f.name in COORDINATES]
 STORED_QUARANTINE = T.StructType(QUARANTINE_SCHEMA.fields + COORDINATE_FIELDS)
+#: Marks first arrivals in a clean flow that brings all arrivals along, and what became of the others.
+KEPT = "_kept"
+LATE, DUPLICATE = "late", "duplicate"
+#: How the ids of replay runs begin.
+REPLAYS = "replay-"
 RECORD_KEY = ("source_topic", "source_partition", "source_offset")
-WINDOW_KEY = ("window_start", "window_end", *GROUP_KEYS)
 METRIC_SCHEMA = T.StructType(
     [T.StructField(name, T.LongType()) for name in METRIC_COUNTERS]
     + [T.StructField("recorded_at", T.TimestampType())]
@@ -70,6 +77,15 @@ MESSAGE_SCHEMA = T.StructType(
     [T.StructField("key", T.StringType()), T.StructField("value", T.StringType())]
 )
 
+SCHEMAS = {
+    "clean_events": CLEAN_SCHEMA,
+    "aggregates": STATE_SCHEMA,
+    "quarantine": STORED_QUARANTINE,
+    "ledger": LEDGER_SCHEMA,
+    "metrics": METRIC_SCHEMA,
+}
+PARTITIONS = {"clean_events": CLEAN_PARTITIONS, "aggregates": AGGREGATE_PARTITIONS}
+
 BatchWriter = Callable[[DataFrame, int], None]
 
 # Streams run without adaptive execution because their state is tied to its partitions. What a
@@ -97,13 +113,15 @@ class BatchStamp:
 class BatchTables:
     """The tables below one root and the writers that fill them.
 
-    Messages go to Kafka if ``kafka_servers`` is set, else to one table per topic.
+    Messages go to ``send`` or to Kafka if one is set, once for each batch, else to one table per topic.
     """
 
     spark: SparkSession
     root: str
     kafka_servers: str | None = None
+    checkpoints: str | None = None
     ttl_seconds: int = LEDGER_TTL_SECONDS
+    send: Send | None = None  # takes (topic, key, value, message_id) rows instead of Kafka
     topics: dict[str, str] = field(
         default_factory=lambda: {
             "clean": TRANSFORMED_TOPIC,
@@ -121,7 +139,8 @@ class BatchTables:
         return read_table(self.spark, self.path("clean_events"), CLEAN_SCHEMA)
 
     def aggregates(self) -> DataFrame:
-        return read_table(self.spark, self.path("aggregates"), AGGREGATE_SCHEMA)
+        """Closed windows, finished, with the states they can be merged from."""
+        return read_table(self.spark, self.path("aggregates"), STATE_SCHEMA)
 
     def quarantine(self) -> DataFrame:
         return read_table(self.spark, self.path("quarantine"), STORED_QUARANTINE)
@@ -132,9 +151,25 @@ class BatchTables:
     def metrics(self) -> DataFrame:
         return read_table(self.spark, self.path("metrics"), METRIC_SCHEMA)
 
+    def set_aside(self) -> DataFrame:
+        """Valid rows that the stream dropped, with their ``fate``."""
+        return read_table(self.spark, self.path("set_aside"), T.StructType([*CLEAN_SCHEMA.fields, T.StructField("fate", T.StringType())]))
+
     def messages(self, topic: str) -> DataFrame:
         return read_table(self.spark, self.path(f"topics/{topic}"), MESSAGE_SCHEMA)
 
+    # -- upkeep --------------------------------------------------------------------------
+
+    def compact(self, table: str, closed: Collection[str] = ()) -> Manifest | None:
+        """Pack the settled batches of a table; ``closed`` names queries that have ended for good."""
+        return compact(self.spark, self.path(table), SCHEMAS[table], partition_by=PARTITIONS.get(table, ()), closed=closed)
+
+    def purge_ledger(self, now: Column | datetime | str | None = None, closed: Collection[str] = ()) -> Manifest | None:
+        """Replace the settled part of the ledger with one live entry for each id."""
+        return compact(
+            self.spark, self.path("ledger"), LEDGER_SCHEMA, rewrite=lambda rows: purged(rows, now), closed=closed
+        )
+
     # -- writers -------------------------------------------------------------------------
 
     def write_clean(self, batch: DataFrame, batch_id: int) -> None:
@@ -142,7 +177,8 @@ class BatchTables:
         with self._batch(batch, batch_id, F.col("processed_at")) as stamp:
             if stamp is None:
                 return
-            gated = self.gate(batch, stamp).persist(StorageLevel.MEMORY_AND_DISK)
+            gate = self.gate_replayed if "_seen" in batch.columns else self.gate
+            gated = gate(batch, stamp).persist(StorageLevel.MEMORY_AND_DISK)
             try:
                 admitted = gated.where("NOT _seen").drop("_seen")
                 folder = self.path("clean_events")
@@ -158,13 +194,38 @@ class BatchTables:
             finally:
                 gated.unpersist()
 
+    def write_arrivals(self, batch: DataFrame, batch_id: int) -> None:
+        """Write the clean rows of a batch that has all arrivals beside them, and set aside what it dropped.
+
+        A dropped row at or before the mark that the batch went by is late, any other a copy.
+        """
+        with overridden(batch.sparkSession, ADAPTIVE):
+            batch.persist(StorageLevel.MEMORY_AND_DISK)
+            try:
+                kept = batch.where(KEPT).drop(KEPT)
+                arrived = batch.where(f"NOT {KEPT}").drop(KEPT)
+                known = kept.select(*RECORD_KEY)
+                same = [arrived[name].eqNullSafe(known[name]) for name in RECORD_KEY]
+                dropped = arrived.join(known, reduce(Column.__and__, same), "left_anti")
+                newest = dropped.agg(F.max(F.unix_seconds("processed_at"))).first()[0]
+                if newest is not None:
+                    stamp = BatchStamp(self._query_id(), batch_id, newest)
+                    mark = late_mark(batch.sparkSession, self.checkpoints, "clean", batch_id)
+                    late = F.lit(False) if mark is None else F.col("event_timestamp") <= F.timestamp_millis(F.lit(mark))
+                    fate = F.when(late, F.lit(LATE)).otherwise(F.lit(DUPLICATE))
+                    write_batch(dropped.withColumn("fate", fate), self.path("set_aside"), stamp.day, stamp.query_id,
+                                batch_id, partition_by=("fate",))
+                self.write_clean(kept, batch_id)
+            finally:
+                batch.unpersist()
+
     def write_quarantine(self, batch: DataFrame, batch_id: int) -> None:
         """Write envelopes, messages, first quarantine marks and the counter."""
         clock = F.col("processing_timestamp").cast("timestamp")
         with self._batch(batch, batch_id, clock) as stamp:
             if stamp is None:
                 return
-            batch = self._unknown(batch, "quarantine", STORED_QUARANTINE, RECORD_KEY, stamp)
+            batch = self._unknown(batch, "quarantine", STORED_QUARANTINE, RECORD_KEY, stamp, "kafka_timestamp")
             write_batch(batch, self.path("quarantine"), stamp.day, stamp.query_id, stamp.batch_id)
             self._publish("quarantine", encode_quarantine(batch.drop(*COORDINATES)), stamp)
             days = stamp.back(self.ttl_seconds)
@@ -183,10 +244,10 @@ class BatchTables:
         with self._batch(batch, batch_id, F.col("window_end")) as stamp:
             if stamp is None:
                 return
-            batch = self._unknown(batch, "aggregates", AGGREGATE_SCHEMA, WINDOW_KEY, stamp)
+            batch = self._unknown(batch, "aggregates", STATE_SCHEMA, WINDOW_KEYS, stamp, "window_end")
             write_batch(batch, self.path("aggregates"), stamp.day, stamp.query_id, stamp.batch_id,
                         partition_by=AGGREGATE_PARTITIONS)
-            self._publish("aggregates", encode_aggregates(batch), stamp)
+            self._publish("aggregates", encode_aggregates(batch.select(*AGGREGATE_SCHEMA.fieldNames())), stamp)
             self.count(batch, stamp, recorded_at=F.current_timestamp(), aggregate_rows=F.count("*"))
 
     # -- parts ---------------------------------------------------------------------------
@@ -206,15 +267,23 @@ class BatchTables:
                 batch.unpersist()
 
     def _unknown(
-        self, batch: DataFrame, table: str, schema: T.StructType, key: tuple[str, ...], stamp: BatchStamp
+        self, batch: DataFrame, table: str, schema: T.StructType, key: tuple[str, ...], stamp: BatchStamp, at: str
     ) -> DataFrame:
         """Rows that no other query has written: a new checkpoint reads the same input again.
 
         Batches of the query itself never overlap, so its folders are left out, and while there is
-        one query nothing is read.
+        one query nothing is read. A folder is dated by the clock of its batch, which is not before
+        any of its rows' own time ``at``: days before the oldest of this batch hold none of them.
         """
-        folders = folders_of_others(batch.sparkSession, self.path(table), stamp.query_id)
-        if not folders or not set(key) <= set(batch.columns):
+        if not set(key) <= set(batch.columns):
+            return batch
+        names = folders_of_others(batch.sparkSession, self.path(table), stamp.query_id)
+        if not names:
+            return batch
+        oldest = batch.agg(F.min(F.unix_seconds(at)), F.count_if(F.col(at).isNull())).first()
+        since = utc_day(oldest[0]) if oldest[0] is not None and not oldest[1] else None
+        folders = folders_of_others(batch.sparkSession, self.path(table), stamp.query_id, since=since)
+        if not folders:
             return batch
         stored = read_table(batch.sparkSession, self.path(table), schema, folders=folders)
         others = stored.select(*key).distinct()
@@ -236,6 +305,9 @@ class BatchTables:
         spark, days = batch.sparkSession, stamp.back(self.ttl_seconds)
         oldest = F.timestamp_seconds(F.lit(stamp.epoch_seconds - self.ttl_seconds))
         own = [f"{self.path('ledger')}/day={day.isoformat()}/query_id={stamp.query_id}" for day in days]
+        packed = latest_manifest(spark, self.path("ledger"))
+        if packed is not None:
+            own += packed.folders(self.path("ledger"), days)
         ledger = read_table(spark, self.path("ledger"), LEDGER_SCHEMA, folders=own)
         noted = not_from(ledger, stamp.query_id, stamp.batch_id).where("status = 'written'")
         written = noted.where(F.col("updated_at") > oldest).select("event_id")
@@ -243,19 +315,37 @@ class BatchTables:
         if others:
             clean = read_table(spark, self.path("clean_events"), CLEAN_SCHEMA, folders=others)
             written = written.union(clean.where(F.col("processed_at") > oldest).select("event_id"))
-        hits = _among(written, batch).distinct().withColumn("_hit", F.lit(True))
-        return batch.join(hits, "event_id", "left").select(
-            *batch.columns, F.col("_hit").isNotNull().alias("_seen")
-        )
+        return _with_seen(batch, written)
+
+    def gate_replayed(self, batch: DataFrame, stamp: BatchStamp) -> DataFrame:
+        """A batch that the keyed state has gated, with what replays wrote since the state was filled."""
+        spark, days = batch.sparkSession, stamp.back(self.ttl_seconds)
+        folders = folders_of_others(spark, self.path("clean_events"), stamp.query_id, days, named=REPLAYS)
+        if not folders:
+            return batch
+        clean = read_table(spark, self.path("clean_events"), CLEAN_SCHEMA, folders=folders)
+        oldest = F.timestamp_seconds(F.lit(stamp.epoch_seconds - self.ttl_seconds))
+        seen = batch["_seen"]
+        replayed = _with_seen(batch.drop("_seen").withColumn("_before", seen), clean.where(F.col("processed_at") > oldest).select("event_id"))
+        return replayed.withColumn("_seen", F.col("_seen") | F.col("_before")).drop("_before")
 
     def _publish(self, flow: str, messages: DataFrame, stamp: BatchStamp) -> None:
         topic = self.topics[flow]
-        if self.kafka_servers:
-            publish_kafka(messages, self.kafka_servers, topic)
-        else:
+        if not self.append(messages.withColumn("topic", F.lit(topic)), stamp, flow):
             folder = self.path(f"topics/{topic}")
             write_batch(messages, folder, stamp.day, stamp.query_id, stamp.batch_id)
 
+    def append(self, messages: DataFrame, stamp: BatchStamp, flow: str) -> bool:
+        """Send messages that name their topic, once for each batch; False where there is no log to send to."""
+        send = self.send
+        if send is None and self.kafka_servers:
+            send = lambda rows: publish_kafka(rows, self.kafka_servers)
+        if send is None:
+            return False
+        columns = messages.select("topic", "key", "value")
+        send_once(columns, self.path(f"published/{flow}"), stamp.day, stamp.query_id, stamp.batch_id, send)
+        return True
+
     def _note(self, entries: DataFrame, stamp: BatchStamp) -> None:
         write_batch(entries, self.path("ledger"), stamp.day, stamp.query_id, stamp.batch_id)
 
@@ -271,6 +361,11 @@ class BatchTables:
         write_batch(counted, self.path("metrics"), stamp.day, stamp.query_id, stamp.batch_id)
 
 
+def _with_seen(batch: DataFrame, written: DataFrame) -> DataFrame:
+    hits = _among(written, batch).distinct().withColumn("_hit", F.lit(True))
+    return batch.join(hits, "event_id", "left").select(*batch.columns, F.col("_hit").isNotNull().alias("_seen"))
+
+
 def _clock(stamp: BatchStamp) -> Column:
     return F.timestamp_seconds(F.lit(stamp.epoch_seconds))
 

@@ -9,7 +9,7 @@ from tidegate.model import QUERY_NAMES, TRIGGER_INTERVAL
 from tidegate.session import ROCKSDB, overridden
 from tidegate.sinks.streams import triggered
 from tidegate.sources.checkpoints import checkpoint_path
-from tidegate.streaming.batches import BatchTables, BatchWriter
+from tidegate.streaming.batches import KEPT, BatchTables, BatchWriter
 from tidegate.streaming.flows import Flows
 
 
@@ -48,7 +48,7 @@ def start_flows(
     if state_partitions is not None:
         settings["spark.sql.shuffle.partitions"] = str(state_partitions)
     work = {
-        "clean": (flows.clean, tables.write_clean),
+        "clean": (flows.clean, tables.write_arrivals if KEPT in flows.clean.columns else tables.write_clean),
         "quarantine": (flows.quarantine, tables.write_quarantine),
         "aggregates": (flows.aggregates, tables.write_aggregates),
     }
