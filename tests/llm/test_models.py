@@ -132,6 +132,47 @@ def test_rates_match_targets_and_brute_force(spark):
     assert mixing.fit_rates(members.limit(0), [0.5, 0.3, 0.2]).pulls == []
 
 
+def nearest_totals(p, tokens, target, weight, sweeps=4000):
+    """Domain totals nearest to the target at rates of zero or more, by coordinate descent over the documents."""
+    columns = (p * tokens[:, None]) * np.sqrt(weight)
+    left = np.sqrt(weight) * target - columns.sum(axis=0)
+    rate, size = np.ones(len(p)), (columns**2).sum(axis=1)
+    for _ in range(sweeps):
+        for k in np.flatnonzero(size):
+            new = max(rate[k] + columns[k] @ left / size[k], 0.0)
+            left -= (new - rate[k]) * columns[k]
+            rate[k] = new
+    return target - left / np.sqrt(weight)
+
+
+@pytest.mark.parametrize("shares", [[0.5, 0.3, 0.2], [0.9, 0.09, 0.01], [0.0, 0.0, 1.0]])
+def test_rates_reach_what_an_independent_solver_reaches(spark, shares):
+    """Also where the targets are out of reach: no document is sure to be of one domain."""
+    rng = np.random.default_rng(12)
+    p = rng.dirichlet([2.0, 2.0, 2.0], 40)
+    tokens = rng.integers(1, 500, 40)
+    members = shipped(spark).createDataFrame([(int(t), x.tolist()) for t, x in zip(tokens, p)], "n_tokens long, posterior array<double>")
+    rate = mixing.fit_rates(members, shares).rates(p)[0]
+    now = tokens @ p
+    target = np.array(shares) * now.sum()
+    weight = 1 / now
+    miss = lambda reached: float((reached - target) @ (weight * (reached - target))) / target.sum()
+    assert (rate >= 0).all()
+    assert miss((tokens * rate) @ p) <= miss(nearest_totals(p, tokens, target, weight)) + 1e-3
+
+
+def test_the_sample_is_of_rows_and_copies_are_one(spark, monkeypatch):
+    monkeypatch.setattr(quality, "POSITIVE_ROWS", 30)
+    monkeypatch.setattr(quality, "UNLABELLED_ROWS", 30)
+    texts = [(1, "the same text", "en")] * 500 + [(1, f"another text {k}", "en") for k in range(100)]
+    texts += [(2, "far away", "en")] * 400 + [(k, f"words {k}", "en") for k in range(3, 90)]
+    docs = frame(shipped(spark), texts).repartition(4)
+    ids = spark.createDataFrame([(1,)], "doc_id long")
+    sample = quality.training_rows(docs, ids, ids).collect()
+    assert [sum(r.positive is want for r in sample) for want in (True, False)] == [30, 30]
+    assert len({(r.id, r.tag) for r in sample}) == 60
+
+
 def test_mixing_documents(spark):
     rng = random.Random(8)
     marks = {"clean": "", "toxic": " vile", "junk": " @@##"}

@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 
 from fixtures_llm import documents, frame
+from tidegate.llm import secret_findings as F, secrets as S
 from tidegate.llm.license_rules import rules
 from tidegate.llm.repeated_windows import keyed
 from tidegate.llm.licenses import scan_licenses
@@ -95,6 +96,24 @@ def test_secrets_are_found_and_others_left(spark):
         assert not re.search(r"AKIA[0-9A-Z]{16}", r.text)
 
 
+def test_forest_on_held_out_findings(spark):
+    """Trained on the even draws of each kind, judged on the odd ones; and on kinds it has never seen."""
+    docs = documents(shipped(spark))
+    prose = S.learn_prose(docs)
+    assert len(prose.words) > 100 and len(prose.follows) == len(S.ALPHABET) ** 2
+    found = S.written(S.labelled_findings(spark, prose))
+    assert found.select("doc_id").distinct().count() >= 500
+    judged = S.judge(found.where("draw % 2 = 1"), S.fit_forest(found.where("draw % 2 = 0"))).collect()
+    right = sum(r.kept and r.label == 1 for r in judged)
+    assert right / sum(r.kept for r in judged) >= 0.9
+    assert right / sum(r.label for r in judged) >= 0.9
+    kinds = len(F.KINDS)
+    unseen = [k for k in range(kinds) if k % 5 == 2]
+    forest = S.fit_forest(found.where(~(found.doc_id % kinds).isin(unseen)))
+    judged = S.judge(found.where((found.doc_id % kinds).isin(unseen)), forest).collect()
+    assert sum(r.kept == (r.label == 1) for r in judged) / len(judged) >= 0.75
+
+
 def test_redaction_keeps_to_the_place(spark):
     texts = [
         "passwd planter says the planters plant", " \n x = exchange12  exchange12\ty", "a secret b [secret] c", "", None, "one  two\tthree ",

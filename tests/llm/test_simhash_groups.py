@@ -9,6 +9,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
+from tidegate.llm import components as C, simhash_groups as S
 from tidegate.llm.components import components
 from tidegate.llm.fingerprints import GrayTree, RunScan, gray_rank, near_pairs
 from tidegate.llm.scratch import shipped
@@ -106,20 +107,58 @@ def test_links_reach_what_brute_force_reaches(spark, each, flips):
     assert sorted(map(sorted, groups.values())) == sorted(map(sorted, mine.values()))
 
 
-@pytest.mark.parametrize("local_edges", [0, 1 << 20])
-def test_components(spark, local_edges):
+@pytest.mark.parametrize("contract", [1, 1 << 20])
+def test_components(spark, contract, monkeypatch):
+    monkeypatch.setattr(C, "CONTRACT_EDGES", contract)
+    components = C.components
     shipped(spark)
-    chain = spark.range(50).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b"))
-    assert {r.component for r in components(chain, local_edges).collect()} == {0}
-    assert components(chain.limit(0), local_edges).count() == 0
+    chain = spark.range(50).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b")).repartition(4)
+    assert {r.component for r in components(chain).collect()} == {0}
+    assert components(chain.limit(0)).count() == 0
     rng = np.random.default_rng(11)
     pairs = [tuple(map(int, x)) for x in rng.integers(0, 90, (60, 2))]
     top = reach(90, pairs)
     frame = spark.createDataFrame([(a - 40, b - 40) for a, b in pairs], "a long, b long")
-    got = {r.node: r.component for r in components(frame, local_edges).collect()}
+    got = {r.node: r.component for r in components(frame).collect()}
     assert got == {n - 40: top[n] - 40 for a, b in pairs if a != b for n in (a, b)}
 
 
+@pytest.mark.parametrize("piece", [16, 300])
+def test_links_across_many_pieces_and_levels(spark, monkeypatch, piece):
+    monkeypatch.setattr(S, "PIECE_ROWS", piece)
+    monkeypatch.setattr(S, "LEVEL_BITS", 2)
+    shipped(spark)
+    values = clusters(9, 500, 9, 5)
+    frame = spark.createDataFrame([(int(v),) for v in values.view(np.int64)], "fp long")
+    found = S.written(S.gray_pieces(frame, 3))
+    pieces = found.where("head is not null")
+    n = pieces.count()
+    assert sorted(v for r in pieces.collect() for v in np.frombuffer(r.members, np.uint64)) == sorted(values)
+    pairs = S.near_pieces(pieces, 3)
+    assert 0 < pairs.count() <= n * (n - 1) / 2 * (0.75 if piece == 16 else 1)  # whole groups were pruned
+    got = {r.node: r.component for r in components(near_links(frame)).collect()}
+    top = reach(len(values), brute_pairs(values))
+    names = [int(v) for v in values.view(np.int64)]
+    least = {}
+    for k, v in zip(top, names):
+        least[k] = min(least.get(k, v), v)
+    assert all(got.get(v, v) == least[k] for k, v in zip(top, names))
+
+
+def test_most_nodes_are_pruned_on_real_fingerprints(spark, monkeypatch):
+    docs = shipped(spark).read.parquet("/root/testdata/sf0.1/documents.parquet")
+    values = np.unique(np.array([r.fp for r in S.fingerprints(docs).collect()], np.int64).view(np.uint64))
+    values = values[np.argsort(gray_rank(values))]
+    met = []
+    real = np.bitwise_count
+    monkeypatch.setattr(np, "bitwise_count", lambda x: met.append(np.size(x)) or real(x))
+    tree = GrayTree(values)
+    found = {(int(a), int(b)) for x, y in near_pairs(tree, tree, 3) for a, b in zip(x, y)}
+    monkeypatch.undo()
+    assert found == set(brute_pairs(values))
+    assert sum(met) < 0.35 * len(values) * (len(values) - 1) / 2
+
+
 def test_odd_rows(spark):
     shipped(spark)
     texts = [None, "", " \n", "One", "one", "one two", "a b c d", "A B C D", "a b c d", "word " * 30000, None, "é ü ß"]

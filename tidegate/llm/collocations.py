@@ -41,8 +41,8 @@ _WORD = ~_BREAK
 _WORD[[0x20, 0x09]] = False
 #: Rows that a task gathers before it combines them, distinct rows before it passes them on, rows of a bucket.
 RAW_ROWS = 1 << 20
-HELD_ROWS = 1 << 21
-HELD_WORDS = 400_000
+HELD_ROWS = 1 << 20
+HELD_WORDS = 150_000
 BUCKET_ROWS = 1 << 18
 
 

@@ -11,21 +11,22 @@ from pyspark.sql import DataFrame, functions as F
 from tidegate.llm.fingerprints import forest
 from tidegate.llm.scratch import written
 
-#: So many edges, 16 MB of them, are settled in one task instead of a dozen shuffles.
-LOCAL_EDGES = 1 << 20
+#: Rows that a task contracts at a time.
+CONTRACT_EDGES = 1 << 20
 
 
-def components(edges: DataFrame, local_edges: int = LOCAL_EDGES) -> DataFrame:
+def components(edges: DataFrame) -> DataFrame:
     """(node, component) of every node of `edges` (a, b): component is the smallest node reachable.
 
     Alternates large-star and small-star steps until no edge changes; every step is two shuffles by
-    node with a partial minimum, and its edges go to the shared folder. Nothing reaches the driver
-    but a checksum. A table of at most `local_edges` distinct edges is settled in one task, with the
-    same result. An empty table gives an empty table.
+    node with a partial minimum, and its edges go to the shared folder. Before each round the edges
+    that lie in one task are contracted to stars there, which leaves few rounds. Nothing reaches the
+    driver but a checksum. An empty table gives an empty table.
     """
     now = written(
         edges.where("a is not null and b is not null and a != b")
         .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+        .mapInArrow(_contracted, "a long, b long")
         .distinct()
     )
     before = None
@@ -33,22 +34,32 @@ def components(edges: DataFrame, local_edges: int = LOCAL_EDGES) -> DataFrame:
         check = _checksum(now)
         if check == before or check[0] == 0:
             break
-        if check[0] <= local_edges:
-            return now.coalesce(1).mapInArrow(_settled, "node long, component long")
         before = check
-        now = written(_small_star(_large_star(now)))
+        now = written(_small_star(_large_star(now)).mapInArrow(_contracted, "a long, b long").distinct())
     return now.select(F.col("b").alias("node"), F.col("a").alias("component")).union(
         now.select(F.col("a").alias("node"), F.col("a").alias("component")).distinct()
     )
 
 
-def _settled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    pairs = [np.stack([batch.column(k).to_numpy() for k in (0, 1)]) for batch in batches]
-    if pairs:
-        nodes, place = np.unique(np.concatenate(pairs, axis=1), return_inverse=True)
-        a, b = place.reshape(2, -1)
-        label = forest(len(nodes), iter([(a, b)]))
-        yield pa.RecordBatch.from_arrays([pa.array(nodes), pa.array(nodes[label])], ["node", "component"])
+def _contracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The edges of a task as stars around the smallest node each reaches there."""
+    held: list[np.ndarray] = []
+
+    def out() -> Iterator[pa.RecordBatch]:
+        if held:
+            nodes, place = np.unique(np.concatenate(held, axis=1), return_inverse=True)
+            a, b = place.reshape(2, -1)
+            label = forest(len(nodes), iter([(a, b)]))
+            held.clear()
+            member = np.flatnonzero(label != np.arange(len(label)))
+            yield pa.RecordBatch.from_arrays([pa.array(nodes[label[member]]), pa.array(nodes[member])], ["a", "b"])
+
+    for batch in batches:
+        if batch.num_rows:
+            held.append(np.stack([batch.column(k).to_numpy(zero_copy_only=False).astype(np.int64) for k in (0, 1)]))
+        if sum(x.shape[1] for x in held) >= CONTRACT_EDGES:
+            yield from out()
+    yield from out()
 
 
 def _checksum(edges: DataFrame) -> tuple:

@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidegate.llm import words as W
 from tidegate.llm.quality import N_FEATURES, features
+from tidegate.llm.repeated_windows import keyed
 from tidegate.llm.scratch import shipped, written
 
 #: Bound of the training sample, in labelled rows of each domain.
@@ -112,34 +113,41 @@ def fit_domains(shape: np.ndarray, row: np.ndarray, bucket: np.ndarray, label: n
 
 
 def fit_on(docs: DataFrame, labelled: DataFrame, domains: list[str], id_col: str = "doc_id", text_col: str = "text") -> DomainModel | None:
-    """A model from `labelled` (id, domain), at most `SAMPLE_ROWS` rows of each domain, by a hash of the id. None without labelled texts."""
+    """A model from `labelled` (id, domain), at most `SAMPLE_ROWS` rows of each domain, by a hash. None without labelled texts.
+
+    A row is an id and its text: copies of both are one, however many there are, and texts that share
+    an id are rows of their own. Rows without an id teach nothing.
+    """
+    named = keyed(docs.where(F.col(text_col).isNotNull()), id_col, text_col).where("doc_id is not null")
     ids = labelled.where("domain is not null").groupBy(F.col(id_col).alias("id")).agg(F.min("domain").alias("domain"))
+    rows_of = named.select("id", "tag").join(ids, "id").distinct()
     chosen = None
     for domain in domains:
-        part = ids.where(F.col("domain") == domain).orderBy(F.xxhash64("id"), "id").limit(SAMPLE_ROWS)
+        part = rows_of.where(F.col("domain") == domain).orderBy(F.xxhash64("id", "tag"), "id", "tag").limit(SAMPLE_ROWS)
         chosen = part if chosen is None else chosen.union(part)
-    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).where("text is not null")
+    texts = named.select("id", "tag", "text")
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            shape = features(batch.column(2))
+            shape = features(batch.column(3))
             buckets = []
-            for _, n, row, bucket, _ in word_buckets(batch.column(2)):
+            for _, n, row, bucket, _ in word_buckets(batch.column(3)):
                 pairs = np.unique(row * WORD_BUCKETS + bucket)
                 ends = np.searchsorted(pairs, np.arange(1, n) * WORD_BUCKETS)
                 buckets += [x.astype(np.uint16).tobytes() for x in np.split(pairs % WORD_BUCKETS, ends)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array([x.tobytes() for x in shape], pa.binary()), pa.array(buckets, pa.binary())],
-                ["id", "domain", "shape", "buckets"],
+                [*batch.columns[:3], pa.array([x.tobytes() for x in shape], pa.binary()), pa.array(buckets, pa.binary())],
+                ["id", "tag", "domain", "shape", "buckets"],
             )
 
-    met = texts.join(F.broadcast(chosen), "id").select("id", "domain", "text").mapInArrow(rows, "id long, domain string, shape binary, buckets binary")
-    sample = sorted((r.id, r.domain, r.shape, r.buckets) for r in met.collect())
+    met = texts.join(F.broadcast(chosen), ["id", "tag"]).select("id", "tag", "domain", "text")
+    read = met.mapInArrow(rows, "id long, tag long, domain string, shape binary, buckets binary").dropDuplicates(["id", "tag"])
+    sample = sorted((r.id, r.tag, r.domain, r.shape, r.buckets) for r in read.collect())
     if not sample:
         return None
-    label = np.array([domains.index(domain) for _, domain, _, _ in sample])
-    shape = np.array([np.frombuffer(x, np.float32) for _, _, x, _ in sample]).astype(np.float64)
-    words = [np.frombuffer(x, np.uint16).astype(np.int64) for _, _, _, x in sample]
+    label = np.array([domains.index(domain) for _, _, domain, _, _ in sample])
+    shape = np.array([np.frombuffer(x, np.float32) for *_, x, _ in sample]).astype(np.float64)
+    words = [np.frombuffer(x, np.uint16).astype(np.int64) for *_, x in sample]
     row = np.repeat(np.arange(len(words)), [len(x) for x in words])
     return fit_domains(shape, row, np.concatenate(words), label, domains)
 

@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidegate.llm import words as W
 from tidegate.llm.language import held_out
+from tidegate.llm.repeated_windows import keyed
 from tidegate.llm.scratch import shipped
 
 #: Bounds of the training sample.
@@ -186,27 +187,36 @@ def fit(positive: np.ndarray, unlabelled: np.ndarray, prior: float | None = None
 
 
 def training_rows(docs: DataFrame, positive_ids: DataFrame, known_ids: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(positive, features) of a bounded sample: rows of `positive_ids`, and rows of no `known_ids`, by a hash of the id."""
-    ids = docs.select(F.col(id_col).alias("id")).where("id is not null")
-    key = F.xxhash64("id")
-    positive = positive_ids.select(F.col(id_col).alias("id")).distinct().orderBy(key, "id").limit(POSITIVE_ROWS).withColumn("positive", F.lit(True))
-    unlabelled = ids.join(known_ids.select(F.col(id_col).alias("id")).distinct(), "id", "left_anti").distinct().orderBy(key, "id").limit(UNLABELLED_ROWS)
-    chosen = positive.union(unlabelled.withColumn("positive", F.lit(False)))
-    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).join(F.broadcast(chosen), "id")
+    """(id, tag, positive, features) of a bounded sample: rows of `positive_ids`, and rows of no `known_ids`, by a hash.
+
+    A row is an id and its text: copies of both are one, however many there are, and texts that share
+    an id are rows of their own. Rows without an id teach nothing.
+    """
+    named = keyed(docs, id_col, text_col).where("doc_id is not null")
+    key = F.xxhash64("id", "tag")
+
+    def drawn(rows: DataFrame, most: int) -> DataFrame:
+        return rows.select("id", "tag").distinct().orderBy(key, "id", "tag").limit(most)
+
+    ids = named.select("id", "tag")
+    positive = drawn(ids.join(positive_ids.select(F.col(id_col).alias("id")).distinct(), "id"), POSITIVE_ROWS)
+    unlabelled = drawn(ids.join(known_ids.select(F.col(id_col).alias("id")).distinct(), "id", "left_anti"), UNLABELLED_ROWS)
+    chosen = positive.withColumn("positive", F.lit(True)).union(unlabelled.withColumn("positive", F.lit(False)))
+    texts = named.select("id", "tag", "text").join(F.broadcast(chosen), ["id", "tag"])
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x = features(batch.column(2))
-            raw = pa.array([r.tobytes() for r in x], pa.binary())
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), raw], ["id", "positive", "features"])
+            raw = pa.array([r.tobytes() for r in features(batch.column(3))], pa.binary())
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], raw], ["id", "tag", "positive", "features"])
 
-    return texts.select("id", "positive", "text").mapInArrow(rows, "id long, positive boolean, features binary")
+    read = texts.select("id", "tag", "positive", "text").mapInArrow(rows, "id long, tag long, positive boolean, features binary")
+    return read.dropDuplicates(["id", "tag"])
 
 
 def fit_on(docs: DataFrame, positive_ids: DataFrame, known_ids: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Scorer | None:
     """None where there are no positives or no unlabelled rows."""
-    sample = sorted((r.positive, r.id, r.features) for r in training_rows(docs, positive_ids, known_ids, id_col, text_col).collect())
-    parts = [np.array([np.frombuffer(f, np.float32) for p, _, f in sample if p is want]) for want in (True, False)]
+    sample = sorted((r.positive, r.id, r.tag, r.features) for r in training_rows(docs, positive_ids, known_ids, id_col, text_col).collect())
+    parts = [np.array([np.frombuffer(f, np.float32) for p, *_, f in sample if p is want]) for want in (True, False)]
     if min(len(x) for x in parts) < 2:
         return None
     return fit(*parts)

@@ -1,39 +1,41 @@
 """SimHash near-duplicates by a Gray-order hierarchical index.
 
-Fingerprints of 3-word shingles are collapsed to distinct values and dealt into sixteen tables. Two
-fingerprints that differ in at most three bits share one of four 16-bit blocks, and then one of four
-12-bit pieces of what is left, so they meet under one of the sixteen 28-bit keys. The rows of a
-table are range partitioned and sorted by key and Gray rank. Each run of one key is indexed in Gray
-order: neighbours share long bit patterns, which upper nodes factor out, and pairs of nodes whose
-shared bits already differ too much go with all below them. A run that crosses a partition, or is
-longer than a node, is paired piece by piece in a join that prunes on the pieces' shared bits.
-
-Links leave a run as a spanning forest, never as all pairs; connected components join the forests.
-A third of all documents under one fingerprint is one row from the second step on; a third under one
-key is cut into pieces by the range partitioning.
+Fingerprints of 3-word shingles are collapsed to distinct values, range partitioned and sorted by Gray
+rank, and cut into pieces of 4,096: neighbours share long bit patterns. One tree stands over all of
+them. Its upper nodes are ranges of the Gray order with the bits that all below share; its lower nodes
+are inside the pieces. Pairs of nodes are followed from the root down, in joins on the parent above
+the pieces and in numpy below, and go with all under them when their shared bits already differ too
+much. The longer the order, the more bits its ranges share: with n values about n log^3 n pairs of
+values are ever compared.
+
+Links leave a pair of pieces as a spanning forest, never as all pairs; connected components join the
+forests. A third of all documents under one fingerprint is one row from the second step on.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from tidegate.llm import words as W
 from tidegate.llm.components import components
-from tidegate.llm.fingerprints import GrayTree, RunScan, bit_votes, forest, gray_rank, near_pairs, pack_bits, star_edges
+from tidegate.llm.fingerprints import GrayTree, bit_votes, forest, gray_rank, near_pairs, pack_bits, star_edges
 from tidegate.llm.repeated_windows import keyed, tagged
-from tidegate.llm.scratch import shipped, written
+from tidegate.llm.scratch import shipped, written, written_in_small_batches
 
 RADIUS = 3
 SHINGLE_WORDS = 3
 SEED = 42
 U64 = np.uint64
-#: For each table: the 16-bit block and, among the other 48 bits, the 12-bit piece that make its key.
-TABLES = [(block, piece) for block in range(4) for piece in range(4)]
+#: Values of a piece; bits of the rank by which an upper node has children; pairs of pieces in a batch of a task.
+PIECE_ROWS = 4096
+LEVEL_BITS = 4
+PAIRS_AT_ONCE = 64
+TOP, _MIN = U64(1 << 63), -(1 << 63)
 
 
 def shingle_fingerprints(texts: W.Texts) -> np.ndarray:
@@ -69,103 +71,108 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return keyed(docs, id_col, text_col).mapInArrow(rows, "id long, tag long, doc_id long, fp long")
 
 
-def table_rows(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(key, Gray rank, value) of each value in each table."""
-    keys, ranks = [], gray_rank(values)
-    for number, (block, piece) in enumerate(TABLES):
-        head = (values >> U64(16 * block)) & U64(0xFFFF)
-        low = values & U64((1 << 16 * block) - 1)
-        high = values >> U64(16 * block) >> U64(16)
-        rest = low | (high << U64(16 * block))
-        part = (rest >> U64(12 * piece)) & U64(0xFFF)
-        keys.append((U64(number) << U64(28)) | (head << U64(12)) | part)
-    return np.concatenate(keys), np.tile(ranks, len(TABLES)), np.tile(values, len(TABLES))
-
-
 def _signed(values: np.ndarray) -> pa.Array:
     return pa.array(np.ascontiguousarray(values).view(np.int64))
 
 
-LINKS = "a long, b long, key long, head long, mask long, pattern long, members binary"
+PIECES = "a long, b long, head long, ones long, some long, members binary"
+PIECE_SCHEMA = pa.schema([(n, pa.int64()) for n in ("a", "b", "head", "ones", "some")] + [("members", pa.binary())])
 
 
-def _links(edges: list, nodes: list) -> Iterator[pa.RecordBatch]:
-    """Edge rows have a and b; node rows have a key, the first Gray rank, shared bits and members."""
-    schema = pa.schema([(n, pa.int64()) for n in ("a", "b", "key", "head", "mask", "pattern")] + [("members", pa.binary())])
-    edges = [(a, b) for a, b in edges if len(a)]
-    if edges:
-        a, b = (_signed(np.concatenate(x)) for x in zip(*edges))
-        empty = [pa.nulls(len(a), field.type) for field in list(schema)[2:]]
-        yield pa.RecordBatch.from_arrays([a, b, *empty], schema=schema)
-    for key, values in nodes:
-        ones, any_ = np.bitwise_and.reduce(values), np.bitwise_or.reduce(values)
-        mask = ~(ones ^ any_)
-        columns = [_signed(np.array([x], np.uint64)) for x in (U64(key), gray_rank(values[:1])[0], mask, ones & mask)]
-        members = pa.array([values.tobytes()], pa.binary())
-        yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), *columns, members], schema=schema)
+def gray_pieces(distinct: DataFrame, radius: int) -> DataFrame:
+    """Distinct fingerprints `fp` in Gray order, cut into pieces, with the links within each.
 
+    A piece has the Gray rank of its first member, the bits that all of its members set, those that
+    some set, and the members; a link has a and b.
+    """
 
-def gray_pairs(one: np.ndarray, two: np.ndarray | None, radius: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Index pairs within `radius` in one Gray-sorted array, or between two."""
-    left = GrayTree(one)
-    return near_pairs(left, left if two is None else GrayTree(two), radius)
+    def rank(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            values = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
+            # Ranks order unsigned; flipping the top bit makes the signed order the same.
+            yield pa.RecordBatch.from_arrays([_signed(gray_rank(values) ^ TOP), batch.column(0)], ["rank", "fp"])
 
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = np.zeros(0, np.uint64)
+        for batch in batches:
+            held = np.concatenate([held, batch.column(1).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)])
+            while len(held) >= PIECE_ROWS:
+                yield from piece(held[:PIECE_ROWS])
+                held = held[PIECE_ROWS:]
+        if len(held):
+            yield from piece(held)
 
-Tables = Callable[[np.ndarray], tuple[np.ndarray, np.ndarray, np.ndarray]]
-Pairs = Callable[[np.ndarray, np.ndarray | None, int], Iterator[tuple[np.ndarray, np.ndarray]]]
+    def piece(values: np.ndarray) -> Iterator[pa.RecordBatch]:
+        tree = GrayTree(values)
+        a, b = star_edges(values, forest(len(values), near_pairs(tree, tree, radius)))
+        if len(a):
+            yield pa.RecordBatch.from_arrays([_signed(a), _signed(b), *(pa.nulls(len(a), f.type) for f in list(PIECE_SCHEMA)[2:])], schema=PIECE_SCHEMA)
+        facts = [_signed(np.array([x], np.uint64)) for x in (gray_rank(values[:1])[0], np.bitwise_and.reduce(values), np.bitwise_or.reduce(values))]
+        none = [pa.nulls(1, pa.int64())] * 2
+        yield pa.RecordBatch.from_arrays([*none, *facts, pa.array([values.tobytes()], pa.binary())], schema=PIECE_SCHEMA)
 
+    parts = int(distinct.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranked = distinct.select("fp").mapInArrow(rank, "rank long, fp long")
+    return ranked.repartitionByRange(parts, "rank").sortWithinPartitions("rank").mapInArrow(cut, PIECES)
 
-def near_links(distinct: DataFrame, radius: int = RADIUS, tables: Tables = table_rows, pairs: Pairs = gray_pairs) -> DataFrame:
-    """(a, b): links that connect whatever distinct fingerprints `fp` lie within `radius` of each other.
 
-    `tables` deals values to keys such that any two within `radius` share one, and orders those of a
-    key; `table_rows` does so up to a radius of 3. `pairs` finds the pairs of a run.
-    """
-    if tables is table_rows and not 0 <= radius <= RADIUS:
-        raise ValueError(f"these tables hold for a radius of 0 to {RADIUS}")
+def _node(head: str, level: int) -> Column:
+    """The node of a level that a rank is below: its leading bits."""
+    return F.shiftrightunsigned(head, 64 - LEVEL_BITS * level)
 
-    def search(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        return star_edges(values, forest(len(values), pairs(values, None, radius)))
 
-    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            values = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
-            columns = [_signed(x) for x in tables(values)]
-            # Ranks order unsigned; flipping the top bit makes the signed order the same.
-            columns[1] = _signed(columns[1].to_numpy().view(np.uint64) ^ U64(1 << 63))
-            yield pa.RecordBatch.from_arrays(columns, ["key", "rank", "fp"])
+def _apart(radius: int) -> Column:
+    """Whether nodes l and r may hold values within `radius`: what all below each of them share differs in so few places."""
+    shared = [F.bitwise_not(F.col(f"{s}_ones").bitwiseXOR(F.col(f"{s}_some"))) for s in "lr"]
+    differ = F.col("l_ones").bitwiseXOR(F.col("r_ones")).bitwiseAND(shared[0]).bitwiseAND(shared[1])
+    return F.bit_count(differ) <= radius
+
+
+def _sides(nodes: DataFrame) -> list[DataFrame]:
+    return [nodes.select(*(F.col(c).alias(f"{s}_{c}") for c in nodes.columns)) for s in "lr"]
 
-    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        runs = RunScan(search, radius)
-        for batch in batches:
-            yield from _links(*runs.feed(batch.column(0).to_numpy(), batch.column(1).to_numpy().view(np.uint64)))
-        yield from _links(*runs.feed(np.zeros(0, np.int64), np.zeros(0, np.uint64), last=True))
+
+def near_pieces(pieces: DataFrame, radius: int) -> DataFrame:
+    """(l_head, r_head): pairs of pieces that may hold values within `radius` of each other.
+
+    Upper nodes of the tree are ranges of the Gray order, by the leading bits of the rank, each with
+    the bits shared by all below it. Pairs of nodes are followed from the root down, level by level;
+    one goes, with all below it, when its shared bits already differ in more than `radius` places.
+    """
+    levels = max(-(-pieces.count().bit_length() // LEVEL_BITS), 1)
+    pairs = None
+    for level in range(1, levels + 1):
+        nodes = pieces.groupBy(_node("head", level).alias("node")).agg(F.bit_and("ones").alias("ones"), F.bit_or("some").alias("some"))
+        left, right = _sides(nodes.withColumn("above", F.shiftrightunsigned("node", LEVEL_BITS)))
+        above = pieces.sparkSession.range(1).select(F.col("id").alias("a"), F.col("id").alias("b")) if pairs is None else pairs
+        met = above.join(left, F.col("a") == F.col("l_above")).join(right, F.col("b") == F.col("r_above"))
+        pairs = met.where((F.col("l_node") <= F.col("r_node")) & _apart(radius)).select(F.col("l_node").alias("a"), F.col("r_node").alias("b"))
+    left, right = _sides(pieces.select("head", "ones", "some", _node("head", levels).alias("node")))
+    met = pairs.join(left, F.col("a") == F.col("l_node")).join(right, F.col("b") == F.col("r_node"))
+    first = F.col("l_head").bitwiseXOR(F.lit(_MIN)) < F.col("r_head").bitwiseXOR(F.lit(_MIN))
+    return met.where(((F.col("a") < F.col("b")) | first) & _apart(radius)).select("l_head", "r_head")
+
+
+def near_links(distinct: DataFrame, radius: int = RADIUS) -> DataFrame:
+    """(a, b): links that connect whatever distinct fingerprints `fp` lie within `radius` of each other."""
 
     def pair(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for left, right in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 one, two = np.frombuffer(left, np.uint64), np.frombuffer(right, np.uint64)
-                found = ((i, j + len(one)) for i, j in pairs(one, two, radius))
+                found = ((i, j + len(one)) for i, j in near_pairs(GrayTree(one), GrayTree(two), radius))
                 both = np.concatenate([one, two])
-                label = forest(len(both), found)
-                member = np.flatnonzero(label != np.arange(len(label)))
-                if len(member):
-                    columns = [_signed(both[label[member]]), _signed(both[member])]
-                    yield pa.RecordBatch.from_arrays(columns, ["a", "b"])
-
-    spark = distinct.sparkSession
-    dealt = distinct.select("fp").mapInArrow(deal, "key long, rank long, fp long")
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ordered = dealt.repartitionByRange(parts, "key", "rank").sortWithinPartitions("key", "rank")
-    found = written(ordered.select("key", "fp").mapInArrow(scan, LINKS))
-    nodes = found.where("key is not null").select("key", "head", "mask", "pattern", "members")
-    left = nodes.select("key", *(F.col(c).alias(f"l_{c}") for c in nodes.columns[1:]))
-    right = nodes.select("key", *(F.col(c).alias(f"r_{c}") for c in nodes.columns[1:]))
-    meet = left.join(right, "key").where(
-        "(l_head < r_head) and bit_count((l_pattern ^ r_pattern) & l_mask & r_mask) <= " + str(radius)
-    )
-    across = meet.select("l_members", "r_members").mapInArrow(pair, "a long, b long")
-    return found.where("key is null").select("a", "b").union(across)
+                a, b = star_edges(both, forest(len(both), found))
+                if len(a):
+                    yield pa.RecordBatch.from_arrays([_signed(a), _signed(b)], ["a", "b"])
+
+    found = written(gray_pieces(distinct, radius))
+    pieces = found.where("head is not null").select("head", "ones", "some", "members")
+    pairs = written(near_pieces(pieces.drop("members"), radius))
+    left, right = (pieces.select(F.col("head").alias(f"{s}_head"), F.col("members").alias(f"{s}_members")) for s in "lr")
+    met = pairs.join(left, "l_head").join(right, "r_head").select("l_members", "r_members")
+    across = written_in_small_batches(met.mapInArrow(pair, "a long, b long"), PAIRS_AT_ONCE)
+    return found.where("a is not null").select("a", "b").union(across)
 
 
 def fingerprint_groups(marked: DataFrame, radius: int = RADIUS) -> DataFrame:

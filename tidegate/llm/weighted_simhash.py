@@ -23,9 +23,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from tidegate.llm import words as W
 from tidegate.llm.components import components
 from tidegate.llm.fingerprints import bit_votes, pack_bits
+from tidegate.llm.key_tables import linked_by_keys
 from tidegate.llm.repeated_windows import keyed
 from tidegate.llm.scratch import shipped, written, written_in_small_batches
-from tidegate.llm.simhash_groups import near_links
 
 RADIUS = 3
 U64 = np.uint64
@@ -81,7 +81,7 @@ def direct_pairs(one: np.ndarray, two: np.ndarray | None, radius: int) -> Iterat
 def near_classes(marked: DataFrame, radius: int = RADIUS) -> DataFrame:
     """(fp, near_class) of each fingerprint in `marked` (doc_id, fp): the smallest id that can be reached by links of at most `radius`."""
     distinct = written(marked.groupBy("fp").agg(F.min("doc_id").alias("least")))
-    label = components(near_links(distinct, radius, block_tables(radius), direct_pairs))
+    label = components(linked_by_keys(distinct, radius, block_tables(radius), direct_pairs))
     placed = distinct.join(label.select(F.col("node").alias("fp"), "component"), "fp", "left").withColumn("component", F.coalesce("component", "fp"))
     head = placed.groupBy("component").agg(F.min("least").alias("near_class"))
     return placed.select("fp", "component").join(head, "component").select("fp", "near_class")
