@@ -9,6 +9,8 @@ from tidegate.plans import oracle
 from tidegate.plans.queries import QUERIES
 
 SQL = oracle.oracle_sql()
+# Jobs that write tables and end in a read of them: their last plan is that read.
+JOBS = {"incident_job", "replay_due", "replay_published_once", "compacted_clean", "ledger_purged"}
 
 
 @pytest.fixture(scope="module")
@@ -32,7 +34,7 @@ def test_flagship(spark):
 
 def test_plans_hold_no_python_and_no_cartesian_product(spark, sf_dir):
     for name, build in QUERIES.items():
-        if name.startswith("stream_"):
+        if name.startswith("stream_") or name in JOBS:
             continue
         plan = build(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
         for word in ("EvalPython", "InPandas", "CartesianProduct", "NestedLoopJoin"):
