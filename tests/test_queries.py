@@ -29,7 +29,7 @@ def test_query(spark, sf_dir, duck, name):
 
 
 def test_flagship(spark):
-    assert contract.entry(spark).count() == 512
+    assert contract.entry(spark).count() == 442
 
 
 def test_plans_hold_no_python_and_no_cartesian_product(spark, sf_dir):
