@@ -114,6 +114,14 @@ def test_forest_on_held_out_findings(spark):
     assert sum(r.kept == (r.label == 1) for r in judged) / len(judged) >= 0.75
 
 
+def test_prose_is_learnt_from_all_texts(spark):
+    """A table of several thousand rows: words that four of them have each are all in the dictionary."""
+    letters = "abcdefghij"
+    named = ["word" + "".join(letters[int(c)] for c in f"{i:04d}") for i in range(1500)]
+    docs = frame(shipped(spark), [(i, f"{named[i % 1500]} {i}", "en") for i in range(6000)] + [(6000, None, "en")])
+    assert set(S.learn_prose(docs).words) == set(named)
+
+
 def test_redaction_keeps_to_the_place(spark):
     texts = [
         "passwd planter says the planters plant", " \n x = exchange12  exchange12\ty", "a secret b [secret] c", "", None, "one  two\tthree ",

@@ -5,7 +5,7 @@ parts of a text's words that look like a token with digits, a known key format o
 assignment, and what stands behind a credential's name. The forest
 judges each by its length, how its characters follow each other, how much of it words of a dictionary
 cover, the path it was found under and the words beside it. Dictionary and transitions are learnt from
-a bounded share of the texts; the forest is trained from labelled findings of known making. Whether a
+all the texts; the forest is trained from labelled findings of known making. Whether a
 candidate has an issuer's format is one feature among the others; it has no part in the labels.
 """
 
@@ -54,8 +54,7 @@ BARE = "([0-9A-Za-z+/_=-]{12,})"
 GATE = "[0-9]|(?i:" + NAMES + ")"
 #: Bare characters with a digit among them, wherever they stand in a word.
 MIXED = "(?<![0-9A-Za-z+/_=-])(?=[A-Za-z+/_=-]*[0-9])" + BARE
-#: Bounds of what is learnt from the texts themselves: documents read for it, and words of the dictionary.
-LEARN_ROWS = 2000
+#: Words of the dictionary, the most frequent of all texts.
 DICTIONARY_WORDS = 2000
 #: Kinds of characters between which changes are counted.
 ALPHABET = "abcdefghijklmnopqrstuvwxyz0123456789-_"
@@ -134,11 +133,10 @@ class Prose:
     follows: tuple[float, ...]
 
 
-def learn_prose(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Prose:
-    """From about `LEARN_ROWS` whole texts, drawn by a hash of id and text: two aggregates, of bounded results."""
-    share = max(docs.count() // LEARN_ROWS, 1)
-    drawn = keyed(docs, id_col, text_col).where(F.pmod(F.xxhash64("id", "tag"), F.lit(share)) == 0)
-    words = drawn.select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit("[a-z]{3,24}"), F.lit(0))).alias("w")).groupBy("w").agg(F.count("*").alias("n"))
+def learn_prose(docs: DataFrame, text_col: str = "text") -> Prose:
+    """From the words of all texts: two aggregates, of bounded results."""
+    text = F.lower(F.col(text_col).cast("string"))
+    words = docs.select(F.explode(F.regexp_extract_all(text, F.lit("[a-z]{3,24}"), F.lit(0))).alias("w")).groupBy("w").agg(F.count("*").alias("n"))
     words = written(words.orderBy(F.desc("n"), "w").limit(DICTIONARY_WORDS))
     places = F.sequence(F.lit(1), F.length("w") - 1)
     pairs = words.select("n", F.explode(F.transform(places, lambda at: F.substring(F.col("w"), at, F.lit(2)))).alias("pair"))
@@ -246,7 +244,7 @@ def scan_secrets(
     findings of that form. A null or empty text has no candidates. Repeated rows have rows of their
     own. An empty table gives an empty table.
     """
-    prose = learn_prose(docs, id_col, text_col)
+    prose = learn_prose(docs, text_col)
     forest = fit_forest(labelled_findings(docs.sparkSession, prose) if labelled is None else labelled)
     if forest is None:
         raise ValueError("labelled findings must have both labels")
