@@ -10,6 +10,7 @@ from tidegate.operators.quarantine import quarantine_envelope
 from tidegate.operators.rules import check_events, invalid_events, valid_events
 from tidegate.operators.triage import classify_failures
 from tidegate.operators.transform import transform_events
+from tidegate.plans import fixture
 from tidegate.plans.fixture import NOW, wire_records
 from tidegate.plans.streams import SENTINEL_ID, closing_record
 from tidegate.session import scratch_dir
@@ -160,3 +161,12 @@ def test_late_rows_are_dropped_and_ids_are_forgotten(spark, sf_dir):
                               names=("clean",), state_partitions=1))
     assert ids(tables[True].clean()) == ["a", "a", "b"]
     assert ids(tables[False].clean()) == ["a", "b"]
+
+
+def test_rows_are_dealt_to_tasks_of_bounded_size(spark, monkeypatch):
+    monkeypatch.setattr(fixture, "TASK_ROWS", 2)
+    cores = spark.sparkContext.defaultParallelism
+    dealt = fixture.spread(spark.range(0, 5 * cores, 1, cores + 1))
+    assert dealt.rdd.getNumPartitions() == 3 * cores
+    assert sorted(row.id for row in dealt.collect()) == list(range(5 * cores))
+    assert fixture.spread(spark.range(0, 5, 1, 1)).rdd.getNumPartitions() == cores
