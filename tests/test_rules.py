@@ -10,6 +10,7 @@ from tidegate.model import RuleConfig
 from tidegate.operators import rules
 from tidegate.operators.parsing import parse_events
 from tidegate.operators.transform import transform_events
+from tidegate.session import overridden
 
 CASES = {
     "sound": (payload(), None, None),
@@ -166,6 +167,16 @@ def test_types_from_a_table_keep_the_rule_order(spark):
     ]
 
 
+def test_short_list_is_broadcast_whatever_table_it_comes_from(spark):
+    """Spark's own size check is off: only the counted list can have placed the types beside every event."""
+    allowed = spark.createDataFrame([("purchase",)] * 3, "event_type string")
+    with overridden(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}):
+        judged = rules.check_against_table(raw_frame(spark, [payload(), payload(event_type="click")]), allowed, now=NOW)
+        plan = judged._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+        assert sorted(row.is_valid for row in judged.collect()) == [False, True]
+
+
 def test_transformation(spark):
     frame = raw_frame(spark, [payload(event_timestamp="2026-01-15T23:30:00-02:00", event_value=7)])
     row = transform_events(rules.valid_events(rules.check_events(frame, now="2026-02-01T00:00:00Z")), now=NOW).first()

@@ -32,6 +32,8 @@ ERROR_COLUMNS = ("error_type", "failed_field", "error_message", "is_valid")
 
 CLOCK = "_clock"
 LISTED = "_listed"
+#: A list of allowed types up to this length goes to every task.
+LIST_ROWS = 100_000
 
 
 @dataclass(frozen=True)
@@ -156,9 +158,13 @@ def check_against_table(
 ) -> DataFrame:
     """Like ``check_events``, with the event types kept in a table ``allowed(event_type)``.
 
-    The distinct list joins the events as Spark sees fit by its size.
+    A list of up to `LIST_ROWS` types is counted and broadcast, however large the table it comes from:
+    shuffled by type, all events would meet in as few tasks as there are types. A longer list
+    joins as Spark sees fit.
     """
     names = allowed.select(F.col("event_type").alias("_name")).where("_name IS NOT NULL").distinct()
+    if not allowed.isStreaming and names.limit(LIST_ROWS + 1).count() <= LIST_ROWS:
+        names = F.broadcast(names)
     parsed = parse_events(raw)
     listed = parsed.join(names, parsed["event_type"] == names["_name"], "left")
     marked = listed.withColumn(LISTED, F.col("_name").isNotNull()).drop("_name")
