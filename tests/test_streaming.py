@@ -12,7 +12,7 @@ from tidegate.operators.triage import classify_failures
 from tidegate.operators.transform import transform_events
 from tidegate.plans import fixture
 from tidegate.plans.fixture import NOW, wire_records
-from tidegate.plans.streams import SENTINEL_ID, closing_record
+from tidegate.plans.streams import SENTINEL_ID, closing_record, compacted_clean
 from tidegate.session import scratch_dir
 from tidegate.sources.checkpoints import latest_commit, state_operators, state_rows
 from tidegate.sources.wire import file_stream, raw_envelope
@@ -170,3 +170,20 @@ def test_rows_are_dealt_to_tasks_of_bounded_size(spark, monkeypatch):
     assert dealt.rdd.getNumPartitions() == 3 * cores
     assert sorted(row.id for row in dealt.collect()) == list(range(5 * cores))
     assert fixture.spread(spark.range(0, 5, 1, 1)).rdd.getNumPartitions() == cores
+
+
+def test_compacted_rows_are_made_once(spark):
+    made = spark.sparkContext.accumulator(0)
+
+    def count(value):
+        made.add(1)
+        return value
+
+    rows = spark.range(30).select(
+        F.concat(F.lit("evt-"), "id").alias("event_id"), F.when(F.col("id") < 24, F.col("id")).alias("source_offset"),
+        F.lit("2024-01-05").cast("date").alias("event_date"), F.lit("us-east").alias("region"),
+        F.udf(count, "double")(F.col("id").cast("double")).alias("event_value"),
+    )
+    got = compacted_clean(spark, "", rows).select("event_id", "source_offset", "event_value").collect()
+    assert sorted((r.source_offset, r.event_id, r.event_value) for r in got) == [(n, f"evt-{n}", float(n)) for n in range(24)]
+    assert made.value == 30

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import datetime, timedelta, timezone
 
 from pyspark.errors import StreamingQueryException
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from tidegate.model import LEDGER_TTL_SECONDS, RAW_TOPIC
 from tidegate.plans.fixture import NOW, wire_records
@@ -146,6 +147,13 @@ def run_gated(spark: SparkSession, tables: BatchTables, wire: str, checkpoints:
         drain(queries)
 
 
+def stored_parts(rows: DataFrame, number: Column, path: str) -> Callable[[int], DataFrame]:
+    """Rows written once, in folders by a number, for parts that would each make all of them again."""
+    rows.withColumn("_part", number).write.partitionBy("_part").parquet(path)
+    stored = rows.sparkSession.read.schema(T.StructType([*rows.schema.fields, T.StructField("_part", T.LongType())])).parquet(path)
+    return lambda n: stored.where(F.col("_part") == n).drop("_part")
+
+
 def gate_ttl(spark: SparkSession, sf_dir: str, rows: DataFrame) -> DataFrame:
     """How often each id is written by a stream whose checkpoint was lost, gated in state.
 
@@ -231,9 +239,9 @@ def compacted_clean(spark: SparkSession, sf_dir: str, rows: DataFrame) -> DataFr
     root = scratch_dir(spark, "compacted")
     tables = BatchTables(spark, root)
     day = LAST.date()
+    parts = stored_parts(rows, F.col("source_offset") % 6, f"{root}-rows")
     for n in range(6):
-        part = rows.where(F.col("source_offset") % 6 == n)
-        write_batch(part, tables.path("clean_events"), day, f"query-{n % 2}", n // 2, partition_by=CLEAN_PARTITIONS)
+        write_batch(parts(n), tables.path("clean_events"), day, f"query-{n % 2}", n // 2, partition_by=CLEAN_PARTITIONS)
         if n == 3:
             tables.compact("clean_events")
     tables.compact("clean_events", closed=["query-0"])
