@@ -12,7 +12,7 @@ from tidegate.operators.triage import classify_failures
 from tidegate.operators.transform import transform_events
 from tidegate.plans import fixture
 from tidegate.plans.fixture import NOW, wire_records
-from tidegate.plans.streams import SENTINEL_ID, closing_record, compacted_clean
+from tidegate.plans.streams import LAST, SENTINEL_ID, closing_record, compacted_clean, run_gated
 from tidegate.session import scratch_dir
 from tidegate.sources.checkpoints import latest_commit, state_operators, state_rows
 from tidegate.sources.wire import file_stream, raw_envelope
@@ -187,3 +187,11 @@ def test_compacted_rows_are_made_once(spark):
     got = compacted_clean(spark, "", rows).select("event_id", "source_offset", "event_value").collect()
     assert sorted((r.source_offset, r.event_id, r.event_value) for r in got) == [(n, f"evt-{n}", float(n)) for n in range(24)]
     assert made.value == 30
+
+
+def test_gate_state_is_dealt_to_all_cores(spark):
+    root = scratch_dir(spark, "gate-partitions")
+    closing_record(spark).write.parquet(f"{root}/wire")
+    run_gated(spark, BatchTables(spark, f"{root}/tables"), f"{root}/wire", f"{root}/checkpoints", LAST)
+    gate = state_operators(spark, f"{root}/checkpoints", "clean").where("operatorName LIKE 'transformWithState%'").first()
+    assert gate.numPartitions == spark.sparkContext.defaultParallelism

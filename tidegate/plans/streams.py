@@ -142,7 +142,7 @@ def run_gated(spark: SparkSession, tables: BatchTables, wire: str, checkpoints:
     with overridden(spark, {NO_DATA_BATCHES: "false"}):
         queries = start_flows(
             Flows(clean, flows.quarantine, flows.aggregates), tables, checkpoints, trigger=AVAILABLE_NOW, names=("clean",),
-            state_partitions=2,
+            state_partitions=spark.sparkContext.defaultParallelism,
         )
         drain(queries)
 
@@ -163,10 +163,10 @@ def gate_ttl(spark: SparkSession, sf_dir: str, rows: DataFrame) -> DataFrame:
     root = scratch_dir(spark, "stream-gate-ttl")
     wire_records(spark, sf_dir).write.parquet(f"{root}/wire")
     tables = BatchTables(spark, f"{root}/tables")
-    number = F.substring("event_id", 5, 20).cast("long") % 3
+    parts = stored_parts(rows, F.substring("event_id", 5, 20).cast("long") % 3, f"{root}/rows")
     for n, hours in enumerate((25, 1)):
         at = LAST - timedelta(hours=hours)
-        part = rows.where(number == n).withColumn("processed_at", F.lit(at.isoformat()).cast("timestamp"))
+        part = parts(n).withColumn("processed_at", F.lit(at.isoformat()).cast("timestamp"))
         write_batch(part, tables.path("clean_events"), at.date(), "lost", n, partition_by=CLEAN_PARTITIONS)
     run_gated(spark, tables, f"{root}/wire", f"{root}/checkpoints", LAST)
     return tables.clean().groupBy("event_id").agg(F.count("*").alias("times_written"))
