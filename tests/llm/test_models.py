@@ -9,7 +9,7 @@ import pyarrow as pa
 import pytest
 
 from fixtures_llm import documents, frame, prose
-from tidegate.llm import language, mixing, quality
+from tidegate.llm import language, mixing, quality, scratch
 from tidegate.llm.scratch import shipped
 
 
@@ -209,3 +209,17 @@ def test_language_sample_among_copies_and_many_languages(spark, monkeypatch):
     language.fit(rows.union(copies).union(few).union(many))
     n = dict(zip(seen["names"], seen["n"].tolist()))
     assert len(n) == 72 and n["aa"] == 40 and n["bb"] == 40
+
+
+def test_mixing_moves_whole_texts_in_small_batches(spark, monkeypatch):
+    seen, real = [], scratch.written
+
+    def noted(df):
+        seen.append(int(df.sparkSession.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")))
+        return real(df)
+
+    monkeypatch.setattr(scratch, "written", noted)
+    docs = frame(shipped(spark), [(k, f"some words {k}", "en") for k in range(20)])
+    labelled = spark.createDataFrame([(k, "clean" if k % 2 else "junk") for k in range(20)], "doc_id long, domain string")
+    assert mixing.mix(docs, labelled, {"clean": 0.5, "junk": 0.5}, keep_text=True).count() == 20
+    assert seen == [mixing.TEXTS_AT_ONCE]

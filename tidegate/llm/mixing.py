@@ -22,10 +22,12 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tidegate.llm import words as W
 from tidegate.llm.quality import N_FEATURES, features
 from tidegate.llm.repeated_windows import keyed
-from tidegate.llm.scratch import shipped, written
+from tidegate.llm.scratch import shipped, small_batches, written_in_small_batches
 
 #: Bound of the training sample, in labelled rows of each domain.
 SAMPLE_ROWS = 4000
+#: Rows with whole texts that go between Spark and Python at a time.
+TEXTS_AT_ONCE = 500
 WORD_BUCKETS = 1 << 16
 WORD_FEATURES = 1500
 #: Chi-square under which a word's shares differ by chance.
@@ -142,7 +144,8 @@ def fit_on(docs: DataFrame, labelled: DataFrame, domains: list[str], id_col: str
 
     met = texts.join(F.broadcast(chosen), ["id", "tag"]).select("id", "tag", "domain", "text")
     read = met.mapInArrow(rows, "id long, tag long, domain string, shape binary, buckets binary").dropDuplicates(["id", "tag"])
-    sample = sorted((r.id, r.tag, r.domain, r.shape, r.buckets) for r in read.collect())
+    with small_batches(docs.sparkSession, TEXTS_AT_ONCE):
+        sample = sorted((r.id, r.tag, r.domain, r.shape, r.buckets) for r in read.collect())
     if not sample:
         return None
     label = np.array([domains.index(domain) for _, _, domain, _, _ in sample])
@@ -170,6 +173,7 @@ def memberships(docs: DataFrame, model: DomainModel | None, domains: list[str],
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(k) for k in range(len(fields))), *text, pa.array(tokens), posterior], names
             )
+        W.release()
 
     names = [*(f.name for f in fields), *([text_col] if keep_text else []), "n_tokens", "posterior"]
     text_field = f"`{text_col}` string, " if keep_text else ""
@@ -289,7 +293,7 @@ def mix(
         raise ValueError("targets are shares of at least one domain")
     docs = docs.drop("n_tokens", "posterior", "rate", "domain", "copies")
     model = fit_on(docs, labelled, domains, id_col, text_col)
-    members = written(memberships(docs, model, domains, text_col, keep_text))
+    members = written_in_small_batches(memberships(docs, model, domains, text_col, keep_text), TEXTS_AT_ONCE)
     rated = with_rates(members, fit_rates(members, [targets[d] for d in domains], tokens))
     best = F.array_position("posterior", F.array_max("posterior"))
     toss = F.coalesce(F.pmod(F.xxhash64(F.col(id_col), F.lit("copies")), F.lit(1 << 30)) / float(1 << 30), F.lit(0.5))

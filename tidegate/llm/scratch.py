@@ -20,9 +20,14 @@ def written(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def small_batches(spark: SparkSession, rows: int = 2000):
+    """At most `rows` rows at a time between Spark and Python, for jobs started in the block: whole texts take memory on both sides."""
+    return overridden(spark, {"spark.sql.execution.arrow.maxRecordsPerBatch": str(rows)})
+
+
 def written_in_small_batches(df: DataFrame, rows: int = 2000) -> DataFrame:
-    """`written`, with at most `rows` rows at a time between Spark and Python: whole texts take memory on both sides."""
-    with overridden(df.sparkSession, {"spark.sql.execution.arrow.maxRecordsPerBatch": str(rows)}):
+    """`written`, with small batches."""
+    with small_batches(df.sparkSession, rows):
         return written(df)
 
 
