@@ -218,3 +218,18 @@ def test_percent_rounds_halves_to_even(spark):
     assert [row.p for row in frame.select(percent(F.col("r")).alias("p")).collect()] == [
         f"{rate:.2%}" for rate in (0.40625, 0.46875, 0.0, 1.0, 0.02)
     ]
+
+
+def test_incident_job_reads_counters_that_were_made_once(spark, sf_dir, monkeypatch):
+    from tidegate.plans import queries
+
+    plans = []
+
+    class Noted(queries.IncidentJob):
+        def run(self, metrics, failures, external=None):
+            plans.append(metrics._jdf.queryExecution().optimizedPlan().toString())
+            return super().run(metrics, failures, external)
+
+    monkeypatch.setattr(queries, "IncidentJob", Noted)
+    assert queries.QUERIES["incident_job"](spark, sf_dir).count() > 0
+    assert len(plans) == 3 and not any("raw_payload" in plan or "get_json" in plan or "Aggregate" in plan for plan in plans)
