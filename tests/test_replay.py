@@ -124,3 +124,16 @@ def test_envelope_has_its_eight_columns(spark):
     assert not rows["malformed_json"].replay_eligible and rows["malformed_json"].event_id is None
     assert rows["quality_rule"].replay_eligible and rows["quality_rule"].original_payload == BAD
     assert rows["quality_rule"].processing_timestamp == "2026-01-15 13:00:00"
+
+
+def test_audits_are_cut_out_as_the_pattern_says_and_bare_payloads_pass_it_by(spark):
+    audit = ',"_replay":{"retry_count":1,"source":"quarantine"}'
+    texts = [payload(), payload() + " ", payload() + "\n\t ", payload()[:-1] + audit + "}", payload()[:-1] + audit + "} \n",
+             payload()[:-1] + audit + audit + "}", payload(note=audit), payload(note={"_replay": {"a": 1}})]
+    rows = spark.createDataFrame([record(text) for text in texts], QUARANTINE_SCHEMA)
+    sent = replay.decide_replay(rows, now=NOW).withColumn("plain", F.regexp_replace("original_payload", replay.EARLIER_AUDIT, ""))
+    for row in sent.select("outcome", "payload", "plain").collect():
+        assert row.outcome == "replayed"
+        assert row.payload.startswith(row.plain[:-1] + ',"_replay":{"replayed_at"') and json.loads(row.payload)
+    plan = sent.select("payload")._jdf.queryExecution().optimizedPlan().toString()
+    assert "EndsWith(original_payload" in plan, plan

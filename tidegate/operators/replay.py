@@ -38,6 +38,7 @@ REPLAY_SOURCE = "quarantine"
 RECORD_FIELDS = tuple(QUARANTINE_SCHEMA.fieldNames())
 # White space behind the object, and the audit an earlier replay left as its last member.
 EARLIER_AUDIT = r'\s+$|,"_replay":\{[^{}]*\}(?=\}\s*$)'
+AUDIT_START = ',"_replay":{'
 
 
 def decide_replay(
@@ -110,7 +111,10 @@ def _payload(clock: Column) -> Column:
     )
     # A replayed payload is known to be one JSON object: everything in it stays as it was, and the
     # audit becomes its last member, in place of that of an earlier replay.
-    whole = F.regexp_replace("original_payload", EARLIER_AUDIT, "")
+    # Most have none, and end in their brace: there the pattern cannot match, and is not tried at every place.
+    text = F.col("original_payload")
+    bare = text.endswith("}") & ~text.contains(AUDIT_START)
+    whole = F.when(bare, text).otherwise(F.regexp_replace(text, EARLIER_AUDIT, ""))
     body = F.substring(whole, F.lit(1), F.length(whole) - 1)
     replayed = F.concat(body, F.lit(',"_replay":'), F.to_json(audit), F.lit("}"))
     record = F.struct(*RECORD_FIELDS, "last_replay_error", "last_replay_at")
