@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import NOW, payload, raw_frame
-from tidegate.model import WIRE_SCHEMA
+from tidegate.model import LEDGER_SCHEMA, WIRE_SCHEMA
 from tidegate.operators import rules
 from tidegate.operators.aggregate import aggregate_events
 from tidegate.operators.dedup import dedup_first
@@ -123,3 +123,15 @@ def test_other_queries_are_found_by_folder(spark, tmp_path):
     assert sorted(path.split("/t/")[1] for path in found) == ["day=2024-01-01/query_id=old", "day=2024-01-02/query_id=replay-1"]
     (late,) = folders_of_others(spark, root, "own", [dt.date(2024, 1, 2)])
     assert late.endswith("day=2024-01-02/query_id=replay-1")
+
+
+def test_a_table_that_is_not_there_is_planned_away(spark):
+    """A first batch is joined with nothing: no shuffle, and no Python worker for the empty side."""
+    none = tables.read_table(spark, f"{scratch_dir(spark, 'none')}/ledger", LEDGER_SCHEMA)
+    assert none.schema.fieldNames() == [*LEDGER_SCHEMA.fieldNames(), "day", "query_id", "batch_id"]
+    assert [f.dataType for f in none.schema][:4] == [f.dataType for f in LEDGER_SCHEMA]
+    batch = spark.range(5).select(F.col("id").cast("string").alias("event_id"))
+    for kind, rows in (("left_anti", 5), ("left_semi", 0), ("left", 5)):
+        joined = batch.join(none.select("event_id").distinct(), "event_id", kind)
+        plan = joined._jdf.queryExecution().optimizedPlan().toString()
+        assert "Join" not in plan and "ExistingRDD" not in plan and joined.count() == rows, plan

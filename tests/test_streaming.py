@@ -17,7 +17,8 @@ from tidegate.session import scratch_dir
 from tidegate.sources.checkpoints import latest_commit, state_operators, state_rows
 from tidegate.sources.wire import file_stream, raw_envelope
 from tidegate.streaming.batches import BatchTables
-from tidegate.streaming.flows import build_flows
+from tidegate.streaming.flows import Flows, build_flows
+from tidegate.streaming import run as started
 from tidegate.streaming.run import drain, failures_of, start_flows
 
 PARTS = ("2024-01-01", "2024-01-04", "2024-01-07")
@@ -195,3 +196,13 @@ def test_gate_state_is_dealt_to_all_cores(spark):
     run_gated(spark, BatchTables(spark, f"{root}/tables"), f"{root}/wire", f"{root}/checkpoints", LAST)
     gate = state_operators(spark, f"{root}/checkpoints", "clean").where("operatorName LIKE 'transformWithState%'").first()
     assert gate.numPartitions == spark.sparkContext.defaultParallelism
+
+
+def test_state_rows_are_not_counted_and_methods_stay_small(spark, monkeypatch):
+    """A stream keeps the settings it is started under: no read before each write of the state."""
+    seen = {}
+    names = ("spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows", "spark.sql.codegen.hugeMethodLimit")
+    monkeypatch.setattr(started, "start_query", lambda *a, **k: seen.update({n: spark.conf.get(n, None) for n in names}))
+    root, rows = scratch_dir(spark, "settings"), spark.range(1)
+    start_flows(Flows(rows, rows, rows), BatchTables(spark, f"{root}/tables"), f"{root}/checkpoints", names=("clean",))
+    assert list(seen.values()) == ["false", "8000"]

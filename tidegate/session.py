@@ -9,6 +9,8 @@ from contextlib import contextmanager
 from pyspark.sql import SparkSession
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+# The JVM never compiles a method of more than 8000 bytes; Spark then takes its smaller generated classes instead.
+COMPILED = {"spark.sql.codegen.hugeMethodLimit": "8000"}
 
 
 def local_session(app: str = "tidegate", cores: int | str = "*", memory: str = "8g") -> SparkSession:

@@ -15,6 +15,7 @@ from functools import reduce
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from tidegate.session import COMPILED, overridden
 from tidegate.sinks.snapshots import BATCH_COLUMNS, Manifest, latest_manifest
 
 CLEAN_PARTITIONS = ("event_date", "region")
@@ -55,7 +56,8 @@ def write_batch(
     writer = rows.write.format(format).mode("overwrite").option("partitionOverwriteMode", "static")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.save(batch_folder(root, day, query_id, batch_id))
+    with overridden(rows.sparkSession, COMPILED):
+        writer.save(batch_folder(root, day, query_id, batch_id))
 
 
 def read_table(
@@ -84,11 +86,16 @@ def read_table(
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
     if not found:
-        return spark.createDataFrame([], whole)
+        return empty_table(spark, whole)
     manifest = latest_manifest(spark, root) or Manifest()
     return reduce(DataFrame.unionByName, found).where(manifest.is_live())
 
 
+def empty_table(spark: SparkSession, schema: T.StructType) -> DataFrame:
+    """No rows, known to the optimizer as such: a join with them is planned without a shuffle or a Python worker."""
+    return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields]).limit(0)
+
+
 def folders_of_others(
     spark: SparkSession,
     root: str,

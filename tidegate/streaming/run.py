@@ -6,12 +6,14 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidegate.model import QUERY_NAMES, TRIGGER_INTERVAL
-from tidegate.session import ROCKSDB, overridden
+from tidegate.session import COMPILED, ROCKSDB, overridden
 from tidegate.sinks.streams import triggered
 from tidegate.sources.checkpoints import checkpoint_path
 from tidegate.streaming.batches import KEPT, BatchTables, BatchWriter
 from tidegate.streaming.flows import Flows
 
+COUNT_STATE_ROWS = "spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows"
+
 
 def start_query(
     rows: DataFrame,
@@ -44,7 +46,8 @@ def start_flows(
     ``state_partitions`` counts the tasks of the stateful operators. A checkpoint keeps the
     number it was made with, so choose it for the size the stream will grow to.
     """
-    settings = {"spark.sql.streaming.stateStore.providerClass": ROCKSDB}
+    # Counting the rows of the state costs RocksDB a read before every write.
+    settings = {"spark.sql.streaming.stateStore.providerClass": ROCKSDB, COUNT_STATE_ROWS: "false", **COMPILED}
     if state_partitions is not None:
         settings["spark.sql.shuffle.partitions"] = str(state_partitions)
     work = {
