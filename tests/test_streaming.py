@@ -1,5 +1,9 @@
 """The streams against their batch twins, restarts, and batches that fail half way."""
 
+from collections import Counter
+from datetime import datetime, timedelta, timezone
+
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -13,12 +17,12 @@ from tidegate.operators.transform import transform_events
 from tidegate.plans import fixture
 from tidegate.plans.fixture import NOW, wire_records
 from tidegate.plans.streams import LAST, SENTINEL_ID, closing_record, compacted_clean, run_gated
-from tidegate.session import scratch_dir
+from tidegate.session import ROCKSDB, overridden, scratch_dir
 from tidegate.sources.checkpoints import latest_commit, state_operators, state_rows
 from tidegate.sources.wire import file_stream, raw_envelope
 from tidegate.streaming.batches import BatchTables
 from tidegate.streaming.flows import Flows, build_flows
-from tidegate.streaming import run as started
+from tidegate.streaming import gate, run as started
 from tidegate.streaming.run import drain, failures_of, start_flows
 
 PARTS = ("2024-01-01", "2024-01-04", "2024-01-07")
@@ -198,6 +202,109 @@ def test_gate_state_is_dealt_to_all_cores(spark):
     assert gate.numPartitions == spark.sparkContext.defaultParallelism
 
 
+DAY = 24 * 3600
+GATE_ROWS = "event_id string, source_partition int, source_offset long, processed_at timestamp"
+
+
+class CountedMap:
+    """Map state in a dict, which counts what it is asked."""
+
+    def __init__(self):
+        self.entries, self.asked = {}, 0
+
+    def containsKey(self, key):
+        self.asked += 1
+        return key in self.entries
+
+    def getValue(self, key):
+        self.asked += 1
+        return self.entries.get(key)
+
+    def updateValue(self, key, value):
+        self.asked += 1
+        self.entries[key] = value
+
+    def getMapState(self, *described):
+        return self
+
+
+def test_gate_asks_its_state_once_for_all_rows_of_an_entry():
+    state, processor = CountedMap(), gate.written_ids(DAY, ["event_id"])
+    processor.init(state)
+
+    def seen(ids, now):
+        parts = [pd.DataFrame({"event_id": ids[n::2], gate.BUCKET: 0, gate.CLOCK: now}) for n in range(2)]
+        marked = pd.concat(list(processor.handleInputRows((0,), iter(parts), None)))
+        return [bool(x) for x in marked.set_index("event_id").loc[ids, "_seen"]]
+
+    names = [f"evt-{n}" for n in range(1000)]
+    taken = pd.DataFrame({"event_id": names[:100], gate.BUCKET: 0, "at": [10] * 50 + [500] * 50})
+    processor.handleInitialState((0,), taken, None)
+    assert seen(names, DAY + 10) == [False] * 50 + [True] * 50 + [False] * 900
+    assert seen(names, DAY + 20) == [True] * 1000
+    assert seen(names, DAY + 501) == [True] * 50 + [False] * 50 + [True] * 900
+    assert state.asked <= 4 * 3
+
+
+def test_gate_entries_are_rid_of_expired_ids():
+    state, processor = CountedMap(), gate.written_ids(DAY, ["event_id"])
+    processor.init(state)
+    for n in range(20):
+        part = pd.DataFrame({"event_id": [f"evt-{n}", None], gate.BUCKET: 3, gate.CLOCK: n * DAY // 2})
+        assert [list(x["_seen"]) for x in processor.handleInputRows((0,), iter([part]), None)] == [[False, False]]
+    assert state.entries == {(3,): (["evt-18", "evt-19"], [9 * DAY, 19 * DAY // 2])}
+
+
+def test_no_key_of_the_gate_holds_many_of_the_ids(spark):
+    placed = spark.range(200_000).select(*gate.dealt(F.concat(F.lit("evt-"), "id")))
+    shards = placed.groupBy(gate.SHARD).agg(F.count("*").alias("ids"), F.count_distinct(gate.BUCKET).alias("entries"))
+    most, entries, keys = shards.agg(F.max("ids"), F.max("entries"), F.count("*")).first()
+    assert most <= 300 and entries <= gate.BUCKETS and keys == gate.SHARDS
+
+
+def test_gate_in_state_over_batches(spark):
+    """Three runs on one checkpoint against plain Python: ids taken over, repeated, expired and missing."""
+    root, start = scratch_dir(spark, "gate-batches"), datetime(2024, 2, 1, tzinfo=timezone.utc)
+    written = [(f"evt-{n}", start - timedelta(hours=25 if n % 2 else 1)) for n in range(0, 300, 3)]
+    batches = [
+        [(None if n % 50 == 7 else f"evt-{n}", n % 3, n, start + timedelta(hours=hours)) for n in range(low, high)]
+        for hours, low, high in ((0, 0, 200), (12, 100, 400), (24, 0, 500))
+    ]
+    taken = spark.createDataFrame(written, "event_id string, processed_at timestamp")
+    settings = {"spark.sql.streaming.stateStore.providerClass": ROCKSDB, "spark.sql.shuffle.partitions": "4", gate.NO_DATA_BATCHES: "false"}
+    at, wanted = dict(written), Counter()
+    for number, rows in enumerate(batches):
+        spark.createDataFrame([*rows, *rows[:5]], GATE_ROWS).coalesce(1).write.mode("append").parquet(f"{root}/in")
+        gated = gate.gated_in_state(spark.readStream.schema(GATE_ROWS).parquet(f"{root}/in"), DAY, taken)
+        with overridden(spark, settings):
+            gated.writeStream.format("parquet").option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start(
+                f"{root}/out").awaitTermination()
+        for event_id, _, offset, now in [*rows, *rows[:5]]:
+            seen = event_id is not None and event_id in at and at[event_id] > now - timedelta(seconds=DAY)
+            if event_id is not None and not seen:
+                at[event_id] = now
+            wanted[event_id, offset, now.timestamp(), seen] += 1
+    got = spark.read.parquet(f"{root}/out").selectExpr("event_id", "source_offset", "double(unix_seconds(processed_at)) AS at", "_seen")
+    assert Counter(tuple(row) for row in got.collect()) == wanted
+
+
+def test_gated_stream_bounds_the_memory_of_its_state(spark, monkeypatch):
+    used = {}
+    names = [f"spark.sql.streaming.stateStore.rocksdb.{x}" for x in ("boundedMemoryUsage", "maxMemoryUsageMB")]
+    start = started.start_query
+
+    def noting(*args, **options):
+        used.update({name: spark.conf.get(name, None) for name in names})
+        return start(*args, **options)
+
+    monkeypatch.setattr(started, "start_query", noting)
+    root = scratch_dir(spark, "gate-memory")
+    closing_record(spark).write.parquet(f"{root}/wire")
+    run_gated(spark, BatchTables(spark, f"{root}/tables"), f"{root}/wire", f"{root}/checkpoints", LAST)
+    assert used[names[0]] == "true" and int(used[names[1]]) <= 500
+    assert spark.conf.get(names[0], "false") == "false"
+
+
 def test_state_rows_are_not_counted_and_methods_stay_small(spark, monkeypatch):
     """A stream keeps the settings it is started under: no read before each write of the state."""
     seen = {}

@@ -19,7 +19,7 @@ from tidegate.sources.wire import file_stream
 from tidegate.streaming.alerts import alert_stream
 from tidegate.streaming.batches import CLEAN_SCHEMA, BatchStamp, BatchTables
 from tidegate.streaming.flows import Flows, build_flows
-from tidegate.streaming.gate import NO_DATA_BATCHES, gated_in_state, own_query_id, written_by_others
+from tidegate.streaming.gate import NO_DATA_BATCHES, STATE_MEMORY, gated_in_state, own_query_id, written_by_others
 from tidegate.streaming.run import drain, start_flows
 
 # The first run reads what arrived before this instant, the second run the rest.
@@ -139,7 +139,7 @@ def run_gated(spark: SparkSession, tables: BatchTables, wire: str, checkpoints:
     own = own_query_id(spark, checkpoints, "clean")
     written = written_by_others(spark, tables.path("clean_events"), CLEAN_SCHEMA, LEDGER_TTL_SECONDS, clock, own)
     clean = gated_in_state(flows.clean, LEDGER_TTL_SECONDS, written)
-    with overridden(spark, {NO_DATA_BATCHES: "false"}):
+    with overridden(spark, {NO_DATA_BATCHES: "false", **STATE_MEMORY}):
         queries = start_flows(
             Flows(clean, flows.quarantine, flows.aggregates), tables, checkpoints, trigger=AVAILABLE_NOW, names=("clean",),
             state_partitions=spark.sparkContext.defaultParallelism,

@@ -88,6 +88,10 @@ PARTITIONS = {"clean_events": CLEAN_PARTITIONS, "aggregates": AGGREGATE_PARTITIO
 
 BatchWriter = Callable[[DataFrame, int], None]
 
+# A task's share of a batch is one block. With memory as a first choice a block that was written to disk
+# is read back whole, as one array, which a large share has no room for.
+HELD = StorageLevel.DISK_ONLY
+
 # Streams run without adaptive execution because their state is tied to its partitions. What a
 # writer does with a finished batch is ordinary batch work and may adapt to sizes and skew.
 ADAPTIVE = {"spark.sql.adaptive.enabled": "true"}
@@ -178,7 +182,7 @@ class BatchTables:
             if stamp is None:
                 return
             gate = self.gate_replayed if "_seen" in batch.columns else self.gate
-            gated = gate(batch, stamp).persist(StorageLevel.MEMORY_AND_DISK)
+            gated = gate(batch, stamp).persist(HELD)
             try:
                 admitted = gated.where("NOT _seen").drop("_seen")
                 folder = self.path("clean_events")
@@ -259,7 +263,7 @@ class BatchTables:
         The newest time counts, which a repeat in another row order finds again.
         """
         with overridden(batch.sparkSession, ADAPTIVE):
-            batch.persist(StorageLevel.MEMORY_AND_DISK)
+            batch.persist(HELD)
             try:
                 newest = batch.agg(F.max(F.unix_seconds(clock))).first()[0]
                 yield None if newest is None else BatchStamp(self._query_id(), batch_id, newest)

@@ -17,44 +17,73 @@ from tidegate.functions import as_now
 from tidegate.sinks.tables import days_back, read_table
 from tidegate.sources.checkpoints import checkpoint_path
 
-#: Ids are dealt to so many keys of state; each holds a map of its ids.
-SHARDS = 64
-SHARD, CLOCK, SEEN = "_shard", "_clock", "_seen"
+#: Ids are dealt to so many keys of state. Spark hands a key's rows to Python together when a new checkpoint
+#: is filled, in the executor as in the worker, so a key's share of one batch has to fit into memory.
+SHARDS = 2048
+#: A key's ids lie in so many entries of its map. A batch asks for an entry once, whatever rows it brings for it.
+BUCKETS = 32
+#: What Python reads by name must not begin with an underscore: after the first batch Spark renames such columns.
+SHARD, BUCKET, CLOCK, SEEN = "_shard", "gate_bucket", "gate_clock", "_seen"
 #: State with a TTL asks for a batch after every batch, with or without data: turn these off, or a run
 #: that reads what there is never ends.
 NO_DATA_BATCHES = "spark.sql.streaming.noDataMicroBatches.enabled"
+#: What RocksDB may take of an executor beside the heap. Unbounded, each store has write buffers of its own for
+#: every kind of entry.
+STATE_MEMORY = {
+    "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
+    "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "128",
+}
 
 
 def written_ids(ttl_seconds: int, columns: list[str]) -> StatefulProcessor:
     """Marks rows whose id was written within the TTL and remembers the ids of the others.
 
-    An entry expires a TTL after it was put there. One from the clean table brings the time it was
-    written at, which decides; its entry only lives on a little longer. The class is made here, so that
-    it travels to the workers whole and they need no installed package.
+    An id counts for a TTL from the time it was written at, which for one from the clean table is the
+    table's. An entry is rid of ids past that when it is written again, and expires itself a TTL after its
+    last. The class is made here, so that it travels to the workers whole and they need no installed package.
     """
-    clock, mark = CLOCK, SEEN
+    clock, mark, bucket = CLOCK, SEEN, BUCKET
 
     class WrittenIds(StatefulProcessor):
         def init(self, handle):
-            self.written = handle.getMapState("written", "event_id string", "at long", ttl_seconds * 1000)
+            self.written = handle.getMapState("written", "bucket int", "ids array<string>, at array<long>", ttl_seconds * 1000)
 
         def handleInputRows(self, key, rows, timerValues):
+            held, newest = {}, {}
             for part in rows:
-                seen = [self.meet(event_id, int(now)) for event_id, now in zip(part["event_id"], part[clock])]
+                seen = [self.meet(*row, held, newest) for row in zip(part["event_id"], part[bucket], part[clock])]
                 yield part[columns].assign(**{mark: seen})
+            for number, now in newest.items():
+                self.put(number, {event_id: at for event_id, at in held[number].items() if at > now - ttl_seconds})
 
-        def meet(self, event_id, now):
+        def meet(self, event_id, number, now, held, newest):
             if event_id is None:
                 return False
-            entry = self.written.getValue((event_id,)) if self.written.containsKey((event_id,)) else None
-            if entry is not None and entry[0] > now - ttl_seconds:
+            number, now = int(number), int(now)
+            if number not in held:
+                held[number] = self.ids(number)
+            at = held[number].get(event_id)
+            if at is not None and at > now - ttl_seconds:
                 return True
-            self.written.updateValue((event_id,), (now,))
+            held[number][event_id] = now
+            newest[number] = max(now, newest.get(number, now))
             return False
 
         def handleInitialState(self, key, initialState, timerValues):
-            for event_id, at in zip(initialState["event_id"], initialState["at"]):
-                self.written.updateValue((event_id,), (int(at),))
+            held = {}
+            for event_id, number, at in zip(initialState["event_id"], initialState[bucket], initialState["at"]):
+                if number not in held:
+                    held[number] = self.ids(int(number))
+                held[number][event_id] = int(at)
+            for number, ids in held.items():
+                self.put(int(number), ids)
+
+        def ids(self, number):
+            entry = self.written.getValue((number,)) if self.written.containsKey((number,)) else None
+            return {} if entry is None else dict(zip(entry[0], entry[1]))
+
+        def put(self, number, ids):
+            self.written.updateValue((number,), ([*ids], [*ids.values()]))
 
         def close(self):
             pass
@@ -62,8 +91,10 @@ def written_ids(ttl_seconds: int, columns: list[str]) -> StatefulProcessor:
     return WrittenIds()
 
 
-def _shard(place: Column) -> Column:
-    return F.pmod(F.xxhash64(place), F.lit(SHARDS)).cast("int").alias(SHARD)
+def dealt(place: Column) -> list[Column]:
+    """The key of state that an id or place is dealt to, and its entry there."""
+    hashed = F.pmod(F.xxhash64(place), F.lit(SHARDS * BUCKETS))
+    return [(hashed % SHARDS).cast("int").alias(SHARD), F.floor(hashed / SHARDS).cast("int").alias(BUCKET)]
 
 
 def gated_in_state(clean: DataFrame, ttl_seconds: int, written: DataFrame | None = None) -> DataFrame:
@@ -73,12 +104,12 @@ def gated_in_state(clean: DataFrame, ttl_seconds: int, written: DataFrame | None
     takes them over. Rows without an id are never seen and are dealt by where they came from.
     """
     place = F.coalesce("event_id", F.concat_ws("|", F.col("source_partition").cast("string"), F.col("source_offset").cast("string")))
-    keyed = clean.select("*", F.unix_seconds("processed_at").alias(CLOCK), _shard(place))
+    keyed = clean.select("*", F.unix_seconds("processed_at").alias(CLOCK), *dealt(place))
     schema = T.StructType([*clean.schema.fields, T.StructField(SEEN, T.BooleanType())])
     initial = None
     if written is not None:
         known = written.where("event_id IS NOT NULL").groupBy("event_id").agg(F.max(F.unix_seconds("processed_at")).alias("at"))
-        initial = known.select("event_id", "at", _shard(F.col("event_id"))).groupBy(SHARD)
+        initial = known.select("event_id", "at", *dealt(F.col("event_id"))).groupBy(SHARD)
     return keyed.groupBy(SHARD).transformWithStateInPandas(
         written_ids(ttl_seconds, clean.columns), schema, "Append", "ProcessingTime", initialState=initial
     )
