@@ -14,7 +14,7 @@ from tidegate.operators.quarantine import quarantine_envelope
 from tidegate.operators.rules import check_events, invalid_events, valid_events
 from tidegate.operators.triage import classify_failures
 from tidegate.operators.transform import transform_events
-from tidegate.plans import fixture
+from tidegate.plans import fixture, streams
 from tidegate.plans.fixture import NOW, wire_records
 from tidegate.plans.streams import LAST, SENTINEL_ID, closing_record, compacted_clean, run_gated
 from tidegate.session import ROCKSDB, overridden, scratch_dir
@@ -305,6 +305,14 @@ def test_gated_stream_bounds_the_memory_of_its_state(spark, monkeypatch):
     assert spark.conf.get(names[0], "false") == "false"
 
 
+def test_gate_state_partitions_grow_with_the_records(spark, monkeypatch):
+    root, cores = scratch_dir(spark, "gate-grows"), spark.sparkContext.defaultParallelism
+    spark.range(100).write.parquet(f"{root}/wire")
+    assert streams.state_partitions(spark, f"{root}/wire") == cores
+    monkeypatch.setattr(streams, "PARTITION_RECORDS", 5)
+    assert streams.state_partitions(spark, f"{root}/wire") == cores * -(-100 // (cores * 5))
+
+
 def test_state_rows_are_not_counted_and_methods_stay_small(spark, monkeypatch):
     """A stream keeps the settings it is started under: no read before each write of the state."""
     seen = {}

@@ -26,6 +26,9 @@ from tidegate.streaming.run import drain, start_flows
 SPLIT = "2024-01-16T00:00:00Z"
 SENTINEL_ID = "evt-closing"
 LAST = datetime(2024, 2, 1, tzinfo=timezone.utc)
+#: Records of a gated stream for a state partition. A task's share of a batch, and what it fetches of it at once,
+#: then stay the same however many records there are.
+PARTITION_RECORDS = 500_000
 SIDE_SPLITS = ("2024-01-08T00:00:00Z", "2024-01-16T00:00:00Z", "2024-01-24T00:00:00Z")
 
 
@@ -133,6 +136,12 @@ def run_with_lost_checkpoint(spark: SparkSession, sf_dir: str, name: str) -> Bat
     return tables
 
 
+def state_partitions(spark: SparkSession, wire: str) -> int:
+    """For the records of a folder: as many for each core."""
+    cores = spark.sparkContext.defaultParallelism
+    return cores * max(-(-spark.read.parquet(wire).count() // (cores * PARTITION_RECORDS)), 1)
+
+
 def run_gated(spark: SparkSession, tables: BatchTables, wire: str, checkpoints: str, clock: datetime) -> None:
     """The clean flow with its gate in keyed state, over the records of a folder."""
     flows = build_flows(file_stream(spark, wire), now=clock)
@@ -142,7 +151,7 @@ def run_gated(spark: SparkSession, tables: BatchTables, wire: str, checkpoints:
     with overridden(spark, {NO_DATA_BATCHES: "false", **STATE_MEMORY}):
         queries = start_flows(
             Flows(clean, flows.quarantine, flows.aggregates), tables, checkpoints, trigger=AVAILABLE_NOW, names=("clean",),
-            state_partitions=spark.sparkContext.defaultParallelism,
+            state_partitions=state_partitions(spark, wire),
         )
         drain(queries)
 
